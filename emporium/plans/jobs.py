@@ -1,5 +1,171 @@
-"""Registered table jobs beyond the reports: DML, quality, metrics, points."""
+"""Registered table jobs beyond the reports: loading, DML, quality, profile,
+metrics and point-cloud steps, each over the logical tables of a ``Star``.
+
+Jobs that produce a new table version return that whole version; money
+columns leave these checkable views as DOUBLE (the library functions
+themselves keep DECIMAL).  Parameters that the reference hard-coded are
+re-based on the test data (``AS_OF`` and id prefixes of numeric ids).
+"""
 
 from __future__ import annotations
 
-JOBS: dict = {}
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+from emporium.operators import dml, metrics, points, quality, upsert
+from emporium.operators.profile import column_profile
+from emporium.plans.reports import AS_OF, q06_payment_type_share
+
+ITEM_KEY = ["order_id", "order_item_id"]
+# the raw batch has no file order; this is the explicit "first row" order
+ITEM_ORDER = ["shipping_limit_date", "product_id", "seller_id", "price", "freight_value"]
+# Test-data stand-ins for the reference's city renames (its cities do not occur here).
+TEST_CITY_RENAMES = {"NATION_1 BUILDING": "Nation 1 Building",
+                     "NATION_2 MACHINERY": "Nation 2 Machinery"}
+
+
+def checkable(df: DataFrame) -> DataFrame:
+    """DECIMAL columns as DOUBLE, everything else unchanged."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+# ------------------------------------------------------------------- loading
+def load_insert_if_absent_items(s) -> DataFrame:
+    """Raw line items (repeating keys) inserted into order_items: first row
+    per key wins, keys already stored are skipped."""
+    ch = upsert.insert_if_absent(s.order_items, s.order_items_raw, ITEM_KEY, order_by=ITEM_ORDER)
+    return checkable(ch.table)
+
+
+def load_insert_if_absent_twice(s) -> DataFrame:
+    """The same batch loaded twice: equal to loading it once (idempotence)."""
+    once = upsert.insert_if_absent(s.order_items, s.order_items_raw, ITEM_KEY, order_by=ITEM_ORDER)
+    twice = upsert.insert_if_absent(once.table, s.order_items_raw, ITEM_KEY, order_by=ITEM_ORDER)
+    return checkable(twice.table)
+
+
+def load_geolocation_distinct(s) -> DataFrame:
+    """Geolocation rows loaded into an empty table with a unique index on all columns."""
+    raw = s.geolocation_raw
+    ch = upsert.insert_distinct_if_absent(raw.limit(0), raw)
+    return checkable(ch.table)
+
+
+# ----------------------------------------------------------------------- DML
+def dml_u1_mark_delivered(s) -> DataFrame:
+    return dml.u1_mark_delivered(s.orders, AS_OF).table
+
+
+def dml_u2_products(s) -> DataFrame:
+    return dml.u2_products(s.products, id_prefix="1").table
+
+
+def dml_u3_price_jitter(s) -> DataFrame:
+    return checkable(dml.u3_price_jitter(s.order_items, s.orders, AS_OF).table)
+
+
+def dml_u4_city_rename(s) -> DataFrame:
+    return dml.u4_city_rename(s.customers, id_prefix="1", renames=TEST_CITY_RENAMES).table
+
+
+def dml_u5_installments(s) -> DataFrame:
+    return checkable(dml.u5_installments(s.order_payments).table)
+
+
+def dml_delete_stale_orders(s) -> DataFrame:
+    """The reference's maintenance DELETE: the oldest 15 stale orders with the
+    id prefix.  They have items, so the foreign keys make the statement fail
+    and it is rolled back: the table is unchanged."""
+    children = [(s.order_items, "order_id"), (s.order_payments, "order_id"),
+                (s.order_reviews, "order_id")]
+    return dml.delete_stale_orders(s.orders, AS_OF, id_prefix="12", children=children,
+                                   on_child="rollback").table
+
+
+# ------------------------------------------------------------------- quality
+def quality_duplicate_item_keys(s) -> DataFrame:
+    return quality.check_unique(s.order_items_raw, ITEM_KEY)
+
+
+def quality_orphan_items(s) -> DataFrame:
+    return checkable(quality.check_foreign_key(s.order_items, "product_id", s.products, "product_id"))
+
+
+def quality_rejected_customers(s) -> DataFrame:
+    _, rejected = quality.validate_rows(
+        s.customers, quality.CUSTOMER_DEFAULTS, int_ge0=["customer_zip_code_prefix"],
+        state_col="customer_state", unique_from=("customer_unique_id", "customer_id"))
+    return rejected
+
+
+def profile_products(s) -> DataFrame:
+    return column_profile(s.products)
+
+
+# ------------------------------------------------------------------- metrics
+def _flat(samples: DataFrame) -> DataFrame:
+    return samples.select("*", F.col("labels")["city"].alias("city")).drop("labels")
+
+
+def metrics_latest_gauges(s) -> DataFrame:
+    return _flat(metrics.latest_gauges(s.metric_samples))
+
+
+def metrics_api_health_hourly(s) -> DataFrame:
+    samples = s.metric_samples.withColumn("round", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return metrics.api_health(samples, "round")
+
+
+def metrics_resample_last_15m(s) -> DataFrame:
+    return _flat(metrics.resample_last(s.metric_samples, "15 minutes"))
+
+
+def metrics_payment_share_samples(s) -> DataFrame:
+    m = metrics.query_to_metrics(q06_payment_type_share(s), ["payment_type"],
+                                 ["count_payments", "percent_share"], prefix="payments_")
+    return m.select("metric", F.col("labels")["payment_type"].alias("payment_type"), "value")
+
+
+def metrics_relabel_instance(s) -> DataFrame:
+    r = metrics.relabel(s.metric_samples, "city", "instance", "external_apis")
+    return r.select("metric", F.col("labels")["city"].alias("city"),
+                    F.col("labels")["instance"].alias("instance"), "ts", "value")
+
+
+# -------------------------------------------------------------------- points
+def _clipped(s) -> DataFrame:
+    p = s.points
+    return points.points_clip(p, points.points_plane(points.points_scaled_crop(p)))
+
+
+JOBS = {
+    "load_insert_if_absent_items": load_insert_if_absent_items,
+    "load_insert_if_absent_twice": load_insert_if_absent_twice,
+    "load_geolocation_distinct": load_geolocation_distinct,
+    "dml_u1_mark_delivered": dml_u1_mark_delivered,
+    "dml_u2_products": dml_u2_products,
+    "dml_u3_price_jitter": dml_u3_price_jitter,
+    "dml_u4_city_rename": dml_u4_city_rename,
+    "dml_u5_installments": dml_u5_installments,
+    "dml_delete_stale_orders": dml_delete_stale_orders,
+    "quality_duplicate_item_keys": quality_duplicate_item_keys,
+    "quality_orphan_items": quality_orphan_items,
+    "quality_rejected_customers": quality_rejected_customers,
+    "profile_products": profile_products,
+    "metrics_latest_gauges": metrics_latest_gauges,
+    "metrics_api_health_hourly": metrics_api_health_hourly,
+    "metrics_resample_last_15m": metrics_resample_last_15m,
+    "metrics_payment_share_samples": metrics_payment_share_samples,
+    "metrics_relabel_instance": metrics_relabel_instance,
+    "points_bbox": lambda s: points.points_bbox(s.points),
+    "points_crop": lambda s: points.points_crop(s.points, 1.0),
+    "points_scaled_crop": lambda s: points.points_scaled_crop(s.points),
+    "points_voxels": lambda s: points.points_voxels(s.points),
+    "points_plane": lambda s: points.points_plane(points.points_scaled_crop(s.points)),
+    "points_clip": _clipped,
+    "points_color_by_height": lambda s: points.points_color_by_height(_clipped(s)),
+    "points_extremes": lambda s: points.points_extremes(_clipped(s)),
+}
