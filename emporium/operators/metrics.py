@@ -153,10 +153,13 @@ def parse_exposition(lines: DataFrame, col: str = "value") -> DataFrame:
     entries = F.transform(pairs, lambda p: F.struct(
         F.trim(F.split_part(p, F.lit("="), F.lit(1))).alias("key"),
         F.regexp_replace(F.trim(F.substring_index(p, "=", -1)), '^"|"$', "").alias("value")))
+    number = F.regexp_extract(line, _LINE, 4)
+    extra = [c for c in lines.columns if c != col]
     return data.select(
         name.alias("metric"),
         F.map_from_entries(entries).alias("labels"),
-        F.expr(f"try_cast(regexp_extract(trim({col}), '{_LINE}', 4) AS double)").alias("value"),
+        number.try_cast("double").alias("value"),
+        *extra,
     ).where(F.col("metric") != "")
 
 

@@ -135,6 +135,53 @@ def metrics_relabel_instance(s) -> DataFrame:
                     F.col("labels")["instance"].alias("instance"), "ts", "value")
 
 
+# ----------------------------------------------------------------- streaming
+def _streaming_star(s):
+    from emporium.sources.testdata import Star
+    return Star(s.spark, s.sf_dir, streaming=True)
+
+
+def stream_ingest_items(s) -> DataFrame:
+    """Raw line items arriving as a stream, inserted if absent into order_items."""
+    from emporium.streaming import ingest as st
+    out, ckpt = st.scratch_dirs(s.spark, "ingest-items")
+    q = st.ingest_if_absent(_streaming_star(s).order_items_raw, out, ckpt, ITEM_KEY,
+                            order_by=ITEM_ORDER, seed=s.order_items)
+    q.awaitTermination()
+    return checkable(s.spark.read.parquet(out).drop(st.BATCH_COL))
+
+
+def stream_daily_counts(s) -> DataFrame:
+    """Orders per purchase day from a stream; a day is emitted once the
+    watermark (latest event time − 1 day) has passed its end."""
+    from emporium.streaming import ingest as st
+    out, ckpt = st.scratch_dirs(s.spark, "daily-counts")
+    counts = st.daily_counts(_streaming_star(s).orders_placed, "order_purchase_timestamp", "1 day")
+    st.run_to_table(counts, out, ckpt, mode="append").awaitTermination()
+    return s.spark.read.parquet(out).drop(st.BATCH_COL)
+
+
+def stream_dedupe_items(s) -> DataFrame:
+    """Raw line items as a stream, repeated (order, line) keys dropped."""
+    from emporium.streaming import ingest as st
+    out, ckpt = st.scratch_dirs(s.spark, "dedupe-items")
+    items = _streaming_star(s).order_items_raw
+    deduped = st.dedupe_within_watermark(items, ITEM_KEY, "shipping_limit_date", "3650 days")
+    st.run_to_table(deduped, out, ckpt).awaitTermination()
+    return checkable(s.spark.read.parquet(out).drop(st.BATCH_COL))
+
+
+def stream_latest_gauges(s) -> DataFrame:
+    """Latest successful value per series, kept as streaming state (complete mode)."""
+    from emporium.streaming import ingest as st
+    out, ckpt = st.scratch_dirs(s.spark, "latest-gauges")
+    latest = st.latest_gauges_stream(_streaming_star(s).metric_samples)
+    st.run_to_table(latest, out, ckpt, mode="complete").awaitTermination()
+    table = s.spark.read.parquet(out)
+    last = table.agg(F.max(st.BATCH_COL)).scalar()
+    return _flat(table.where(F.col(st.BATCH_COL) == last).drop(st.BATCH_COL))
+
+
 # -------------------------------------------------------------------- points
 def _clipped(s) -> DataFrame:
     p = s.points
@@ -160,6 +207,10 @@ JOBS = {
     "metrics_resample_last_15m": metrics_resample_last_15m,
     "metrics_payment_share_samples": metrics_payment_share_samples,
     "metrics_relabel_instance": metrics_relabel_instance,
+    "stream_ingest_items": stream_ingest_items,
+    "stream_daily_counts": stream_daily_counts,
+    "stream_dedupe_items": stream_dedupe_items,
+    "stream_latest_gauges": stream_latest_gauges,
     "points_bbox": lambda s: points.points_bbox(s.points),
     "points_crop": lambda s: points.points_crop(s.points, 1.0),
     "points_scaled_crop": lambda s: points.points_scaled_crop(s.points),

@@ -55,6 +55,7 @@ clipped AS (SELECT p.* FROM points p, plane WHERE (p.y - plane.plane_y) * 1.0 <
 JOB_ORACLES = {
     "load_insert_if_absent_items": _INSERT_ITEMS,
     "load_insert_if_absent_twice": _INSERT_ITEMS,
+    "stream_ingest_items": _INSERT_ITEMS,
 
     "load_geolocation_distinct": with_views("geolocation", """
 SELECT geolocation_zip_code_prefix, CAST(geolocation_lat AS DOUBLE) AS geolocation_lat,
@@ -164,6 +165,19 @@ SELECT metric, ts, value, city FROM (
   FROM metric_samples WHERE ok) t
 WHERE rn = 1"""),
 
+    "stream_latest_gauges": with_views("metric_samples", """
+SELECT metric, ts, value, city FROM (
+  SELECT *, row_number() OVER (PARTITION BY metric, city ORDER BY ts DESC, value DESC) AS rn
+  FROM metric_samples WHERE ok) t
+WHERE rn = 1"""),
+
+    "stream_daily_counts": with_views("ord", """
+, d AS (SELECT CAST(order_purchase_timestamp AS DATE) AS day FROM ord),
+wm AS (SELECT max(order_purchase_timestamp) - INTERVAL 1 DAY AS w FROM ord)
+SELECT day, COUNT(*) AS n FROM d, wm
+WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= wm.w
+GROUP BY day"""),
+
     "metrics_api_health_hourly": with_views("metric_samples", """
 SELECT date_trunc('hour', ts) AS round, CAST(bool_and(ok) AS INTEGER) AS up, max(ts) AS last_update
 FROM metric_samples GROUP BY 1"""),

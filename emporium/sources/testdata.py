@@ -46,12 +46,25 @@ def _case(column, mapping: dict, other):
 class Star:
     """The nine logical tables plus the re-aimed metric and point tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, streaming: bool = False,
+                 max_files_per_trigger: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.streaming = streaming
+        self.max_files_per_trigger = max_files_per_trigger
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if not self.streaming:
+            return self.spark.read.parquet(path)
+        # the same row-wise derivations applied to a file stream of the raw
+        # table; the schema is fixed up front, as streaming sources require
+        # (file streams watch a folder: the table's file is selected by name)
+        reader = (self.spark.readStream.schema(self.spark.read.parquet(path).schema)
+                  .option("pathGlobFilter", f"{name}.parquet"))
+        if self.max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
+        return reader.parquet(self.sf_dir)
 
     # ------------------------------------------------------------ dimensions
     @cached_property
@@ -135,19 +148,31 @@ class Star:
     def orders(self) -> DataFrame:
         o = self.raw("orders")
         # last ship date per order: a partial (map-side) aggregate on the
-        # order key, so the shuffle carries one row per order and partition
+        # order key, so the shuffle carries one row per order and partition;
+        # Catalyst drops this join when the delivery date is not read
         last_ship = (self.raw("lineitem").groupBy("l_orderkey")
                      .agg(F.max("l_shipdate").alias("last_ship")))
         joined = o.join(last_ship, o.o_orderkey == last_ship.l_orderkey, "left")
+        delivered = F.col("last_ship") + F.make_dt_interval(F.lit(1))
+        return self._orders_from(joined, delivered)
+
+    @cached_property
+    def orders_placed(self) -> DataFrame:
+        """Orders as placed (no delivery date yet): row-wise, so it also works
+        on a stream of raw orders."""
+        return self._orders_from(self.raw("orders"), F.lit(None).cast("timestamp_ntz"))
+
+    @staticmethod
+    def _orders_from(o: DataFrame, delivered) -> DataFrame:
         base = F.col("o_orderdate")
-        return joined.select(
+        return o.select(
             F.col("o_orderkey").cast("string").alias("order_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),
             _case(F.col("o_orderstatus"), ORDER_STATUS, F.lit(None).cast("string")).alias("order_status"),
             (base + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))).alias("order_purchase_timestamp"),
             (base + F.make_dt_interval(F.lit(1))).alias("order_approved_at"),
             F.lit(None).cast("timestamp_ntz").alias("order_delivered_carrier_date"),
-            (F.col("last_ship") + F.make_dt_interval(F.lit(1))).alias("order_delivered_customer_date"),
+            delivered.alias("order_delivered_customer_date"),
             (base + F.make_dt_interval(F.lit(90))).alias("order_estimated_delivery_date"),
         )
 
