@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_ONE_MONTH = F.expr("INTERVAL 1 MONTH")
+
+def _one_month():
+    return F.expr("INTERVAL 1 MONTH")
 
 
 def densify_months(series: DataFrame, key: str, month: str, value: str,
@@ -24,7 +26,7 @@ def densify_months(series: DataFrame, key: str, month: str, value: str,
     lo = series.agg(F.min(month)).scalar()
     hi = series.agg(F.max(month)).scalar()
     grid = (series.select(key).distinct()
-            .select(key, F.explode(F.sequence(lo, hi, _ONE_MONTH)).alias(month)))
+            .select(key, F.explode(F.sequence(lo, hi, _one_month())).alias(month)))
     filled = grid.join(series.select(key, month, value), [key, month], "left")
     value_type = dict(series.dtypes)[value]
     return filled.select(key, month, F.coalesce(F.col(value), F.lit(fill).cast(value_type)).alias(value))
@@ -37,4 +39,4 @@ def cumulative_frames(df: DataFrame, month: str, frame: str = "frame") -> DataFr
     each row is repeated for the frames at or after its month.
     """
     hi = df.agg(F.max(month)).scalar()
-    return df.select(F.explode(F.sequence(F.col(month), hi, _ONE_MONTH)).alias(frame), "*")
+    return df.select(F.explode(F.sequence(F.col(month), hi, _one_month())).alias(frame), "*")
