@@ -4,26 +4,26 @@ Per column: the display width (longest rendered value including the
 header, plus 2, capped at 40) and, for numeric columns with at least two
 values, min / median / max (the three stops of the colour scale).
 
-All widths, counts, minima and maxima come from ONE aggregate pass over the
-table.  Medians are exact and interpolated (the mean of the two middle
-values for an even count, like pandas and spreadsheet percentiles).  Spark's
-exact ``percentile`` keeps every distinct value of a group in one task's
-memory, which does not survive a 100 TB column; ``exact_kth`` instead
-narrows the rank down with equal-width histograms: each round is one
-aggregate job returning at most ``buckets`` rows, and once the candidate
-range holds few rows the k-th value is read with a distributed sort of that
-range and ``offset``.  A value repeated a billion times ends the search as
-soon as its bucket has min == max.
+Widths, counts, minima and maxima of all columns come from ONE aggregate
+pass.  Medians are exact and interpolated (mean of the two middle values for
+an even count, like pandas and spreadsheet percentiles).  Spark's exact
+``percentile`` keeps every distinct value of a group in one task's memory,
+which does not survive a 100 TB column; :func:`exact_ranks` narrows each
+wanted rank down with equal-width histograms instead: one aggregate job per
+round for all columns at once, each returning at most ``buckets`` rows per
+rank, and once a rank's candidate range holds at most ``small`` rows, one
+window job ranks the rows inside those ranges (partitioned by rank, so no
+partition holds more than ``small`` rows).  A value repeated a billion times
+ends its search as soon as its bucket has min == max.
 """
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DecimalType, NumericType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 MAX_WIDTH = 40
 
@@ -41,41 +41,123 @@ def rendered_length(df: DataFrame, name: str):
     return F.length(c.cast("string"))
 
 
+@dataclass
+class _Target:
+    col: int      # column index in the long table
+    k: int        # wanted 0-based rank among the column's values
+    lo: float     # candidate range [lo, hi] ...
+    hi: float
+    below: int    # ... with this many values left of it
+    n: int        # ... and this many inside it
+
+
+def _tag(long: DataFrame, targets: dict[int, _Target]) -> DataFrame:
+    """Rows of ``long`` (c, v) inside some target's range, tagged with its id."""
+    v, c = F.col("v"), F.col("c")
+    ids = F.array(*[F.when((c == t.col) & (v >= F.lit(t.lo)) & (v <= F.lit(t.hi)), F.lit(i))
+                    for i, t in targets.items()])
+    return (long.select("v", F.explode(F.filter(ids, lambda x: x.isNotNull())).alias("t")))
+
+
+def _case(targets: dict[int, _Target], value) -> F.Column:
+    expr = None
+    for i, t in targets.items():
+        cond = F.col("t") == F.lit(i)
+        val = F.lit(value(t))
+        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+    return expr
+
+
+def exact_ranks(long: DataFrame, targets: dict[int, _Target], buckets: int = 1024,
+                small: int = 100_000) -> dict[int, float]:
+    """Exact k-th values for several (column, rank) targets of a long table (c, v)."""
+    result: dict[int, float] = {}
+    while True:
+        for i, t in targets.items():
+            if i not in result and t.lo == t.hi:
+                result[i] = float(t.lo)
+        big = {i: t for i, t in targets.items()
+               if i not in result and t.n > small and (t.hi - t.lo) / buckets > 0}
+        if not big:
+            break
+        tagged = _tag(long, big)
+        lo = _case(big, lambda t: t.lo)
+        width = _case(big, lambda t: (t.hi - t.lo) / buckets)
+        b = F.least(F.floor((F.col("v") - lo) / width), F.lit(buckets - 1))
+        hist = (tagged.groupBy("t", b.alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                .collect())  # at most buckets rows per target
+        by_target: dict[int, list] = {}
+        for row in hist:
+            by_target.setdefault(row["t"], []).append(row)
+        for i, t in big.items():
+            for row in sorted(by_target.get(i, []), key=lambda r: r["b"]):
+                if t.below + row["n"] > t.k:
+                    t.lo, t.hi, t.n = row["lo"], row["hi"], row["n"]
+                    break
+                t.below += row["n"]
+    rest = {i: t for i, t in targets.items() if i not in result}
+    if rest:
+        offset = _case(rest, lambda t: t.k - t.below)
+        w = Window.partitionBy("t").orderBy("v")
+        picked = (_tag(long, rest).withColumn("r", F.row_number().over(w) - 1)
+                  .where(F.col("r") == offset).select("t", "v").collect())
+        for row in picked:
+            result[row["t"]] = float(row["v"])
+    return result
+
+
 def exact_kth(values: DataFrame, k: int, buckets: int = 1024, small: int = 100_000) -> float:
     """The k-th smallest (0-based) of a one-column DataFrame ``v`` (no NULLs)."""
-    v = F.col("v")
-    stats = values.agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
-    n, lo, hi = stats["n"], stats["lo"], stats["hi"]
-    if n == 0 or k < 0 or k >= n:
-        raise ValueError(f"rank {k} out of range for {n} values")
-    below = 0  # values strictly left of the current range
-    while True:
-        if lo == hi:
-            return float(lo)
-        sub = values.where((v >= F.lit(lo)) & (v <= F.lit(hi)))
-        if n <= small:
-            return float(sub.orderBy(v).offset(k - below).limit(1).first()[0])
-        width = (hi - lo) / buckets
-        if width == 0 or math.isinf(width):
-            return float(sub.orderBy(v).offset(k - below).limit(1).first()[0])
-        b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).alias("b")
-        hist = (sub.groupBy(b).agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"),
-                                   F.max(v).alias("hi")).orderBy("b").collect())
-        for row in hist:  # at most `buckets` rows
-            if below + row["n"] > k:
-                n, lo, hi = row["n"], row["lo"], row["hi"]
-                break
-            below += row["n"]
+    s = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if s["n"] == 0 or not 0 <= k < s["n"]:
+        raise ValueError(f"rank {k} out of range for {s['n']} values")
+    long = values.select(F.lit(0).alias("c"), "v")
+    return exact_ranks(long, {0: _Target(0, k, s["lo"], s["hi"], 0, s["n"])}, buckets, small)[0]
 
 
 def exact_median(df: DataFrame, name: str, **kw) -> float | None:
-    values = df.select(F.col(name).cast("double").alias("v")).where(F.col("v").isNotNull())
-    n = values.count()
-    if n == 0:
-        return None
-    a = exact_kth(values, (n - 1) // 2, **kw)
-    b = a if n % 2 else exact_kth(values, n // 2, **kw)
-    return a + (b - a) * 0.5
+    return exact_medians(df, [name], **kw).get(name)
+
+
+def exact_medians(df: DataFrame, names: list[str], stats: dict | None = None,
+                  buckets: int = 1024, small: int = 100_000) -> dict[str, float | None]:
+    """Exact interpolated medians of several numeric columns together."""
+    if stats is None:
+        aggs = []
+        for i, c in enumerate(names):
+            x = F.col(c).cast("double")
+            aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        row = df.agg(*aggs).first()
+        stats = {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(names)}
+    targets: dict[int, _Target] = {}
+    wanted: dict[str, tuple[int, int]] = {}
+    for ci, c in enumerate(names):
+        n, lo, hi = stats[c]
+        if not n:
+            continue
+        k1, k2 = (n - 1) // 2, n // 2
+        t1 = len(targets)
+        targets[t1] = _Target(ci, k1, lo, hi, 0, n)
+        t2 = t1
+        if k2 != k1:
+            t2 = len(targets)
+            targets[t2] = _Target(ci, k2, lo, hi, 0, n)
+        wanted[c] = (t1, t2)
+    if not targets:
+        return {c: None for c in names}
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+                                         for i, c in enumerate(names)])).alias("p")) \
+        .select("p.c", "p.v").where(F.col("v").isNotNull())
+    found = exact_ranks(long, targets, buckets, small)
+    out = {}
+    for c in names:
+        if c not in wanted:
+            out[c] = None
+            continue
+        a, b = found[wanted[c][0]], found[wanted[c][1]]
+        out[c] = a + (b - a) * 0.5
+    return out
 
 
 def column_profile(df: DataFrame, method: str = "select") -> DataFrame:
@@ -99,18 +181,20 @@ def column_profile(df: DataFrame, method: str = "select") -> DataFrame:
             elif method == "exact":
                 aggs.append(F.percentile(x, F.lit(0.5)).alias(f"p{i}"))
     row = df.agg(*aggs).first()
+    idx = {c: i for i, c in enumerate(cols)}
+    scaled = [c for c in numeric if (row[f"n{idx[c]}"] or 0) >= 2]
+    if method == "select":
+        stats = {c: (row[f"n{idx[c]}"], row[f"lo{idx[c]}"], row[f"hi{idx[c]}"]) for c in scaled}
+        medians = exact_medians(df, scaled, stats) if scaled else {}
+    else:
+        medians = {c: row[f"p{idx[c]}"] for c in scaled}
     out = []
     for i, c in enumerate(cols):
-        longest = max(len(c), row[f"w{i}"] or 0)
-        width = min(longest + 2, MAX_WIDTH)
-        if c in numeric and (row[f"n{i}"] or 0) >= 2:
-            if method == "select":
-                p50 = exact_median(df, c)
-            else:
-                p50 = row[f"p{i}"]
-            out.append((c, i + 1, width, row[f"n{i}"], row[f"lo{i}"], p50, row[f"hi{i}"]))
+        width = min(max(len(c), row[f"w{i}"] or 0) + 2, MAX_WIDTH)
+        n = row[f"n{i}"] if c in numeric else 0
+        if c in scaled:
+            out.append((c, i + 1, width, n, row[f"lo{i}"], medians[c], row[f"hi{i}"]))
         else:
-            n = row[f"n{i}"] if c in numeric else 0
             out.append((c, i + 1, width, n, None, None, None))
     schema = ("column string, position int, width int, n_numeric long, "
               "min double, p50 double, max double")

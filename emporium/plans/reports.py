@@ -38,6 +38,13 @@ YEARS = (1996, 1997, 1998)
 AS_OF = "2001-08-01 12:00:00"
 
 
+def lines(s) -> DataFrame:
+    """Order items without the item number: reports never read it, and a
+    star that derives the number (see ``Star.order_items``) can skip that work."""
+    view = getattr(s, "order_lines", None)
+    return s.order_items if view is None else view
+
+
 def _item_total() -> F.Column:
     return F.col("price") + F.col("freight_value")
 
@@ -45,7 +52,7 @@ def _item_total() -> F.Column:
 # --------------------------------------------------------------- main.py set
 def q01_monthly_items_revenue(s) -> DataFrame:
     o = s.orders.select("order_id", "order_purchase_timestamp")
-    oi = s.order_items.select("order_id", "price", "freight_value")
+    oi = lines(s).select("order_id", "price", "freight_value")
     return (
         o.join(oi, "order_id")
         .groupBy(month_start(F.col("order_purchase_timestamp")).alias("month"))
@@ -74,7 +81,7 @@ def q03_top_cities(s, k: int = 10) -> DataFrame:
 
 
 def q04_top_categories_revenue(s, k: int = 10) -> DataFrame:
-    oi = s.order_items.select("product_id", "price")
+    oi = lines(s).select("product_id", "price")
     p = s.products.select("product_id", "product_category_name")
     rev = (oi.join(p, "product_id").groupBy("product_category_name")
            .agg(F.sum("price").alias("rev")))
@@ -87,7 +94,7 @@ def _reviews_by_item(s, translate: bool) -> DataFrame:
     """Review scores fanned out to the items of their order (main.py:31-36)."""
     orv = s.order_reviews.select("order_id", "review_score")
     o = s.orders.select("order_id")
-    oi = s.order_items.select("order_id", "product_id")
+    oi = lines(s).select("order_id", "product_id")
     p = s.products.select("product_id", "product_category_name")
     j = orv.join(o, "order_id").join(oi, "order_id").join(p, "product_id")
     if translate:
@@ -116,7 +123,7 @@ def q06_payment_type_share(s) -> DataFrame:
 def _order_totals(s) -> DataFrame:
     """Per-order SUM(price + freight) over orders ⋈ items, keyed by order."""
     o = s.orders.select("order_id", "customer_id")
-    oi = s.order_items.select("order_id", "price", "freight_value")
+    oi = lines(s).select("order_id", "price", "freight_value")
     return (o.join(oi, "order_id").groupBy("order_id", "customer_id")
             .agg(F.sum(_item_total()).alias("order_total")))
 
@@ -129,7 +136,7 @@ def q07_avg_order_total_by_state(s) -> DataFrame:
 
 
 def q08_top_sellers(s, k: int = 10) -> DataFrame:
-    oi = s.order_items.select("seller_id")
+    oi = lines(s).select("seller_id")
     se = s.sellers.select("seller_id")
     counts = oi.join(se, "seller_id").groupBy("seller_id").agg(F.count(F.lit(1)).alias("items_sold"))
     return top_k(counts, k, [F.col("items_sold").desc(), F.col("seller_id")])
@@ -143,7 +150,7 @@ def q09_late_delivery_percent(s) -> DataFrame:
 
 
 def q10_top_categories_items(s, k: int = 10) -> DataFrame:
-    oi = s.order_items.select("product_id")
+    oi = lines(s).select("product_id")
     p = s.products.select("product_id", "product_category_name")
     counts = (oi.join(p, "product_id").groupBy("product_category_name")
               .agg(F.count(F.lit(1)).alias("items_count")))
@@ -154,7 +161,7 @@ def q10_top_categories_items(s, k: int = 10) -> DataFrame:
 # ----------------------------------------------------- queries.sql / analytics
 def q11_monthly_revenue(s) -> DataFrame:
     o = s.orders.select("order_id", "order_purchase_timestamp")
-    oi = s.order_items.select("order_id", "price", "freight_value")
+    oi = lines(s).select("order_id", "price", "freight_value")
     per_order = (o.join(oi, "order_id")
                  .groupBy("order_id", month_start(F.col("order_purchase_timestamp")).alias("month"))
                  .agg(F.sum(_item_total()).alias("order_total")))
@@ -172,7 +179,7 @@ def q12_payment_fanout_counts(s) -> DataFrame:
     """
     pay = (s.order_payments.groupBy("order_id", "payment_type")
            .agg(F.count(F.lit(1)).alias("n_pay")))
-    items = s.order_items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"))
+    items = lines(s).groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"))
     o = s.orders.select("order_id")
     return (pay.join(o, "order_id", "left_semi").join(items, "order_id")
             .groupBy("payment_type")
@@ -189,7 +196,7 @@ def _category_english(s, items: DataFrame) -> DataFrame:
 
 
 def q13_top_categories_english(s, k: int = 10) -> DataFrame:
-    j = _category_english(s, s.order_items.select("product_id", "price"))
+    j = _category_english(s, lines(s).select("product_id", "price"))
     rev = j.groupBy("category").agg(F.sum("price").alias("rev"))
     top = top_k(rev, k, [F.col("rev").desc_nulls_first(), F.col("category").asc_nulls_last()])
     return top.select("category", F.col("rev").cast("double").alias("revenue"))
@@ -199,7 +206,7 @@ def q14_category_year_revenue(s, years=YEARS, k: int = 30) -> DataFrame:
     o = s.orders.select("order_id", "order_purchase_timestamp")
     ts = F.col("order_purchase_timestamp")
     o = o.where(year_range(ts, min(years), max(years)) & F.year(ts).isin(list(years)))
-    oi = s.order_items.select("order_id", "product_id", "price")
+    oi = lines(s).select("order_id", "product_id", "price")
     j = _category_english(s, oi.join(o, "order_id"))
     rev = (j.groupBy("category", F.year(ts).cast("int").alias("year"))
            .agg(F.sum("price").alias("rev")))
@@ -249,7 +256,7 @@ def _per_order_with_payments(s, delivered_only: bool) -> DataFrame:
     o = s.orders
     if delivered_only:
         o = o.where(F.col("order_delivered_customer_date").isNotNull())
-    items = (s.order_items.groupBy("order_id")
+    items = (lines(s).groupBy("order_id")
              .agg(F.sum(_item_total()).alias("items_total")))
     pays = s.order_payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_pay"))
     return (o.join(items, "order_id").join(pays, "order_id")
@@ -379,7 +386,7 @@ def q25_table_counts(s) -> DataFrame:
 
 
 def q26_avg_item_price(s) -> DataFrame:
-    oi = s.order_items
+    oi = lines(s)
     return oi.agg(exact_mean(F.sum("price"), F.count("price")).alias("avg_price"))
 
 
@@ -421,7 +428,7 @@ def q29_orders_by_customer_state(s) -> DataFrame:
 
 def q30_avg_price_by_category(s) -> DataFrame:
     p = s.products.select("product_id", "product_category_name")
-    oi = s.order_items.select("product_id", "price")
+    oi = lines(s).select("product_id", "price")
     return (p.join(oi, "product_id").groupBy("product_category_name")
             .agg(exact_mean(F.sum("price"), F.count("price")).alias("avg_price"))
             .orderBy(F.col("avg_price").desc_nulls_first(),
@@ -430,7 +437,7 @@ def q30_avg_price_by_category(s) -> DataFrame:
 
 def q31_orders_by_seller_state(s) -> DataFrame:
     se = s.sellers.select("seller_id", "seller_state")
-    oi = s.order_items.select("seller_id", "order_id")
+    oi = lines(s).select("seller_id", "order_id")
     return (se.join(oi, "seller_id").groupBy("seller_state")
             .agg(F.count_distinct("order_id").alias("orders_count"))
             .orderBy(F.col("orders_count").desc(), "seller_state"))
@@ -458,7 +465,7 @@ def q34_states_with_orders(s) -> DataFrame:
 
 def q35_top3_price_rank(s, k: int = 3) -> DataFrame:
     p = s.products.select("product_id", "product_category_name")
-    oi = s.order_items.select("product_id", "price")
+    oi = lines(s).select("product_id", "price")
     w = Window.partitionBy("product_category_name").orderBy(F.col("price").desc_nulls_first())
     ranked = p.join(oi, "product_id").withColumn("price_rank", F.rank().over(w))
     return ranked.where(F.col("price_rank") <= k).select(

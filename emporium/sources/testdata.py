@@ -11,8 +11,8 @@ aggregate when a delivery date is actually read).
 
 Every derivation is a projection, a filter, a join against the fixed-size
 ``nation`` dimension (25 rows in every scale factor), one per-order
-aggregate or one per-order window; none of them moves more than the raw
-columns it reads.
+aggregate or the per-order item numbering; none of them moves more than
+the raw columns it reads.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -176,17 +175,37 @@ class Star:
             (base + F.make_dt_interval(F.lit(90))).alias("order_estimated_delivery_date"),
         )
 
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Order items without the item number (what every report reads)."""
+        return self.raw("lineitem").select(
+            F.col("l_orderkey").cast("string").alias("order_id"),
+            F.col("l_partkey").cast("string").alias("product_id"),
+            F.col("l_suppkey").cast("string").alias("seller_id"),
+            F.col("l_shipdate").alias("shipping_limit_date"),
+            F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
+            F.col("l_quantity").cast("decimal(10,2)").alias("freight_value"),
+        )
+
     @cached_property
     def order_items(self) -> DataFrame:
-        li = self.raw("lineitem")
-        # (l_orderkey, l_linenumber) is not unique in the test data; the item
-        # number is rebuilt per order.  The window shuffles on the order key
-        # only, and is pruned by Catalyst when order_item_id is not read.
-        w = Window.partitionBy("l_orderkey").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-        return li.select(
+        """Order items keyed by (order_id, order_item_id).
+
+        (l_orderkey, l_linenumber) is not unique in the test data, so the item
+        number is rebuilt per order by (line number, part, supplier, price).
+        The numbering is range-partitioned (``number_within_key``), so an
+        order holding a large share of all lines is still numbered by many
+        tasks.
+        """
+        from emporium.operators.numbering import number_within_key
+        li = self.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                         "l_extendedprice", "l_quantity", "l_shipdate")
+        numbered = number_within_key(li, ["l_orderkey"],
+                                     ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+                                     out="item_no")
+        return numbered.select(
             F.col("l_orderkey").cast("string").alias("order_id"),
-            F.row_number().over(w).cast("int").alias("order_item_id"),
+            F.col("item_no").alias("order_item_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
             F.col("l_suppkey").cast("string").alias("seller_id"),
             F.col("l_shipdate").alias("shipping_limit_date"),
