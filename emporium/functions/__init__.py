@@ -3,7 +3,8 @@
 from emporium.functions.exact import (cents, exact_mean, int_div, money, percent,
                                       round_money_mean, round_ratio)
 from emporium.functions.picks import seeded_key, seeded_uniform
-from emporium.functions.time import (date_literal, days_between, micros_between,
+from emporium.functions.text import or_default, padded_id
+from emporium.functions.time import (date_literal, days_between, format_ts, micros_between,
                                      month_start, seconds_between, ts_literal,
                                      year_range)
 
@@ -11,5 +12,5 @@ __all__ = [
     "cents", "exact_mean", "int_div", "money", "percent", "round_money_mean",
     "round_ratio", "seeded_key", "seeded_uniform", "date_literal",
     "days_between", "micros_between", "month_start", "seconds_between",
-    "ts_literal", "year_range",
+    "ts_literal", "year_range", "format_ts", "or_default", "padded_id",
 ]

@@ -57,3 +57,8 @@ def interval_days(n: int) -> Column:
 
 def interval_hours(n: int) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(n))
+
+
+def format_ts(ts: Column) -> Column:
+    """``to_char(ts, 'YYYY-MM-DD HH24:MI:SS')``."""
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")

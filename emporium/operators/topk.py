@@ -29,6 +29,11 @@ def isin_top_k(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame
     return df.join(keys, on, "left_semi")
 
 
+def is_empty(df: DataFrame) -> bool:
+    """Early exit on an empty result: reads at most one row."""
+    return df.isEmpty()
+
+
 def seeded_pick(df: DataFrame, key: str, k: int, seed: int | str) -> DataFrame:
     """``ORDER BY random() LIMIT k`` made reproducible: k rows by seeded hash."""
     h = seeded_key(F.col(key), seed)

@@ -101,6 +101,11 @@ def quality_rejected_customers(s) -> DataFrame:
     return rejected
 
 
+def catalog_rows_total(s) -> DataFrame:
+    """Exact total row count over the nine logical tables."""
+    return quality.rows_total({name: s.table(name) for name in s.LOGICAL})
+
+
 def profile_products(s) -> DataFrame:
     return column_profile(s.products)
 
@@ -201,6 +206,7 @@ JOBS = {
     "quality_duplicate_item_keys": quality_duplicate_item_keys,
     "quality_orphan_items": quality_orphan_items,
     "quality_rejected_customers": quality_rejected_customers,
+    "catalog_rows_total": catalog_rows_total,
     "profile_products": profile_products,
     "metrics_latest_gauges": metrics_latest_gauges,
     "metrics_api_health_hourly": metrics_api_health_hourly,

@@ -288,3 +288,11 @@ UNION ALL
 
 
 JOB_ORACLES["profile_products"] = _profile_sql()
+
+JOB_ORACLES["catalog_rows_total"] = with_views(
+    "customers geolocation ord order_items order_payments order_reviews products sellers translation", """
+SELECT CAST((SELECT COUNT(*) FROM customers) + (SELECT COUNT(*) FROM geolocation)
+     + (SELECT COUNT(*) FROM ord) + (SELECT COUNT(*) FROM order_items)
+     + (SELECT COUNT(*) FROM order_payments) + (SELECT COUNT(*) FROM order_reviews)
+     + (SELECT COUNT(*) FROM products) + (SELECT COUNT(*) FROM sellers)
+     + (SELECT COUNT(*) FROM translation) AS BIGINT) AS rows_total""")

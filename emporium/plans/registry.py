@@ -25,5 +25,7 @@ def _bind(fn) -> Query:
 def registered() -> dict[str, Query]:
     out: dict[str, Query] = {name: _bind(fn) for name, fn in REPORTS.items()}
     from emporium.plans import jobs  # table jobs: DML, quality, metrics, points
+    from emporium.plans.sql import SQL_REPORTS  # the same reports as SQL text
+    out.update({name: _bind(fn) for name, fn in SQL_REPORTS.items()})
     out.update({name: _bind(fn) for name, fn in jobs.JOBS.items()})
     return out

@@ -187,6 +187,12 @@ def q12_payment_fanout_counts(s) -> DataFrame:
             .orderBy(F.col("cnt").desc(), "payment_type"))
 
 
+def q12b_payment_fanout_share(s) -> DataFrame:
+    """Pie-chart labels: q12's counts with their share, 1 decimal."""
+    counts = q12_payment_fanout_counts(s)
+    return with_share(counts, "cnt", "share_percent", digits=1)
+
+
 def _category_english(s, items: DataFrame) -> DataFrame:
     p = s.products.select("product_id", "product_category_name")
     t = s.translation
@@ -532,6 +538,7 @@ REPORTS = {
     "q10_top_categories_items": q10_top_categories_items,
     "q11_monthly_revenue": q11_monthly_revenue,
     "q12_payment_fanout_counts": q12_payment_fanout_counts,
+    "q12b_payment_fanout_share": q12b_payment_fanout_share,
     "q13_top_categories_english": q13_top_categories_english,
     "q14_category_year_revenue": q14_category_year_revenue,
     "q14b_category_year_top10": q14b_category_year_top10,

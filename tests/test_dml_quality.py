@@ -116,3 +116,17 @@ def test_column_profile(spark):
     assert prof["d"]["width"] == 12              # ISO date, 10 + 2
     assert (prof["n"]["min"], prof["n"]["p50"], prof["n"]["max"]) == (1.0, 3.0, 10.0)
     assert prof["name"]["p50"] is None
+
+
+def test_scalar_helpers(spark):
+    from emporium.functions import format_ts, or_default, padded_id
+    from emporium.operators.topk import is_empty, seeded_pick
+    df = spark.createDataFrame([(42, "", dt.datetime(2020, 1, 2, 3, 4, 5))], "n int, s string, ts timestamp")
+    r = df.select(padded_id("load_cust_", F.col("n")).alias("a"), or_default(F.col("s"), F.lit("NA")).alias("b"),
+                  format_ts(F.col("ts")).alias("c")).first()
+    assert (r.a, r.b, r.c) == ("load_cust_00042", "NA", "2020-01-02 03:04:05")
+    assert is_empty(df.where("n < 0")) and not is_empty(df)
+    keys = spark.range(100).withColumn("k", F.col("id").cast("string"))
+    a = [r.k for r in seeded_pick(keys, "k", 3, seed=9).collect()]
+    b = [r.k for r in seeded_pick(keys, "k", 3, seed=9).collect()]
+    assert a == b and len(set(a)) == 3
