@@ -36,6 +36,14 @@ DEFAULT_CONF = {
 }
 
 
+# Local mode only: "broadcast" saves no network there, while building a
+# broadcast hash table is single-threaded on the driver, so only really small
+# tables (dimensions, pick sets) are broadcast.  A cluster keeps DEFAULT_CONF.
+LOCAL_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "1m",
+}
+
+
 def apply_conf(spark: SparkSession) -> SparkSession:
     """Force the result-relevant settings, default the plan-relevant ones."""
     for key, value in REQUIRED_CONF.items():
@@ -58,7 +66,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("EMPORIUM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in {**REQUIRED_CONF, **DEFAULT_CONF, **(extra or {})}.items():
+    local = master.startswith("local")
+    for key, value in {**REQUIRED_CONF, **DEFAULT_CONF, **(LOCAL_CONF if local else {}),
+                       **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -34,6 +34,16 @@ PAYMENT_TYPE = {"1": "credit_card", "2": "boleto", "3": "voucher",
 PAYMENT_TYPE_OTHER = "not_defined"
 
 
+_SCHEMAS: dict = {}
+
+
+def _schema_of(spark: SparkSession, path: str):
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return _SCHEMAS[key]
+
+
 def _case(column, mapping: dict, other):
     expr = None
     for key, value in mapping.items():
@@ -53,13 +63,21 @@ class Star:
         self.max_files_per_trigger = max_files_per_trigger
 
     def raw(self, name: str) -> DataFrame:
+        cache = self.__dict__.setdefault("_raw", {})
+        if name not in cache:
+            cache[name] = self._read(name)
+        return cache[name]
+
+    def _read(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
         if not self.streaming:
-            return self.spark.read.parquet(path)
+            # the footer is read once per session and path; later reads pass
+            # the schema and only list the files
+            return self.spark.read.schema(_schema_of(self.spark, path)).parquet(path)
         # the same row-wise derivations applied to a file stream of the raw
         # table; the schema is fixed up front, as streaming sources require
         # (file streams watch a folder: the table's file is selected by name)
-        reader = (self.spark.readStream.schema(self.spark.read.parquet(path).schema)
+        reader = (self.spark.readStream.schema(_schema_of(self.spark, path))
                   .option("pathGlobFilter", f"{name}.parquet"))
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
