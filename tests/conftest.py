@@ -15,7 +15,9 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from emporium.session import build_session
-    s = build_session("local[4]", 4, app_name="emporium-tests")
+    warehouse = tempfile.mkdtemp(prefix="emporium-test-warehouse-")
+    s = build_session("local[4]", 4, app_name="emporium-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     # tests own their checkpoint folder (a cluster would name a shared one)
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="emporium-test-ckpt-"))

@@ -138,3 +138,39 @@ def test_publish_and_report(spark, tmp_dir):
     assert read_published(spark, root, v1)["a"].count() == 1
     n = write_report({"a": a, "b": b}, os.path.join(tmp_dir, "report"))
     assert n == 2
+
+
+def test_snapshot_first_creation_wins_and_replace(spark):
+    from emporium.operators.sinks import drop_snapshot, snapshot
+    a = spark.createDataFrame([(1,)], "x int")
+    b = spark.createDataFrame([(2,)], "x int")
+    drop_snapshot(spark, "temp_session_data")
+    snapshot(spark, "temp_session_data", a)
+    assert rows(snapshot(spark, "temp_session_data", b)) == [(1,)]        # IF NOT EXISTS
+    assert rows(snapshot(spark, "temp_session_data", b, replace=True)) == [(2,)]
+    assert rows(spark.table("temp_session_data")) == [(2,)]
+    drop_snapshot(spark, "temp_session_data")
+    assert not spark.catalog.tableExists("temp_session_data")
+
+
+def test_analyze_and_catalog_counts(spark):
+    from emporium.operators.quality import rows_total, table_count
+    from emporium.operators.sinks import analyze_table
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string").write.mode("overwrite") \
+        .saveAsTable("emporium_analyze_t")
+    analyze_table(spark, "emporium_analyze_t")
+    stats = spark.sql("DESCRIBE TABLE EXTENDED emporium_analyze_t").where("col_name = 'Statistics'").first()
+    assert "2 rows" in stats.data_type
+    assert table_count(spark).first()[0] >= 1
+    t = spark.table("emporium_analyze_t")
+    assert rows_total({"a": t, "b": t}).first()[0] == 4
+
+
+def test_jdbc_options():
+    import pytest
+    from emporium.sources.files import jdbc_options
+    o = jdbc_options("jdbc:postgresql://db/x", "orders", partition_column="id", lower_bound=0,
+                     upper_bound=100, num_partitions=4, search_path="shop")
+    assert o["numPartitions"] == "4" and o["sessionInitStatement"] == "SET search_path TO shop"
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", partition_column="id")
