@@ -62,3 +62,10 @@ def interval_hours(n: int) -> Column:
 def format_ts(ts: Column) -> Column:
     """``to_char(ts, 'YYYY-MM-DD HH24:MI:SS')``."""
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+
+def interval_from_micros(us: Column) -> Column:
+    """A day-time INTERVAL from a (possibly fractional) number of microseconds,
+    rounded to whole microseconds."""
+    secs = (F.round(us) / F.lit(1e6)).cast("decimal(18,6)")
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)

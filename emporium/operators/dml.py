@@ -4,8 +4,8 @@ Parquet tables cannot be updated in place, so a statement becomes a
 projection of the old version: rows hit by the statement get their new
 values through ``when(hit, new).otherwise(old)``, a delete is an anti-join.
 The reference targets its statements with ``key IN (SELECT key ... ORDER
-BY ... LIMIT k)``; here the target set is a LIMITed frame, which has a
-proven size bound of k rows and is therefore joined by broadcast.  Without
+BY ... LIMIT k)``; here the target set is a LIMITed frame, whose size bound
+of k rows Catalyst proves (``maxRows``), so it is joined by broadcast.  Without
 a pick, the predicate alone marks the rows and no join happens at all.
 
 Random choices (``ORDER BY random()``, ``random() * 10``) are seeded
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from emporium.functions.picks import seeded_key, seeded_uniform
 from emporium.functions.time import ts_literal
+from emporium.operators.bounds import broadcast_if_bounded
 from emporium.operators.topk import top_k
 from emporium.operators.upsert import TableChange, _keys
 
@@ -33,8 +34,9 @@ def _mark(target: DataFrame, where: Column | None, picked: DataFrame | None,
     cond = where if where is not None else F.lit(True)
     if picked is None:
         return target.withColumn(_HIT, F.coalesce(cond, F.lit(False)))
-    # the pick is a LIMITed frame: bounded by k rows, so it is broadcast
-    keys = F.broadcast(picked.select(*key).distinct().withColumn("__picked", F.lit(True)))
+    # a LIMITed pick is bounded by k rows and broadcast; an unbounded key set
+    # is left to the planner's size-based choice
+    keys = broadcast_if_bounded(picked.select(*key).distinct().withColumn("__picked", F.lit(True)))
     j = target.join(keys, list(key), "left")
     return (j.withColumn(_HIT, F.coalesce(cond & F.col("__picked"), F.lit(False)))
             .drop("__picked"))

@@ -24,9 +24,10 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column | str]) -> DataFrame:
 def isin_top_k(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys`` (a LIMITed frame): left semi join.
 
-    ``keys`` is bounded by its LIMIT, so the planner broadcasts it.
+    ``keys`` is broadcast when its LIMIT proves it small.
     """
-    return df.join(keys, on, "left_semi")
+    from emporium.operators.bounds import broadcast_if_bounded
+    return df.join(broadcast_if_bounded(keys), on, "left_semi")
 
 
 def is_empty(df: DataFrame) -> bool:

@@ -9,8 +9,8 @@ them only scans the raw files behind those two, and Catalyst prunes the
 columns it does not use (e.g. ``orders`` only joins the line-item
 aggregate when a delivery date is actually read).
 
-Every derivation is a projection, a filter, a join against the fixed-size
-``nation`` dimension (25 rows in every scale factor), one per-order
+Every derivation is a projection, a filter, a join against the small
+``nation`` dimension (25 rows in every scale factor, broadcast by size), one per-order
 aggregate or the per-order item numbering; none of them moves more than
 the raw columns it reads.
 """
@@ -86,8 +86,9 @@ class Star:
     # ------------------------------------------------------------ dimensions
     @cached_property
     def _nation(self) -> DataFrame:
-        # TPC-H nation is a fixed 25-row dimension at every scale factor.
-        return F.broadcast(self.raw("nation").select("n_nationkey", "n_name"))
+        # a 25-row dimension at every scale factor: the planner broadcasts it
+        # from its measured file size
+        return self.raw("nation").select("n_nationkey", "n_name")
 
     @cached_property
     def customers(self) -> DataFrame:

@@ -145,3 +145,11 @@ def test_last_day_fallback(spark):
     assert (r.last_day, r.cnt) == (dt.date(2019, 12, 31), 0)
     r = R.q39_last_order_day(s, id_prefix="12", fallback="2016-09-01").first()
     assert r.last_day == dt.date(2016, 9, 1)
+
+
+def test_avg_delivery_interval(spark):
+    s = MiniStar(spark, orders=[_order("o1", T(2020, 1, 1), delivered=T(2020, 1, 3)),
+                                _order("o2", T(2020, 1, 1), delivered=T(2020, 1, 2, 12))])
+    r = R.q02_avg_delivery_time(s, with_interval=True).first()
+    assert r.avg_delivery_days == 1.75
+    assert r.avg_delivery_time == dt.timedelta(days=1, hours=18)
