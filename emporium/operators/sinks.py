@@ -24,14 +24,21 @@ MANIFEST_DIR = "_manifests"
 
 
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
-                   version: str | None = None) -> str:
-    """Write every table under ``root/<name>/v=<version>`` then the manifest."""
+                   version: str | None = None, check=None) -> str:
+    """Write every table under ``root/<name>/v=<version>`` then the manifest.
+
+    ``check`` (optional) receives the written tables, read back from Parquet,
+    before the manifest is written; raising there leaves the version
+    unpublished, like a failed transaction.
+    """
     version = version or time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     paths = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}/v={version}"
         df.write.mode("overwrite").parquet(path)
         paths[name] = path
+    if check is not None:
+        check({name: spark.read.parquet(path) for name, path in paths.items()})
     manifest = json.dumps({"version": version, "tables": paths}, sort_keys=True)
     # the manifest is one tiny JSON document; written through Spark so it
     # lands on the same (shared) file system as the tables

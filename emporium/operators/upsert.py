@@ -61,10 +61,11 @@ def first_wins(df: DataFrame, key: str | Sequence[str],
     keys = _keys(key)
     cols = df.columns
     order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])]
-    # rank by the ordering first, the full row second, so ties are broken
-    # the same way on every run
+    named = {c for c in (order_by or []) if isinstance(c, str)}
+    # rank by the ordering first, the rest of the row second, so ties are
+    # broken the same way on every run
     rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                    *[F.col(c).alias(f"_r{i}") for i, c in enumerate(cols)])
+                    *[F.col(c).alias(f"_r{i}") for i, c in enumerate(cols) if c not in named])
     row = F.struct(*[F.col(c) for c in cols])
     nullable = _any_null(keys)
     keyed = (df.where(~nullable)
@@ -75,11 +76,16 @@ def first_wins(df: DataFrame, key: str | Sequence[str],
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, key: str | Sequence[str],
-                     order_by: Sequence[Column | str] | None = None) -> TableChange:
-    """``INSERT INTO target SELECT new ON CONFLICT (key) DO NOTHING``."""
+                     order_by: Sequence[Column | str] | None = None,
+                     dedupe: bool = True) -> TableChange:
+    """``INSERT INTO target SELECT new ON CONFLICT (key) DO NOTHING``.
+
+    ``dedupe=False`` skips the in-batch first-row-wins step for a batch whose
+    keys are already unique.
+    """
     keys = _keys(key)
     new = new.select(*target.columns)
-    batch = first_wins(new, keys, order_by)
+    batch = first_wins(new, keys, order_by) if dedupe else new
     existing = target.select(*keys).where(~_any_null(keys))
     inserted = batch.join(existing, keys, "left_anti").select(*target.columns)
     return TableChange(target.unionByName(inserted), inserted)

@@ -296,3 +296,15 @@ SELECT CAST((SELECT COUNT(*) FROM customers) + (SELECT COUNT(*) FROM geolocation
      + (SELECT COUNT(*) FROM order_payments) + (SELECT COUNT(*) FROM order_reviews)
      + (SELECT COUNT(*) FROM products) + (SELECT COUNT(*) FROM sellers)
      + (SELECT COUNT(*) FROM translation) AS BIGINT) AS rows_total""")
+
+JOB_ORACLES["load_bulk_from_csv"] = with_views(
+    "customers geolocation ord order_items order_payments order_reviews products sellers translation", """
+SELECT 'customers' AS table_name, COUNT(*) AS row_count FROM customers
+UNION ALL SELECT 'geolocation', COUNT(*) FROM geolocation
+UNION ALL SELECT 'translation', COUNT(*) FROM translation
+UNION ALL SELECT 'products', COUNT(*) FROM products
+UNION ALL SELECT 'sellers', COUNT(*) FROM sellers
+UNION ALL SELECT 'orders', COUNT(*) FROM ord
+UNION ALL SELECT 'order_items', COUNT(*) FROM order_items
+UNION ALL SELECT 'order_payments', COUNT(*) FROM order_payments
+UNION ALL SELECT 'order_reviews', COUNT(*) FROM order_reviews""")

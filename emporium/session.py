@@ -94,3 +94,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (job outputs, stream state)."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/jobs/{name}-{uuid.uuid4().hex[:12]}"

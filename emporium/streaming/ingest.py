@@ -114,8 +114,6 @@ def run_to_table(df: DataFrame, out_dir: str, checkpoint: str, mode: str = "appe
 
 def scratch_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
     """Fresh (output, checkpoint) folders under the cluster's checkpoint folder."""
-    import uuid
-    from emporium.session import checkpoint_dir
-    root = checkpoint_dir(spark).rstrip("/")
-    run = f"{root}/streams/{name}-{uuid.uuid4().hex[:12]}"
+    from emporium.session import scratch_path
+    run = scratch_path(spark, name)
     return f"{run}/out", f"{run}/checkpoint"

@@ -109,3 +109,29 @@ def test_append_raises_on_duplicate(spark):
     bad = upsert.append(target, spark.createDataFrame([("k1", "v")], "k string, v string"), "k")
     with pytest.raises(Exception, match="duplicate key"):
         bad.table.collect()
+
+
+def test_bulk_load_all_or_nothing(spark, tmp_dir):
+    from emporium.plans.load import bulk_load
+    from emporium.operators.sinks import read_published
+    cust = _write(os.path.join(tmp_dir, "customers.csv"),
+                  "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+                  "c1,u1,1,first,SP\nc1,u1,1,second,SP\nc2,u2,2,x,RJ\n")
+    orders = _write(os.path.join(tmp_dir, "orders.csv"),
+                    "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+                    "order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date\n"
+                    "o1,c1,created,2020-01-01 10:00:00,,,,\n")
+    root = os.path.join(tmp_dir, "wh")
+    r1 = bulk_load(spark, {"customers": cust, "orders": orders}, root, version="v1")
+    assert rows(r1.tables["customers"].select("customer_id", "customer_city")) == [("c1", "first"), ("c2", "x")]
+    assert r1.tables["orders"].count() == 1
+    r2 = bulk_load(spark, {"customers": cust, "orders": orders}, root, version="v2")
+    assert r2.inserted["customers"].count() == 0 and r2.tables["customers"].count() == 2
+    bad = _write(os.path.join(tmp_dir, "bad_orders.csv"),
+                 "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+                 "order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date\n"
+                 "o2,c9,created,2020-01-01 10:00:00,,,,\n")
+    with pytest.raises(ValueError, match="foreign key"):
+        bulk_load(spark, {"orders": bad}, root, version="v3")
+    latest = read_published(spark, root)
+    assert rows(latest["orders"].select("order_id")) == [("o1",)]   # v3 never published
