@@ -2,7 +2,8 @@
 
 The reference runs these steps in NumPy on one machine.  Here each one is
 a column job: bounds are one global aggregate (a partial aggregate per
-partition, then one row), used by the following step as a scalar subquery,
+partition, then one row), used by the following step as ONE scalar subquery
+returning a struct,
 so nothing but that single row is shared and no point leaves its partition
 except in the voxel count, which is a regular partially-aggregated group-by.
 """
@@ -28,13 +29,19 @@ def points_bbox(points: DataFrame) -> DataFrame:
                              for a in AXES])
 
 
+def _scalar_row(row: DataFrame) -> dict:
+    """Fields of a one-row DataFrame as columns of ONE scalar subquery (a
+    struct), so all of them cost a single aggregate job."""
+    sub = row.select(F.struct(*row.columns)).scalar()
+    return {c: sub[c] for c in row.columns}
+
+
 def _bounds(points: DataFrame) -> dict:
-    """Scalar-subquery columns for the bounds of ``points``."""
-    out = {}
+    """Scalar-subquery columns for the bounds of ``points`` (one scan)."""
+    aggs = []
     for a in AXES:
-        out[f"{a}_min"] = points.agg(F.min(a)).scalar()
-        out[f"{a}_max"] = points.agg(F.max(a)).scalar()
-    return out
+        aggs += [F.min(a).alias(f"{a}_min"), F.max(a).alias(f"{a}_max")]
+    return _scalar_row(points.agg(*aggs))
 
 
 def points_crop(points: DataFrame, z_fraction: float = 1.0) -> DataFrame:
@@ -64,11 +71,10 @@ def scaled_box(points: DataFrame, factor: float = SCALE) -> DataFrame:
 
 def points_scaled_crop(points: DataFrame, factor: float = SCALE) -> DataFrame:
     """Keep the points inside the bbox scaled by ``factor`` about its centre."""
-    box = scaled_box(points, factor)
+    b = _scalar_row(scaled_box(points, factor))
     cond = F.lit(True)
     for a in AXES:
-        cond = cond & F.col(a).between(box.select(f"{a}_min").scalar(),
-                                       box.select(f"{a}_max").scalar())
+        cond = cond & F.col(a).between(b[f"{a}_min"], b[f"{a}_max"])
     return points.where(cond)
 
 
@@ -100,7 +106,8 @@ def points_plane(points: DataFrame, factor: float = SCALE) -> DataFrame:
 
 def points_clip(points: DataFrame, plane: DataFrame, normal=(0.0, 1.0, 0.0)) -> DataFrame:
     """Keep points strictly below the plane: dot(p − p0, n) < 0."""
-    p0 = [plane.select(c).scalar() for c in ("plane_x", "plane_y", "plane_z")]
+    pl = _scalar_row(plane.select("plane_x", "plane_y", "plane_z"))
+    p0 = [pl["plane_x"], pl["plane_y"], pl["plane_z"]]
     dot = None
     for a, c0, n in zip(AXES, p0, normal):
         if n == 0:
@@ -112,8 +119,8 @@ def points_clip(points: DataFrame, plane: DataFrame, normal=(0.0, 1.0, 0.0)) ->
 
 def points_color_by_height(points: DataFrame) -> DataFrame:
     """t = (z − zmin)/(zmax − zmin + 1e-8); colour (r, g, b) = (t, 0, 1 − t)."""
-    zmin = points.agg(F.min("z")).scalar()
-    zmax = points.agg(F.max("z")).scalar()
+    zb = _scalar_row(points.agg(F.min("z").alias("zmin"), F.max("z").alias("zmax")))
+    zmin, zmax = zb["zmin"], zb["zmax"]
     t = (F.col("z") - zmin) / (zmax - zmin + F.lit(COLOR_EPS))
     return points.select("*", t.alias("r"), F.lit(0.0).alias("g"), (F.lit(1.0) - t).alias("b"))
 
@@ -124,6 +131,9 @@ def points_extremes(points: DataFrame) -> DataFrame:
     lo = F.min_by(p, F.struct(F.col("z"), F.col("point_id")))
     hi = F.max_by(p, F.struct(F.col("z"), -F.col("point_id")))
     row = points.agg(lo.alias("lo"), hi.alias("hi"))
-    rng = (F.col("hi.z") - F.col("lo.z")).alias("height_range")
-    return (row.select(F.lit("min").alias("extreme"), "lo.*", rng)
-            .unionByName(row.select(F.lit("max").alias("extreme"), "hi.*", rng)))
+    rng = F.col("hi.z") - F.col("lo.z")
+    # one aggregate, two output rows
+    both = F.array(F.struct(F.lit("min").alias("extreme"), F.col("lo").alias("p"), rng.alias("height_range")),
+                   F.struct(F.lit("max").alias("extreme"), F.col("hi").alias("p"), rng.alias("height_range")))
+    return (row.select(F.inline(both))
+            .select("extreme", "p.point_id", "p.x", "p.y", "p.z", "height_range"))

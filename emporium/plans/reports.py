@@ -29,7 +29,7 @@ from emporium.functions.time import interval_from_micros
 from emporium.functions import (days_between, exact_mean, micros_between,
                                 month_start, percent, round_money_mean,
                                 round_ratio, ts_literal, year_range)
-from emporium.operators.densify import cumulative_frames, densify_months
+from emporium.operators.densify import densify_months, densify_with_frames
 from emporium.operators.share import with_share
 from emporium.operators.topk import isin_top_k, top_k
 
@@ -338,17 +338,22 @@ def q20_top5_state_series(s, k: int = 5) -> DataFrame:
 
 def q20b_series_zero_filled(s, k: int = 5) -> DataFrame:
     series = q20_top5_state_series(s, k)
-    return densify_months(series, "state", "month", "orders_count").orderBy("state", "month")
+    # at most k states: the month bounds come from a window over k rows
+    return (densify_months(series, "state", "month", "orders_count", few_keys=True)
+            .orderBy("state", "month"))
 
 
 def q20c_cumulative_frames(s, k: int = 5) -> DataFrame:
-    filled = q20b_series_zero_filled(s, k)
-    return cumulative_frames(filled, "month", "frame")
+    series = q20_top5_state_series(s, k)
+    return densify_with_frames(series, "state", "month", "orders_count", "frame", few_keys=True)
 
 
 def q20d_axis_range(s, k: int = 5) -> DataFrame:
-    filled = q20b_series_zero_filled(s, k)
-    return filled.agg(F.min("month").alias("x_min"), F.max("month").alias("x_max"),
+    """Axis range of the zero-filled series: first and last month, 1.1 × the
+    largest count.  Zero-filling adds neither months outside the bounds nor
+    counts above the largest one, so the series itself is aggregated."""
+    series = q20_top5_state_series(s, k)
+    return series.agg(F.min("month").alias("x_min"), F.max("month").alias("x_max"),
                       (F.max("orders_count").cast("double") * F.lit(1.1)).alias("y_max"))
 
 
