@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporium.functions.exact import percent
 
 
 def with_share(df: DataFrame, count_col: str, out_col: str = "percent_share",
-               digits: int = 2) -> DataFrame:
+               digits: int = 2, few_groups: bool = False) -> DataFrame:
     """Append ROUND(100.0 * n / SUM(n) OVER (), digits) as DOUBLE.
 
-    The total is a scalar subquery (one aggregate job whose single value is
-    inlined), not a global window: ``OVER ()`` would move every group into
-    one partition, which only stays cheap while the group count is small.
-    ``digits=1`` gives the pie-chart labels of the reference.
+    By default the total is a scalar subquery (one aggregate job whose single
+    value is inlined), not a global window: ``OVER ()`` moves every group
+    into one partition.  ``few_groups=True`` is for groupings over a small
+    fixed domain (payment types): then the window over the aggregated rows
+    is cheap and the input is aggregated only once.  ``digits=1`` gives the
+    pie-chart labels of the reference.
     """
-    total = df.agg(F.sum(count_col)).scalar()
+    if few_groups:
+        total = F.sum(count_col).over(Window.partitionBy())
+    else:
+        total = df.agg(F.sum(count_col)).scalar()
     return df.withColumn(out_col, percent(F.col(count_col), total, digits))

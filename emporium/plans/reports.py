@@ -121,7 +121,8 @@ def q05_avg_review_by_category(s) -> DataFrame:
 def q06_payment_type_share(s) -> DataFrame:
     counts = (s.order_payments.groupBy("payment_type")
               .agg(F.count(F.lit(1)).alias("count_payments")))
-    return (with_share(counts, "count_payments", "percent_share", digits=2)
+    # payment types are a small fixed domain: the total is a window over them
+    return (with_share(counts, "count_payments", "percent_share", digits=2, few_groups=True)
             .orderBy(F.col("percent_share").desc_nulls_first(), "payment_type"))
 
 
@@ -195,7 +196,7 @@ def q12_payment_fanout_counts(s) -> DataFrame:
 def q12b_payment_fanout_share(s) -> DataFrame:
     """Pie-chart labels: q12's counts with their share, 1 decimal."""
     counts = q12_payment_fanout_counts(s)
-    return with_share(counts, "cnt", "share_percent", digits=1)
+    return with_share(counts, "cnt", "share_percent", digits=1, few_groups=True)
 
 
 def _category_english(s, items: DataFrame) -> DataFrame:
