@@ -14,7 +14,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from emporium.operators import quality, upsert
 from emporium.operators.sinks import publish_tables, read_published

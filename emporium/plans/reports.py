@@ -20,7 +20,6 @@ emitting pairs.  Dense grids and animation frames are generated with
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F

@@ -65,6 +65,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("EMPORIUM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of collected DataFrames are removed, not kept forever
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     local = master.startswith("local")
     for key, value in {**REQUIRED_CONF, **DEFAULT_CONF, **(LOCAL_CONF if local else {}),

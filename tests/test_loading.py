@@ -6,8 +6,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from conftest import rows
 from emporium.operators import upsert

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF001, SF01
-from oracle_check import canon, compare, duck
+from oracle_check import compare, duck
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()

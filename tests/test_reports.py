@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
