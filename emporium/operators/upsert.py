@@ -121,3 +121,26 @@ def append(target: DataFrame, new: DataFrame, key: str | Sequence[str]) -> Table
     new = new.select(*target.columns)
     guarded = new.where(duplicate_key_guard(target, new, key))
     return TableChange(target.unionByName(guarded), guarded)
+
+
+def append_order(orders: DataFrame, items: DataFrame, payments: DataFrame,
+                 new_orders: DataFrame, new_items: DataFrame,
+                 new_payments: DataFrame) -> tuple[TableChange, TableChange, TableChange]:
+    """Insert orders with their items and payments (one statement each).
+
+    Keys must be new (a duplicate raises when the result is computed) and
+    every new item and payment must belong to an order of the table after
+    the insert (a foreign-key violation raises the same way).
+    """
+    o = append(orders, new_orders, "order_id")
+    parents = o.table.select("order_id")
+    out = [o]
+    for table, new, key in ((items, new_items, ["order_id", "order_item_id"]),
+                            (payments, new_payments, ["order_id", "payment_sequential"])):
+        orphans = (new.select("order_id").join(parents, "order_id", "left_anti")
+                   .agg(F.count(F.lit(1))).scalar())
+        guard = F.coalesce(F.assert_true(orphans == 0, F.lit(
+            "insert or update violates foreign key constraint")).cast("boolean"), F.lit(True))
+        ch = append(table, new.where(guard), key)
+        out.append(ch)
+    return out[0], out[1], out[2]

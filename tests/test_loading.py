@@ -133,3 +133,20 @@ def test_bulk_load_all_or_nothing(spark, tmp_dir):
         bulk_load(spark, {"orders": bad}, root, version="v3")
     latest = read_published(spark, root)
     assert rows(latest["orders"].select("order_id")) == [("o1",)]   # v3 never published
+
+
+def test_append_order_with_items_and_payments(spark):
+    orders = spark.createDataFrame([("o1", "c1")], "order_id string, customer_id string")
+    items = spark.createDataFrame([("o1", 1, 10)], "order_id string, order_item_id int, price int")
+    pays = spark.createDataFrame([("o1", 1, 10)], "order_id string, payment_sequential int, v int")
+    o, i, p = upsert.append_order(
+        orders, items, pays,
+        spark.createDataFrame([("o2", "c2")], orders.schema),
+        spark.createDataFrame([("o2", 1, 5), ("o2", 2, 6)], items.schema),
+        spark.createDataFrame([("o2", 1, 11)], pays.schema))
+    assert (o.table.count(), i.table.count(), p.table.count()) == (2, 3, 2)
+    _, bad_items, _ = upsert.append_order(
+        orders, items, pays, spark.createDataFrame([], orders.schema),
+        spark.createDataFrame([("o9", 1, 5)], items.schema), spark.createDataFrame([], pays.schema))
+    with pytest.raises(Exception, match="foreign key"):
+        bad_items.table.collect()
