@@ -174,3 +174,30 @@ def test_jdbc_options():
     assert o["numPartitions"] == "4" and o["sessionInitStatement"] == "SET search_path TO shop"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", partition_column="id")
+
+
+def test_sanitize_resample_info_and_writers(spark, tmp_dir):
+    from emporium.operators.sinks import sanitize_for_export, write_exposition
+    from emporium.sources.files import read_weather_json
+    df = spark.createDataFrame([(T(2020, 1, 1, 10, 0, 0),)], "ts timestamp")
+    out = sanitize_for_export(df)
+    assert dict(out.dtypes)["ts"] == "timestamp_ntz" and out.first().ts == T(2020, 1, 1, 10)
+    s = spark.createDataFrame([("m", {"city": "a"}, T(2024, 1, 1, 0, 0, 1), 1.0),
+                               ("m", {"city": "a"}, T(2024, 1, 1, 0, 0, 14), 2.0),
+                               ("m", {"city": "a"}, T(2024, 1, 1, 0, 0, 16), 3.0)],
+                              "metric string, labels map<string,string>, ts timestamp, value double")
+    steps = {(r.step_start, r.value) for r in metrics.resample_last(s, "15 seconds").collect()}
+    assert steps == {(T(2024, 1, 1, 0, 0, 0), 2.0), (T(2024, 1, 1, 0, 0, 15), 3.0)}
+    info = metrics.info_metric(spark, "owm_exporter_info", {"source": "openweather"}).first()
+    assert info.value == 1.0 and info.labels == {"source": "openweather"}
+    path = os.path.join(tmp_dir, "expo")
+    write_exposition(s.drop("ts"), path, {"m": "a metric"})
+    text = [r.value for r in spark.read.text(path).collect()]
+    assert text[:2] == ["# HELP m a metric", "# TYPE m gauge"] and 'm{city="a"} 1.0' in text
+    wpath = os.path.join(tmp_dir, "weather.json")
+    with open(wpath, "w") as f:
+        f.write(json.dumps({"city": "London", "ts": "2024-01-01T00:00:00", "ok": True,
+                            "body": json.dumps({"main": {"temp": 5.0}})}) + "\n")
+    w = metrics.weather_to_metrics(read_weather_json(spark, wpath))
+    got = {r.metric: r.value for r in w.collect()}
+    assert got["owm_temperature_celsius"] == 5.0 and got["owm_wind_speed_ms"] == 0.0
