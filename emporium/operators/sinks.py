@@ -12,7 +12,6 @@ own folders.
 from __future__ import annotations
 
 import json
-import os
 import time
 import uuid
 
@@ -72,24 +71,26 @@ def sanitize_for_export(df: DataFrame) -> DataFrame:
 
 
 def write_report(sheets: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> int:
-    """One output per named result ("sheet"); returns the total row count.
+    """One output per named result ("sheet"); returns the total row count."""
+    return sum(write_sheets(sheets, out_dir, fmt).values())
 
-    Row counts are collected with ``observe`` while writing, so each result is
-    computed once.
-    """
+
+def write_sheets(sheets: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, int]:
+    """Write each sheet; return its row count, observed while writing (each
+    result is computed once)."""
     from pyspark.sql import Observation
-    total = 0
+    counts = {}
     for name, df in sheets.items():
         obs = Observation(f"rows_{name}")
         clean = sanitize_for_export(df).observe(obs, F.count(F.lit(1)).alias("n"))
         writer = clean.write.mode("overwrite")
-        path = os.path.join(out_dir, name)
+        path = f"{out_dir.rstrip('/')}/{name}"
         if fmt == "csv":
             writer.option("header", True).csv(path)
         else:
             writer.format(fmt).save(path)
-        total += obs.get["n"]
-    return total
+        counts[name] = obs.get["n"]
+    return counts
 
 
 def snapshot(spark: SparkSession, name: str, df: DataFrame, replace: bool = False,

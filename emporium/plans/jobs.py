@@ -72,6 +72,28 @@ def load_bulk_from_csv(s) -> DataFrame:
     return out
 
 
+# The chart datasets of the reference's workbook, one sheet each.
+WORKBOOK = {
+    "monthly_revenue": "q11_monthly_revenue",
+    "payment_share": "q12b_payment_fanout_share",
+    "category_year": "q14b_category_year_top10",
+    "review_scores": "q15_review_by_category_min50",
+    "orders_by_month": "q19b_month_by_year_pivot",
+    "delivery_vs_total": "q17_delivery_vs_total",
+}
+
+
+def report_workbook(s) -> DataFrame:
+    """Write the workbook sheets (Parquet, one folder per sheet) and return
+    the rows written per sheet."""
+    from emporium.operators.sinks import write_sheets
+    from emporium.plans.reports import REPORTS
+    from emporium.session import scratch_path
+    sheets = {sheet: REPORTS[q](s) for sheet, q in WORKBOOK.items()}
+    counts = write_sheets(sheets, scratch_path(s.spark, "workbook"))
+    return s.spark.createDataFrame(sorted(counts.items()), "sheet string, row_count long")
+
+
 # ----------------------------------------------------------------------- DML
 def dml_u1_mark_delivered(s) -> DataFrame:
     return dml.u1_mark_delivered(s.orders, AS_OF).table
@@ -220,6 +242,7 @@ JOBS = {
     "load_insert_if_absent_twice": load_insert_if_absent_twice,
     "load_geolocation_distinct": load_geolocation_distinct,
     "load_bulk_from_csv": load_bulk_from_csv,
+    "report_workbook": report_workbook,
     "dml_u1_mark_delivered": dml_u1_mark_delivered,
     "dml_u2_products": dml_u2_products,
     "dml_u3_price_jitter": dml_u3_price_jitter,
