@@ -178,6 +178,19 @@ def metrics_payment_share_samples(s) -> DataFrame:
     return m.select("metric", F.col("labels")["payment_type"].alias("payment_type"), "value")
 
 
+def metrics_exposition_roundtrip(s) -> DataFrame:
+    """Latest gauges written in the text exposition format (HELP/TYPE lines,
+    labels) and parsed back: the values survive the round trip."""
+    from emporium.operators.sinks import write_exposition
+    from emporium.session import scratch_path
+    from emporium.sources.files import read_exposition
+    path = scratch_path(s.spark, "exposition")
+    latest = metrics.latest_gauges(s.metric_samples).drop("ts")
+    write_exposition(latest, path, {"click": "clicks per city"})
+    back = read_exposition(s.spark, path)
+    return back.select("metric", F.col("labels")["city"].alias("city"), "value")
+
+
 def metrics_relabel_instance(s) -> DataFrame:
     r = metrics.relabel(s.metric_samples, "city", "instance", "external_apis")
     return r.select("metric", F.col("labels")["city"].alias("city"),
@@ -259,6 +272,7 @@ JOBS = {
     "metrics_resample_last_15m": metrics_resample_last_15m,
     "metrics_payment_share_samples": metrics_payment_share_samples,
     "metrics_relabel_instance": metrics_relabel_instance,
+    "metrics_exposition_roundtrip": metrics_exposition_roundtrip,
     "stream_ingest_items": stream_ingest_items,
     "stream_daily_counts": stream_daily_counts,
     "stream_dedupe_items": stream_dedupe_items,

@@ -308,3 +308,9 @@ UNION ALL SELECT 'orders', COUNT(*) FROM ord
 UNION ALL SELECT 'order_items', COUNT(*) FROM order_items
 UNION ALL SELECT 'order_payments', COUNT(*) FROM order_payments
 UNION ALL SELECT 'order_reviews', COUNT(*) FROM order_reviews""")
+
+JOB_ORACLES["metrics_exposition_roundtrip"] = with_views("metric_samples", """
+SELECT metric, city, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY metric, city ORDER BY ts DESC, value DESC) AS rn
+  FROM metric_samples WHERE ok) t
+WHERE rn = 1""")
