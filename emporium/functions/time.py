@@ -69,3 +69,9 @@ def interval_from_micros(us: Column) -> Column:
     rounded to whole microseconds."""
     secs = (F.round(us) / F.lit(1e6)).cast("decimal(18,6)")
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+
+
+def relative_time(as_of: str, days: int = 0, hours: int = 0) -> Column:
+    """``NOW() - INTERVAL ...`` with an explicit, reproducible "now"; negative
+    offsets give ``NOW() + INTERVAL ...``."""
+    return ts_literal(as_of) - F.make_dt_interval(F.lit(days), F.lit(hours))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporium.functions.picks import seeded_key, seeded_uniform
-from emporium.functions.time import ts_literal
+from emporium.functions.time import relative_time, ts_literal
 from emporium.operators.bounds import broadcast_if_bounded
 from emporium.operators.topk import top_k
 from emporium.operators.upsert import TableChange, _keys
@@ -130,7 +130,7 @@ def u1_mark_delivered(orders: DataFrame, as_of: str, k: int = 5,
     """Oldest k shipped orders older than ``min_age_days`` become delivered now."""
     now = ts_literal(as_of)
     cond = ((F.col("order_status") == "shipped")
-            & (F.col("order_purchase_timestamp") < now - F.make_dt_interval(F.lit(min_age_days))))
+            & (F.col("order_purchase_timestamp") < relative_time(as_of, days=min_age_days)))
     picked = top_k(orders.where(cond), k, ["order_purchase_timestamp", "order_id"])
     return update_where(orders, {"order_status": F.lit("delivered"),
                                  "order_delivered_customer_date": now},
@@ -151,9 +151,8 @@ def u2_products(products: DataFrame, id_prefix: str, k: int = 3, seed: int = 1)
 def u3_price_jitter(items: DataFrame, orders: DataFrame, as_of: str, k: int = 10,
                     window_hours: int = 1, seed: int = 3) -> TableChange:
     """Items of the k oldest orders of the last hour: price × (0.9 + U·0.2)."""
-    now = ts_literal(as_of)
     recent = orders.where(F.col("order_purchase_timestamp")
-                          > now - F.make_dt_interval(F.lit(0), F.lit(window_hours)))
+                          > relative_time(as_of, hours=window_hours))
     picked = top_k(recent, k, ["order_purchase_timestamp", "order_id"]).select("order_id")
     u = seeded_uniform(F.concat_ws("/", F.col("order_id"), F.col("order_item_id").cast("string")), seed)
     # the factor is fixed to 10 decimals so the product is exact DECIMAL math
@@ -197,9 +196,8 @@ def u5_installments(payments: DataFrame, k: int = 6, seed: int = 5,
 def delete_stale_orders(orders: DataFrame, as_of: str, id_prefix: str, k: int = 15,
                         min_age_hours: int = 1, children=(), on_child: str = "restrict") -> TableChange:
     """The oldest k orders with the id prefix older than ``min_age_hours``."""
-    now = ts_literal(as_of)
     cond = (F.col("order_id").like(id_prefix + "%")
-            & (F.col("order_purchase_timestamp") < now - F.make_dt_interval(F.lit(0), F.lit(min_age_hours))))
+            & (F.col("order_purchase_timestamp") < relative_time(as_of, hours=min_age_hours)))
     picked = top_k(orders.where(cond), k, ["order_purchase_timestamp", "order_id"])
     return delete_where(orders, "order_id", where=cond, picked=picked,
                         children=children, on_child=on_child)

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporium.functions.time import interval_from_micros
+from emporium.functions.time import interval_from_micros, relative_time
 from emporium.functions import (days_between, exact_mean, micros_between,
                                 month_start, percent, round_money_mean,
                                 round_ratio, ts_literal, year_range)
@@ -490,7 +490,7 @@ def q35_top3_price_rank(s, k: int = 3) -> DataFrame:
 
 def q36_recent_daily_orders(s, as_of: str = AS_OF, days: int = 30) -> DataFrame:
     ts = F.col("order_purchase_timestamp")
-    since = ts_literal(as_of) - F.make_dt_interval(F.lit(days))
+    since = relative_time(as_of, days=days)
     return (s.orders.where(ts > since)
             .groupBy(F.to_date(ts).alias("order_date"))
             .agg(F.count(F.lit(1)).alias("daily_orders"))

@@ -143,3 +143,20 @@ def read_points(spark: SparkSession, path: str, id_col: str = "vec_id",
     v = F.col(vector_col)
     return df.select(F.col(id_col).alias("point_id"), v[0].cast("double").alias("x"),
                      v[1].cast("double").alias("y"), v[2].cast("double").alias("z"))
+
+
+def scan_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Full table scan of a Parquet table (``SELECT * FROM t``)."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
+
+
+def table_stream(spark: SparkSession, folder: str, schema, file_glob: str | None = None,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """New Parquet files of a folder as a stream of rows (continuous inserts)."""
+    reader = spark.readStream.schema(schema)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(folder)
