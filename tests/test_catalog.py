@@ -32,3 +32,18 @@ def test_bucketed_tables_co_locate_order_joins(spark):
         assert "Exchange hashpartitioning" in plain._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_filters_reach_the_scan_on_published_tables(spark):
+    cat = CatalogStar(spark, "emporium_test_db")
+    if not spark.catalog.tableExists("emporium_test_db.orders"):
+        save_bucketed(spark, Star(spark, SF001), "emporium_test_db", buckets=4)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")   # untruncated filter lists
+    try:
+        lookup = R.q37_orders_by_customer(cat, "100")._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(customer_id,100)" in lookup
+        years = R.q14_category_year_revenue(cat)._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(order_purchase_timestamp" in years
+        assert "LessThan(order_purchase_timestamp" in years
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
