@@ -44,12 +44,11 @@ def _schema_of(spark: SparkSession, path: str):
     return _SCHEMAS[key]
 
 
-def _case(column, mapping: dict, other):
-    expr = None
-    for key, value in mapping.items():
-        cond = column == F.lit(key)
-        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
-    return expr.otherwise(other)
+def _case_sql(column: str, mapping: dict, other: str | None) -> str:
+    """``CASE column WHEN 'k' THEN 'v' ... ELSE other END`` as SQL text."""
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    default = "NULL" if other is None else f"'{other}'"
+    return f"CASE {column} {whens} ELSE {default} END"
 
 
 class Star:
@@ -83,6 +82,10 @@ class Star:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
         return reader.parquet(self.sf_dir)
 
+    # Each view is one join/filter plus one ``selectExpr`` projection: the
+    # expressions are SQL text, so building a view costs a couple of calls
+    # into the JVM instead of one per sub-expression.
+
     # ------------------------------------------------------------ dimensions
     @cached_property
     def _nation(self) -> DataFrame:
@@ -90,34 +93,28 @@ class Star:
         # from its measured file size
         return self.raw("nation").select("n_nationkey", "n_name")
 
+    def _with_nation(self, table: str, key: str) -> DataFrame:
+        t = self.raw(table)
+        return t.join(self._nation, t[key] == self._nation.n_nationkey)
+
     @cached_property
     def customers(self) -> DataFrame:
-        c = self.raw("customer")
-        return (
-            c.join(self._nation, c.c_nationkey == F.col("n_nationkey"))
-            .select(
-                F.col("c_custkey").cast("string").alias("customer_id"),
-                F.col("c_name").alias("customer_unique_id"),
-                (F.lit(1000) + F.col("c_custkey") % 500).cast("int").alias("customer_zip_code_prefix"),
-                F.concat(F.col("n_name"), F.lit(" "), F.col("c_mktsegment")).alias("customer_city"),
-                F.col("n_name").alias("customer_state"),
-            )
-        )
+        return self._with_nation("customer", "c_nationkey").selectExpr(
+            "cast(c_custkey as string) as customer_id",
+            "c_name as customer_unique_id",
+            "cast(1000 + c_custkey % 500 as int) as customer_zip_code_prefix",
+            "concat(n_name, ' ', c_mktsegment) as customer_city",
+            "n_name as customer_state")
 
     @cached_property
     def geolocation_raw(self) -> DataFrame:
         """Geolocation rows as delivered (with exact duplicates)."""
-        c = self.raw("customer")
-        return (
-            c.join(self._nation, c.c_nationkey == F.col("n_nationkey"))
-            .select(
-                (F.lit(1000) + F.col("c_custkey") % 500).cast("int").alias("geolocation_zip_code_prefix"),
-                (F.col("c_nationkey") - 12).cast("decimal(10,6)").alias("geolocation_lat"),
-                (F.col("c_nationkey") * 2 - 25).cast("decimal(10,6)").alias("geolocation_lng"),
-                F.lower(F.col("n_name")).alias("geolocation_city"),
-                F.col("n_name").alias("geolocation_state"),
-            )
-        )
+        return self._with_nation("customer", "c_nationkey").selectExpr(
+            "cast(1000 + c_custkey % 500 as int) as geolocation_zip_code_prefix",
+            "cast(c_nationkey - 12 as decimal(10,6)) as geolocation_lat",
+            "cast(c_nationkey * 2 - 25 as decimal(10,6)) as geolocation_lng",
+            "lower(n_name) as geolocation_city",
+            "n_name as geolocation_state")
 
     @cached_property
     def geolocation(self) -> DataFrame:
@@ -126,40 +123,31 @@ class Star:
 
     @cached_property
     def sellers(self) -> DataFrame:
-        s = self.raw("supplier")
-        return (
-            s.join(self._nation, s.s_nationkey == F.col("n_nationkey"))
-            .select(
-                F.col("s_suppkey").cast("string").alias("seller_id"),
-                (F.lit(1000) + F.col("s_suppkey") % 500).cast("int").alias("seller_zip_code_prefix"),
-                F.lower(F.col("n_name")).alias("seller_city"),
-                F.col("n_name").alias("seller_state"),
-            )
-        )
+        return self._with_nation("supplier", "s_nationkey").selectExpr(
+            "cast(s_suppkey as string) as seller_id",
+            "cast(1000 + s_suppkey % 500 as int) as seller_zip_code_prefix",
+            "lower(n_name) as seller_city",
+            "n_name as seller_state")
 
     @cached_property
     def products(self) -> DataFrame:
-        p = self.raw("part")
-        return p.select(
-            F.col("p_partkey").cast("string").alias("product_id"),
-            F.when(F.col("p_partkey") % 50 != 0, F.col("p_brand")).alias("product_category_name"),
-            F.length("p_name").cast("int").alias("product_name_lenght"),
-            (F.col("p_size") * 10).cast("int").alias("product_description_lenght"),
-            (F.lit(1) + F.col("p_partkey") % 5).cast("int").alias("product_photos_qty"),
-            (F.col("p_size") * 100).cast("int").alias("product_weight_g"),
-            F.col("p_size").cast("int").alias("product_length_cm"),
-            F.col("p_size").cast("int").alias("product_height_cm"),
-            F.col("p_size").cast("int").alias("product_width_cm"),
-        )
+        return self.raw("part").selectExpr(
+            "cast(p_partkey as string) as product_id",
+            "case when p_partkey % 50 != 0 then p_brand end as product_category_name",
+            "cast(length(p_name) as int) as product_name_lenght",
+            "cast(p_size * 10 as int) as product_description_lenght",
+            "cast(1 + p_partkey % 5 as int) as product_photos_qty",
+            "cast(p_size * 100 as int) as product_weight_g",
+            "cast(p_size as int) as product_length_cm",
+            "cast(p_size as int) as product_height_cm",
+            "cast(p_size as int) as product_width_cm")
 
     @cached_property
     def translation(self) -> DataFrame:
-        brands = (self.raw("part").select("p_brand")
-                  .where(~F.col("p_brand").like("%7")).distinct())
-        return brands.select(
-            F.col("p_brand").alias("product_category_name"),
-            F.lower(F.regexp_replace("p_brand", "#", "_")).alias("product_category_name_english"),
-        )
+        brands = self.raw("part").select("p_brand").where("p_brand not like '%7'").distinct()
+        return brands.selectExpr(
+            "p_brand as product_category_name",
+            "lower(replace(p_brand, '#', '_')) as product_category_name_english")
 
     # ----------------------------------------------------------------- facts
     @cached_property
@@ -171,40 +159,37 @@ class Star:
         last_ship = (self.raw("lineitem").groupBy("l_orderkey")
                      .agg(F.max("l_shipdate").alias("last_ship")))
         joined = o.join(last_ship, o.o_orderkey == last_ship.l_orderkey, "left")
-        delivered = F.col("last_ship") + F.make_dt_interval(F.lit(1))
-        return self._orders_from(joined, delivered)
+        return self._orders_from(joined, "last_ship + interval 1 day")
 
     @cached_property
     def orders_placed(self) -> DataFrame:
         """Orders as placed (no delivery date yet): row-wise, so it also works
         on a stream of raw orders."""
-        return self._orders_from(self.raw("orders"), F.lit(None).cast("timestamp_ntz"))
+        return self._orders_from(self.raw("orders"), "cast(null as timestamp_ntz)")
 
     @staticmethod
-    def _orders_from(o: DataFrame, delivered) -> DataFrame:
-        base = F.col("o_orderdate")
-        return o.select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.col("o_custkey").cast("string").alias("customer_id"),
-            _case(F.col("o_orderstatus"), ORDER_STATUS, F.lit(None).cast("string")).alias("order_status"),
-            (base + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))).alias("order_purchase_timestamp"),
-            (base + F.make_dt_interval(F.lit(1))).alias("order_approved_at"),
-            F.lit(None).cast("timestamp_ntz").alias("order_delivered_carrier_date"),
-            delivered.alias("order_delivered_customer_date"),
-            (base + F.make_dt_interval(F.lit(90))).alias("order_estimated_delivery_date"),
-        )
+    def _orders_from(o: DataFrame, delivered: str) -> DataFrame:
+        return o.selectExpr(
+            "cast(o_orderkey as string) as order_id",
+            "cast(o_custkey as string) as customer_id",
+            f"{_case_sql('o_orderstatus', ORDER_STATUS, None)} as order_status",
+            "o_orderdate + make_dt_interval(0, cast(o_orderkey % 24 as int)) as order_purchase_timestamp",
+            "o_orderdate + interval 1 day as order_approved_at",
+            "cast(null as timestamp_ntz) as order_delivered_carrier_date",
+            f"{delivered} as order_delivered_customer_date",
+            "o_orderdate + interval 90 days as order_estimated_delivery_date")
+
+    _LINE_COLS = ("cast(l_orderkey as string) as order_id",
+                  "cast(l_partkey as string) as product_id",
+                  "cast(l_suppkey as string) as seller_id",
+                  "l_shipdate as shipping_limit_date",
+                  "cast(l_extendedprice as decimal(10,2)) as price",
+                  "cast(l_quantity as decimal(10,2)) as freight_value")
 
     @cached_property
     def order_lines(self) -> DataFrame:
         """Order items without the item number (what every report reads)."""
-        return self.raw("lineitem").select(
-            F.col("l_orderkey").cast("string").alias("order_id"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_suppkey").cast("string").alias("seller_id"),
-            F.col("l_shipdate").alias("shipping_limit_date"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
-            F.col("l_quantity").cast("decimal(10,2)").alias("freight_value"),
-        )
+        return self.raw("lineitem").selectExpr(*self._LINE_COLS)
 
     @cached_property
     def order_items(self) -> DataFrame:
@@ -222,88 +207,60 @@ class Star:
         numbered = number_within_key(li, ["l_orderkey"],
                                      ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
                                      out="item_no")
-        return numbered.select(
-            F.col("l_orderkey").cast("string").alias("order_id"),
-            F.col("item_no").alias("order_item_id"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_suppkey").cast("string").alias("seller_id"),
-            F.col("l_shipdate").alias("shipping_limit_date"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
-            F.col("l_quantity").cast("decimal(10,2)").alias("freight_value"),
-        )
+        cols = list(self._LINE_COLS)
+        cols.insert(1, "item_no as order_item_id")
+        return numbered.selectExpr(*cols)
 
     @cached_property
     def order_items_raw(self) -> DataFrame:
         """Line items keyed by the raw (order, line number) pair, which repeats."""
-        li = self.raw("lineitem")
-        return li.select(
-            F.col("l_orderkey").cast("string").alias("order_id"),
-            F.col("l_linenumber").cast("int").alias("order_item_id"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_suppkey").cast("string").alias("seller_id"),
-            F.col("l_shipdate").alias("shipping_limit_date"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
-            F.col("l_quantity").cast("decimal(10,2)").alias("freight_value"),
-        )
+        cols = list(self._LINE_COLS)
+        cols.insert(1, "cast(l_linenumber as int) as order_item_id")
+        return self.raw("lineitem").selectExpr(*cols)
 
     @cached_property
     def order_payments(self) -> DataFrame:
-        o = self.raw("orders")
         # one scan of orders; orders whose key ends in 0 get a second
         # (voucher) payment through a generator instead of a second scan
-        seq = F.explode(F.sequence(F.lit(1), F.when(F.col("o_orderkey") % 10 == 0, 2).otherwise(1)))
-        first = F.col("payment_sequential") == 1
-        ptype = _case(F.substring("o_orderpriority", 1, 1), PAYMENT_TYPE, F.lit(PAYMENT_TYPE_OTHER))
-        return (
-            o.select("o_orderkey", "o_orderpriority", "o_totalprice",
-                     seq.alias("payment_sequential"))
-            .select(
-                F.col("o_orderkey").cast("string").alias("order_id"),
-                F.col("payment_sequential").cast("int").alias("payment_sequential"),
-                F.when(first, ptype).otherwise(F.lit("voucher")).alias("payment_type"),
-                F.when(first, F.lit(1) + F.col("o_orderkey") % 12).otherwise(F.lit(1))
-                .cast("int").alias("payment_installments"),
-                F.when(first, F.col("o_totalprice").cast("decimal(10,2)"))
-                .otherwise(F.lit(10).cast("decimal(10,2)")).alias("payment_value"),
-            )
-        )
+        ptype = _case_sql("substring(o_orderpriority, 1, 1)", PAYMENT_TYPE, PAYMENT_TYPE_OTHER)
+        return (self.raw("orders")
+                .selectExpr("o_orderkey", "o_orderpriority", "o_totalprice",
+                            "explode(sequence(1, if(o_orderkey % 10 = 0, 2, 1))) as seq")
+                .selectExpr(
+                    "cast(o_orderkey as string) as order_id",
+                    "cast(seq as int) as payment_sequential",
+                    f"if(seq = 1, {ptype}, 'voucher') as payment_type",
+                    "cast(if(seq = 1, 1 + o_orderkey % 12, 1) as int) as payment_installments",
+                    "if(seq = 1, cast(o_totalprice as decimal(10,2)), cast(10 as decimal(10,2)))"
+                    " as payment_value"))
 
     @cached_property
     def order_reviews(self) -> DataFrame:
-        o = self.raw("orders").where(F.col("o_orderkey") % 3 == 0)
-        return o.select(
-            F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("review_id"),
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.when(F.col("o_orderkey") % 30 != 0, F.lit(1) + F.col("o_custkey") % 5)
-            .cast("int").alias("review_score"),
-            F.lit(None).cast("string").alias("review_comment_title"),
-            F.lit(None).cast("string").alias("review_comment_message"),
-            (F.col("o_orderdate") + F.make_dt_interval(F.lit(20))).alias("review_creation_date"),
-            (F.col("o_orderdate") + F.make_dt_interval(F.lit(23))).alias("review_answer_timestamp"),
-        )
+        return self.raw("orders").where("o_orderkey % 3 = 0").selectExpr(
+            "concat('r', cast(o_orderkey as string)) as review_id",
+            "cast(o_orderkey as string) as order_id",
+            "cast(case when o_orderkey % 30 != 0 then 1 + o_custkey % 5 end as int) as review_score",
+            "cast(null as string) as review_comment_title",
+            "cast(null as string) as review_comment_message",
+            "o_orderdate + interval 20 days as review_creation_date",
+            "o_orderdate + interval 23 days as review_answer_timestamp")
 
     # ------------------------------------------------------ re-aimed tables
     @cached_property
     def metric_samples(self) -> DataFrame:
-        e = self.raw("events")
-        return e.select(
-            F.col("event_type").alias("metric"),
-            F.create_map(F.lit("city"),
-                         F.concat(F.lit("city_"), (F.col("user_id") % 4).cast("string"))).alias("labels"),
-            F.col("ts"),
-            F.col("value"),
-            (F.col("event_type") != F.lit("error")).alias("ok"),
-        )
+        return self.raw("events").selectExpr(
+            "event_type as metric",
+            "map('city', concat('city_', cast(user_id % 4 as string))) as labels",
+            "ts", "value",
+            "event_type != 'error' as ok")
 
     @cached_property
     def points(self) -> DataFrame:
-        e = self.raw("embeddings")
-        return e.select(
-            F.col("vec_id").alias("point_id"),
-            F.col("embedding")[0].cast("double").alias("x"),
-            F.col("embedding")[1].cast("double").alias("y"),
-            F.col("embedding")[2].cast("double").alias("z"),
-        )
+        return self.raw("embeddings").selectExpr(
+            "vec_id as point_id",
+            "cast(embedding[0] as double) as x",
+            "cast(embedding[1] as double) as y",
+            "cast(embedding[2] as double) as z")
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
