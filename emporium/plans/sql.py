@@ -12,53 +12,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Monthly revenue: per-order totals first (an order belongs to the month it
+# was placed in), then summed per month.
 MONTHLY_REVENUE = """
-WITH order_totals AS (
-  SELECT o.order_id,
-         trunc(to_date(o.order_purchase_timestamp), 'MM') AS month,
-         SUM(oi.price + oi.freight_value) AS order_total
-  FROM {orders} o
-  JOIN {order_items} oi ON o.order_id = oi.order_id
-  GROUP BY o.order_id, trunc(to_date(o.order_purchase_timestamp), 'MM')
-)
 SELECT month, CAST(SUM(order_total) AS DOUBLE) AS monthly_revenue
-FROM order_totals
+FROM (
+  SELECT order_id,
+         trunc(to_date(max(order_purchase_timestamp)), 'MM') AS month,
+         SUM(price + freight_value) AS order_total
+  FROM {orders} JOIN {order_items} USING (order_id)
+  GROUP BY order_id
+) per_order
 GROUP BY month
 ORDER BY month
 """
 
+# One customer's orders, newest first; the id is a bound parameter.
 ORDERS_BY_CUSTOMER = """
-SELECT o.order_id, o.order_status,
-       o.order_purchase_timestamp, o.order_delivered_customer_date,
-       c.customer_id, c.customer_unique_id, c.customer_city, c.customer_state
-FROM {orders} o
-JOIN {customers} c ON c.customer_id = o.customer_id
-WHERE c.customer_id = :customer_id
-ORDER BY o.order_purchase_timestamp DESC NULLS LAST, o.order_id
+SELECT order_id, order_status, order_purchase_timestamp, order_delivered_customer_date,
+       customer_id, customer_unique_id, customer_city, customer_state
+FROM {orders} JOIN {customers} USING (customer_id)
+WHERE customer_id = :customer_id
+ORDER BY order_purchase_timestamp DESC NULLS LAST, order_id
 """
 
-# "ORDER BY d DESC LIMIT 1" of the reference is written as max(d): in this
-# CTE + correlated-subquery shape Spark 4.1 dropped the sort under the limit
-# (the optimized plan kept LIMIT 1 without the Sort), returning an
-# arbitrary day.
+# Latest purchase day of the id-prefixed orders placed since :start, and the
+# number of such orders on that day (a correlated scalar subquery); when
+# there is none, the day before :start and 0.
 LAST_DAY_AND_COUNT = """
-WITH last_day AS (
-  SELECT max(to_date(order_purchase_timestamp)) AS d
+WITH tagged AS (
+  SELECT to_date(order_purchase_timestamp) AS day,
+         order_purchase_timestamp >= CAST(:start AS TIMESTAMP_NTZ) AS recent
   FROM {orders}
-  WHERE order_id LIKE :prefix || '%'
-    AND order_purchase_timestamp >= CAST(:start AS TIMESTAMP_NTZ)
-), found AS (
-  SELECT d AS last_day,
-         COALESCE((SELECT COUNT(*) FROM {orders} x
-                   WHERE x.order_id LIKE :prefix || '%'
-                     AND to_date(x.order_purchase_timestamp) = d), 0) AS cnt
-  FROM last_day
-  WHERE d IS NOT NULL
+  WHERE order_id LIKE concat(:prefix, '%')
+), latest AS (
+  SELECT max(day) AS day FROM tagged WHERE recent
 )
-SELECT last_day, CAST(cnt AS BIGINT) AS cnt FROM found
-UNION ALL
-SELECT date_sub(CAST(:start AS DATE), 1), CAST(0 AS BIGINT)
-WHERE NOT EXISTS (SELECT 1 FROM found)
+SELECT coalesce(l.day, date_sub(CAST(:start AS DATE), 1)) AS last_day,
+       CAST((SELECT count(*) FROM tagged t WHERE t.day = l.day) AS BIGINT) AS cnt
+FROM latest l
 """
 
 
