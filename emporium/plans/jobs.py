@@ -210,7 +210,7 @@ def stream_ingest_items(s) -> DataFrame:
     q = st.ingest_if_absent(_streaming_star(s).order_items_raw, out, ckpt, ITEM_KEY,
                             order_by=ITEM_ORDER, seed=s.order_items)
     q.awaitTermination()
-    return checkable(s.spark.read.parquet(out).drop(st.BATCH_COL))
+    return checkable(st.read_ingested(s.spark, out))
 
 
 def stream_daily_counts(s) -> DataFrame:

@@ -6,10 +6,11 @@ by streaming queries:
 
 * ``ingest_if_absent`` — each micro-batch is inserted with
   ``insert_if_absent`` into a Parquet table folder; the batch is written to
-  its own ``batch_id=<n>`` partition with overwrite, so a replayed batch
+  its own ``batch_id=<n>`` partitions with overwrite, so a replayed batch
   (after a driver or executor failure) replaces its own output instead of
   duplicating it, and it is checked against every *other* batch, so the
-  replay does not mistake its first attempt for existing rows;
+  replay does not mistake its first attempt for existing rows.  Stored keys
+  are read only from the key-hash buckets the batch touches;
 * ``dedupe_within_watermark`` — a duplicate key inside the stream is
   dropped while the key is younger than the watermark delay (the
   anti-join in ``ingest_if_absent`` is the guarantee beyond that);
@@ -33,6 +34,18 @@ from emporium.operators.metrics import label_key
 from emporium.operators.upsert import first_wins, _any_null, _keys
 
 BATCH_COL = "batch_id"
+BUCKET_COL = "key_bucket"
+KEY_BUCKETS = 64
+
+
+def key_bucket(keys: Sequence[str], buckets: int = KEY_BUCKETS) -> Column:
+    """Hash bucket of the key (the table's first partition level)."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def read_ingested(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The table written by ``ingest_if_absent`` without its layout columns."""
+    return spark.read.parquet(table_dir).drop(BUCKET_COL, BATCH_COL)
 
 
 def event_time(df: DataFrame, col: str) -> DataFrame:
@@ -45,30 +58,43 @@ def ingest_if_absent(stream: DataFrame, table_dir: str, checkpoint: str, key: st
                      seed: DataFrame | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Continuously ``INSERT ... ON CONFLICT (key) DO NOTHING`` into ``table_dir``.
 
-    ``seed`` (optional) is the table's initial content, written as batch -1
-    before the stream starts.  Read the table with
-    ``spark.read.parquet(table_dir).drop('batch_id')``.
+    The table is partitioned by ``key_bucket`` (a hash of the key) and then
+    ``batch_id``.  A micro-batch reads stored keys only from the buckets its
+    own keys fall into (partition pruning), so its cost follows the batch,
+    not the table.  ``seed`` (optional) is the table's initial content,
+    written as batch -1 before the stream starts.  Read the table with
+    :func:`read_ingested`.
     """
     spark = stream.sparkSession
     keys = _keys(key)
     cols = stream.columns
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        # one writer per bucket: one file per touched bucket and batch
+        (df.withColumn(BUCKET_COL, key_bucket(keys)).withColumn(BATCH_COL, F.lit(batch_id))
+         .repartition(BUCKET_COL)
+         .write.mode("overwrite").partitionBy(BUCKET_COL, BATCH_COL)
+         .option("partitionOverwriteMode", "dynamic").parquet(table_dir))
+
     if seed is not None:
-        (seed.select(*cols).withColumn(BATCH_COL, F.lit(-1)).write.mode("overwrite")
-         .partitionBy(BATCH_COL).option("partitionOverwriteMode", "dynamic").parquet(table_dir))
+        write(seed.select(*cols), -1)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select(*cols)
         deduped = first_wins(batch, keys, order_by)
+        # at most KEY_BUCKETS ids: the buckets this batch can conflict in
+        touched = [r[0] for r in deduped.where(~_any_null(keys))
+                   .select(key_bucket(keys)).distinct().collect()]
         try:
-            stored = (spark.read.parquet(table_dir).where(F.col(BATCH_COL) != batch_id)
-                      .select(*keys).where(~_any_null(keys)))
+            stored = (spark.read.parquet(table_dir)
+                      .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) != batch_id))
+                      .select(*keys))
             new_rows = deduped.join(stored, keys, "left_anti")
         except Exception as e:  # first batch of an empty table: nothing stored yet
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
             new_rows = deduped
-        (new_rows.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("overwrite")
-         .partitionBy(BATCH_COL).option("partitionOverwriteMode", "dynamic").parquet(table_dir))
+        write(new_rows, batch_id)
 
     writer = (stream.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))

@@ -100,11 +100,11 @@ def test_stream_replay_and_late_rows(spark, tmp_dir):
     b2 = spark.createDataFrame([("o2", T(2020, 1, 2, 11)), ("o3", T(2020, 1, 5, 10))], schema)
     b2.coalesce(1).write.parquet(os.path.join(src, "b2"))
     st.ingest_if_absent(stream, table, ckpt, "order_id").awaitTermination()
-    got = rows(spark.read.parquet(table).select("order_id"))
+    got = rows(st.read_ingested(spark, table).select("order_id"))
     assert got == [("o1",), ("o2",), ("o3",)]         # shared key o2 added once
     # replaying the second batch (its output folder is overwritten) adds nothing
     st.ingest_if_absent(stream, table, os.path.join(tmp_dir, "ck2"), "order_id").awaitTermination()
-    assert spark.read.parquet(table).count() == 3
+    assert st.read_ingested(spark, table).count() == 3
 
 
 def test_daily_counts_drop_late_rows(spark, tmp_dir):
