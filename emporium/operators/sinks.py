@@ -20,6 +20,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
 MANIFEST_DIR = "_manifests"
+# Independent outputs are written by concurrent Spark jobs, submitted from
+# this many driver threads (the jobs share the cluster's executors).
+WRITERS = 4
+
+
+def _run_all(tasks: dict, writers: int = WRITERS) -> dict:
+    """Run ``{name: callable}`` with up to ``writers`` concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+    if writers <= 1 or len(tasks) <= 1:
+        return {name: fn() for name, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=writers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
@@ -31,11 +44,9 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
     unpublished, like a failed transaction.
     """
     version = version or time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-    paths = {}
-    for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}/v={version}"
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
+    paths = {name: f"{root.rstrip('/')}/{name}/v={version}" for name in tables}
+    _run_all({name: (lambda df=df, path=paths[name]: df.write.mode("overwrite").parquet(path))
+              for name, df in tables.items()})
     if check is not None:
         check({name: spark.read.parquet(path) for name, path in paths.items()})
     manifest = json.dumps({"version": version, "tables": paths}, sort_keys=True)
@@ -79,8 +90,8 @@ def write_sheets(sheets: dict[str, DataFrame], out_dir: str, fmt: str = "parquet
     """Write each sheet; return its row count, observed while writing (each
     result is computed once)."""
     from pyspark.sql import Observation
-    counts = {}
-    for name, df in sheets.items():
+
+    def write_one(name: str, df: DataFrame) -> int:
         obs = Observation(f"rows_{name}")
         clean = sanitize_for_export(df).observe(obs, F.count(F.lit(1)).alias("n"))
         writer = clean.write.mode("overwrite")
@@ -89,8 +100,9 @@ def write_sheets(sheets: dict[str, DataFrame], out_dir: str, fmt: str = "parquet
             writer.option("header", True).csv(path)
         else:
             writer.format(fmt).save(path)
-        counts[name] = obs.get["n"]
-    return counts
+        return obs.get["n"]
+
+    return _run_all({name: (lambda n=name, d=df: write_one(n, d)) for name, df in sheets.items()})
 
 
 def snapshot(spark: SparkSession, name: str, df: DataFrame, replace: bool = False,

@@ -81,12 +81,14 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> None:
 
 def export_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """Write tables as CSV folders the loader reads back (header, COPY quoting)."""
-    paths = {}
-    for name, df in tables.items():
-        path = f"{out_dir.rstrip('/')}/{name}"
+    from emporium.operators.sinks import _run_all
+    paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in tables}
+
+    def write_one(name: str, df: DataFrame) -> None:
         (df.select(*SCHEMAS[name].fieldNames()).write.mode("overwrite")
          .option("header", True).option("quote", '"').option("escape", '"')
          .option("nullValue", "\\N").option("emptyValue", '""')
-         .csv(path))
-        paths[name] = path
+         .csv(paths[name]))
+
+    _run_all({name: (lambda n=name, d=df: write_one(n, d)) for name, df in tables.items()})
     return paths
