@@ -19,6 +19,11 @@ positions:
 
 Rows that tie on all key and order columns are numbered in an arbitrary
 order, as with a window.
+
+The range path costs a range shuffle and a checkpoint, so it is taken only
+when a key is actually hot: one partially aggregated job measures the
+largest key first, and when it fits in one task (``hot_key_rows``) the
+plain window is used.
 """
 
 from __future__ import annotations
@@ -29,12 +34,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Rows of one key that a single task may number with a window.
+HOT_KEY_ROWS = 2_000_000
+
+
 def number_within_key(df: DataFrame, key: Sequence[str], order: Sequence[str],
-                      out: str = "row_number", num_partitions: int | None = None) -> DataFrame:
+                      out: str = "row_number", num_partitions: int | None = None,
+                      hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     key, order = list(key), list(order)
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
+    if hot_key_rows is not None:
+        biggest = df.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
+        if biggest <= hot_key_rows:
+            w = Window.partitionBy(*key).orderBy(*order)
+            return df.select(*cols, F.row_number().over(w).cast("int").alias(out))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *key, *order).sortWithinPartitions(*key, *order)
     from emporium.session import checkpoint_dir
     checkpoint_dir(spark)

@@ -58,9 +58,20 @@ def test_insert_if_absent_properties(spark, batch):
        st.integers(1, 5))
 def test_number_within_key_matches_python(spark, data, parts):
     df = spark.createDataFrame(data, "k int, o int")
-    got = number_within_key(df, ["k"], ["o"], "rn", num_partitions=parts)
+    got = number_within_key(df, ["k"], ["o"], "rn", num_partitions=parts, hot_key_rows=0)
     per_key: dict[int, list] = {}
     for k, o in data:
         per_key.setdefault(k, []).append(o)
     expected = sorted((k, o, i + 1) for k, os_ in per_key.items() for i, o in enumerate(sorted(os_)))
     assert sorted(tuple(r) for r in got.select("k", "o", "rn").collect()) == expected
+
+
+def test_number_within_key_paths_agree_on_a_hot_key(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(5000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))).alias("k"),
+                                  (F.col("id") * 7919 % 5000).alias("o"))
+    window = number_within_key(df, ["k"], ["o"], "rn")                    # no hot key at this size
+    ranged = number_within_key(df, ["k"], ["o"], "rn", num_partitions=6, hot_key_rows=100)
+    assert sorted(map(tuple, window.collect())) == sorted(map(tuple, ranged.collect()))
+    hot = ranged.where("k = 7").agg(F.max("rn"), F.count(F.lit(1))).first()
+    assert hot[0] == hot[1] == 1668   # 1667 multiples of 3, plus id 7 itself
