@@ -509,8 +509,13 @@ def q37_orders_by_customer(s, customer_id: str = "1000") -> DataFrame:
             .orderBy(F.col("order_purchase_timestamp").desc_nulls_last(), "order_id"))
 
 
-def q38_orders_by_city(s, city: str = "nation_1 building") -> DataFrame:
-    c = s.customers.where(F.col("customer_city").ilike(city))
+def q38_orders_by_city(s, city: str = "nation_1 building", exact: bool = False) -> DataFrame:
+    """Orders of customers in a city, case-insensitive.  As in the reference,
+    ``%`` and ``_`` in ``city`` are wildcards (ILIKE); ``exact=True`` compares
+    the lower-cased strings instead."""
+    city_col = F.col("customer_city")
+    match = (F.lower(city_col) == F.lower(F.lit(city))) if exact else city_col.ilike(city)
+    c = s.customers.where(match)
     o = s.orders
     return (o.join(c, "customer_id").select(*_LOOKUP_COLS)
             .orderBy(F.col("order_purchase_timestamp").desc_nulls_last(), "order_id"))

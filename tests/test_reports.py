@@ -127,6 +127,8 @@ def test_city_wildcards(spark):
                  orders=[_order(f"o{i}", T(2020, 1, i), f"c{i}") for i in (1, 2, 3)])
     assert len(R.q38_orders_by_city(s, "são paulo").collect()) == 2
     assert len(R.q38_orders_by_city(s, "S_o%").collect()) == 3
+    assert len(R.q38_orders_by_city(s, "S_o%", exact=True).collect()) == 0
+    assert len(R.q38_orders_by_city(s, "sao paulo", exact=True).collect()) == 1
 
 
 def test_share_sums_to_100(spark):
