@@ -1,5 +1,10 @@
-"""Registered table jobs beyond the reports: loading, DML, quality, profile,
-metrics and point-cloud steps, each over the logical tables of a ``Star``.
+"""Registered table jobs beyond the reports, each over the logical tables of
+a ``Star``: loading (insert-if-absent, distinct load, CSV bulk load with
+publish), the workbook export, DML versions, quality checks, the column
+profile, metric tables (incl. the exposition-format round trip), streaming
+ingest / dedupe / daily counts / gauges, and the point-cloud steps.  Jobs
+that write (exports, streams, checkpoints) use fresh folders under
+``spark.checkpoint.dir``.
 
 Jobs that produce a new table version return that whole version; money
 columns leave these checkable views as DOUBLE (the library functions
