@@ -130,3 +130,20 @@ def test_scalar_helpers(spark):
     a = [r.k for r in seeded_pick(keys, "k", 3, seed=9).collect()]
     b = [r.k for r in seeded_pick(keys, "k", 3, seed=9).collect()]
     assert a == b and len(set(a)) == 3
+
+
+def test_broadcast_only_with_proven_bound(spark):
+    from emporium.operators.bounds import broadcast_if_bounded, max_rows
+    big = spark.range(10_000).withColumnRenamed("id", "k")
+    picked = big.orderBy(F.col("k").desc()).limit(5)
+    assert max_rows(picked) == 5 and max_rows(big.where("k > 3")) is None
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bounded = big.join(broadcast_if_bounded(picked), "k", "left_semi")
+        plan = bounded._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and bounded.count() == 5
+        unbounded = big.join(broadcast_if_bounded(big.where("k % 2 = 0")), "k", "left_semi")
+        assert "BroadcastHashJoin" not in unbounded._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
