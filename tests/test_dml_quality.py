@@ -134,7 +134,8 @@ def test_scalar_helpers(spark):
 
 def test_broadcast_only_with_proven_bound(spark):
     from emporium.operators.bounds import broadcast_if_bounded, max_rows
-    big = spark.range(10_000).withColumnRenamed("id", "k")
+    # a Parquet scan has no provable size; a LIMIT over it does
+    big = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").selectExpr("o_orderkey as k")
     picked = big.orderBy(F.col("k").desc()).limit(5)
     assert max_rows(picked) == 5 and max_rows(big.where("k > 3")) is None
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
