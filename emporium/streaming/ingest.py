@@ -29,6 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from emporium.operators.metrics import label_key
 from emporium.operators.upsert import first_wins, _any_null, _keys
@@ -80,21 +81,28 @@ def ingest_if_absent(stream: DataFrame, table_dir: str, checkpoint: str, key: st
         write(seed.select(*cols), -1)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select(*cols)
-        deduped = first_wins(batch, keys, order_by)
-        # at most KEY_BUCKETS ids: the buckets this batch can conflict in
-        touched = [r[0] for r in deduped.where(~_any_null(keys))
-                   .select(key_bucket(keys)).distinct().collect()]
+        # the micro-batch is read twice (bucket ids, rows); keep it for the
+        # duration of this batch (spills to disk; recomputed from the source
+        # files if an executor is lost)
+        batch = batch.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            stored = (spark.read.parquet(table_dir)
-                      .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) != batch_id))
-                      .select(*keys))
-            new_rows = deduped.join(stored, keys, "left_anti")
-        except Exception as e:  # first batch of an empty table: nothing stored yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            new_rows = deduped
-        write(new_rows, batch_id)
+            # at most KEY_BUCKETS ids: the buckets this batch can conflict in
+            # (de-duplication does not change the set of keys)
+            touched = [r[0] for r in batch.where(~_any_null(keys))
+                       .select(key_bucket(keys)).distinct().collect()]
+            deduped = first_wins(batch, keys, order_by)
+            try:
+                stored = (spark.read.parquet(table_dir)
+                          .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) != batch_id))
+                          .select(*keys))
+                new_rows = deduped.join(stored, keys, "left_anti")
+            except Exception as e:  # first batch of an empty table: nothing stored yet
+                if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                    raise
+                new_rows = deduped
+            write(new_rows, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = (stream.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
