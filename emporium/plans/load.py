@@ -69,12 +69,16 @@ def bulk_load(spark: SparkSession, csv_paths: dict[str, str], root: str,
 
 
 def check_foreign_keys(tables: dict[str, DataFrame]) -> None:
-    """Raise on the first foreign key with orphaned child rows."""
-    for child, fk, parent, key in FOREIGN_KEYS:
-        if child not in tables or parent not in tables:
-            continue
-        orphans = quality.check_foreign_key(tables[child], fk, tables[parent], key)
-        if not orphans.isEmpty():
+    """Raise on the first foreign key (in declaration order) with orphaned
+    child rows; the independent checks run as concurrent jobs."""
+    from emporium.operators.sinks import _run_all
+    checks = {i: (lambda c=child, f=fk, p=parent, k=key:
+                  quality.check_foreign_key(tables[c], f, tables[p], k).isEmpty())
+              for i, (child, fk, parent, key) in enumerate(FOREIGN_KEYS)
+              if child in tables and parent in tables}
+    clean = _run_all(checks)
+    for i, (child, fk, parent, key) in enumerate(FOREIGN_KEYS):
+        if i in clean and not clean[i]:
             raise ValueError(f"insert or update on table {child} violates foreign key "
                              f"{fk} -> {parent}{key}")
 
