@@ -139,7 +139,8 @@ def resample_last(samples: DataFrame, step: str = "15 seconds") -> DataFrame:
 
 
 # ------------------------------------------------------ text exposition format
-_LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(\{([^}]*)\})?\s+(\S+)(\s+(-?\d+))?\s*$"
+_LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(\{(.*)\})?\s+(\S+)(\s+(-?\d+))?\s*$"
+_PAIR = r'([a-zA-Z_][a-zA-Z0-9_]*)\s*=\s*"((?:[^"\\]|\\.)*)"'
 
 
 def parse_exposition(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -149,10 +150,11 @@ def parse_exposition(lines: DataFrame, col: str = "value") -> DataFrame:
     data = lines.where((line != "") & ~line.startswith("#"))
     name = F.regexp_extract(line, _LINE, 1)
     raw_labels = F.regexp_extract(line, _LINE, 3)
-    pairs = F.filter(F.split(raw_labels, ","), lambda p: F.trim(p) != "")
-    entries = F.transform(pairs, lambda p: F.struct(
-        F.trim(F.split_part(p, F.lit("="), F.lit(1))).alias("key"),
-        F.regexp_replace(F.trim(F.substring_index(p, "=", -1)), '^"|"$', "").alias("value")))
+    # key="value" pairs; a quoted value may contain commas, '=' and \" escapes
+    keys = F.regexp_extract_all(raw_labels, F.lit(_PAIR), 1)
+    values = F.transform(F.regexp_extract_all(raw_labels, F.lit(_PAIR), 2),
+                         lambda v: F.regexp_replace(v, r'\\(.)', "$1"))
+    entries = F.arrays_zip(keys.alias("key"), values.alias("value"))
     number = F.regexp_extract(line, _LINE, 4)
     extra = [c for c in lines.columns if c != col]
     return data.select(
@@ -167,8 +169,10 @@ def to_exposition(samples: DataFrame, help_text: Mapping[str, str] | None = None
                   kind: str = "gauge") -> DataFrame:
     """Samples → exposition lines (one string column ``value``), with HELP and
     TYPE lines per metric; write with ``df.write.text``."""
+    def quoted(v):  # escape backslashes and quotes inside a label value
+        return F.regexp_replace(F.regexp_replace(v, r"\\", r"\\\\"), '"', '\\\\"')
     lab = F.array_join(F.transform(label_key(F.col("labels")),
-                                   lambda e: F.format_string('%s="%s"', e["key"], e["value"])), ",")
+                                   lambda e: F.format_string('%s="%s"', e["key"], quoted(e["value"]))), ",")
     body = F.concat(F.col("metric"), F.when(F.size("labels") > 0, F.concat(F.lit("{"), lab, F.lit("}")))
                     .otherwise(F.lit("")), F.lit(" "), F.col("value").cast("string"))
     helps = F.create_map(*[x for k, v in (help_text or {}).items() for x in (F.lit(k), F.lit(v))]) \

@@ -201,3 +201,14 @@ def test_sanitize_resample_info_and_writers(spark, tmp_dir):
     w = metrics.weather_to_metrics(read_weather_json(spark, wpath))
     got = {r.metric: r.value for r in w.collect()}
     assert got["owm_temperature_celsius"] == 5.0 and got["owm_wind_speed_ms"] == 0.0
+
+
+def test_exposition_label_values_with_commas_and_quotes(spark, tmp_dir):
+    from emporium.operators.sinks import write_exposition
+    s = spark.createDataFrame([("m", {"city": 'a,b "c"', "zone": "x=1\\y"}, 2.5)],
+                              "metric string, labels map<string,string>, value double")
+    path = os.path.join(tmp_dir, "expo2")
+    write_exposition(s, path)
+    back = read_exposition(spark, path).first()
+    assert back.metric == "m" and back.value == 2.5
+    assert back.labels == {"city": 'a,b "c"', "zone": "x=1\\y"}
