@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 
 @dataclass
@@ -63,9 +64,11 @@ def first_wins(df: DataFrame, key: str | Sequence[str],
     order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])]
     named = {c for c in (order_by or []) if isinstance(c, str)}
     # rank by the ordering first, the rest of the row second, so ties are
-    # broken the same way on every run
+    # broken the same way on every run (map columns cannot be ordered)
+    orderable = [f.name for f in df.schema.fields
+                 if f.name not in named and not isinstance(f.dataType, MapType)]
     rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                    *[F.col(c).alias(f"_r{i}") for i, c in enumerate(cols) if c not in named])
+                    *[F.col(c).alias(f"_r{i}") for i, c in enumerate(orderable)])
     row = F.struct(*[F.col(c) for c in cols])
     nullable = _any_null(keys)
     keyed = (df.where(~nullable)

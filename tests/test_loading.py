@@ -150,3 +150,10 @@ def test_append_order_with_items_and_payments(spark):
         spark.createDataFrame([("o9", 1, 5)], items.schema), spark.createDataFrame([], pays.schema))
     with pytest.raises(Exception, match="foreign key"):
         bad_items.table.collect()
+
+
+def test_first_wins_with_map_column(spark):
+    df = spark.createDataFrame([("k", {"a": "1"}, 2), ("k", {"a": "2"}, 1)],
+                               "k string, labels map<string,string>, pos int")
+    got = upsert.first_wins(df, "k", ["pos"]).collect()
+    assert len(got) == 1 and got[0].labels == {"a": "2"}
