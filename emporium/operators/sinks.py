@@ -17,7 +17,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampType
+from pyspark.sql.types import TimestampType
 
 MANIFEST_DIR = "_manifests"
 # Independent outputs are written by concurrent Spark jobs, submitted from
@@ -140,7 +140,3 @@ def write_exposition(samples: DataFrame, path: str, help_text: dict | None = Non
     """Samples → one exposition text file (the metrics are a small table)."""
     from emporium.operators.metrics import to_exposition
     to_exposition(samples, help_text).coalesce(1).write.mode("overwrite").text(path)
-
-
-def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -39,8 +39,3 @@ def seeded_pick(df: DataFrame, key: str, k: int, seed: int | str) -> DataFrame:
     """``ORDER BY random() LIMIT k`` made reproducible: k rows by seeded hash."""
     h = seeded_key(F.col(key), seed)
     return df.orderBy(h, F.col(key)).limit(k)
-
-
-def ordered_pick(df: DataFrame, k: int, order: Sequence[Column | str]) -> DataFrame:
-    """``ORDER BY <cols> LIMIT k`` used as the target set of a DML statement."""
-    return top_k(df, k, order)

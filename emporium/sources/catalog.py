@@ -61,10 +61,5 @@ class CatalogStar:
         raise AttributeError(name)
 
 
-def shuffle_free_join(df: DataFrame) -> bool:
-    """True when the executed plan of ``df`` contains no shuffle exchange."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
 
-
-__all__ = ["BUCKETING", "CatalogStar", "save_bucketed", "shuffle_free_join"]
+__all__ = ["BUCKETING", "CatalogStar", "save_bucketed"]
