@@ -157,3 +157,15 @@ def test_first_wins_with_map_column(spark):
                                "k string, labels map<string,string>, pos int")
     got = upsert.first_wins(df, "k", ["pos"]).collect()
     assert len(got) == 1 and got[0].labels == {"a": "2"}
+
+
+def test_first_wins_across_csv_files(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "sellers")
+    os.makedirs(folder)
+    header = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    _write(os.path.join(folder, "part-1.csv"), header + "s2,2,b-first,Y\ns1,1,a-first,X\n")
+    _write(os.path.join(folder, "part-2.csv"), header + "s1,9,a-second,X\ns3,3,c,Z\ns2,8,b-second,Y\n")
+    df = read_csv_table(spark, "sellers", folder)
+    first = upsert.first_wins(df, "seller_id", ["_source_file", "_source_pos"])
+    got = rows(first.select("seller_id", "seller_city"))
+    assert got == [("s1", "a-first"), ("s2", "b-first"), ("s3", "c")]
