@@ -122,9 +122,14 @@ def relabel(samples: DataFrame, source_label: str, target_label: str,
     return samples.withColumn("labels", F.when(has_source, replaced).otherwise(labels))
 
 
-def info_metric(spark: SparkSession, name: str, labels: Mapping[str, str]) -> DataFrame:
-    """A constant info metric: value 1 with a fixed label set."""
-    return spark.createDataFrame([(name, dict(labels), 1.0)],
+def info_metric(spark: SparkSession, name: str, labels: Mapping[str, str],
+                cities: Sequence[str] = ()) -> DataFrame:
+    """A constant info metric: value 1 with a fixed label set; ``cities``
+    (the exporter's configured cities) become one comma-joined label."""
+    all_labels = dict(labels)
+    if cities:
+        all_labels["cities"] = ",".join(cities)
+    return spark.createDataFrame([(name, all_labels, 1.0)],
                                  "metric string, labels map<string,string>, value double")
 
 

@@ -188,8 +188,9 @@ def test_sanitize_resample_info_and_writers(spark, tmp_dir):
                               "metric string, labels map<string,string>, ts timestamp, value double")
     steps = {(r.step_start, r.value) for r in metrics.resample_last(s, "15 seconds").collect()}
     assert steps == {(T(2024, 1, 1, 0, 0, 0), 2.0), (T(2024, 1, 1, 0, 0, 15), 3.0)}
-    info = metrics.info_metric(spark, "owm_exporter_info", {"source": "openweather"}).first()
-    assert info.value == 1.0 and info.labels == {"source": "openweather"}
+    info = metrics.info_metric(spark, "owm_exporter_info", {"source": "openweather"},
+                               cities=["Astana", "London"]).first()
+    assert info.value == 1.0 and info.labels == {"source": "openweather", "cities": "Astana,London"}
     path = os.path.join(tmp_dir, "expo")
     write_exposition(s.drop("ts"), path, {"m": "a metric"})
     text = [r.value for r in spark.read.text(path).collect()]
