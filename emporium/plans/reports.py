@@ -49,7 +49,7 @@ def _item_total() -> F.Column:
     return F.col("price") + F.col("freight_value")
 
 
-# --------------------------------------------------------------- main.py set
+# ------------------------------------------------------ the ten core reports
 def q01_monthly_items_revenue(s) -> DataFrame:
     o = s.orders.select("order_id", "order_purchase_timestamp")
     oi = lines(s).select("order_id", "price", "freight_value")
@@ -95,7 +95,7 @@ def q04_top_categories_revenue(s, k: int = 10) -> DataFrame:
 
 
 def _reviews_by_item(s, translate: bool) -> DataFrame:
-    """Review scores fanned out to the items of their order (main.py:31-36)."""
+    """Review scores fanned out to the items of their order (one row per item)."""
     orv = s.order_reviews.select("order_id", "review_score")
     o = s.orders.select("order_id")
     oi = lines(s).select("order_id", "product_id")
@@ -163,7 +163,7 @@ def q10_top_categories_items(s, k: int = 10) -> DataFrame:
                              F.col("product_category_name").asc_nulls_last()])
 
 
-# ----------------------------------------------------- queries.sql / analytics
+# ------------------------------------------------ chart and workbook reports
 def q11_monthly_revenue(s) -> DataFrame:
     o = s.orders.select("order_id", "order_purchase_timestamp")
     oi = lines(s).select("order_id", "price", "freight_value")
@@ -357,7 +357,7 @@ def q20d_axis_range(s, k: int = 5) -> DataFrame:
                       (F.max("orders_count").cast("double") * F.lit(1.1)).alias("y_max"))
 
 
-# ------------------------------------------------------- basic_queries.sql
+# ---------------------------------------------------- basic table lookups
 def q21_customers_head(s, n: int = 10) -> DataFrame:
     return s.customers.limit(n)
 
