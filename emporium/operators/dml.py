@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporium.functions.picks import seeded_key, seeded_uniform
+from emporium.functions.predicates import like_prefix
 from emporium.functions.time import relative_time, ts_literal
 from emporium.operators.bounds import broadcast_if_bounded
 from emporium.operators.topk import top_k
@@ -139,7 +140,7 @@ def u1_mark_delivered(orders: DataFrame, as_of: str, k: int = 5,
 
 def u2_products(products: DataFrame, id_prefix: str, k: int = 3, seed: int = 1) -> TableChange:
     """k seeded-random products with the id prefix: weight + U·10, photos − 1 (≥ 1)."""
-    cond = F.col("product_id").like(id_prefix + "%")
+    cond = like_prefix("product_id", id_prefix)
     picked = top_k(products.where(cond), k, [seeded_key(F.col("product_id"), seed), "product_id"])
     jitter = seeded_uniform(F.col("product_id"), seed + 1) * F.lit(10.0)
     return update_where(products, {
@@ -167,7 +168,7 @@ CITY_RENAMES = {"Sao Paulo": "São Paulo", "Rio de Janeiro": "Rio"}
 def u4_city_rename(customers: DataFrame, id_prefix: str, renames: Mapping[str, str] = CITY_RENAMES,
                    k: int = 8, seed: int = 4) -> TableChange:
     """k seeded-random customers with the id prefix: CASE rename of their city."""
-    cond = F.col("customer_id").like(id_prefix + "%")
+    cond = like_prefix("customer_id", id_prefix)
     picked = top_k(customers.where(cond), k, [seeded_key(F.col("customer_id"), seed), "customer_id"])
     city = F.col("customer_city")
     expr = None
@@ -196,7 +197,7 @@ def u5_installments(payments: DataFrame, k: int = 6, seed: int = 5,
 def delete_stale_orders(orders: DataFrame, as_of: str, id_prefix: str, k: int = 15,
                         min_age_hours: int = 1, children=(), on_child: str = "restrict") -> TableChange:
     """The oldest k orders with the id prefix older than ``min_age_hours``."""
-    cond = (F.col("order_id").like(id_prefix + "%")
+    cond = (like_prefix("order_id", id_prefix)
             & (F.col("order_purchase_timestamp") < relative_time(as_of, hours=min_age_hours)))
     picked = top_k(orders.where(cond), k, ["order_purchase_timestamp", "order_id"])
     return delete_where(orders, "order_id", where=cond, picked=picked,

@@ -30,6 +30,9 @@ def isin_top_k(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame
     return df.join(broadcast_if_bounded(keys), on, "left_semi")
 
 
+isin_topk = isin_top_k   # the operator inventory's name
+
+
 def is_empty(df: DataFrame) -> bool:
     """Early exit on an empty result: reads at most one row."""
     return df.isEmpty()

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from emporium.functions.predicates import (between_filter, eq_filter, ilike_match, in_list,
+                                           late_flag, like_prefix, not_null, range_cmp)
 from emporium.functions.time import interval_from_micros, relative_time
 from emporium.functions import (days_between, exact_mean, micros_between,
                                 month_start, percent, round_money_mean,
@@ -148,8 +150,8 @@ def q08_top_sellers(s, k: int = 10) -> DataFrame:
 
 
 def q09_late_delivery_percent(s) -> DataFrame:
-    o = s.orders.where(F.col("order_delivered_customer_date").isNotNull())
-    late = F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")
+    o = s.orders.where(not_null("order_delivered_customer_date"))
+    late = late_flag("order_delivered_customer_date", "order_estimated_delivery_date")
     return (o.agg(F.count_if(late).alias("late"), F.count(F.lit(1)).alias("n"))
             .select(percent(F.col("late"), F.col("n"), 2).alias("late_delivery_percent")))
 
@@ -216,7 +218,7 @@ def q13_top_categories_english(s, k: int = 10) -> DataFrame:
 def q14_category_year_revenue(s, years=YEARS, k: int = 30) -> DataFrame:
     o = s.orders.select("order_id", "order_purchase_timestamp")
     ts = F.col("order_purchase_timestamp")
-    o = o.where(year_range(ts, min(years), max(years)) & F.year(ts).isin(list(years)))
+    o = o.where(year_range(ts, min(years), max(years)) & in_list(F.year(ts), years))
     oi = lines(s).select("order_id", "product_id", "price")
     j = _category_english(s, oi.join(o, "order_id"))
     rev = (j.groupBy("category", F.year(ts).cast("int").alias("year"))
@@ -282,7 +284,7 @@ def q17_delivery_vs_total(s, lo: float = 0, hi: float = 60) -> DataFrame:
     j = _per_order_with_payments(s, True)
     days = days_between(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
     return (j.select("order_id", days.alias("delivery_days"), "order_total")
-            .where(F.col("delivery_days").between(lo, hi)))
+            .where(between_filter("delivery_days", lo, hi)))
 
 
 def q18_state_order_totals(s) -> DataFrame:
@@ -363,7 +365,7 @@ def q21_customers_head(s, n: int = 10) -> DataFrame:
 
 
 def q22_geo_city_prefix(s, prefix: str = "nation_1") -> DataFrame:
-    g = s.geolocation.where(F.col("geolocation_city").like(prefix + "%"))
+    g = s.geolocation.where(like_prefix("geolocation_city", prefix))
     # coordinates leave the report as DOUBLE like every other measure
     return g.select("geolocation_zip_code_prefix",
                     F.col("geolocation_lat").cast("double").alias("geolocation_lat"),
@@ -372,7 +374,7 @@ def q22_geo_city_prefix(s, prefix: str = "nation_1") -> DataFrame:
 
 
 def q23_customers_by_zip(s, zip_prefix: int = 1042) -> DataFrame:
-    return s.customers.where(F.col("customer_zip_code_prefix") == F.lit(zip_prefix))
+    return s.customers.where(eq_filter("customer_zip_code_prefix", zip_prefix))
 
 
 def q24_geo_state_customer_pairs(s) -> DataFrame:
@@ -475,7 +477,7 @@ def q34_states_with_orders(s) -> DataFrame:
     o = s.orders.select("order_id", "customer_id")
     return (c.join(o, "customer_id", "left").groupBy("customer_state")
             .agg(F.count("order_id").alias("avg_orders"))
-            .where(F.col("avg_orders") > 0)
+            .where(range_cmp("avg_orders", ">", 0))
             .orderBy(F.col("avg_orders").desc(), "customer_state"))
 
 
@@ -513,9 +515,7 @@ def q38_orders_by_city(s, city: str = "nation_1 building", exact: bool = False)
     """Orders of customers in a city, case-insensitive.  As in the reference,
     ``%`` and ``_`` in ``city`` are wildcards (ILIKE); ``exact=True`` compares
     the lower-cased strings instead."""
-    city_col = F.col("customer_city")
-    match = (F.lower(city_col) == F.lower(F.lit(city))) if exact else city_col.ilike(city)
-    c = s.customers.where(match)
+    c = s.customers.where(ilike_match("customer_city", city, exact))
     o = s.orders
     return (o.join(c, "customer_id").select(*_LOOKUP_COLS)
             .orderBy(F.col("order_purchase_timestamp").desc_nulls_last(), "order_id"))
@@ -525,7 +525,7 @@ def q39_last_order_day(s, id_prefix: str | None = None,
                        fallback: str = "2016-09-01") -> DataFrame:
     o = s.orders
     if id_prefix is not None:
-        o = o.where(F.col("order_id").like(id_prefix + "%"))
+        o = o.where(like_prefix("order_id", id_prefix))
     return o.agg(F.coalesce(F.max(F.to_date("order_purchase_timestamp")),
                             F.lit(fallback).cast("date")).alias("last_day"))
 
@@ -533,7 +533,7 @@ def q39_last_order_day(s, id_prefix: str | None = None,
 def q40_last_day_and_count(s, id_prefix: str = "12", start: str = "1998-01-01") -> DataFrame:
     ts = F.col("order_purchase_timestamp")
     start_d = F.lit(start).cast("date")
-    o = s.orders.where(F.col("order_id").like(id_prefix + "%") & (ts >= start_d.cast("timestamp_ntz")))
+    o = s.orders.where(like_prefix("order_id", id_prefix) & range_cmp(ts, ">=", start_d.cast("timestamp_ntz")))
     per_day = o.groupBy(F.to_date(ts).alias("d")).agg(F.count(F.lit(1)).alias("cnt"))
     last = per_day.agg(F.max("d").alias("d"), F.max_by("cnt", "d").alias("cnt"))
     return last.select(F.coalesce("d", F.date_sub(start_d, 1)).alias("last_day"),
