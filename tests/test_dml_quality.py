@@ -148,3 +148,18 @@ def test_broadcast_only_with_proven_bound(spark):
         assert "BroadcastHashJoin" not in unbounded._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_predicates_follow_sql_semantics(spark):
+    from emporium.functions import predicates as P
+    df = spark.createDataFrame([("load_x1", 5, None), ("loadXx2", 10, 1), ("other", 1, 2)],
+                               "id string, n int, z int")
+    ids = lambda cond: sorted(r.id for r in df.where(cond).collect())
+    assert ids(P.like_prefix("id", "load_")) == ["loadXx2", "load_x1"]   # '_' is a wildcard
+    assert ids(P.between_filter("n", 5, 10)) == ["loadXx2", "load_x1"]  # inclusive
+    assert ids(P.in_list("n", [1, 10])) == ["loadXx2", "other"]
+    assert ids(P.not_null("id", "z")) == ["loadXx2", "other"]
+    assert ids(P.range_cmp("n", ">=", 5)) == ["loadXx2", "load_x1"]
+    assert ids(P.eq_filter("z", 1)) == ["loadXx2"]                      # NULL never equal
+    assert ids(P.late_flag("n", "z")) == ["loadXx2"]                    # NULL side → no row
+    assert ids(P.ilike_match("id", "OTHER")) == ["other"]
