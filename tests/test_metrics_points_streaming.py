@@ -213,3 +213,25 @@ def test_exposition_label_values_with_commas_and_quotes(spark, tmp_dir):
     back = read_exposition(spark, path).first()
     assert back.metric == "m" and back.value == 2.5
     assert back.labels == {"city": 'a,b "c"', "zone": "x=1\\y"}
+
+
+def test_ingest_layout_prunes_to_touched_buckets(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from emporium.streaming import ingest as st
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    schema = "order_id string, v int"
+    seed = spark.range(2000).selectExpr("cast(id as string) as order_id", "cast(id as int) as v")
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src)
+    spark.createDataFrame([("new-1", 1)], schema).write.parquet(os.path.join(src, "b1"))
+    table = os.path.join(tmp_dir, "t")
+    st.ingest_if_absent(stream, table, os.path.join(tmp_dir, "ck"), "order_id", seed=seed).awaitTermination()
+    stored = spark.read.parquet(table)
+    assert stored.select(st.BUCKET_COL).distinct().count() == st.KEY_BUCKETS
+    bucket = spark.createDataFrame([("new-1",)], "order_id string").select(
+        st.key_bucket(["order_id"])).first()[0]
+    def files_read(df):
+        return df.select(F.input_file_name()).distinct().count()
+    one = files_read(stored.where(F.col(st.BUCKET_COL).isin([bucket])))
+    assert 1 <= one <= 2 < files_read(stored) / 10     # a one-key batch reads ~1/64 of the files
+    assert st.read_ingested(spark, table).count() == 2001
