@@ -49,7 +49,7 @@ s2 AS (SELECT cx + (x0 - cx) * 1.02 AS x0, cx + (x1 - cx) * 1.02 AS x1,
               cz + (z0 - cz) * 1.02 AS z0, cz + (z1 - cz) * 1.02 AS z1, cx, cy FROM c2),
 plane AS (SELECT cx AS plane_x, cy AS plane_y,
                  z0 - 0.05 + (y1 - y0) * 1.5 / 2 AS plane_z,
-                 (x1 - x0) * 1.5 AS width, 0.01 AS height, (y1 - y0) * 1.5 AS depth FROM s2),
+                 (x1 - x0) * 1.5 AS width, CAST(0.01 AS DOUBLE) AS height, (y1 - y0) * 1.5 AS depth FROM s2),
 clipped AS (SELECT p.* FROM points p, plane WHERE (p.y - plane.plane_y) * 1.0 < 0)"""
 
 JOB_ORACLES = {
@@ -244,7 +244,7 @@ SELECT * FROM clipped"""),
 
     "points_color_by_height": with_views("points", _CLIPPED + """
 , zb AS (SELECT min(z) AS zmin, max(z) AS zmax FROM clipped)
-SELECT c.*, (c.z - zb.zmin) / (zb.zmax - zb.zmin + 1e-8) AS r, 0.0 AS g,
+SELECT c.*, (c.z - zb.zmin) / (zb.zmax - zb.zmin + 1e-8) AS r, CAST(0.0 AS DOUBLE) AS g,
        1.0 - (c.z - zb.zmin) / (zb.zmax - zb.zmin + 1e-8) AS b
 FROM clipped c, zb"""),
 
