@@ -68,3 +68,14 @@ def test_unused_delivery_join_is_pruned(spark):
     # derives the delivery date and the item-number window are both removed
     assert "l_shipdate" not in plan
     assert "Window" not in plan
+
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def test_oracle_column_types_equal_spark_types(spark, con):
+    for name, sql in ORACLES.items():
+        duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+        for col, t in QUERIES[name](spark, SF001).dtypes:
+            assert SPARK_TO_DUCK.get(t, t) == duck_types.get(col), (name, col, t, duck_types.get(col))
