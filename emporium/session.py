@@ -10,9 +10,9 @@ caller owns the session and ``apply_conf`` only fills in what is unset.
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every query depends on for its results.
 REQUIRED_CONF = {
@@ -36,14 +36,6 @@ DEFAULT_CONF = {
 }
 
 
-# Local mode only: "broadcast" saves no network there, while building a
-# broadcast hash table is single-threaded on the driver, so only really small
-# tables (dimensions, pick sets) are broadcast.  A cluster keeps DEFAULT_CONF.
-LOCAL_CONF = {
-    "spark.sql.autoBroadcastJoinThreshold": "1m",
-}
-
-
 def apply_conf(spark: SparkSession) -> SparkSession:
     """Force the result-relevant settings, default the plan-relevant ones."""
     for key, value in REQUIRED_CONF.items():
@@ -68,9 +60,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         # checkpoint files of collected DataFrames are removed, not kept forever
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
-    local = master.startswith("local")
-    for key, value in {**REQUIRED_CONF, **DEFAULT_CONF, **(LOCAL_CONF if local else {}),
-                       **(extra or {})}.items():
+    for key, value in {**REQUIRED_CONF, **DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -78,27 +68,46 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared folder for checkpoints and job scratch.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only a local-mode
-    session (tests, benchmarks) without one gets a fresh private folder; on
-    a cluster a missing setting is an error, because a machine-local folder
-    is not visible to the other executors.
+    ``spark.checkpoint.dir`` names it on a cluster.  A session without the
+    setting (tests, local runs) uses a ``_scratch`` folder in its own
+    warehouse, which by definition every executor of the session can reach;
+    the caller's configuration is left as it is.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    local = tempfile.mkdtemp(prefix="emporium-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not configured:
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (job outputs, stream state)."""
-    import uuid
-    return f"{checkpoint_dir(spark).rstrip('/')}/jobs/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared folder (job outputs, stream state)."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/jobs/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote under ``scratch_path``.
+
+    Results that read from scratch (job outputs, written stages) cannot be
+    used afterwards, so the caller decides when.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(root):
+        fs.delete(root, True)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, and
+    the rows no longer depend on any executor's local disk."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
