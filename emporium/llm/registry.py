@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import simhash_dedup
+from emporium.llm import decontamination, language_id, mixing, sharding, simhash_dedup
 from emporium.session import apply_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,13 +18,34 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(*columns)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontamination.matches(_documents(spark, sf_dir, "doc_id", "text"), items)
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicate_groups(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(_documents(spark, sf_dir, "doc_id", "text", "source"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_simhash_dedup,)}
+    import corpus_pipeline
+
+    ops = (op2_sharding, op5_benchmark_decontamination, op6_simhash_dedup, op8_language_id,
+           op10_mixing)
+    return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_mixing": mixing.ORACLE}
