@@ -145,7 +145,9 @@ def train(sample: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 table = counts.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
                 for _, buckets in _features(own["text"].tolist()):
                     table += np.bincount(buckets, minlength=BUCKETS)
-        yield pd.DataFrame({"lang": list(counts), "counts": [c.tobytes() for c in counts.values()]})
+        if counts:
+            yield pd.DataFrame({"lang": list(counts),
+                                "counts": [c.tobytes() for c in counts.values()]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(c, dtype=np.int64) for c in pdf["counts"])

@@ -30,7 +30,6 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,11 +50,10 @@ TEMPLATES = [
     ("Released under the MIT License", "mit-notice"),
     ("Permission is hereby granted, free of charge, to any person obtaining a copy of this "
      "software and associated documentation files", "mit-notice"),
-    ("This work is licensed under the GNU General Public License, version 3", "gpl-3.0"),
-    ("This work is licensed under the GNU General Public License, version 2", "gpl-2.0"),
+    ("GNU General Public License, version 3", "gpl-3.0"),
+    ("GNU General Public License, version 2", "gpl-2.0"),
     ("This program is free software: you can redistribute it and/or modify it under the terms "
      "of the GNU General Public License as published by the Free Software Foundation", "gpl-notice"),
-    ("Licensed under CC BY 4.0", "cc-by-4.0"),
     ("Licensed under CC BY-NC 4.0", "cc-by-nc-4.0"),
     ("Licensed under CC BY-SA 4.0", "cc-by-sa-4.0"),
     ("This work is licensed under a Creative Commons Attribution 4.0 International License",

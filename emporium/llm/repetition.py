@@ -10,8 +10,7 @@ Rules: a document fails the base rules with fewer than 50 words or when more
 than half of its words lie in repeated three-word windows; it also fails when
 a share of its word characters above the limit lies in repeated n-grams of a
 length in ``CHAR_LIMITS`` (occurrences after the first), or when its repeated
-lines hold more than ``LINE_CHAR_LIMIT`` of the characters or
-``LINE_LIMIT`` of the lines.
+lines hold more than ``LINE_CHAR_LIMIT`` of the characters.
 
 Defined results: a null or empty text has no words, counts of zero and fails.
 Ties and repeated rows are judged one by one, an empty table gives no rows,
@@ -34,7 +33,6 @@ MOST_REPEAT_PERCENT = 50
 #: limits of the Gopher rules, Rae et al. 2021, table A1).
 CHAR_LIMITS = {5: 0.15, 7: 0.13, 10: 0.10}
 LINE_CHAR_LIMIT = 0.20
-LINE_LIMIT = 0.30
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -60,19 +58,22 @@ def word_characters(data: bytes) -> np.ndarray:
     return before[edges[1::2]] - before[edges[::2]]
 
 
+def _equal_pairs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each position whose key came before, with the nearest one before it."""
+    order = np.argsort(keys, kind="stable")
+    same = keys[order[1:]] == keys[order[:-1]]
+    return order[:-1][same], order[1:][same]
+
+
 def _repeated(ids: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the windows of ``n`` ids found more than once, and of those
     the ones that are not the first of their kind."""
-    order = np.argsort(hashes, kind="stable")
-    same = hashes[order[1:]] == hashes[order[:-1]]
-    left, right = order[:-1][same], order[1:][same]
-    for i in range(n):
-        if not np.array_equal(ids[left + i], ids[right + i]):
-            # two windows share a hash by chance: rank the windows themselves
-            windows = np.lib.stride_tricks.sliding_window_view(ids, n)
-            return _repeated(ids, np.unique(windows, axis=0, return_inverse=True)[1].ravel(), n) \
-                if hashes.dtype != np.intp else (np.union1d(left, right), right)
-    return np.union1d(left, right), right
+    before, later = _equal_pairs(hashes)
+    if any(not np.array_equal(ids[before + i], ids[later + i]) for i in range(n)):
+        # two different windows share a hash: rank the windows themselves
+        windows = np.lib.stride_tricks.sliding_window_view(ids, n)
+        before, later = _equal_pairs(np.unique(windows, axis=0, return_inverse=True)[1].ravel())
+    return np.union1d(before, later), later
 
 
 def _covered(starts: np.ndarray, n: int, words: int) -> np.ndarray:
@@ -130,7 +131,6 @@ def measures(text: str | None) -> dict:
                           or 100 * out["n_repeat_words"] > MOST_REPEAT_PERCENT * out["n_words"])
     out["kept"] = not (out["base_failed"]
                        or any(shares[n] > most for n, most in CHAR_LIMITS.items())
-                       or out["dup_line_share"] > LINE_LIMIT
                        or out["dup_line_char_share"] > LINE_CHAR_LIMIT)
     return out
 
