@@ -51,7 +51,7 @@ END_ID = 0
 SELECTORS = ((1, 60), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
              (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 #: Encoded words kept by a Python worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 
 
 # ---------------------------------------------------------------- coding
@@ -239,7 +239,12 @@ class CachedTokenizer:
             def __missing__(self, piece):
                 if len(self) >= CACHE_WORDS:
                     self.clear()
-                self[piece] = ids = encode(" " + piece)
+                # a mark behind a letter is a pre-token of its own
+                if len(piece) > 1 and piece[-1] in ".,;:!?" and piece[-2].isalpha():
+                    ids = self[piece[:-1]] + encode(piece[-1])
+                else:
+                    ids = encode(" " + piece)
+                self[piece] = ids
                 return ids
         self.pieces = Pieces()
 
@@ -271,6 +276,16 @@ class CachedTokenizer:
         return b"".join(self.pieces[p[1:]] if p[:1] == " " else self._encode(p) for p in out)
 
 
+_WORKER_TOKENIZER: list[tuple[str, CachedTokenizer]] = []
+
+
+def worker_tokenizer(definition: str) -> CachedTokenizer:
+    """The tokenizer of this Python worker: its cache serves all tasks the worker runs."""
+    if not _WORKER_TOKENIZER or _WORKER_TOKENIZER[0][0] != definition:
+        _WORKER_TOKENIZER[:] = [(definition, CachedTokenizer(definition))]
+    return _WORKER_TOKENIZER[0][1]
+
+
 def default_tokenizer() -> str:
     """Path of the 50k byte-level BPE vocabulary of the installed public tokenizers."""
     import public_tokenizers
@@ -294,7 +309,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str | None = None,
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _store(folder)
         store.create_dir(root, recursive=True)
-        tokenizer = CachedTokenizer(definition.value)
+        tokenizer = worker_tokenizer(definition.value)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.s8b"
         writer = sink = None
