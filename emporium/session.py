@@ -104,10 +104,10 @@ def remove_scratch(spark: SparkSession) -> None:
         fs.delete(root, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, and
     the rows no longer depend on any executor's local disk."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
