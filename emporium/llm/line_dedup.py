@@ -7,14 +7,15 @@ is 0.8 or more, and a group is a connected component of such links.
 
 1. Equal lines: a partially aggregated group-by leaves each different line
    once, however often it occurs.
-2. MinHash: 64 minima of hashed shingles, as 16 bands of four: lines at 0.8
-   share a band with probability 0.9998.  Bands held by one line are dropped,
+2. MinHash: 56 minima of hashed shingles, as 14 bands of four: lines at 0.8
+   share a band with probability 0.9994.  Bands held by one line are dropped,
    and bands with the same set of lines count once.
 3. Exact check within a band: lines come together in units of a bounded
    number of lines and characters (a larger band is cut into chunks, and each
-   pair of chunks is a unit, so every pair of lines meets).  In a unit, exact
-   Jaccard links lines to a growing union-find; pairs that are already
-   connected are not compared, and at most one link a line leaves the unit.
+   pair of chunks is a unit, so every pair of lines meets).  In a unit the
+   shingles are numbered exactly, a product of the lines-by-shingles matrix with
+   itself counts what each pair shares, and a union-find leaves at most one
+   link a line.
 4. Distributed union-find over the links; the line that stays in a group is
    the first one of the smallest document id.
 
@@ -28,6 +29,7 @@ rows.  Very long texts and lines are whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,9 +42,11 @@ from emporium.session import materialise
 
 SHINGLE = 8
 LEAST_SIMILARITY = 0.8
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 14, 4
 #: Lines and characters of a chunk; a unit holds two chunks at most.
-CHUNK_LINES, CHUNK_CHARS = 1_000, 1 << 19
+CHUNK_LINES, CHUNK_CHARS = 256, 1 << 18
+#: Columns of the lines-by-shingles matrix held at a time.
+TILE = 4_096
 #: The lines to compare are broadcast up to this measured number (8 bytes each).
 BROADCAST_LINES = 1_000_000
 #: Characters hashed at a time.
@@ -79,10 +83,11 @@ def band_hashes(lines: list[str]) -> np.ndarray:
             inside[starts[1:] - i] = False
         h = h[inside]
         first = np.r_[0, np.cumsum(lengths)[:-1]]
-        at = np.array(rows)
+        at, turned = np.array(rows), np.empty_like(h)
         for k in range(BANDS * ROWS):
-            low = np.minimum.reduceat(_mix_light(h, k), first)
-            np.minimum.at(minima[:, k], at, low)
+            np.multiply(h, _FACTORS[k], out=turned)
+            turned += _OFFSETS[k]
+            np.minimum.at(minima[:, k], at, np.minimum.reduceat(turned, first))
         rows.clear()
         parts.clear()
 
@@ -106,45 +111,68 @@ def band_hashes(lines: list[str]) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _mix_light(h: np.ndarray, k: int) -> np.ndarray:
-    x = h * _FACTORS[k] + _OFFSETS[k]
-    return x ^ (x >> np.uint32(15))
-
-
 def shingles(line: str) -> frozenset[str]:
     return frozenset(line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
 
 
+def _sorted_windows(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 8-character windows that start at ``at``, brought together when
+    equal: their starts, and a number for each that grows with every new one."""
+    h = np.zeros(len(codes) - SHINGLE + 1, dtype=np.uint64)
+    for i in range(SHINGLE):
+        h = h * np.uint64(0xD6E8FEB86659FD93) + codes[i:len(h) + i]
+        h ^= h >> np.uint64(32)
+    for exact in (False, True):
+        own = h[at]
+        order = np.argsort(own)
+        starts, own = at[order], own[order]
+        same = own[1:] == own[:-1]
+        left, right = starts[:-1][same], starts[1:][same]
+        if exact or all(np.array_equal(codes[left + i], codes[right + i]) for i in range(SHINGLE)):
+            return starts, np.cumsum(np.r_[False, ~same])
+        # two different windows share a hash: rank the windows themselves
+        windows = np.lib.stride_tricks.sliding_window_view(codes, SHINGLE)
+        h = np.unique(windows, axis=0, return_inverse=True)[1].ravel()
+
+
 def unit_links(lines: list[str], least: float = LEAST_SIMILARITY) -> list[tuple[int, int]]:
     """Links between the lines of a unit (by position): a spanning forest of
     "exact Jaccard of ``least`` or more"."""
-    sets = [shingles(line) for line in lines]
-    root = list(range(len(lines)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
-    by_size = sorted(range(len(lines)), key=lambda i: len(sets[i]))
-    for n, i in enumerate(by_size):
-        a = sets[i]
-        for j in by_size[n + 1:]:
-            if len(a) < least * len(sets[j]):
-                break  # this one and all after are too large
-            if find(i) == find(j):
-                continue
-            shared = len(a & sets[j])
-            if shared >= least * (len(a) + len(sets[j]) - shared):
-                root[find(i)] = find(j)
-                out.append((i, j))
-    return out
+    m = len(lines)
+    if m < 2:
+        return []
+    parts = [line.ljust(SHINGLE, "\0") for line in lines]
+    lengths = np.array([len(p) for p in parts])
+    codes = np.frombuffer("".join(parts).encode("utf-32-le"), dtype="<u4")
+    owner = np.repeat(np.arange(m), lengths)
+    at = np.arange(len(codes))
+    starts, column = _sorted_windows(codes, at[at + SHINGLE <= np.cumsum(lengths)[owner]])
+    owner = owner[starts]
+    shared, sizes = np.zeros((m, m)), np.zeros(m)
+    width = int(column[-1]) + 1
+    for first in range(0, width, TILE):
+        low, high = np.searchsorted(column, (first, first + TILE))
+        tile = np.zeros((m, min(TILE, width - first)), dtype=np.float32)
+        tile[owner[low:high], column[low:high] - first] = 1.0
+        shared += tile @ tile.T
+        sizes += tile.sum(axis=1)
+    similar = shared >= least * (sizes[:, None] + sizes[None, :] - shared)
+    root = np.arange(m)  # the smallest position each line is connected to
+    while True:
+        near = np.where(similar, root[None, :], m).min(axis=1)
+        near = np.minimum(root, near)
+        near = near[near]
+        if np.array_equal(near, root):
+            break
+        root = near
+    return [(i, int(r)) for i, r in enumerate(root) if r != i]
 
 
 def normal_form(line: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(line, r"\s+", " ")))
+    """Lower case, white space runs as one space and none at the ends (the
+    regular expression runs only where there is something to replace)."""
+    odd = reduce(Column.__or__, (F.contains(line, F.lit(x)) for x in ("  ", "\t", "\r", "\f", "\v")))
+    return F.lower(F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
 
 
 def _links_in_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,9 +226,11 @@ def line_links(lines: DataFrame) -> DataFrame:
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(doc_id, row_key, line_no, line)`` of every line with visible characters."""
-    at = F.posexplode(F.split(F.col("text"), "\n")).alias("line_no", "line")
-    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return read.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), at) \
+    # the key is computed before the lines part, so no line carries its whole text
+    read = docs.select(F.col(id_col).alias("doc_id"),
+                       F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"),
+                       F.split(F.col(text_col), "\n").alias("lines"))
+    return read.select("doc_id", "row_key", F.posexplode("lines").alias("line_no", "line")) \
         .withColumn("line", normal_form(F.col("line"))).where("line <> ''")
 
 
@@ -218,7 +248,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc"),
             F.coalesce(F.min_by("row_key", "doc_id"), F.min("row_key")).alias("first_row"))
         .withColumn("line_id", F.monotonically_increasing_id())
-        .select("line_id", "line", "times", "first_doc", "first_row", *_keys("line")), "lines")
+        .select("line_id", "line", "times", "first_doc", "first_row", *_keys("line")), "lines",
+        compression="zstd")
     roots = components(line_links(different.select("line_id", "line")), "line-links")
     grouped = different.select("line_id", "key1", "key2", "times", "first_doc", "first_row") \
         .join(roots, F.col("line_id") == F.col("node"), "left") \
