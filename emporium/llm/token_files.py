@@ -51,39 +51,50 @@ END_ID = 0
 SELECTORS = ((1, 60), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
              (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 #: Encoded words kept by a Python worker.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_200_000
 
 
 # ---------------------------------------------------------------- coding
+def _bit_lengths(ids: np.ndarray) -> np.ndarray:
+    """Bits of each id, from the exponent of its double (0 has 0; rounding can
+    make an id of 53 bits or more one bit longer, never shorter)."""
+    exponent = (ids.astype(np.float64).view(np.uint64) >> np.uint64(52)).astype(np.int64) - 1022
+    return np.maximum(exponent, 0).astype(np.uint8)
+
+
 def encode_block(ids: np.ndarray) -> bytes:
     """One block of ids (uint64)."""
     n = len(ids)
-    escaped = ids >= np.uint64(1 << 60)
+    width = _bit_lengths(ids)
+    escaped = width > 60
     escapes = ids[escaped]
     if len(escapes):
         ids = ids.copy()
         ids[escaped] = np.arange(len(escapes), dtype=np.uint64)
-    selector = np.full(n, len(SELECTORS) - 1, dtype=np.int64)
-    step = np.ones(n, dtype=np.int64)
+    selector = np.full(n, len(SELECTORS) - 1, dtype=np.uint8)
+    step = np.ones(n, dtype=np.uint8)
     # from few wide ids to many narrow ones; when a packing fits nowhere, no
     # denser one does
+    widest, held = width, 1  # the longest of the `held` ids from each place
     for s in range(len(SELECTORS) - 2, 0, -1):
         count, bits = SELECTORS[s]
         if n < count:
             break
-        wide = np.r_[0, np.cumsum((ids >= np.uint64(1 << bits)) | escaped)]
-        fits = np.flatnonzero(wide[count:] == wide[:-count])
-        if not len(fits):
+        while held < count:
+            widest = np.maximum(widest[:-1], width[held:])
+            held += 1
+        fits = widest <= bits
+        if not fits.any():
             break
-        selector[fits], step[fits] = s, count
+        np.putmask(selector[:len(fits)], fits, s)
+        np.putmask(step[:len(fits)], fits, count)
     selector[escaped], step[escaped] = 0, 1
-    after = (np.arange(n) + step).tolist()
-    starts, at = [], 0
+    steps, starts, at = step.tobytes(), [], 0
     while at < n:
         starts.append(at)
-        at = after[at]
+        at += steps[at]
     starts = np.array(starts, dtype=np.int64)
-    chosen = selector[starts]
+    chosen = selector[starts].astype(np.int64)
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in np.unique(chosen):
         count, bits = SELECTORS[s]
