@@ -29,7 +29,6 @@ rows.  Very long texts and lines are whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -171,12 +170,14 @@ def unit_links(lines: list[str], least: float = LEAST_SIMILARITY) -> list[tuple[
 def normal_form(line: Column) -> Column:
     """Lower case, white space runs as one space and none at the ends (the
     regular expression runs only where there is something to replace)."""
-    odd = reduce(Column.__or__, (F.contains(line, F.lit(x)) for x in ("  ", "\t", "\r", "\f", "\v")))
-    return F.lower(F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
+    line = F.btrim(line, F.lit(" \t\r\f\v"))
+    odd = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t"))
+    return F.lower(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
 
 
 def _links_in_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by unit → links; a unit may go on in the next batch."""
+    """Rows sorted by unit and line → links to the smallest line of each part
+    of a unit; a unit may go on in the next batch."""
     open_unit, ids, lines = None, [], []
 
     def links():
@@ -220,7 +221,7 @@ def line_links(lines: DataFrame) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
         .select(F.xxhash64("same", "n", F.least("mine", "other"), F.greatest("mine", "other"))
                 .alias("unit"), "line_id", "line")
-    return units.repartition("unit").sortWithinPartitions("unit") \
+    return units.repartition("unit").sortWithinPartitions("unit", "line_id") \
         .mapInPandas(_links_in_units, "a long, b long")
 
 
