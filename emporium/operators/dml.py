@@ -56,22 +56,26 @@ def update_where(target: DataFrame, assignments: Mapping[str, Column],
     keys = _keys(key) if key is not None else []
     marked = _mark(target, where, picked, keys)
     hit = F.col(_HIT)
-    out = [F.when(hit, assign_cast(assignments[c], types[c])).otherwise(F.col(c)).alias(c)
+    given = dict(marked.select(*(e.alias(c) for c, e in assignments.items())).dtypes)
+    out = [F.when(hit, assign_cast(assignments[c], types[c], given[c])).otherwise(F.col(c)).alias(c)
            if c in assignments else F.col(c) for c in cols]
     new_version = marked.select(*out)
     changed = marked.where(hit).select(*out)
     return TableChange(new_version, changed)
 
 
-def assign_cast(expr: Column, type_name: str) -> Column:
-    """Store a value into a column of ``type_name`` as an assignment would.
+def assign_cast(expr: Column, type_name: str, given: str = "double") -> Column:
+    """Store a value of type ``given`` into a column of ``type_name`` as an
+    assignment would.
 
-    Integers round half to even (``rint``), like a double assigned to an
-    INTEGER column; decimals round half up to the column scale; other types
-    are cast.
+    Into an integer, a floating value rounds half to even and a decimal half
+    away from zero, and an integer stays exact; into a decimal, values round
+    half away from zero to the column's scale; other types are cast.
     """
     if type_name in ("int", "bigint", "smallint", "tinyint"):
-        return F.rint(expr.cast("double")).cast(type_name)
+        if given in ("double", "float"):
+            return F.rint(expr).cast(type_name)
+        return (F.round(expr, 0) if given.startswith("decimal") else expr).cast(type_name)
     if type_name.startswith("decimal"):
         scale = int(type_name.split(",")[1].rstrip(")"))
         return F.round(expr, scale).cast(type_name)

@@ -39,6 +39,9 @@ WEATHER_SCHEMA = T.StructType([
 ])
 
 
+_CORRUPT = "_corrupt_body"
+
+
 def label_key(labels: Column) -> Column:
     """Orderable, groupable form of a label map (entries sorted by key)."""
     return F.array_sort(F.map_entries(labels))
@@ -52,8 +55,11 @@ def weather_to_metrics(df: DataFrame, city: str = "city", ts: str = "ts",
     produce samples with ok = false, so ``latest_gauges`` keeps the previous
     value for that city.
     """
-    parsed = df.withColumn("_w", F.from_json(F.col(body), WEATHER_SCHEMA))
-    good = F.col("_w").isNotNull()
+    parsed = df.withColumn("_w", F.from_json(
+        F.col(body), T.StructType([*WEATHER_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())]),
+        {"columnNameOfCorruptRecord": _CORRUPT}))
+    # a body that does not parse gives a struct of nulls and the body itself
+    good = F.col("_w").isNotNull() & F.col(f"_w.{_CORRUPT}").isNull()
     if ok is not None:
         good = good & F.coalesce(F.col(ok), F.lit(False))
     def field(path: str) -> Column:
@@ -148,6 +154,14 @@ _LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(\{(.*)\})?\s+(\S+)(\s+(-?\d+))?\s*$"
 _PAIR = r'([a-zA-Z_][a-zA-Z0-9_]*)\s*=\s*"((?:[^"\\]|\\.)*)"'
 
 
+def _unescape(v: Column) -> Column:
+    """Label value as written: ``\\n`` is a line end, any other escaped
+    character itself (escaped backslashes are set aside meanwhile)."""
+    aside = F.replace(v, F.lit("\\\\"), F.lit("\0"))
+    ends = F.replace(aside, F.lit("\\n"), F.lit("\n"))
+    return F.replace(F.regexp_replace(ends, r"\\(.)", "$1"), F.lit("\0"), F.lit("\\"))
+
+
 def parse_exposition(lines: DataFrame, col: str = "value") -> DataFrame:
     """``name{k="v",...} value [ts_ms]`` lines → samples; comments and blanks
     skipped; a value that is not a number becomes NULL."""
@@ -158,7 +172,7 @@ def parse_exposition(lines: DataFrame, col: str = "value") -> DataFrame:
     # key="value" pairs; a quoted value may contain commas, '=' and \" escapes
     keys = F.regexp_extract_all(raw_labels, F.lit(_PAIR), 1)
     values = F.transform(F.regexp_extract_all(raw_labels, F.lit(_PAIR), 2),
-                         lambda v: F.regexp_replace(v, r'\\(.)', "$1"))
+                         _unescape)
     entries = F.arrays_zip(keys.alias("key"), values.alias("value"))
     number = F.regexp_extract(line, _LINE, 4)
     extra = [c for c in lines.columns if c != col]
@@ -174,8 +188,9 @@ def to_exposition(samples: DataFrame, help_text: Mapping[str, str] | None = None
                   kind: str = "gauge") -> DataFrame:
     """Samples → exposition lines (one string column ``value``), with HELP and
     TYPE lines per metric; write with ``df.write.text``."""
-    def quoted(v):  # escape backslashes and quotes inside a label value
-        return F.regexp_replace(F.regexp_replace(v, r"\\", r"\\\\"), '"', '\\\\"')
+    def quoted(v):  # escape backslashes, quotes and line ends inside a label value
+        return F.replace(F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')),
+                         F.lit("\n"), F.lit("\\n"))
     lab = F.array_join(F.transform(label_key(F.col("labels")),
                                    lambda e: F.format_string('%s="%s"', e["key"], quoted(e["value"]))), ",")
     body = F.concat(F.col("metric"), F.when(F.size("labels") > 0, F.concat(F.lit("{"), lab, F.lit("}")))

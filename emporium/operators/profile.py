@@ -19,6 +19,7 @@ ends its search as soon as its bucket has min == max.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -68,22 +69,35 @@ def _case(targets: dict[int, _Target], value) -> F.Column:
     return expr
 
 
+def _finite(t: _Target) -> bool:
+    return math.isfinite(t.lo) and math.isfinite(t.hi)
+
+
+def _width(t: _Target, buckets: int) -> float:
+    return t.hi / buckets - t.lo / buckets
+
+
 def exact_ranks(long: DataFrame, targets: dict[int, _Target], buckets: int = 1024,
                 small: int = 100_000) -> dict[int, float]:
     """Exact k-th values for several (column, rank) targets of a long table (c, v)."""
     result: dict[int, float] = {}
     while True:
         for i, t in targets.items():
-            if i not in result and t.lo == t.hi:
+            if i not in result and (t.lo == t.hi or math.isnan(t.lo)):
                 result[i] = float(t.lo)
         big = {i: t for i, t in targets.items()
-               if i not in result and t.n > small and (t.hi - t.lo) / buckets > 0}
+               if i not in result and t.n > small and (not _finite(t) or _width(t, buckets) > 0)}
         if not big:
             break
         tagged = _tag(long, big)
         lo = _case(big, lambda t: t.lo)
-        width = _case(big, lambda t: (t.hi - t.lo) / buckets)
-        b = F.least(F.floor((F.col("v") - lo) / width), F.lit(buckets - 1))
+        width = _case(big, lambda t: _width(t, buckets) if _finite(t) else 1.0)
+        # a range with an infinity or NaN is first split from its finite values
+        infinite = F.lit(float("inf"))
+        split = F.when(F.col("v") == -infinite, -1).when(F.isnan("v"), 2) \
+            .when(F.col("v") == infinite, 1).otherwise(0)
+        b = F.when(_case(big, _finite), F.least(F.floor(F.col("v") / width - lo / width),
+                                                F.lit(buckets - 1))).otherwise(split)
         hist = (tagged.groupBy("t", b.alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
                 .collect())  # at most buckets rows per target

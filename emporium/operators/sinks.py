@@ -15,6 +15,7 @@ import json
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -35,6 +36,26 @@ def _run_all(tasks: dict, writers: int = WRITERS) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
+class NothingPublished(FileNotFoundError):
+    """The folder holds no (such) published version."""
+
+
+def _manifests(spark: SparkSession, root: str) -> DataFrame:
+    """``(value, version, sequence, committed_ns)`` of every published version;
+    versions are ordered by the sequence number, never by their names."""
+    try:
+        docs = spark.read.text(f"{root.rstrip('/')}/{MANIFEST_DIR}").select("value")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise NothingPublished(f"no published version under {root}") from None
+    info = F.from_json("value", "version string, sequence long, committed_ns long",
+                       {"mode": "FAILFAST"})
+    return docs.select("value", info.alias("info")) \
+        .select("value", "info.version", F.coalesce("info.sequence", F.lit(0)).alias("sequence"),
+                F.coalesce("info.committed_ns", F.lit(0)).alias("committed_ns"))
+
+
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                    version: str | None = None, check=None) -> str:
     """Write every table under ``root/<name>/v=<version>`` then the manifest.
@@ -49,7 +70,12 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
               for name, df in tables.items()})
     if check is not None:
         check({name: spark.read.parquet(path) for name, path in paths.items()})
-    manifest = json.dumps({"version": version, "tables": paths}, sort_keys=True)
+    try:
+        newest = _manifests(spark, root).agg(F.max("sequence")).first()[0]
+    except NothingPublished:
+        newest = None
+    manifest = json.dumps({"version": version, "tables": paths, "sequence": (newest or 0) + 1,
+                           "committed_ns": time.time_ns()}, sort_keys=True)
     # the manifest is one tiny JSON document; written through Spark so it
     # lands on the same (shared) file system as the tables
     (spark.createDataFrame([(manifest,)], "value string").coalesce(1)
@@ -59,12 +85,13 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
 
 def read_published(spark: SparkSession, root: str, version: str | None = None) -> dict[str, DataFrame]:
     """Tables of the given (default: newest) published version."""
-    manifests = spark.read.text(f"{root.rstrip('/')}/{MANIFEST_DIR}")
+    manifests = _manifests(spark, root)
     if version is not None:
-        manifests = manifests.where(F.col("v") == version)
-    doc = manifests.orderBy(F.col("v").desc()).select("value").first()
+        manifests = manifests.where(F.col("version") == version)
+    doc = manifests.orderBy(F.desc("sequence"), F.desc("committed_ns"), F.desc("version")) \
+        .select("value").first()
     if doc is None:
-        raise FileNotFoundError(f"no published version under {root}")
+        raise NothingPublished(f"no published version {version or ''} under {root}")
     info = json.loads(doc[0])
     return {name: spark.read.parquet(path) for name, path in info["tables"].items()}
 

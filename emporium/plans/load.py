@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from emporium.operators import quality, upsert
-from emporium.operators.sinks import publish_tables, read_published
+from emporium.operators.sinks import NothingPublished, publish_tables, read_published
 from emporium.sources.files import KEYS, LOAD_ORDER, SCHEMAS, read_csv_table
 
 # (child table, foreign key columns, parent table, parent key columns)
@@ -42,7 +42,7 @@ def bulk_load(spark: SparkSession, csv_paths: dict[str, str], root: str,
     """Load every table of ``csv_paths`` (name → CSV file or folder) into ``root``."""
     try:
         current = read_published(spark, root)
-    except Exception:
+    except NothingPublished:
         current = {}
     new_tables, inserted = {}, {}
     for name in LOAD_ORDER:

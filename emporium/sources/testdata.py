@@ -75,12 +75,11 @@ class Star:
             return self.spark.read.schema(_schema_of(self.spark, path)).parquet(path)
         # the same row-wise derivations applied to a file stream of the raw
         # table; the schema is fixed up front, as streaming sources require
-        # (file streams watch a folder: the table's file is selected by name)
-        reader = (self.spark.readStream.schema(_schema_of(self.spark, path))
-                  .option("pathGlobFilter", f"{name}.parquet"))
+        # (a table may be one file or a folder of files: the pattern names either)
+        reader = self.spark.readStream.schema(_schema_of(self.spark, path))
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
-        return reader.parquet(self.sf_dir)
+        return reader.parquet(f"{self.sf_dir}/{name}.parque[t]")
 
     # Each view is one join/filter plus one ``selectExpr`` projection: the
     # expressions are SQL text, so building a view costs a couple of calls

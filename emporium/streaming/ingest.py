@@ -6,7 +6,8 @@ by streaming queries:
 
 * ``ingest_if_absent`` — each micro-batch is inserted with
   ``insert_if_absent`` into a Parquet table folder; the batch is written to
-  its own ``batch_id=<n>`` partitions with overwrite, so a replayed batch
+  its own ``batch_id=<run>-<n>`` partitions with overwrite (a run is one
+  checkpoint; its id is kept beside it), so a replayed batch
   (after a driver or executor failure) replaces its own output instead of
   duplicating it, and it is checked against every *other* batch, so the
   replay does not mistake its first attempt for existing rows.  Stored keys
@@ -24,8 +25,10 @@ TIMESTAMP_NTZ, which ``withWatermark`` rejects), so they are cast first.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -63,22 +66,37 @@ def ingest_if_absent(stream: DataFrame, table_dir: str, checkpoint: str, key: st
     ``batch_id``.  A micro-batch reads stored keys only from the buckets its
     own keys fall into (partition pruning), so its cost follows the batch,
     not the table.  ``seed`` (optional) is the table's initial content,
-    written as batch -1 before the stream starts.  Read the table with
-    :func:`read_ingested`.
+    inserted if absent before the stream starts; a restart writes the same
+    rows again.  Streams with other checkpoints may write to the same table,
+    one after another.  Read the table with :func:`read_ingested`.
     """
     spark = stream.sparkSession
     keys = _keys(key)
     cols = stream.columns
+    run = _run_id(spark, checkpoint)
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        # one writer per bucket: one file per touched bucket and batch
-        (df.withColumn(BUCKET_COL, key_bucket(keys)).withColumn(BATCH_COL, F.lit(batch_id))
-         .repartition(BUCKET_COL)
+    def write(df: DataFrame, part: str) -> None:
+        # whole rows decide the task, so neither a bucket nor null keys bound the writers
+        (df.withColumn(BUCKET_COL, key_bucket(keys)).withColumn(BATCH_COL, F.lit(part))
+         .repartition(F.col(BUCKET_COL), F.xxhash64(*cols))
          .write.mode("overwrite").partitionBy(BUCKET_COL, BATCH_COL)
          .option("partitionOverwriteMode", "dynamic").parquet(table_dir))
 
+    def absent(df: DataFrame, part: str, touched: list[int] | None = None) -> DataFrame:
+        """The rows whose keys are stored by no other batch of any run."""
+        try:
+            stored = spark.read.parquet(table_dir)
+        except AnalysisException as e:  # an empty table: nothing stored yet
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return df
+        if touched is not None:
+            stored = stored.where(F.col(BUCKET_COL).isin(touched))
+        stored = stored.where(F.col(BATCH_COL) != part).select(*keys)
+        return df.join(stored, keys, "left_anti")
+
     if seed is not None:
-        write(seed.select(*cols), -1)
+        write(absent(seed.select(*cols), f"{run}-seed"), f"{run}-seed")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # the micro-batch is read twice (bucket ids, rows); keep it for the
@@ -90,17 +108,8 @@ def ingest_if_absent(stream: DataFrame, table_dir: str, checkpoint: str, key: st
             # (de-duplication does not change the set of keys)
             touched = [r[0] for r in batch.where(~_any_null(keys))
                        .select(key_bucket(keys)).distinct().collect()]
-            deduped = first_wins(batch, keys, order_by)
-            try:
-                stored = (spark.read.parquet(table_dir)
-                          .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) != batch_id))
-                          .select(*keys))
-                new_rows = deduped.join(stored, keys, "left_anti")
-            except Exception as e:  # first batch of an empty table: nothing stored yet
-                if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                    raise
-                new_rows = deduped
-            write(new_rows, batch_id)
+            part = f"{run}-{batch_id}"
+            write(absent(first_wins(batch, keys, order_by), part, touched), part)
         finally:
             batch.unpersist()
 
@@ -110,6 +119,20 @@ def ingest_if_absent(stream: DataFrame, table_dir: str, checkpoint: str, key: st
     return writer.start()
 
 
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that owns ``checkpoint``: written beside the
+    checkpoint's own files once, so it lives and goes with them."""
+    path = f"{checkpoint.rstrip('/')}/run_id"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    run = "r" + uuid.uuid4().hex[:16]
+    spark.createDataFrame([(run,)], "value string").coalesce(1).write.text(path)
+    return run
+
+
 def dedupe_within_watermark(stream: DataFrame, key: str | Sequence[str], ts: str,
                             delay: str = "1 day") -> DataFrame:
     """Drop repeated keys that arrive within ``delay`` of event time."""
