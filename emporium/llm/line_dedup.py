@@ -167,10 +167,13 @@ def unit_links(lines: list[str], least: float = LEAST_SIMILARITY) -> list[tuple[
     return [(i, int(r)) for i, r in enumerate(root) if r != i]
 
 
+_ENDS = " \t\r\f\v"
+
+
 def normal_form(line: Column) -> Column:
     """Lower case, white space runs as one space and none at the ends (the
     regular expression runs only where there is something to replace)."""
-    line = F.btrim(line, F.lit(" \t\r\f\v"))
+    line = F.btrim(line, F.lit(_ENDS))
     odd = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t"))
     return F.lower(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
 
@@ -231,8 +234,9 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     read = docs.select(F.col(id_col).alias("doc_id"),
                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"),
                        F.split(F.col(text_col), "\n").alias("lines"))
-    return read.select("doc_id", "row_key", F.posexplode("lines").alias("line_no", "line")) \
-        .withColumn("line", normal_form(F.col("line"))).where("line <> ''")
+    lines = read.select("doc_id", "row_key", F.posexplode("lines").alias("line_no", "line"))
+    # (asked of the raw line: a filter on the normal form would compute it twice)
+    return lines.where(F.btrim("line", F.lit(_ENDS)) != "").withColumn("line", normal_form(F.col("line")))
 
 
 def _keys(line: str) -> list[Column]:
