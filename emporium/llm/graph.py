@@ -5,7 +5,10 @@ Components in MapReduce and Beyond", 2014): each round links every node to
 the smallest node it can see, so the longest chain shrinks by a constant
 factor and the result is a set of stars.  The edge list never reaches the
 driver; a round is a partially aggregated minimum and a join, and its result
-is written to the shared folder, which cuts the lineage.
+is written to the shared folder, which cuts the lineage.  In a large star the
+minima of the few nodes with a large part of all edges are broadcast, so the
+edges of a hub to larger nodes, as links to a group's smallest node are, never
+meet in one task.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.llm.hot import join_counted
 from emporium.session import materialise
 
 
@@ -28,7 +32,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         .distinct(), name)
     state = _state(edges)
     while True:
-        edges = materialise(_small_star(_large_star(edges)), name)
+        edges = materialise(_large_star(edges, state[0], name), name)
+        edges = materialise(_small_star(edges), name)
         new = _state(edges)
         if new == state:
             break
@@ -44,12 +49,13 @@ def _state(edges: DataFrame) -> tuple:
                            F.sum(h.cast("decimal(38,0)"))).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, count: int, name: str) -> DataFrame:
     """Link each larger neighbour of a node to the smallest node of its neighbourhood."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")) \
-        .select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = materialise(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+                        .select("u", F.least("u", "m").alias("m"), "n"), f"{name}-least")
+    return join_counted(both.where("v > u"), least, ["u"], 2 * count) \
+        .select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -19,7 +19,9 @@
    written out, and no link is lost.
 5. Components of the links give the groups.
 
-Only distinct fingerprints enter steps 2 to 5; exact copies are one row.
+Only distinct fingerprints enter steps 2 to 5; exact copies are one row.  The
+answers for fingerprints that hold a large part of all documents are
+broadcast (``hot.join_counted``), so no group of copies meets in one task.
 
 Defined results: a null or empty text has fingerprint zero and is linked
 like any other.  Null ids are ignored when the smallest id is chosen (null
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporium.llm.graph import components
+from emporium.llm.hot import join_counted
 from emporium.session import materialise
 
 SEED = 42
@@ -111,14 +114,16 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def fingerprint_groups(fps: DataFrame) -> DataFrame:
-    """``(fp, first_id)`` per distinct fingerprint → ``(fp, component_id)``."""
+    """``(fp, first_id, ...)`` per distinct fingerprint → ``(fp, component_id, ...)``."""
     fps = materialise(fps, "simhash-distinct")
     roots = components(links(fps.select("fp")), "simhash-links")
-    linked = fps.join(roots, fps.fp == roots.node).select("fp", "root", "first_id")
-    least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    named = linked.join(least, "root").select("fp", "least_id")
-    return fps.join(named, "fp", "left").select(
-        "fp", F.coalesce("least_id", "first_id").alias("component_id"))
+    linked = materialise(fps.join(roots, fps.fp == roots.node).select("fp", "root", "first_id"),
+                         "simhash-linked")
+    least = materialise(linked.groupBy("root").agg(F.min("first_id").alias("least_id"),
+                                                   F.count(F.lit(1)).alias("n")), "simhash-least")
+    named = join_counted(linked, least, ["root"], linked.count()).select("fp", "least_id")
+    return fps.join(named, "fp", "left") \
+        .withColumn("component_id", F.coalesce("least_id", "first_id")).drop("first_id", "least_id")
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -131,8 +136,9 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     signed = materialise(docs.select(F.col(id_col).alias("doc_id"),
                                      fingerprint_column(F.col(text_col), shingle).alias("fp")),
                          "simhash-fingerprints")
-    groups = fingerprint_groups(signed.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    return signed.join(groups, "fp").select(
+    groups = materialise(fingerprint_groups(signed.groupBy("fp").agg(
+        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))), "simhash-groups")
+    return join_counted(signed, groups, ["fp"], signed.count()).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

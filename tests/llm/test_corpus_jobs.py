@@ -15,6 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
+from emporium.llm import hot as HOT
 from emporium.llm import decontamination as D
 from emporium.llm import language_id as LI
 from emporium.llm import line_dedup as LD
@@ -22,6 +23,7 @@ from emporium.llm import mixing as M
 from emporium.llm import registry
 from emporium.llm import sharding as S
 from emporium.llm import token_files as TF
+from emporium.llm.graph import components
 from emporium.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -339,6 +341,43 @@ def test_line_dedup_matches_brute_force(spark, monkeypatch, chunk):
     assert got == {doc: want.get(doc, []) for doc in texts}
 
 
+def test_line_dedup_of_a_large_family(spark, monkeypatch):
+    """Two families that meet in bands, many chunks: near lines of one pivot
+    do not meet, far ones meet everything."""
+    monkeypatch.setattr(LD, "CHUNK_LINES", 5)
+    rng = random.Random(3)
+    stem = "".join(rng.choice("abcdefghijklmnop ") for _ in range(120))
+    other = stem[:60] + "".join(rng.choice("qrstuvwxyz") for _ in range(60))
+    family = [f"{stem}{k:03d}" for k in range(60)] + [f"{other}{k:03d}" for k in range(30)]
+    family += [stem[:100 + k] for k in range(0, 20, 2)] + [stem[30:], stem[:60], stem[:75]]
+    texts = {k: f"{line}\nown line {k} {rng.random()}" for k, line in enumerate(family)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_removed(texts)
+    got = {r.doc_id: r.removed for r in LD.digest(docs).collect()}
+    assert got == {doc: want.get(doc, []) for doc in texts}
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr(HOT, "MOST_HOT_KEYS", 10)
+    rng = random.Random(5)
+    edges = [(0, k) for k in range(1, 200)] + [(900, k) for k in range(300, 500)]
+    edges += [(k, k + 1) for k in range(1000, 1030)] + [(5, 300), (2000, 2000)]
+    edges += [(rng.randrange(3000, 3200), rng.randrange(3000, 3200)) for _ in range(150)]
+    rng.shuffle(edges)
+    root = {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            least = min(root[a], root[b])
+            if root[a] != least or root[b] != least:
+                root[a] = root[b] = least
+                changed = True
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    got = components(spark.createDataFrame(edges, "a long, b long"))
+    assert {(r.node, r.root) for r in got.collect()} == {(x, root[x]) for x in linked}
+
+
 def test_band_hashes_of_pieces(monkeypatch):
     lines = ["short", "x" * 8, "the quick brown fox jumps over it " * 9, "é" * 50, "ab"]
     whole = LD.band_hashes(lines)
