@@ -11,11 +11,15 @@ is 0.8 or more, and a group is a connected component of such links.
    share a band with probability 0.9994.  Bands held by one line are dropped,
    and bands with the same set of lines count once.
 3. Exact check within a band: lines come together in units of a bounded
-   number of lines and characters (a larger band is cut into chunks, and each
-   pair of chunks is a unit, so every pair of lines meets).  In a unit the
-   shingles are numbered exactly, a product of the lines-by-shingles matrix with
-   itself counts what each pair shares, and a union-find leaves at most one
-   link a line.
+   number of lines and characters.  In a unit the shingles are numbered
+   exactly, a product of the lines-by-shingles matrix with itself counts what
+   each pair shares, and a union-find leaves at most one link a line.  A
+   larger band is cut into chunks, each checked together with the band's
+   first line, the pivot.  Lines linked to the pivot are in one group already
+   and need not meet each other again; the far lines, those that are not, meet
+   each other and all the rest of the band, chunk by chunk.  So a large family
+   of near-equal lines costs a few rows a line, and no link between groups is
+   lost.
 4. Distributed union-find over the links; the line that stays in a group is
    the first one of the smallest document id.
 
@@ -37,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporium.llm.graph import components
+from emporium.llm.hot import join_counted
 from emporium.session import materialise
 
 SHINGLE = 8
@@ -184,18 +189,31 @@ def _links_in_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     open_unit, ids, lines = None, [], []
 
     def links():
-        return [(ids[a], ids[b]) for a, b in unit_links(lines)]
+        return [(*open_unit[1:], ids[a], ids[b]) for a, b in unit_links(lines)]
 
     for pdf in batches:
         found = []
-        for unit, line_id, line in zip(pdf["unit"].tolist(), pdf["line_id"].tolist(), pdf["line"]):
+        for *unit, line_id, line in zip(pdf["unit"].tolist(), pdf["same"].tolist(), pdf["n"].tolist(),
+                                        pdf["line_id"].tolist(), pdf["line"]):
             if unit != open_unit:
                 found += links()
                 open_unit, ids, lines = unit, [], []
             ids.append(line_id)
             lines.append(line)
-        yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-    yield pd.DataFrame(links(), columns=["a", "b"], dtype="int64")
+        yield pd.DataFrame(found, columns=["same", "n", "a", "b"], dtype="int64")
+    yield pd.DataFrame(links(), columns=["same", "n", "a", "b"], dtype="int64")
+
+
+def _linked(members: DataFrame, wanted: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(same, n, unit, line_id)`` → links ``(same, n, a, b)`` within each
+    unit; ``wanted`` holds the ids of the members."""
+    wanted = materialise(wanted.select("line_id").distinct(), "lines-wanted")
+    if wanted.count() <= BROADCAST_LINES:
+        wanted = F.broadcast(wanted)
+    return members.join(lines.join(wanted, "line_id", "left_semi"), "line_id") \
+        .select("unit", "same", "n", "line_id", "line") \
+        .repartition("unit").sortWithinPartitions("unit", "same", "n", "line_id") \
+        .mapInPandas(_links_in_units, "same long, n long, a long, b long")
 
 
 def line_links(lines: DataFrame) -> DataFrame:
@@ -205,27 +223,52 @@ def line_links(lines: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.Series(list(band_hashes(batch.tolist())), dtype=object)
 
-    held = lines.select("line_id", F.explode(bands.asNondeterministic()("line")).alias("band"))
+    # (lengths rounded up to a power of two take next to no room in the shuffle)
+    held = lines.select("line_id", F.pow(2, F.ceil(F.log2(F.length("line")))).cast("long").alias("chars"),
+                        F.explode(bands.asNondeterministic()("line")).alias("band"))
     own = Window.partitionBy("band")
+    chunks = F.greatest(F.ceil(F.col("n") / CHUNK_LINES), F.ceil(F.col("total") / CHUNK_CHARS))
     met = materialise(
         held.withColumn("n", F.count(F.lit(1)).over(own))
         .withColumn("same", F.bit_xor(F.xxhash64("line_id")).over(own))
-        .where("n > 1").select("same", "n", "line_id").distinct(), "lines-met")
-    wanted = materialise(met.select("line_id").distinct(), "lines-wanted")
-    if wanted.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
-    texts = lines.join(wanted, "line_id", "left_semi")
-    members = met.join(texts, "line_id")
-    group = Window.partitionBy("same", "n")
-    chunks = F.greatest(F.ceil(F.col("n") / CHUNK_LINES),
-                        F.ceil(F.sum(F.length("line")).over(group) / CHUNK_CHARS)).cast("int")
-    units = members.withColumn("chunks", chunks) \
-        .withColumn("mine", F.pmod(F.xxhash64("line_id"), F.col("chunks")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
-        .select(F.xxhash64("same", "n", F.least("mine", "other"), F.greatest("mine", "other"))
-                .alias("unit"), "line_id", "line")
-    return units.repartition("unit").sortWithinPartitions("unit", "line_id") \
-        .mapInPandas(_links_in_units, "a long, b long")
+        .withColumn("total", F.sum("chars").over(own))
+        .withColumn("pivot", F.min("line_id").over(own))
+        .where("n > 1").select("same", "n", chunks.cast("int").alias("chunks"), "pivot", "line_id",
+                               "chars").distinct(), "lines-met")
+
+    # every chunk by itself, the pivot in all chunks of its group
+    mine = F.pmod(F.xxhash64("line_id"), F.col("chunks")).cast("int")
+    spread = F.when(F.col("line_id") == F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)) \
+        .otherwise(F.array(mine))
+    placed = met.withColumn("chunk", F.explode(spread)) \
+        .select("same", "n", F.xxhash64("same", "n", "chunk").alias("unit"), "line_id")
+    first = materialise(_linked(placed, met, lines), "lines-linked")
+
+    # in groups of several chunks, a line that no link leads to the pivot is
+    # far; far lines meet all lines of their group
+    wide = materialise(
+        met.where("chunks > 1").join(
+            first.select("same", "n", F.col("a").alias("line_id"), F.col("b").alias("pivot"),
+                         F.lit(True).alias("near")), ["same", "n", "line_id", "pivot"], "left")
+        .select("same", "n", "chunks", "line_id", "chars",
+                (F.col("near").isNull() & (F.col("line_id") != F.col("pivot"))).alias("far")),
+        "lines-wide")
+    far_lines, far_chars = F.sum(F.col("far").cast("long")), F.sum(F.when(F.col("far"), F.col("chars")))
+    groups = materialise(
+        wide.groupBy("same", "n").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.greatest(F.ceil(far_lines / CHUNK_LINES), F.ceil(F.coalesce(far_chars, F.lit(0)) / CHUNK_CHARS))
+            .cast("int").alias("far_chunks")).where("far_chunks > 0"), "lines-far")
+    # chunks 0 to far_chunks - 1 hold the far lines, those behind them the near ones
+    place = F.pmod(F.xxhash64(F.lit(2), "line_id"), F.col("far_chunks"))
+    meets = F.when(F.col("far"), F.sequence(F.lit(0), F.col("far_chunks") + F.col("chunks") - 1)) \
+        .otherwise(F.sequence(F.lit(0), F.col("far_chunks") - 1))
+    meeting = materialise(join_counted(wide, groups, ["same", "n"], wide.count(), "rows"), "lines-meeting")
+    crossed = meeting.withColumn("mine", F.when(F.col("far"), place).otherwise(F.col("far_chunks") + mine)) \
+        .withColumn("other", F.explode(meets)) \
+        .select("same", "n", F.xxhash64(F.lit(1), "same", "n", F.least("mine", "other"),
+                                        F.greatest("mine", "other")).alias("unit"), "line_id")
+    return first.unionByName(_linked(crossed, meeting, lines)).select("a", "b")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -251,7 +294,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     different = materialise(
         lines.groupBy("line").agg(
             F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc"),
-            F.coalesce(F.min_by("row_key", "doc_id"), F.min("row_key")).alias("first_row"))
+            F.coalesce(F.min_by("row_key", "doc_id"),
+                       F.min(F.when(F.col("doc_id").isNull(), F.col("row_key")))).alias("first_row"))
         .withColumn("line_id", F.monotonically_increasing_id())
         .select("line_id", "line", "times", "first_doc", "first_row", *_keys("line")), "lines",
         compression="zstd")
