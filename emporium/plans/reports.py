@@ -361,7 +361,8 @@ def q20d_axis_range(s, k: int = 5) -> DataFrame:
 
 # ---------------------------------------------------- basic table lookups
 def q21_customers_head(s, n: int = 10) -> DataFrame:
-    return s.customers.limit(n)
+    """The first ``n`` customers by id (the reference's LIMIT has no order)."""
+    return top_k(s.customers, n, ["customer_id"])
 
 
 def q22_geo_city_prefix(s, prefix: str = "nation_1") -> DataFrame:
