@@ -77,9 +77,9 @@ def band_hashes(lines: list[str]) -> np.ndarray:
             return
         lengths = np.array([len(p) - SHINGLE + 1 for p in parts])
         codes = np.concatenate(parts)
-        h = np.zeros(len(codes) - SHINGLE + 1, dtype=np.uint32)
-        for i in range(SHINGLE):
-            h = _mix(h + codes[i:len(codes) - SHINGLE + 1 + i] * np.uint32(0x9E3779B1))
+        h = _mix(codes * np.uint32(0x9E3779B1))
+        for i in (1, 2, 4):  # windows of two, four and eight characters
+            h = _mix(h[:-i] * np.uint32(0x27D4EB2F) + h[i:])
         starts = np.r_[0, np.cumsum([len(p) for p in parts])[:-1]]
         # drop the windows that reach over the end of a part
         inside = np.ones(len(h), dtype=bool)
@@ -122,11 +122,17 @@ def shingles(line: str) -> frozenset[str]:
 def _sorted_windows(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The 8-character windows that start at ``at``, brought together when
     equal: their starts, and a number for each that grows with every new one."""
-    h = np.zeros(len(codes) - SHINGLE + 1, dtype=np.uint64)
-    for i in range(SHINGLE):
-        h = h * np.uint64(0xD6E8FEB86659FD93) + codes[i:len(h) + i]
-        h ^= h >> np.uint64(32)
-    for exact in (False, True):
+    h, exact = codes.astype(np.uint64), int(codes.max()) < 256
+    if exact:
+        # eight code points below 256 are one 64-bit number
+        for i in (1, 2, 4):
+            h = h[:-i] | (h[i:] << np.uint64(8 * i))
+    else:
+        h = np.zeros(len(codes) - SHINGLE + 1, dtype=np.uint64)
+        for i in range(SHINGLE):
+            h = h * np.uint64(0xD6E8FEB86659FD93) + codes[i:len(h) + i]
+            h ^= h >> np.uint64(32)
+    while True:
         own = h[at]
         order = np.argsort(own)
         starts, own = at[order], own[order]
@@ -136,7 +142,7 @@ def _sorted_windows(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.n
             return starts, np.cumsum(np.r_[False, ~same])
         # two different windows share a hash: rank the windows themselves
         windows = np.lib.stride_tricks.sliding_window_view(codes, SHINGLE)
-        h = np.unique(windows, axis=0, return_inverse=True)[1].ravel()
+        h, exact = np.unique(windows, axis=0, return_inverse=True)[1].ravel(), True
 
 
 def unit_links(lines: list[str], least: float = LEAST_SIMILARITY) -> list[tuple[int, int]]:
