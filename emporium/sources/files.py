@@ -64,12 +64,16 @@ LOAD_ORDER = ["customers", "geolocation", "translation", "products", "sellers",
               "order_items", "order_payments", "order_reviews"]
 
 
+# Tables with free text, whose quoted fields may hold newlines.
+FREE_TEXT = {"order_reviews"}
+
+
 def read_csv_table(spark: SparkSession, name: str, path: str, *, with_position: bool = True,
-                   mode: str = "FAILFAST") -> DataFrame:
+                   mode: str = "FAILFAST", multi_line: bool | None = None) -> DataFrame:
     """CSV with header in the declared schema, as ``COPY ... CSV HEADER`` reads it.
 
-    * quoted fields may contain the delimiter, doubled quotes and newlines
-      (``multiLine`` + ``escape='"'``);
+    * quoted fields may contain the delimiter and doubled quotes
+      (``escape='"'``) and, with ``multi_line``, newlines;
     * an empty unquoted field is NULL and a quoted empty string ``""`` stays
       an empty string (``nullValue='\\N'``, ``emptyValue=''``) — with
       Spark's defaults both would become NULL;
@@ -77,13 +81,18 @@ def read_csv_table(spark: SparkSession, name: str, path: str, *, with_position:
 
     ``with_position`` adds ``_source_file`` and ``_source_pos`` (the file and
     a monotonically increasing id, which follows file order within a file)
-    so that "first row wins" can be decided later.  Note that multiLine CSV
-    files are not split, so each file is read by one task: deliver large
-    tables as many files.
+    so that "first row wins" can be decided later.
+
+    ``multi_line`` is on for the ``FREE_TEXT`` tables unless given.  Such files
+    are not split, so each is read by one task: deliver large ones as many
+    files.  The other tables' files are split; a newline inside a field makes
+    a malformed row there and aborts the read.
     """
     schema = SCHEMAS[name]
+    if multi_line is None:
+        multi_line = name in FREE_TEXT
     df = (spark.read.schema(schema)
-          .option("header", True).option("multiLine", True)
+          .option("header", True).option("multiLine", multi_line)
           .option("quote", '"').option("escape", '"')
           .option("nullValue", "\\N").option("emptyValue", "")
           .option("mode", mode).option("encoding", "UTF-8")

@@ -48,6 +48,31 @@ def test_csv_bad_row_aborts_load(spark, tmp_dir):
     with pytest.raises(Exception):
         read_csv_table(spark, "order_reviews", path).collect()
 
+@pytest.mark.parametrize("row", ['s1,1,"a\nb",X', 's1,1,a,"X\nY"'])
+def test_csv_newline_needs_multi_line(spark, tmp_dir, row):
+    path = _write(os.path.join(tmp_dir, "n.csv"),
+                  "seller_id,seller_zip_code_prefix,seller_city,seller_state\n" + row + "\n")
+    with pytest.raises(Exception):
+        read_csv_table(spark, "sellers", path).collect()
+    whole = read_csv_table(spark, "sellers", path, multi_line=True, with_position=False)
+    assert "\n" in "".join(str(v) for v in whole.first())
+
+
+def test_csv_split_file_keeps_its_order(spark, tmp_dir):
+    n = 2_000
+    path = _write(os.path.join(tmp_dir, "s.csv"),
+                  "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+                  + "".join(f"s{i:05d},{i},city,X\n" for i in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = read_csv_table(spark, "sellers", path)
+        assert df.rdd.getNumPartitions() > 1
+        got = [r.seller_id for r in df.orderBy("_source_pos").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [f"s{i:05d}" for i in range(n)]
+
 
 def test_csv_positions_follow_file_order(spark, tmp_dir):
     path = _write(os.path.join(tmp_dir, "p.csv"),
