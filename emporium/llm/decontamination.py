@@ -5,7 +5,8 @@ ASCII) of the lower-cased (A-Z) text; shingles are five words, or all the
 words of a shorter item.
 
 1. Item-sized windows: for an item of L words, every L words in a row of a
-   document.  A window without a single shingle of any item has similarity
+   document; a document of fewer words is one window, compared if it has
+   enough shingles to reach ``least``.  A window without a single shingle of any item has similarity
    zero and is passed over; all others are fingerprinted with a 64-bit
    SimHash of their shingles, repeats included.
 2. Multi-index Hamming blocks: fingerprints are cut into seven blocks.  Two
@@ -192,30 +193,31 @@ class ItemSet:
     def _windows(self, words, n, size, hits, least, best) -> None:
         """Fingerprint the windows of ``size`` words that hold a hit, look
         them up, and check the candidates exactly."""
-        last = len(words) - size
-        if last < 0:
+        long = min(size, len(words))  # a document shorter than the item is one window
+        last = len(words) - long
+        if (long - n + 1) / (size - n + 1) < least:
             return
         edge = np.zeros(last + 2, dtype=np.int64)  # starts of windows that cover a hit
-        low = np.clip(hits - (size - n), 0, last + 1)
+        low = np.clip(hits - (long - n), 0, last + 1)
         np.add.at(edge, low, 1)
         np.add.at(edge, np.clip(hits + 1, 0, last + 1), -1)
         starts = np.flatnonzero(np.cumsum(edge)[:last + 1] > 0)
         if not len(starts):
             return
         items, index = self.by_length[size]
-        for run in np.split(starts, np.flatnonzero(np.diff(starts) > size) + 1):
+        for run in np.split(starts, np.flatnonzero(np.diff(starts) > long) + 1):
             for block in np.array_split(run, -(-len(run) // 4096)):
                 first = int(block[0])
-                part = words[first:int(block[-1]) + size]
-                fps = _simhash(_shingle_bits(part, n), block - first, size - n + 1)
+                part = words[first:int(block[-1]) + long]
+                fps = _simhash(_shingle_bits(part, n), block - first, long - n + 1)
                 query, item, distance = index.within(fps)
                 for q, i, d in zip(query.tolist(), items[item].tolist(), distance.tolist()):
                     if i in best and best[i][3] == 1.0:
                         continue
                     start = int(block[q])
-                    sim = weighted_jaccard(_shingles(words[start:start + size], n), self.counts[i])
+                    sim = weighted_jaccard(_shingles(words[start:start + long], n), self.counts[i])
                     if sim >= least and (i not in best or sim > best[i][3]):
-                        best[i] = (start, size, d, sim)
+                        best[i] = (start, long, d, sim)
 
 
 def item_chunks(items: DataFrame, id_col: str = "item_id", text_col: str = "text",

@@ -133,6 +133,44 @@ def test_decontamination_matches_brute_force(spark):
         assert kept == set(texts) - {doc for doc, _ in want}
 
 
+def brute_short(texts, items, least=D.LEAST_SIMILARITY):
+    """Similarity of the best window of min(item, document) words."""
+    found = {}
+    for doc, text in texts.items():
+        words = D.words_of(text)
+        for item, passage in items.items():
+            own = D.words_of(passage)
+            n, size = min(D.SHINGLE, len(own)), min(len(own), len(words))
+            for k in range(len(words) - size + 1 if size >= n else 0):
+                a = Counter(zip(*(words[k + i:k + size] for i in range(n))))
+                b = Counter(zip(*(own[i:] for i in range(n))))
+                sim = sum((a & b).values()) / sum((a | b).values())
+                if sim >= least and sim > found.get((doc, item), (0,))[0]:
+                    found[doc, item] = (sim, k, size)
+    return found
+
+
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    rng = random.Random(11)
+    items = {i: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 + str(rng.randrange(300))
+                         for _ in range(n)) for i, n in enumerate((3, 5, 9, 20, 60, 60, 150))}
+    texts = {}
+    for item in items.values():
+        own = item.split()
+        for lost in range(len(own) // 4 + 3):  # cut at the end, at the start, inside
+            at = rng.randrange(len(own))
+            for kept in (own[:len(own) - lost], own[lost:], own[:at] + own[at + lost:]):
+                texts[len(texts)] = " ".join(kept)
+    want = brute_short(texts, items)
+    assert any(size < len(items[i].split()) for (_, i), (_, _, size) in want.items())
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start_word, r.n_words)
+           for r in D.matches(docs, table).collect()}
+    assert got == want
+    assert {r.doc_id for r in D.keep_clean(docs, table).collect()} == set(texts) - {d for d, _ in want}
+
+
 def test_hamming_index_finds_all_in_radius():
     rng = np.random.default_rng(1)
     items = rng.integers(0, 1 << 63, 50, dtype=np.uint64)
