@@ -233,7 +233,8 @@ class CachedTokenizer:
 
     A byte-level pre-token never reaches from a non-space across a following
     space, so a text may be cut before every space that follows a non-space,
-    and equal pieces have equal ids.
+    and equal pieces have equal ids.  An added token (``<|endoftext|>``) has its
+    own id wherever it stands; a text that holds one is encoded unsplit.
     """
 
     # White space that, before a space, forbids the cut there
@@ -243,7 +244,7 @@ class CachedTokenizer:
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # such strings are ordinary text here
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         encode = self._encode
 
         class Pieces(dict):  # piece behind a space → its ids as bytes
@@ -267,6 +268,8 @@ class CachedTokenizer:
         """The ids of a text and the end id."""
         text = text or ""
         end = np.array([END_ID], dtype="<u4").tobytes()
+        if any(token in text for token in self.added):
+            return np.frombuffer(self._encode(text) + end, dtype="<u4")
         if any(gap in text for gap in self._GAPS):
             return np.frombuffer(self._spaced(text) + end, dtype="<u4")
         first, *rest = text.split(" ")

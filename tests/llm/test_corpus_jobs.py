@@ -252,6 +252,40 @@ def test_cached_tokenizer_is_exact(text):
 CACHED: list = []
 
 
+ADDED = ["end <|endoftext|> next", "<|endoftext|> at the start", "<|endoftext|>", "a<|endoftext|>b",
+         "two  <|endoftext|>  spaces \n<|endoftext|>\n", "x <|endoftext|><|endoftext|>.", "<|endoftext| >",
+         "long " * 5_000 + "<|endoftext|>" + " text" * 5_000]
+
+
+def test_added_tokens_have_their_own_id(spark):
+    import tokenizers
+    plain = tokenizers.Tokenizer.from_file(TF.default_tokenizer())
+    cached = TF.CachedTokenizer(open(TF.default_tokenizer()).read())
+    want = [plain.encode(t, add_special_tokens=False).ids + [0] for t in ADDED]
+    assert want[0] == [437, 220, 50256, 1306, 0]
+    assert [cached.ids(t).tolist() for t in ADDED] == want
+    rows = TF.digest(spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")).collect()
+    starts = np.cumsum([0, *map(len, want)])
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rows) == [
+        (k, starts[k], len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        for k, ids in enumerate(want)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|", " ", "  ", "\n", "a", "é.", "'s"]), max_size=12))
+def test_added_tokens_random(parts):
+    import tokenizers
+    if not PLAIN:
+        PLAIN.append((tokenizers.Tokenizer.from_file(TF.default_tokenizer()),
+                      TF.CachedTokenizer(open(TF.default_tokenizer()).read())))
+    plain, cached = PLAIN[0]
+    text = "".join(parts)
+    assert cached.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids + [0]
+
+
+PLAIN: list = []
+
+
 def check_tokens(rows, texts):
     """``texts``: (doc_id, text) in file order."""
     start, want = 0, []
