@@ -1,19 +1,21 @@
 r"""License scans: an exact set-similarity join of text blocks with templates.
 
-A block is a line, or two neighbouring non-blank lines together (a notice
-may be wrapped).  A block matches a template when it holds at least
-``THRESHOLD`` of the template's distinct words.  Words are runs of
-``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after lower-casing A-Z.
+A block is a run of words of the text, wherever its lines end (a notice may be
+wrapped): for a template of t words, repeats included, every t + ``SLACK``
+words in a row, or the whole of a shorter text.  A block matches a template
+when it holds at least ``THRESHOLD`` of the template's distinct words.  Words
+are runs of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after lower-casing A-Z.
 
 1. Pass one counts how often each template word occurs in all documents; the
    words are ranked by that global frequency, rarest first.
-2. Pass two joins.  Prefix filter: a template of t words that must share o
-   of them has to share one of its t - o + 1 rarest; an index holds only
-   those.  Length filter: a block with fewer than o template words cannot
-   match.  Positional filter: with the words of both sides in rank order, a
-   shared word at position i of the template and j of the block leaves room
-   for at most min(t - i, b - j) shared words.  What is left is counted
-   exactly.
+2. Pass two joins.  Prefix filter: a template of t distinct words that must
+   share o of them has to share one of its t - o + 1 rarest; an index holds
+   only those, and only blocks around their occurrences are looked at.  Length
+   filter: a text, or a stretch of such blocks, with fewer than o of the
+   template's words cannot match.  Positional filter: with the words of both
+   sides in rank order, a shared word at position i of the template and j of
+   the stretch leaves room for at most min(t - i, b - j) shared words.  What
+   is left is slid over and counted exactly.
 
 The templates are a fixed list, so what a task holds does not grow.  Beside
 the templates, fixed phrases are found at every place where their words
@@ -35,6 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.9
+#: Words that a block has beyond the template's: what may stand between its
+#: words ("under the terms of the", marks of comment lines).
+SLACK = 8
 
 # Phrases and their labels
 PHRASES = {
@@ -63,11 +68,9 @@ TEMPLATES = [
     ("This Source Code Form is subject to the terms of the Mozilla Public License", "mpl-2.0"),
 ]
 
-# Bytes of words stay, A-Z become a-z, everything else is a space;
-# in the second table line ends stay too
+# Bytes of words stay, A-Z become a-z, everything else is a space
 _WORDS = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else
                c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
-_LINES = bytes(0x0A if c == 0x0A else w for c, w in enumerate(_WORDS))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -75,6 +78,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 _TEMPLATE_WORDS = [sorted(set(words_of(t))) for t, _ in TEMPLATES]
+_BLOCK_WORDS = [len(words_of(t)) + SLACK for t, _ in TEMPLATES]
 _VOCABULARY = {w: i for i, w in enumerate(sorted({w for t in _TEMPLATE_WORDS for w in t}))}
 _PHRASE_WORDS = [(tuple(words_of(p)), label) for p, label in PHRASES.items()]
 _PHRASES_BY_FIRST = {}
@@ -111,36 +115,64 @@ class TemplateIndex:
             self.need.append(need)
         self.least = min(self.need)
 
-    def matches(self, block: set[bytes]) -> dict[int, float]:
-        """template → containment, for the templates the block meets."""
-        ranks = sorted({self.rank[w] for w in block if w in self.rank})
-        if len(ranks) < self.least:  # length filter, for all templates
+    def matches(self, words: list[bytes]) -> dict[int, float]:
+        """template → best containment in a block, for the templates the text meets."""
+        present = {self.rank[w] for w in set(words) if w in self.rank}
+        if len(present) < self.least:  # length filter, for all templates
             return {}
-        own = frozenset(ranks)
-        found, tried = {}, set()
-        for j, r in enumerate(ranks):
-            for t, i in self.prefix.get(r, ()):
-                if t in tried:
-                    continue
-                tried.add(t)  # the first shared prefix word decides
-                size, need = len(self.templates[t]), self.need[t]
-                if len(ranks) < need or min(size - i, len(ranks) - j) < need:
-                    continue
-                shared = len(own & self.templates[t])
-                if shared >= need:
-                    found[t] = shared / size
+        tried = {t for r in present for t, _ in self.prefix.get(r, ())
+                 if len(present & self.templates[t]) >= self.need[t]}
+        if not tried:
+            return {}
+        places = [(k, self.rank[w]) for k, w in enumerate(words) if w in self.rank]
+        found = {}
+        for t in sorted(tried):
+            own = [(k, r) for k, r in places if r in self.templates[t]]
+            shared = max((self._best(t, part) for part in self._stretches(t, own)), default=0)
+            if shared >= self.need[t]:
+                found[t] = shared / len(self.templates[t])
         return found
 
-
-def _blocks(text: str) -> Iterator[set[bytes]]:
-    before: list[bytes] = []
-    for line in text.encode().translate(_LINES).split(b"\n"):
-        words = line.split()
-        if words:
-            yield set(words)
-            if before:
-                yield set(before) | set(words)
-            before = words
+    def _stretches(self, t: int, own: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+        """The template's words ``(place, rank)`` within reach of a block that
+        holds a prefix word, stretches that overlap as one."""
+        order = sorted(self.templates[t])
+        prefix = set(order[:len(order) - self.need[t] + 1])
+        at, reach = 0, _BLOCK_WORDS[t] - 1
+        spans: list[list[int]] = []
+        for k, r in own:
+            if r in prefix:
+                if spans and k - reach <= spans[-1][1]:
+                    spans[-1][1] = k + reach
+                else:
+                    spans.append([k - reach, k + reach])
+        for low, high in spans:
+            while own[at][0] < low:
+                at += 1
+            first = at
+            while at < len(own) and own[at][0] <= high:
+                at += 1
+            part = own[first:at]
+            ranks = sorted({r for _, r in part})
+            i = order.index(ranks[0])  # the first shared word, at place 0 of the stretch
+            if min(len(order) - i, len(ranks)) >= self.need[t]:
+                yield part
+
+    @staticmethod
+    def _best(t: int, part: list[tuple[int, int]]) -> int:
+        """Most distinct template words in a block."""
+        held: Counter = Counter()
+        best = first = 0
+        for k, r in part:
+            held[r] += 1
+            while part[first][0] <= k - _BLOCK_WORDS[t]:
+                gone = part[first][1]
+                held[gone] -= 1
+                if not held[gone]:
+                    del held[gone]
+                first += 1
+            best = max(best, len(held))
+        return best
 
 
 def scan(text: str | None, index: TemplateIndex) -> dict:
@@ -150,12 +182,9 @@ def scan(text: str | None, index: TemplateIndex) -> dict:
     base = sorted({label for _, label in places})
     starts = [at for at, _ in places]
     best: dict[str, float] = {}
-    present = {index.rank[w] for w in set(words) if w in index.rank}
-    if any(r in index.prefix for r in present) and len(present) >= index.least:
-        for block in _blocks(text):
-            for t, share in index.matches(block).items():
-                label = TEMPLATES[t][1]
-                best[label] = max(share, best.get(label, 0.0))
+    for t, share in index.matches(words).items():
+        label = TEMPLATES[t][1]
+        best[label] = max(share, best.get(label, 0.0))
     return {"n_words": len(words), "n_base": len(places),
             "first_word": min(starts, default=None), "last_word": max(starts, default=None),
             "base_labels": ",".join(base), "labels": ",".join(sorted({*base, *best})),

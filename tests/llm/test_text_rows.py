@@ -6,6 +6,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import zlib
 
 import pytest
 from hypothesis import given, settings
@@ -122,6 +123,52 @@ def test_licenses(spark):
     assert "gpl-2.0" not in found
 
 
+def brute_windows(text):
+    """label → best containment, over all windows of the words."""
+    words, found = L.words_of(text), {}
+    for t, label in L.TEMPLATES:
+        own, size = set(L.words_of(t)), len(L.words_of(t)) + L.SLACK
+        best = max(len(own & set(words[k:k + size])) for k in range(max(1, len(words) - size + 1)))
+        if best >= L.THRESHOLD * len(own):
+            found[label] = max(best / len(own), found.get(label, 0.0))
+    return found
+
+
+def check_windows(text, index):
+    got, want = L.scan(text, index), brute_windows(text)
+    assert set(filter(None, got["labels"].split(","))) == \
+        set(filter(None, got["base_labels"].split(","))) | set(want)
+    if not got["base_labels"]:
+        assert got["score"] == max(want.values(), default=0.0)
+
+
+MIT = L.TEMPLATES[2][0]
+
+
+def test_wrapped_notices_and_long_lines():
+    index = L.TemplateIndex({})
+    for width in (1, 3, 8):  # words a line, as a comment
+        words = MIT.split()
+        text = "\n".join("# " + " ".join(words[k:k + width]) for k in range(0, len(words), width))
+        for body in (text, "some code\n" * 50 + text + "\n" + "more code\n" * 50):
+            assert L.scan(body, index)["labels"] == "mit-notice"
+            check_windows(body, index)
+    filler = " filler" * 300
+    scattered = filler.join("released under the mit license".split())
+    assert L.scan(scattered, index)["labels"] == ""  # one line, no notice in it
+    assert L.scan("Released under the terms of the MIT License", index)["labels"] == "mit,mit-notice"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(
+    st.sampled_from([t for t, _ in L.TEMPLATES] + [" ".join(t.split()[:-1]) for t, _ in L.TEMPLATES]),
+    st.sampled_from(sorted({w for t, _ in L.TEMPLATES for w in t.split()})),
+    st.sampled_from(["x", "x y z", "\n", "q " * 7])), max_size=40), st.integers(0, 9))
+def test_license_windows_random(parts, seed):
+    rarity = {w: (zlib.crc32(w) >> seed) % 5 for w in L._VOCABULARY}
+    check_windows(" ".join(parts), L.TemplateIndex(rarity))
+
+
 # ---------------------------------------------------------------- personal data
 def brute_personal(text):
     def luhn(s):
