@@ -16,7 +16,12 @@ Kinds and their forms:
 * ``url``    ``http://``, ``https://`` or ``ftp://`` and a host, to the next
   space, quote or bracket, without closing punctuation
 * ``account``  an id of 6 to 34 letters, digits and hyphens with at least
-  four digits behind ``iban``, ``ssn``, ``passport``, ``account`` or ``acct``
+  four digits behind ``ssn``, ``passport``, ``account`` or ``acct``; linking
+  words (``LINKS``) may stand between.  Behind all but ``passport``, further
+  groups of two or more capitals and digits, with a digit, that follow one
+  space each belong to it (an SSN has nine digits at most).  Behind ``iban``,
+  and first of all behind ``account`` and ``acct``, an IBAN: 15 to 34 letters
+  and digits that pass mod 97, in groups joined by one space or hyphen
 * ``secret`` a value of 16 or more characters assigned to ``token``,
   ``api_key``, ``apikey``, ``secret`` or ``password``
 
@@ -45,6 +50,7 @@ KINDS = (*BASE_KINDS, "url", "account", "secret")
 
 # The characters of each form
 DIGITS = frozenset(string.digits)
+ALNUM = frozenset(string.ascii_letters + string.digits)
 HOST = frozenset(string.ascii_letters + string.digits + "-")
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 PHONE = frozenset(" ().-" + string.digits)
@@ -52,6 +58,7 @@ SECRET = frozenset(string.ascii_letters + string.digits + "_-+/=.")
 URL_END = frozenset(" \t\n\r\v\f\"'<>[]{}|\\^`")
 SCHEMES = ("http://", "https://", "ftp://")
 ACCOUNT_CUES = ("iban", "ssn", "passport", "account", "acct")
+LINKS = ("number", "num", "no", "nr", "id", "is")  # behind a cue, "#" as a separator
 SECRET_CUES = ("token", "api_key", "apikey", "secret", "password")
 
 
@@ -75,6 +82,14 @@ def luhn(digits: list[int]) -> bool:
     return (sum(digits[-1::-2]) + sum(doubled)) % 10 == 0
 
 
+def iban(value: str) -> bool:
+    """15 to 34 letters (of one case) and digits that pass mod 97."""
+    if not (15 <= len(value) <= 34 and value[:2].isalpha() and value[2:4].isdigit()
+            and value in (value.upper(), value.lower())):
+        return False
+    return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
+
+
 class Finder:
     """The automaton and the parsers.  A parser gets the text, the anchor and
     the end of what its kind has consumed; it returns the start and end of
@@ -181,16 +196,67 @@ class Finder:
             at += 1
         return at
 
+    @classmethod
+    def _linked_value(cls, text, at):
+        """Start of the value behind a cue and any linking words."""
+        start = cls._value(text, at)
+        while True:
+            end = _run(text, start, ALNUM)
+            if text[start:end].lower() not in LINKS or text[end:end + 1] == "-":
+                return start
+            start = cls._value(text, end + (text[end:end + 1] == "."))
+
+    @staticmethod
+    def _iban_end(text, start):
+        """End of the longest IBAN that starts at ``start``, or None."""
+        end, value, found = start, "", None
+        while True:
+            stop = _run(text, end, ALNUM)
+            value += text[end:stop]
+            if stop == end or len(value) > 34:
+                return found
+            if iban(value):
+                found = stop
+            if text[stop:stop + 1] not in (" ", "-"):
+                return found
+            end = stop + 1
+
+    @staticmethod
+    def _joined_end(text, start, end, most_digits):
+        """End of an id and of the groups of digits and capitals behind it."""
+        size, digits = end - start, sum(c in DIGITS for c in text[start:end])
+        while digits and text[end:end + 1] == " ":
+            group = text[end + 1:_run(text, end + 1, HOST)].rstrip("-")
+            own = sum(c in DIGITS for c in group)
+            size, digits = size + len(group), digits + own
+            if len(group) < 2 or not own or group != group.upper() or size > 34 or digits > most_digits:
+                break
+            end += 1 + len(group)
+        return end
+
     @classmethod
     def account(cls, text, at, least, size):
         if at and text[at - 1].isalnum():
             return None
-        start = cls._value(text, at + size)
+        cue, behind = text[at:at + size].lower(), at + size
+        if cue == "acct" and text[behind:behind + 1] == ".":
+            behind += 1
+        start = cls._linked_value(text, behind)
+        if start == at + size:
+            return None
+        if cue in ("iban", "account", "acct"):
+            end = cls._iban_end(text, start)
+            if end is not None:
+                return start, end, True
+            if cue == "iban":
+                return None
         end = _run(text, start, HOST)
         while end > start and text[end - 1] == "-":
             end -= 1
-        value = text[start:end]
-        valid = start > at + size and 6 <= len(value) <= 34 and sum(c in DIGITS for c in value) >= 4
+        if cue != "passport":
+            end = cls._joined_end(text, start, end, 9 if cue == "ssn" else 34)
+        value = text[start:end].replace(" ", "")
+        valid = 6 <= len(value) <= 34 and sum(c in DIGITS for c in value) >= 4
         return (start, end, True) if valid else None
 
     @classmethod

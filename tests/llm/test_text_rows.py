@@ -223,6 +223,31 @@ def test_added_kinds():
     assert values("the token is lost, my account was closed, https:// and ftp") == set()
 
 
+@pytest.mark.parametrize("text, value", [
+    ("IBAN: DE89 3704 0044 0532 0130 00 and", "DE89 3704 0044 0532 0130 00"),
+    ("IBAN DE89-3704-0044-0532-0130-00.", "DE89-3704-0044-0532-0130-00"),
+    ("iban number is gb29 nwbk 6016 1331 9268 19", "gb29 nwbk 6016 1331 9268 19"),
+    ("IBAN NO93 8601 1117 947, then", "NO93 8601 1117 947"),
+    ("IBAN: MT84 MALT 0110 0001 2345 MTLC AST0 01S", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"),
+    ("account GB29 NWBK 6016 1331 9268 19", "GB29 NWBK 6016 1331 9268 19"),
+    ("account number: 12345678", "12345678"), ("Account no. 12345678", "12345678"),
+    ("account no.12345678", "12345678"), ("Acct. No: 1234 5678 90 is mine", "1234 5678 90"),
+    ("ACCOUNT NR 12-345678 on", "12-345678"), ("account # 12345678", "12345678"),
+    ("account id is 12345678 2 times", "12345678"), ("passport no. X1234567", "X1234567"),
+    ("Passport number is X1234567 12", "X1234567"), ("SSN is 123-45-6789", "123-45-6789"),
+    ("ssn 123 45 6789 2024", "123 45 6789"), ("account " + "1234 " * 9, "1234 " * 7 + "1234")])
+def test_written_forms_of_accounts(text, value):
+    assert [text[a:b] for a, b in P.find(text)["account"]] == [value]
+
+
+@pytest.mark.parametrize("text", [
+    "IBAN: DE88 3704 0044 0532 0130 00", "IBAN GB29NWBK60161331926818", "the account is closed",
+    "account no. is unknown, account number", "IBAN is IBAN", "account number is no id 123", "acct.",
+    "account1 12345678", "iban"])
+def test_no_account(text):
+    assert P.find(text)["account"] == []
+
+
 # ---------------------------------------------------------------- edges
 def test_odd_rows(spark):
     rows = R.quality(odd(spark)).collect()
