@@ -7,8 +7,8 @@ is 0.8 or more, and a group is a connected component of such links.
 
 1. Equal lines: a partially aggregated group-by leaves each different line
    once, however often it occurs.
-2. MinHash: 56 minima of hashed shingles, as 14 bands of four: lines at 0.8
-   share a band with probability 0.9994.  Bands held by one line are dropped,
+2. MinHash: 64 minima of hashed shingles, as 16 bands of four: lines at 0.8
+   share a band with probability 0.9998.  Bands held by one line are dropped,
    and bands with the same set of lines count once.
 3. Exact check within a band: lines come together in units of a bounded
    number of lines and characters.  In a unit the shingles are numbered
@@ -46,7 +46,7 @@ from emporium.session import materialise
 
 SHINGLE = 8
 LEAST_SIMILARITY = 0.8
-BANDS, ROWS = 14, 4
+BANDS, ROWS = 16, 4
 #: Lines and characters of a chunk; a unit holds two chunks at most.
 CHUNK_LINES, CHUNK_CHARS = 256, 1 << 18
 #: Columns of the lines-by-shingles matrix held at a time.

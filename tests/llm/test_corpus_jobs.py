@@ -450,6 +450,11 @@ def test_components_with_hubs(spark, monkeypatch):
     assert {(r.node, r.root) for r in got.collect()} == {(x, root[x]) for x in linked}
 
 
+def test_bands_miss_few_links_at_the_threshold():
+    assert (1 - LD.LEAST_SIMILARITY ** LD.ROWS) ** LD.BANDS < 2.3e-4
+    assert LD.band_hashes(["a line", "another line"]).shape == (2, LD.BANDS)
+
+
 def test_band_hashes_of_pieces(monkeypatch):
     lines = ["short", "x" * 8, "the quick brown fox jumps over it " * 9, "é" * 50, "ab"]
     whole = LD.band_hashes(lines)
