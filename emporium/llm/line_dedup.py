@@ -33,6 +33,7 @@ rows.  Very long texts and lines are whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -185,7 +186,7 @@ def normal_form(line: Column) -> Column:
     """Lower case, white space runs as one space and none at the ends (the
     regular expression runs only where there is something to replace)."""
     line = F.btrim(line, F.lit(_ENDS))
-    odd = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t"))
+    odd = reduce(Column.__or__, (F.contains(line, F.lit(c)) for c in ("  ", "\t", "\r", "\f", "\v")))
     return F.lower(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
 
 

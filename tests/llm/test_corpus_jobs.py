@@ -450,6 +450,14 @@ def test_components_with_hubs(spark, monkeypatch):
     assert {(r.node, r.root) for r in got.collect()} == {(x, root[x]) for x in linked}
 
 
+def test_lone_white_space_of_any_kind_is_one_space(spark):
+    lines = [" a b  c ", *(f"A{c}b c{c}" for c in "\t\r\f\v"), "a \r\n b c".replace("\n", "")]
+    docs = spark.createDataFrame([(k, line) for k, line in enumerate(lines)], "doc_id long, text string")
+    assert {r.line for r in LD._lines(docs, "doc_id", "text").select("line").collect()} == {"a b c"}
+    assert {r.doc_id: r.removed for r in LD.removed_lines(docs).collect()} \
+        == {k: [0] for k in range(1, len(lines))}
+
+
 def test_bands_miss_few_links_at_the_threshold():
     assert (1 - LD.LEAST_SIMILARITY ** LD.ROWS) ** LD.BANDS < 2.3e-4
     assert LD.band_hashes(["a line", "another line"]).shape == (2, LD.BANDS)
