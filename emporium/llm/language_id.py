@@ -155,7 +155,7 @@ def train(sample: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     schema = "lang string, counts binary"
     counted = (sample.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-               .coalesce(tasks).mapInPandas(count, schema)
+               .repartition(tasks).mapInPandas(count, schema)
                .groupBy("lang").applyInPandas(add, schema))
     # one row of fixed size per language: the model
     found = {r.lang: np.frombuffer(r.counts, dtype=np.int64) for r in counted.collect()}

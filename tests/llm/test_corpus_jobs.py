@@ -340,6 +340,12 @@ def test_batch_scores_match_a_plain_loop(spark, monkeypatch):
             assert name == want and score == pytest.approx(p, rel=1e-6)
 
 
+def test_training_rows_are_read_in_as_many_tasks_as_the_table_has(spark):
+    rows = spark.range(0, 400, 1, 40).selectExpr(
+        "concat('l', spark_partition_id()) AS lang", "concat('some words ', id) AS text")
+    assert len(LI.train(rows, tasks=3).languages) == 40  # a language a reading task
+
+
 def test_language_odd_rows(spark):
     docs = spark.createDataFrame(ODD, SCHEMA)
     rows = LI.identify(docs).collect()
