@@ -1,6 +1,6 @@
 """Operators for preparing large text corpora.
 
-Ten operators, one module each, and ``registry`` with their queries.  Every
+Thirteen operators, one module each, and ``registry`` with their queries.  Every
 operator takes DataFrames and returns DataFrames; nothing else in the
 library imports this subpackage.
 """

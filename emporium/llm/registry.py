@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.llm import (
-    decontamination, language_id, license_scan, line_dedup, mixing, personal_data, repetition,
+    decontamination, language_id, license_scan, line_dedup, merkle, mixing, personal_data, repetition,
     sharding, simhash_dedup, token_files,
 )
 from emporium.session import apply_conf
@@ -62,14 +62,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(_documents(spark, sf_dir, "doc_id", "text", "source"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(_documents(spark, sf_dir, "doc_id", "text", "lang", "source", "n_chars"))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
     ops = (op1_repetition, op2_sharding, op3_license_scan, op4_personal_data,
            op5_benchmark_decontamination, op6_simhash_dedup, op7_token_files, op8_language_id,
-           op9_line_dedup, op10_mixing)
+           op9_line_dedup, op10_mixing, op13_merkle_manifest)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.ORACLE}
+    return {"op10_mixing": mixing.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
