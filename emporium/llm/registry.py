@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from emporium.llm import (
     chat_trees, decontamination, language_id, license_scan, line_dedup, merkle, mixing,
-    personal_data, repetition, sharding, simhash_dedup, token_files,
+    personal_data, repetition, sharding, simhash_dedup, spelling, token_files,
 )
 from emporium.session import apply_conf
 
@@ -62,6 +62,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(_documents(spark, sf_dir, "doc_id", "text", "source"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.digest(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_conf(spark)
     return chat_trees.digest(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
@@ -76,10 +80,12 @@ def queries() -> dict[str, Query]:
 
     ops = (op1_repetition, op2_sharding, op3_license_scan, op4_personal_data,
            op5_benchmark_decontamination, op6_simhash_dedup, op7_token_files, op8_language_id,
-           op9_line_dedup, op10_mixing, op12_chat_format, op13_merkle_manifest)
+           op9_line_dedup, op10_mixing, op11_spelling_variants, op12_chat_format,
+           op13_merkle_manifest)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.ORACLE, "op12_chat_format": chat_trees.ORACLE,
+    return {"op10_mixing": mixing.ORACLE, "op11_spelling_variants": spelling.ORACLE,
+            "op12_chat_format": chat_trees.ORACLE,
             "op13_merkle_manifest": merkle.ORACLE}
