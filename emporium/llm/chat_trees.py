@@ -65,7 +65,10 @@ def _messages(messages: DataFrame) -> DataFrame:
     first = F.min(F.struct("role", "text", "row"))  # one row answers to an id
     named = rows.where("id IS NOT NULL").groupBy("id").agg(first["row"].alias("up")) \
         .withColumnRenamed("id", "parent")
-    return materialise(rows.join(named, "parent", "left").drop("parent"), "chat-rows")
+    # the null parents of all roots, one key, stay out of the join
+    replies = rows.where("parent IS NOT NULL").join(named, "parent", "left").drop("parent")
+    roots = rows.where("parent IS NULL").drop("parent").withColumn("up", F.lit(None).cast("long"))
+    return materialise(replies.unionByName(roots), "chat-rows")
 
 
 def _branches(rows: DataFrame) -> DataFrame:
