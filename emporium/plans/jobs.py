@@ -203,50 +203,106 @@ def metrics_relabel_instance(s) -> DataFrame:
 
 
 # ----------------------------------------------------------------- streaming
-def _streaming_star(s):
+#: Parts that the streamed tables arrive in; a micro-batch reads one file of each.
+ARRIVALS = 3
+
+
+def _arriving(s, parts: dict):
+    """A streaming star over the given raw tables, cut into files that arrive one
+    after the other: ``parts`` maps a table to its key, the expression that deals
+    its rows to arrivals 0, 1 and 2, and optionally what arrives a second time.
+    Rows of a key that arrive together are in one file."""
+    from emporium.session import scratch_path
     from emporium.sources.testdata import Star
-    return Star(s.spark, s.sf_dir, streaming=True)
+    folder = scratch_path(s.spark, "arrivals")
+    for table, (key, deal, again) in parts.items():
+        raw = s.raw(table)
+        for k in range(ARRIVALS):
+            rows = raw.where(f"{deal} = {k}")
+            if again and k:
+                rows = rows.unionByName(raw.where(f"{deal} = {k - 1}").selectExpr(*again(raw.columns)))
+            rows.repartition(F.col(key)).write.mode("append").parquet(f"{folder}/{table}.parquet")
+    return Star(s.spark, folder, streaming=True, max_files_per_trigger=1)
+
+
+#: Buckets of the registered jobs' stores: few, for tables of a few megabytes.
+STORE_BUCKETS = 8
+
+
+def _store(s, name: str, tables: dict):
+    from emporium.streaming.epochs import EpochStore
+    from emporium.streaming.ingest import scratch_dirs
+    out, checkpoint = scratch_dirs(s.spark, name)
+    return EpochStore(s.spark, out, tables, buckets=STORE_BUCKETS), checkpoint
+
+
+def _replaced(**expressions: str):
+    """Select list with some columns replaced (rows that arrive a second time, changed)."""
+    return lambda columns: [f"{expressions[c]} AS {c}" if c in expressions else c for c in columns]
+
+
+def _ingested(s, name: str) -> DataFrame:
+    """Orders, line items and payments arriving as three streams, inserted if
+    absent into three tables, each micro-batch in one commit.  Two thirds of the
+    orders arrive again in the next batch, changed, and are ignored; so do their
+    payments; line items meet the order items stored before."""
+    from emporium.streaming import ingest as st
+    from emporium.streaming.epochs import Table
+    resent = _replaced(o_orderstatus="'P'", o_totalprice="o_totalprice + 1", o_orderpriority="'5-LOW'")
+    arriving = _arriving(s, {"orders": ("o_orderkey", "o_orderkey % 3", resent),
+                              "lineitem": ("l_orderkey", "l_orderkey % 3", None)})
+    streams = {"orders": arriving.orders_placed, "order_items": arriving.order_items_raw,
+               "order_payments": arriving.order_payments}
+    store, checkpoint = _store(s, "ingest", {
+        "orders": Table(streams["orders"].schema, ["order_id"]),
+        "order_items": Table(streams["order_items"].schema, ITEM_KEY, ITEM_ORDER),
+        "order_payments": Table(streams["order_payments"].schema, ["order_id", "payment_sequential"])})
+    store.commit("seed", 0, {"order_items": s.order_items})
+    st.ingest_tables(streams, store, checkpoint).awaitTermination()
+    return checkable(store.read(name))
+
+
+def stream_ingest_orders(s) -> DataFrame:
+    return _ingested(s, "orders")
 
 
 def stream_ingest_items(s) -> DataFrame:
     """Raw line items arriving as a stream, inserted if absent into order_items."""
-    from emporium.streaming import ingest as st
-    out, ckpt = st.scratch_dirs(s.spark, "ingest-items")
-    q = st.ingest_if_absent(_streaming_star(s).order_items_raw, out, ckpt, ITEM_KEY,
-                            order_by=ITEM_ORDER, seed=s.order_items)
-    q.awaitTermination()
-    return checkable(st.read_ingested(s.spark, out))
+    return _ingested(s, "order_items")
+
+
+def stream_ingest_payments(s) -> DataFrame:
+    return _ingested(s, "order_payments")
 
 
 def stream_daily_counts(s) -> DataFrame:
-    """Orders per purchase day from a stream; a day is emitted once the
-    watermark (latest event time − 1 day) has passed its end."""
+    """Orders per purchase day from a stream whose days arrive out of order."""
     from emporium.streaming import ingest as st
-    out, ckpt = st.scratch_dirs(s.spark, "daily-counts")
-    counts = st.daily_counts(_streaming_star(s).orders_placed, "order_purchase_timestamp", "1 day")
-    st.run_to_table(counts, out, ckpt, mode="append").awaitTermination()
-    return s.spark.read.parquet(out).drop(st.BATCH_COL)
+    stream = _arriving(s, {"orders": ("o_orderkey", "o_orderkey % 3", None)}).orders_placed
+    store, checkpoint = _store(s, "daily-counts", {"days": st.day_counts("day date, n long")})
+    st.count_days(stream, "order_purchase_timestamp", store, "days", checkpoint).awaitTermination()
+    return store.read("days")
 
 
 def stream_dedupe_items(s) -> DataFrame:
-    """Raw line items as a stream, repeated (order, line) keys dropped."""
+    """Raw line items as a stream, repeated (order, line) keys dropped: the first
+    to arrive stays, in a batch the first by ``ITEM_ORDER``."""
     from emporium.streaming import ingest as st
-    out, ckpt = st.scratch_dirs(s.spark, "dedupe-items")
-    items = _streaming_star(s).order_items_raw
-    deduped = st.dedupe_within_watermark(items, ITEM_KEY, "shipping_limit_date", "3650 days")
-    st.run_to_table(deduped, out, ckpt).awaitTermination()
-    return checkable(s.spark.read.parquet(out).drop(st.BATCH_COL))
+    from emporium.streaming.epochs import Table
+    stream = _arriving(s, {"lineitem": ("l_orderkey", "l_suppkey % 3", None)}).order_items_raw
+    store, checkpoint = _store(s, "dedupe-items", {"items": Table(stream.schema, ITEM_KEY, ITEM_ORDER)})
+    st.ingest_tables({"items": stream}, store, checkpoint).awaitTermination()
+    return checkable(store.read("items"))
 
 
 def stream_latest_gauges(s) -> DataFrame:
-    """Latest successful value per series, kept as streaming state (complete mode)."""
+    """Latest successful value per series, upserted in update mode."""
     from emporium.streaming import ingest as st
-    out, ckpt = st.scratch_dirs(s.spark, "latest-gauges")
-    latest = st.latest_gauges_stream(_streaming_star(s).metric_samples)
-    st.run_to_table(latest, out, ckpt, mode="complete").awaitTermination()
-    table = s.spark.read.parquet(out)
-    last = table.agg(F.max(st.BATCH_COL)).scalar()
-    return _flat(table.where(F.col(st.BATCH_COL) == last).drop(st.BATCH_COL))
+    stream = _arriving(s, {"events": ("event_id", "event_id % 3", None)}).metric_samples
+    store, checkpoint = _store(s, "latest-gauges", {"latest": st.latest_values(
+        "metric string, labels map<string,string>, ts timestamp_ntz, value double")})
+    st.upsert_latest(stream, store, "latest", checkpoint).awaitTermination()
+    return _flat(store.read("latest"))
 
 
 # -------------------------------------------------------------------- points
@@ -278,7 +334,9 @@ JOBS = {
     "metrics_payment_share_samples": metrics_payment_share_samples,
     "metrics_relabel_instance": metrics_relabel_instance,
     "metrics_exposition_roundtrip": metrics_exposition_roundtrip,
+    "stream_ingest_orders": stream_ingest_orders,
     "stream_ingest_items": stream_ingest_items,
+    "stream_ingest_payments": stream_ingest_payments,
     "stream_daily_counts": stream_daily_counts,
     "stream_dedupe_items": stream_dedupe_items,
     "stream_latest_gauges": stream_latest_gauges,

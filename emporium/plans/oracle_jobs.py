@@ -171,12 +171,33 @@ SELECT metric, ts, value, city FROM (
   FROM metric_samples WHERE ok) t
 WHERE rn = 1"""),
 
-    "stream_daily_counts": with_views("ord", """
-, d AS (SELECT CAST(order_purchase_timestamp AS DATE) AS day FROM ord),
-wm AS (SELECT max(order_purchase_timestamp) - INTERVAL 1 DAY AS w FROM ord)
-SELECT day, COUNT(*) AS n FROM d, wm
-WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= wm.w
-GROUP BY day"""),
+    "stream_daily_counts": """
+SELECT CAST(o_orderdate + (o_orderkey % 24) * INTERVAL 1 HOUR AS DATE) AS day, count(*) AS n
+FROM orders GROUP BY 1""",
+
+    # the first arrival of a key stays, in one arrival the first row
+    "stream_dedupe_items": """
+SELECT l_orderkey::VARCHAR AS order_id, l_linenumber::INT AS order_item_id, l_partkey::VARCHAR AS product_id,
+       l_suppkey::VARCHAR AS seller_id, l_shipdate AS shipping_limit_date,
+       l_extendedprice::DECIMAL(10,2)::DOUBLE AS price, l_quantity::DECIMAL(10,2)::DOUBLE AS freight_value
+FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_suppkey % 3, l_shipdate, l_partkey::VARCHAR, l_suppkey::VARCHAR,
+           l_extendedprice::DECIMAL(10,2), l_quantity::DECIMAL(10,2)) = 1""",
+
+    # what arrives again is changed, and ignored
+    "stream_ingest_orders": """
+SELECT o_orderkey::VARCHAR AS order_id, o_custkey::VARCHAR AS customer_id,
+       map(['F', 'O', 'P'], ['delivered', 'shipped', 'processing'])[o_orderstatus] AS order_status,
+       o_orderdate + to_hours((o_orderkey % 24)::INT) AS order_purchase_timestamp,
+       o_orderdate + to_days(1) AS order_approved_at, NULL::TIMESTAMP AS order_delivered_carrier_date,
+       NULL::TIMESTAMP AS order_delivered_customer_date, o_orderdate + to_days(90) AS order_estimated_delivery_date
+FROM orders""",
+
+    "stream_ingest_payments": with_views("order_payments", """
+SELECT order_id, payment_sequential, payment_type, payment_installments,
+       payment_value::DOUBLE AS payment_value
+FROM order_payments"""),
 
     "metrics_api_health_hourly": with_views("metric_samples", """
 SELECT date_trunc('hour', ts) AS round, CAST(bool_and(ok) AS INTEGER) AS up, max(ts) AS last_update

@@ -12,12 +12,16 @@ by streaming queries:
   duplicating it, and it is checked against every *other* batch, so the
   replay does not mistake its first attempt for existing rows.  Stored keys
   are read only from the key-hash buckets the batch touches;
-* ``dedupe_within_watermark`` — a duplicate key inside the stream is
-  dropped while the key is younger than the watermark delay (the
-  anti-join in ``ingest_if_absent`` is the guarantee beyond that);
-* ``daily_counts`` — orders per day, emitted once the watermark passes the
-  end of the day (append mode); rows later than the watermark are dropped;
-* ``latest_gauges_stream`` — last value per series, refreshed in update mode.
+* ``ingest_tables`` — several streams into several tables, a micro-batch in
+  one commit, repeated keys ignored over the whole history by a stored index
+  (``streaming/epochs.py``);
+* ``count_days`` — orders per day from per-batch partial counts, complete
+  after every batch, in whatever order the rows arrive;
+* ``upsert_latest`` — last value per series, in update mode: a batch writes the
+  series it changes;
+* ``dedupe_within_watermark`` and ``daily_counts`` — the event-time forms with
+  bounded state: keys and days older than the watermark are forgotten, and
+  rows that come later are dropped.
 
 Event-time columns must be TIMESTAMP (the test tables store
 TIMESTAMP_NTZ, which ``withWatermark`` rejects), so they are cast first.
@@ -32,10 +36,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
 from emporium.operators.metrics import label_key
 from emporium.operators.upsert import first_wins, _any_null, _keys
+from emporium.streaming.epochs import EpochStore, Table
 
 BATCH_COL = "batch_id"
 BUCKET_COL = "key_bucket"
@@ -133,16 +139,106 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
     return run
 
 
+def _epochs_of(stream: DataFrame, checkpoint: str, write, trigger: dict | None,
+               mode: str = "append") -> StreamingQuery:
+    """Run ``write(run, batch_id, batch)`` for every micro-batch; a batch of rows
+    is kept while it is written (recomputed from the source if an executor is
+    lost), the output of streaming state is read once."""
+    run = _run_id(stream.sparkSession, checkpoint)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if mode != "append":
+            write(run, batch_id, batch)
+            return
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write(run, batch_id, batch)
+        finally:
+            batch.unpersist()
+
+    return (stream.writeStream.outputMode(mode).foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def ingest_tables(streams: dict[str, DataFrame], store: EpochStore, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Continuously insert several streams into the tables of the same names,
+    each micro-batch into all of them in one commit.
+
+    Rows whose key is stored, or repeated in the batch, are ignored (see
+    :class:`EpochStore`).  The streams advance together in one query, whose
+    rows say which table they are for.
+    """
+    union = None
+    for name, stream in streams.items():
+        tagged = stream.select(F.lit(name).alias("_table"), F.struct(*stream.columns).alias(name))
+        union = tagged if union is None else union.unionByName(tagged, allowMissingColumns=True)
+
+    def write(run: str, n: int, batch: DataFrame) -> None:
+        store.commit(run, n, {name: batch.where(F.col("_table") == name).select(f"{name}.*") for name in streams})
+
+    return _epochs_of(union, checkpoint, write, trigger)
+
+
+def count_days(stream: DataFrame, ts: str, store: EpochStore, name: str, checkpoint: str,
+               by: Sequence[str] = (), trigger: dict | None = None) -> StreamingQuery:
+    """Rows per day: each micro-batch commits its own partial counts, which
+    :func:`day_counts` adds up on reading, so a row counts whenever it arrives."""
+    def write(run: str, n: int, batch: DataFrame) -> None:
+        counts = batch.groupBy(F.to_date(ts).alias("day"), *by).agg(F.count(F.lit(1)).alias("n"))
+        store.commit(run, n, {name: counts})
+
+    return _epochs_of(stream, checkpoint, write, trigger)
+
+
+def day_counts(schema: StructType | str, by: Sequence[str] = ()) -> Table:
+    """The table that :func:`count_days` writes to: ``(day, by…, n)``."""
+    return Table(_schema(schema), merge=lambda rows: rows.groupBy("day", *by).agg(F.sum("n").alias("n")))
+
+
+def upsert_latest(stream: DataFrame, store: EpochStore, name: str, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Keep the last value per series of a stream of samples (update mode).
+
+    Streaming state holds the last value per series; a micro-batch emits the
+    series it met and commits those that changed against the stored values.
+    Read the table (see :func:`latest_values`) for the latest of all.
+    """
+    def write(run: str, n: int, batch: DataFrame) -> None:
+        if not store.committed():
+            store.commit(run, n, {name: batch})
+            return
+        stored = store.read(name).select("metric", label_key(F.col("labels")).alias("_lk"),
+                                         F.struct("ts", "value").alias("_old"))
+        rows = batch.withColumn("_lk", label_key(F.col("labels")))
+        changed = rows.join(stored, ["metric", "_lk"], "left") \
+            .where(F.col("_old").isNull() | (F.struct("ts", "value") > F.col("_old")))
+        store.commit(run, n, {name: changed.select(*batch.columns)})
+
+    return _epochs_of(latest_gauges_stream(stream), checkpoint, write, trigger, "update")
+
+
+def latest_values(schema: StructType | str) -> Table:
+    """The table that :func:`upsert_latest` writes to: the latest row per series."""
+    return Table(_schema(schema), merge=latest_gauges_stream)
+
+
+def _schema(schema: StructType | str) -> StructType:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 def dedupe_within_watermark(stream: DataFrame, key: str | Sequence[str], ts: str,
                             delay: str = "1 day") -> DataFrame:
-    """Drop repeated keys that arrive within ``delay`` of event time."""
+    """Drop repeated keys that arrive within ``delay`` of event time (bounded
+    state; :func:`ingest_tables` drops them whenever they arrive)."""
     s = event_time(stream, ts).withWatermark(ts, delay)
     return s.dropDuplicatesWithinWatermark(_keys(key))
 
 
 def daily_counts(stream: DataFrame, ts: str, delay: str = "1 day",
                  by: Sequence[str] = ()) -> DataFrame:
-    """Rows per event-time day (tumbling window), final once the watermark passes."""
+    """Rows per event-time day (tumbling window), final once the watermark
+    passes; later rows are dropped (:func:`count_days` drops none)."""
     s = event_time(stream, ts).withWatermark(ts, delay)
     return (s.groupBy(F.window(ts, "1 day").alias("day"), *by)
             .agg(F.count(F.lit(1)).alias("n"))
