@@ -16,6 +16,7 @@ job changes the same rows in the same way.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,15 @@ from emporium.operators.upsert import TableChange, _keys
 _HIT = "__hit"
 
 
+class ForeignKey(NamedTuple):
+    """``child(columns)`` references ``parent(key)``."""
+
+    child: str
+    columns: str | Sequence[str]
+    parent: str
+    key: str | Sequence[str]
+
+
 def _mark(target: DataFrame, where: Column | None, picked: DataFrame | None,
           key: Sequence[str]) -> DataFrame:
     cond = where if where is not None else F.lit(True)
@@ -94,8 +104,8 @@ def delete_where(target: DataFrame, key: str | Sequence[str],
     the job (a scalar subquery feeding ``assert_true``), so nothing is
     written when it fails.  ``'rollback'`` models the reference's caller,
     which catches that error and rolls back: the table stays unchanged and
-    no row counts as deleted.  ``'ignore'`` deletes regardless.  Cascading
-    to the child tables is done with :func:`delete_children`.
+    no row counts as deleted.  ``'ignore'`` deletes regardless.  Deleting
+    along with the child rows is :func:`delete_cascade`.
     """
     keys = _keys(key)
     marked = _mark(target, where, picked, keys)
@@ -129,6 +139,55 @@ def delete_children(child: DataFrame, fk: str | Sequence[str], deleted: DataFram
                        child.join(parents, fk_cols, "left_semi"))
 
 
+def delete_cascade(tables: Mapping[str, DataFrame], root: str, deleted: DataFrame,
+                   foreign_keys: Sequence[ForeignKey]) -> dict[str, TableChange]:
+    """``DELETE`` from ``root`` with ``ON DELETE CASCADE`` along the foreign keys.
+
+    ``deleted`` holds the rows of ``root`` to delete (from its unique key on).  The
+    deletion goes from parent to child table: a child row goes when any of its
+    foreign keys names a deleted row; a NULL foreign key names none.  Every
+    table that can be reached from ``root`` gets a change, to be published
+    together (``sinks.publish_tables``).  Foreign keys in a circle raise
+    ``ValueError``.
+
+    One join per foreign key, of the child with the distinct deleted keys: as
+    many rows as are deleted, left to the planner to broadcast or shuffle.
+    """
+    changes: dict[str, TableChange] = {}
+    for name in _parents_first(root, foreign_keys):
+        incoming = [fk for fk in foreign_keys if fk.child == name and fk.parent in changes]
+        marked, hit = tables[name], F.lit(False)
+        if name == root:
+            keys = sorted({c for fk in foreign_keys if fk.parent == root for c in _keys(fk.key)}) or deleted.columns
+            marked = marked.join(deleted.select(*keys).distinct().withColumn("__gone", F.lit(True)), keys, "left")
+            hit = F.col("__gone").isNotNull()
+        for i, fk in enumerate(incoming):
+            own = _keys(fk.columns)
+            gone = changes[fk.parent].changed.select(*(F.col(k).alias(f"__k{j}") for j, k in enumerate(_keys(fk.key)))) \
+                .distinct().withColumn(f"__gone{i}", F.lit(True))
+            same = [marked[c] == gone[f"__k{j}"] for j, c in enumerate(own)]
+            marked = marked.join(gone, same, "left").drop(*(f"__k{j}" for j in range(len(own))))
+            hit = hit | F.col(f"__gone{i}").isNotNull()
+        columns = tables[name].columns
+        changes[name] = TableChange(marked.where(~hit).select(*columns), marked.where(hit).select(*columns))
+    return changes
+
+
+def _parents_first(root: str, foreign_keys: Sequence[ForeignKey]) -> list[str]:
+    """The tables that ``root``'s deletions reach, each after all its reached parents."""
+    reached = [root]
+    for name in reached:
+        reached += sorted({fk.child for fk in foreign_keys if fk.parent == name} - set(reached))
+    order: list[str] = []
+    while len(order) < len(reached):
+        ready = [n for n in reached if n not in order
+                 and all(fk.parent in order for fk in foreign_keys if fk.child == n and fk.parent in reached)]
+        if not ready:
+            raise ValueError(f"foreign keys in a circle: {sorted(set(reached) - set(order))}")
+        order += ready
+    return order
+
+
 # ------------------------------------------------- the reference's statements
 def u1_mark_delivered(orders: DataFrame, as_of: str, k: int = 5,
                       min_age_days: int = 2) -> TableChange:

@@ -130,6 +130,35 @@ def dml_delete_stale_orders(s) -> DataFrame:
                                    on_child="rollback").table
 
 
+FOREIGN_KEYS = [dml.ForeignKey(child, "order_id", "orders", "order_id")
+                for child in ("order_items", "order_payments", "order_reviews")]
+
+
+def dml_delete_orders_cascade(s) -> DataFrame:
+    """The oldest stale orders with the id prefix, deleted with their items,
+    payments and reviews and published as one version of four tables; returns
+    the keys of all rows left."""
+    from emporium.operators.sinks import publish_tables, read_published
+    from emporium.session import scratch_path
+    stale = dml.delete_stale_orders(s.orders, AS_OF, id_prefix="12", k=150, on_child="ignore").changed
+    tables = {n: s.table(n) for n in ("orders", "order_items", "order_payments", "order_reviews")}
+    changes = dml.delete_cascade(tables, "orders", stale, FOREIGN_KEYS)
+    root = scratch_path(s.spark, "cascade")
+    publish_tables(s.spark, {n: c.table for n, c in changes.items()}, root)
+    part = {"orders": "null", "order_items": "order_item_id", "order_payments": "payment_sequential",
+            "order_reviews": "review_id"}
+    out = None
+    for name, table in read_published(s.spark, root).items():
+        keys = table.selectExpr(f"'{name}' as table_name", "order_id", f"cast({part[name]} as string) as part")
+        out = keys if out is None else out.unionByName(keys)
+    return out
+
+
+def dml_city_rename_all(s) -> DataFrame:
+    """The city rename over all customers of the prefix instead of eight of them."""
+    return dml.u4_city_rename(s.customers, id_prefix="1", renames=TEST_CITY_RENAMES, k=1_000_000).changed
+
+
 # ------------------------------------------------------------------- quality
 def quality_duplicate_item_keys(s) -> DataFrame:
     return quality.check_unique(s.order_items_raw, ITEM_KEY)
@@ -139,6 +168,46 @@ def quality_orphan_items(s) -> DataFrame:
     return checkable(quality.check_foreign_key(s.order_items, "product_id", s.products, "product_id"))
 
 
+def quality_orphans_of_recall(s) -> DataFrame:
+    """Items whose product is not among the products left after a recall."""
+    left = s.products.where("cast(product_id as int) % 10 != 3")
+    return checkable(quality.check_foreign_key(s.order_items, "product_id", left, "product_id"))
+
+
+def _requests(s) -> dict:
+    """Insert requests with gaps: states as two-letter codes or blank, some
+    missing values, some negative numbers."""
+    n = "cast({} as int)"
+    customers = s.customers.selectExpr(
+        "customer_id", f"if({n.format('customer_id')} % 3 = 0, '', customer_unique_id) as customer_unique_id",
+        f"if({n.format('customer_id')} % 7 = 0, -1, customer_zip_code_prefix) as customer_zip_code_prefix",
+        f"if({n.format('customer_id')} % 5 = 0, null, customer_city) as customer_city",
+        f"case {n.format('customer_id')} % 4 when 0 then concat(' ', left(customer_state, 2), ' ') "
+        "when 1 then '  ' when 2 then null else customer_state end as customer_state")
+    sellers = s.sellers.selectExpr(
+        "seller_id", f"if({n.format('seller_id')} % 7 = 0, -5, seller_zip_code_prefix) as seller_zip_code_prefix",
+        f"if({n.format('seller_id')} % 5 = 0, null, seller_city) as seller_city",
+        f"if({n.format('seller_id')} % 2 = 0, right(seller_state, 3), seller_state) as seller_state")
+    orders = s.orders_placed.selectExpr("order_id", "customer_id", f"if({n.format('order_id')} % 2 = 0, null, "
+                                        "order_status) as order_status")
+    return {"customers": customers, "sellers": sellers, "orders": orders}
+
+
+def quality_accepted_customers(s) -> DataFrame:
+    return quality.validate_rows(
+        _requests(s)["customers"], quality.CUSTOMER_DEFAULTS, int_ge0=["customer_zip_code_prefix"],
+        state_col="customer_state", unique_from=("customer_unique_id", "customer_id"))[0]
+
+
+def quality_accepted_sellers(s) -> DataFrame:
+    return quality.validate_rows(_requests(s)["sellers"], quality.SELLER_DEFAULTS,
+                                 int_ge0=["seller_zip_code_prefix"], state_col="seller_state")[0]
+
+
+def quality_accepted_orders(s) -> DataFrame:
+    return quality.validate_rows(_requests(s)["orders"], quality.ORDER_DEFAULTS)[0]
+
+
 def quality_rejected_customers(s) -> DataFrame:
     _, rejected = quality.validate_rows(
         s.customers, quality.CUSTOMER_DEFAULTS, int_ge0=["customer_zip_code_prefix"],
@@ -168,6 +237,22 @@ def metrics_latest_gauges(s) -> DataFrame:
     return _flat(metrics.latest_gauges(s.metric_samples))
 
 
+def metrics_weather_gauges(s) -> DataFrame:
+    """Weather responses as JSON lines, one per event, with missing fields,
+    failed fetches and bodies cut short; the last good gauges per city."""
+    from emporium.session import scratch_path
+    from emporium.sources.files import read_weather_json
+    path = scratch_path(s.spark, "weather")
+    body = ("concat('{\"main\":{\"temp\":', value, if(event_id % 4 = 0, '', concat(',\"humidity\":', event_id % 100)), "
+            "'},\"wind\":{\"speed\":', event_id % 30, if(event_id % 11 = 0, '', '}}'))")
+    s.raw("events").selectExpr(
+        "concat('city_', user_id % 4) as city", "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") as ts",
+        "event_type != 'error' as ok", f"{body} as body").write.json(path)
+    samples = metrics.weather_to_metrics(read_weather_json(s.spark, path))
+    latest = _flat(metrics.latest_gauges(samples))
+    return latest.select("metric", "city", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+
+
 def metrics_api_health_hourly(s) -> DataFrame:
     samples = s.metric_samples.withColumn("round", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     return metrics.api_health(samples, "round")
@@ -323,6 +408,15 @@ JOBS = {
     "dml_u4_city_rename": dml_u4_city_rename,
     "dml_u5_installments": dml_u5_installments,
     "dml_delete_stale_orders": dml_delete_stale_orders,
+    "dml_delete_orders_cascade": dml_delete_orders_cascade,
+    "dml_city_rename_all": dml_city_rename_all,
+    "quality_orphans_of_recall": quality_orphans_of_recall,
+    "quality_accepted_customers": quality_accepted_customers,
+    "quality_accepted_sellers": quality_accepted_sellers,
+    "quality_accepted_orders": quality_accepted_orders,
+    "metrics_weather_gauges": metrics_weather_gauges,
+    "points_crop_lower_half": lambda s: points.points_crop(s.points, 0.5),
+    "points_inner_box": lambda s: points.points_scaled_crop(s.points, 0.6),
     "quality_duplicate_item_keys": quality_duplicate_item_keys,
     "quality_orphan_items": quality_orphan_items,
     "quality_rejected_customers": quality_rejected_customers,

@@ -135,6 +135,82 @@ FROM (SELECT op.*, (op.payment_type = 'credit_card' AND k.order_id IS NOT NULL)
 SELECT o.* FROM ord o
 WHERE o.order_id NOT IN (SELECT order_id FROM pick) OR (SELECT n FROM n) > 0"""),
 
+    "dml_delete_orders_cascade": f"""WITH doomed AS (
+  SELECT o_orderkey AS k FROM orders
+  WHERE left(o_orderkey::VARCHAR, 2) = '12'
+    AND o_orderdate + to_hours((o_orderkey % 24)::INT) < {AS_OF} - to_hours(1)
+  QUALIFY row_number() OVER (ORDER BY o_orderdate + to_hours((o_orderkey % 24)::INT), o_orderkey::VARCHAR) <= 150),
+remain AS (FROM orders ANTI JOIN doomed ON o_orderkey = k)
+SELECT 'orders' AS table_name, o_orderkey::VARCHAR AS order_id, NULL::VARCHAR AS part FROM remain
+UNION ALL
+SELECT 'order_items', l_orderkey::VARCHAR,
+       (row_number() OVER (PARTITION BY l_orderkey))::VARCHAR FROM lineitem ANTI JOIN doomed ON l_orderkey = k
+UNION ALL
+SELECT 'order_payments', o_orderkey::VARCHAR,
+       unnest(CASE WHEN o_orderkey % 10 = 0 THEN ['1', '2'] ELSE ['1'] END) FROM remain
+UNION ALL
+SELECT 'order_reviews', o_orderkey::VARCHAR, 'r' || o_orderkey FROM remain WHERE o_orderkey % 3 = 0""",
+
+    "dml_city_rename_all": """
+SELECT c_custkey::VARCHAR AS customer_id, c_name AS customer_unique_id,
+       (1000 + c_custkey % 500)::INT AS customer_zip_code_prefix, n_name AS customer_state,
+       CASE WHEN n_name = 'NATION_1' AND c_mktsegment = 'BUILDING' THEN 'Nation 1 Building'
+            WHEN n_name = 'NATION_2' AND c_mktsegment = 'MACHINERY' THEN 'Nation 2 Machinery'
+            ELSE n_name || ' ' || c_mktsegment END AS customer_city
+FROM customer, nation WHERE n_nationkey = c_nationkey AND left(c_custkey::VARCHAR, 1) = '1'""",
+
+    "quality_orphans_of_recall": with_views("order_items", f"""
+SELECT {ITEM_COLS} FROM order_items
+WHERE product_id::INT % 10 = 3 OR product_id::INT NOT IN (SELECT p_partkey FROM part)"""),
+
+    "quality_accepted_customers": """
+SELECT c_custkey::VARCHAR AS customer_id,
+       CASE WHEN c_custkey % 3 = 0 THEN c_custkey::VARCHAR ELSE c_name END AS customer_unique_id,
+       (1000 + c_custkey % 500)::INT AS customer_zip_code_prefix,
+       CASE WHEN c_custkey % 5 = 0 THEN 'unknown' ELSE n_name || ' ' || c_mktsegment END AS customer_city,
+       CASE c_custkey % 4 WHEN 0 THEN n_name[1:2] WHEN 2 THEN 'NA' ELSE n_name END AS customer_state
+FROM customer, nation
+WHERE n_nationkey = c_nationkey AND c_custkey % 7 <> 0
+  AND (c_custkey % 4 IN (0, 2) OR (c_custkey % 4 = 3 AND length(n_name) <= 5))""",
+
+    "quality_accepted_sellers": """
+SELECT s_suppkey::VARCHAR AS seller_id, (1000 + s_suppkey % 500)::INT AS seller_zip_code_prefix,
+       CASE WHEN s_suppkey % 5 = 0 THEN 'unknown' ELSE lower(n_name) END AS seller_city,
+       CASE WHEN s_suppkey % 2 = 0 THEN right(n_name, 3) ELSE n_name END AS seller_state
+FROM supplier, nation
+WHERE n_nationkey = s_nationkey AND s_suppkey % 7 <> 0 AND (s_suppkey % 2 = 0 OR length(n_name) <= 5)""",
+
+    "quality_accepted_orders": """
+SELECT o_orderkey::VARCHAR AS order_id, o_custkey::VARCHAR AS customer_id,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'created'
+            ELSE coalesce(map(['F', 'O', 'P'], ['delivered', 'shipped', 'processing'])[o_orderstatus], 'created')
+            END AS order_status
+FROM orders""",
+
+    # the last event of a city that is no error and has a whole body gives its nine gauges
+    "metrics_weather_gauges": """
+WITH good AS (
+  SELECT 'city_' || user_id % 4 AS city, ts, unnest([
+           {'m': 'owm_temperature_celsius', 'v': value},
+           {'m': 'owm_humidity_percent', 'v': CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id % 100 END},
+           {'m': 'owm_wind_speed_ms', 'v': event_id % 30}, {'m': 'owm_feels_like_celsius', 'v': 0},
+           {'m': 'owm_pressure_hpa', 'v': 0}, {'m': 'owm_clouds_percent', 'v': 0}, {'m': 'owm_visibility_m', 'v': 0},
+           {'m': 'owm_rain_1h_mm', 'v': 0}, {'m': 'owm_snow_1h_mm', 'v': 0}]) AS g
+  FROM events WHERE event_type <> 'error' AND event_id % 11 <> 0 AND value IS NOT NULL)
+SELECT g.m AS metric, city, max(ts) AS ts, arg_max(g.v::DOUBLE, (ts, g.v::DOUBLE)) AS value
+FROM good GROUP BY ALL""",
+
+    "points_crop_lower_half": with_views("points", """
+SELECT * FROM points WHERE z <= (SELECT min(z) + (max(z) - min(z)) * 0.5::DOUBLE FROM points)"""),
+
+    "points_inner_box": with_views("points", """
+, box AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, min(z) AS z0, max(z) AS z1 FROM points),
+mid AS (SELECT *, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy, (z0 + z1) / 2 AS cz FROM box)
+SELECT point_id, x, y, z FROM points, mid
+WHERE x >= cx + (x0 - cx) * 0.6::DOUBLE AND x <= cx + (x1 - cx) * 0.6::DOUBLE
+  AND y >= cy + (y0 - cy) * 0.6::DOUBLE AND y <= cy + (y1 - cy) * 0.6::DOUBLE
+  AND z >= cz + (z0 - cz) * 0.6::DOUBLE AND z <= cz + (z1 - cz) * 0.6::DOUBLE"""),
+
     "quality_duplicate_item_keys": with_views("order_items_raw", """
 SELECT order_id, order_item_id, COUNT(*) AS n FROM order_items_raw
 GROUP BY order_id, order_item_id HAVING COUNT(*) > 1"""),

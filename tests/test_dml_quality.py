@@ -163,3 +163,25 @@ def test_predicates_follow_sql_semantics(spark):
     assert ids(P.eq_filter("z", 1)) == ["loadXx2"]                      # NULL never equal
     assert ids(P.late_flag("n", "z")) == ["loadXx2"]                    # NULL side → no row
     assert ids(P.ilike_match("id", "OTHER")) == ["other"]
+
+
+def test_delete_cascade_reaches_grandchildren_once(spark):
+    """Two ways from a to d, a nullable key, a key of two columns, a table out of reach."""
+    tables = {
+        "a": spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "id int, v string"),
+        "b": spark.createDataFrame([(10, 1), (11, 2), (12, None)], "id int, a_id int"),
+        "c": spark.createDataFrame([(1, 7, 1), (1, 8, 3), (2, 7, 2)], "k1 int, k2 int, a_id int"),
+        "d": spark.createDataFrame([(100, 10, 2, 7), (101, 11, 1, 7), (102, 11, 1, 8), (103, None, None, None),
+                                    (103, None, None, None)], "id int, b_id int, c1 int, c2 int"),
+        "other": spark.createDataFrame([(1,)], "a_id int")}
+    keys = [dml.ForeignKey("b", "a_id", "a", "id"), dml.ForeignKey("c", "a_id", "a", "id"),
+            dml.ForeignKey("d", "b_id", "b", "id"), dml.ForeignKey("d", ["c1", "c2"], "c", ["k1", "k2"])]
+    changes = dml.delete_cascade(tables, "a", tables["a"].where("id = 1"), keys)
+    left = {n: sorted((tuple(r) for r in c.table.collect()), key=repr) for n, c in changes.items()}
+    assert left == {"a": [(2, "y"), (3, "z")], "b": [(11, 2), (12, None)], "c": [(1, 8, 3), (2, 7, 2)],
+                    "d": [(102, 11, 1, 8), (103, None, None, None), (103, None, None, None)]}
+    assert {n: c.rowcount() for n, c in changes.items()} == {"a": 1, "b": 1, "c": 1, "d": 2}
+    none = dml.delete_cascade(tables, "a", tables["a"].where("false"), keys)
+    assert all(c.rowcount() == 0 and c.table.count() == tables[n].count() for n, c in none.items())
+    with pytest.raises(ValueError, match="circle"):
+        dml.delete_cascade(tables, "a", tables["a"], [*keys, dml.ForeignKey("b", "id", "d", "b_id")])
