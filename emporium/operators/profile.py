@@ -4,22 +4,21 @@ Per column: the display width (longest rendered value including the
 header, plus 2, capped at 40) and, for numeric columns with at least two
 values, min / median / max (the three stops of the colour scale).
 
-Widths, counts, minima and maxima of all columns come from ONE aggregate
-pass.  Medians are exact and interpolated (mean of the two middle values for
-an even count, like pandas and spreadsheet percentiles).  Spark's exact
-``percentile`` keeps every distinct value of a group in one task's memory,
-which does not survive a 100 TB column; :func:`exact_ranks` narrows each
-wanted rank down with equal-width histograms instead: one aggregate job per
-round for all columns at once, each returning at most ``buckets`` rows per
-rank, and once a rank's candidate range holds at most ``small`` rows, one
-window job ranks the rows inside those ranges (partitioned by rank, so no
-partition holds more than ``small`` rows).  A value repeated a billion times
-ends its search as soon as its bucket has min == max.
+Widths, counts, minima, maxima and a quantile sketch of all columns come from
+ONE aggregate pass.  Medians are exact and interpolated (mean of the two
+middle values for an even count, like pandas and spreadsheet percentiles).
+Spark's exact ``percentile`` keeps every distinct value of a group in one
+task's memory, which does not survive a 100 TB column; :func:`exact_ranks`
+takes split points on both sides of a wanted rank from the sketch
+(``percentile_approx`` is mergeable and its rank error bounded), and a second
+pass over the input counts the values below them and groups the few between
+them.  Those are written down sorted by range; counts per partition lead to
+the one partition that holds the rank.  Two scans of the input, whatever its
+values; a value repeated a billion times is one row of the second.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -42,142 +41,120 @@ def rendered_length(df: DataFrame, name: str):
     return F.length(c.cast("string"))
 
 
+#: Rank error of the sketch, as a part of the number of values: 1 / ACCURACY.
+ACCURACY = 10_000
+
+
+def _fractions(accuracy: int) -> list[float]:
+    """Where the sketch is asked for split points around the median."""
+    return [max(0.0, 0.5 - 2 / accuracy), min(1.0, 0.5 + 2 / accuracy)]
+
+
+def _sketch(x, fractions: list[float], accuracy: int):
+    """Split points of a column; NaN, the greatest value, counts as infinity here."""
+    return F.percentile_approx(F.when(F.isnan(x), F.lit(float("inf"))).otherwise(x), fractions, accuracy)
+
+
 @dataclass
-class _Target:
-    col: int      # column index in the long table
-    k: int        # wanted 0-based rank among the column's values
-    lo: float     # candidate range [lo, hi] ...
-    hi: float
-    below: int    # ... with this many values left of it
-    n: int        # ... and this many inside it
-
-
-def _tag(long: DataFrame, targets: dict[int, _Target]) -> DataFrame:
-    """Rows of ``long`` (c, v) inside some target's range, tagged with its id."""
-    v, c = F.col("v"), F.col("c")
-    ids = F.array(*[F.when((c == t.col) & (v >= F.lit(t.lo)) & (v <= F.lit(t.hi)), F.lit(i))
-                    for i, t in targets.items()])
-    return (long.select("v", F.explode(F.filter(ids, lambda x: x.isNotNull())).alias("t")))
-
-
-def _case(targets: dict[int, _Target], value) -> F.Column:
-    expr = None
-    for i, t in targets.items():
-        cond = F.col("t") == F.lit(i)
-        val = F.lit(value(t))
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr
-
-
-def _finite(t: _Target) -> bool:
-    return math.isfinite(t.lo) and math.isfinite(t.hi)
-
-
-def _width(t: _Target, buckets: int) -> float:
-    return t.hi / buckets - t.lo / buckets
-
-
-def exact_ranks(long: DataFrame, targets: dict[int, _Target], buckets: int = 1024,
-                small: int = 100_000) -> dict[int, float]:
-    """Exact k-th values for several (column, rank) targets of a long table (c, v)."""
-    result: dict[int, float] = {}
-    while True:
-        for i, t in targets.items():
-            if i not in result and (t.lo == t.hi or math.isnan(t.lo)):
-                result[i] = float(t.lo)
-        big = {i: t for i, t in targets.items()
-               if i not in result and t.n > small and (not _finite(t) or _width(t, buckets) > 0)}
-        if not big:
-            break
-        tagged = _tag(long, big)
-        lo = _case(big, lambda t: t.lo)
-        width = _case(big, lambda t: _width(t, buckets) if _finite(t) else 1.0)
-        # a range with an infinity or NaN is first split from its finite values
-        infinite = F.lit(float("inf"))
-        split = F.when(F.col("v") == -infinite, -1).when(F.isnan("v"), 2) \
-            .when(F.col("v") == infinite, 1).otherwise(0)
-        b = F.when(_case(big, _finite), F.least(F.floor(F.col("v") / width - lo / width),
-                                                F.lit(buckets - 1))).otherwise(split)
-        hist = (tagged.groupBy("t", b.alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                .collect())  # at most buckets rows per target
-        by_target: dict[int, list] = {}
-        for row in hist:
-            by_target.setdefault(row["t"], []).append(row)
-        for i, t in big.items():
-            for row in sorted(by_target.get(i, []), key=lambda r: r["b"]):
-                if t.below + row["n"] > t.k:
-                    t.lo, t.hi, t.n = row["lo"], row["hi"], row["n"]
-                    break
-                t.below += row["n"]
-    rest = {i: t for i, t in targets.items() if i not in result}
-    if rest:
-        offset = _case(rest, lambda t: t.k - t.below)
-        w = Window.partitionBy("t").orderBy("v")
-        picked = (_tag(long, rest).withColumn("r", F.row_number().over(w) - 1)
-                  .where(F.col("r") == offset).select("t", "v").collect())
-        for row in picked:
-            result[row["t"]] = float(row["v"])
-    return result
-
-
-def exact_kth(values: DataFrame, k: int, buckets: int = 1024, small: int = 100_000) -> float:
+class _Stats:
+    """A column's first pass: values, least, greatest, split points by fraction."""
+
+    n: int
+    lo: float | None
+    hi: float | None
+    splits: list[tuple[float, float]]
+
+    def bracket(self, ranks: list[int], accuracy: int) -> tuple[float, float]:
+        """Split points that hold the 0-based ranks between them, whatever the sketch's error."""
+        slack = 1 / accuracy
+        below = [v for f, v in self.splits if (f + slack) * self.n <= min(ranks)]
+        above = [v for f, v in self.splits if (f - slack) * self.n >= max(ranks) + 1]
+        return max(below, default=float("-inf")), min(above, default=float("inf"))
+
+
+def _long(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+                                         for i, c in enumerate(names)])).alias("p")) \
+        .select("p.c", "p.v").where(F.col("v").isNotNull())
+
+
+def exact_ranks(df: DataFrame, names: list[str], stats: dict[str, _Stats], ranks: dict[str, list[int]],
+                accuracy: int = ACCURACY) -> dict[tuple[str, int], float]:
+    """Exact values at 0-based ranks of several columns, in one pass over ``df``."""
+    from emporium.session import materialise
+    names = [c for c in names if ranks.get(c)]
+    if not names:
+        return {}
+    brackets = [stats[c].bracket(ranks[c], accuracy) for c in names]
+    at = F.col("c") + 1
+    lo = F.element_at(F.array(*[F.lit(b[0]) for b in brackets]), at)
+    hi = F.element_at(F.array(*[F.lit(b[1]) for b in brackets]), at)
+    v = F.col("v")
+    # an upper bound of infinity holds NaN too; null stands for all values below
+    counted = _long(df, names).where((v <= hi) | (hi == float("inf"))) \
+        .groupBy("c", F.when(v >= lo, v).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    rows = materialise(counted.repartitionByRange("c", "v").sortWithinPartitions("c", "v")
+                       .withColumn("part", F.spark_partition_id()), "profile-ranks")
+    before = Window.partitionBy("c").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("c", "part").agg(F.sum("n").alias("size")) \
+        .withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))  # a row per partition
+    wanted = df.sparkSession.createDataFrame(
+        [(i, k) for i, c in enumerate(names) for k in sorted(set(ranks[c]))], "c int, k long")
+    holding = parts.join(wanted, "c").where("start <= k AND k < start + size")
+    upto = Window.partitionBy("c", "k").orderBy("v")
+    found = rows.join(holding, ["c", "part"]) \
+        .withColumn("end", F.col("start") + F.sum("n").over(upto)) \
+        .where("end > k AND end - n <= k").select("c", "k", "v").collect()  # a row per rank
+    return {(names[r["c"]], r["k"]): r["v"] for r in found}
+
+
+def _stats_columns(name: str, i: int, fractions: list[float], accuracy: int) -> list:
+    x = F.col(name).cast("double")
+    return [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+            _sketch(x, fractions, accuracy).alias(f"q{i}")]
+
+
+def _stats_of(row, i: int, fractions: list[float]) -> _Stats:
+    splits = row[f"q{i}"] or []
+    return _Stats(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], list(zip(fractions, splits)))
+
+
+def exact_kth(values: DataFrame, k: int, accuracy: int = ACCURACY) -> float:
     """The k-th smallest (0-based) of a one-column DataFrame ``v`` (no NULLs)."""
-    s = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    if s["n"] == 0 or not 0 <= k < s["n"]:
-        raise ValueError(f"rank {k} out of range for {s['n']} values")
-    long = values.select(F.lit(0).alias("c"), "v")
-    return exact_ranks(long, {0: _Target(0, k, s["lo"], s["hi"], 0, s["n"])}, buckets, small)[0]
+    fractions = [i / 64 for i in range(65)]
+    stats = _stats_of(values.agg(*_stats_columns("v", 0, fractions, accuracy)).first(), 0, fractions)
+    if not 0 <= k < stats.n:
+        raise ValueError(f"rank {k} out of range for {stats.n} values")
+    return exact_ranks(values, ["v"], {"v": stats}, {"v": [k]}, accuracy)["v", k]
 
 
 def exact_median(df: DataFrame, name: str, **kw) -> float | None:
     return exact_medians(df, [name], **kw).get(name)
 
 
-def exact_medians(df: DataFrame, names: list[str], stats: dict | None = None,
-                  buckets: int = 1024, small: int = 100_000) -> dict[str, float | None]:
-    """Exact interpolated medians of several numeric columns together."""
+def exact_medians(df: DataFrame, names: list[str], stats: dict[str, _Stats] | None = None,
+                  accuracy: int = ACCURACY) -> dict[str, float | None]:
+    """Exact interpolated medians of several numeric columns together; None without values."""
     if stats is None:
-        aggs = []
-        for i, c in enumerate(names):
-            x = F.col(c).cast("double")
-            aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-        row = df.agg(*aggs).first()
-        stats = {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(names)}
-    targets: dict[int, _Target] = {}
-    wanted: dict[str, tuple[int, int]] = {}
-    for ci, c in enumerate(names):
-        n, lo, hi = stats[c]
-        if not n:
-            continue
-        k1, k2 = (n - 1) // 2, n // 2
-        t1 = len(targets)
-        targets[t1] = _Target(ci, k1, lo, hi, 0, n)
-        t2 = t1
-        if k2 != k1:
-            t2 = len(targets)
-            targets[t2] = _Target(ci, k2, lo, hi, 0, n)
-        wanted[c] = (t1, t2)
-    if not targets:
-        return {c: None for c in names}
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
-                                         for i, c in enumerate(names)])).alias("p")) \
-        .select("p.c", "p.v").where(F.col("v").isNotNull())
-    found = exact_ranks(long, targets, buckets, small)
-    out = {}
+        fractions = _fractions(accuracy)
+        row = df.agg(*[x for i, c in enumerate(names) for x in _stats_columns(c, i, fractions, accuracy)]).first()
+        stats = {c: _stats_of(row, i, fractions) for i, c in enumerate(names)}
+    middle = {c: [(stats[c].n - 1) // 2, stats[c].n // 2] for c in names if stats[c].n}
+    found = exact_ranks(df, names, stats, middle, accuracy)
+    out: dict[str, float | None] = {}
     for c in names:
-        if c not in wanted:
+        if c not in middle:
             out[c] = None
             continue
-        a, b = found[wanted[c][0]], found[wanted[c][1]]
-        out[c] = a + (b - a) * 0.5
+        low, high = (found[c, k] for k in middle[c])
+        out[c] = low if low == high else low + (high - low) * 0.5
     return out
 
 
 def column_profile(df: DataFrame, method: str = "select") -> DataFrame:
     """One row per column: column, position, width, n_numeric, min, p50, max.
 
-    ``method``: ``'select'`` exact median by histogram narrowing (default),
+    ``method``: ``'select'`` exact median in a second pass (default),
     ``'approx'`` ``percentile_approx`` (one pass, bounded memory, ±1/10000
     rank error), ``'exact'`` Spark's ``percentile`` (exact, one pass, keeps
     the distinct values of the column in memory).
@@ -189,7 +166,7 @@ def column_profile(df: DataFrame, method: str = "select") -> DataFrame:
     for i, c in enumerate(cols):
         if c in numeric:
             x = F.col(c).cast("double")
-            aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+            aggs += _stats_columns(c, i, _fractions(ACCURACY), ACCURACY)
             if method == "approx":
                 aggs.append(F.percentile_approx(x, 0.5, 10000).cast("double").alias(f"p{i}"))
             elif method == "exact":
@@ -198,7 +175,7 @@ def column_profile(df: DataFrame, method: str = "select") -> DataFrame:
     idx = {c: i for i, c in enumerate(cols)}
     scaled = [c for c in numeric if (row[f"n{idx[c]}"] or 0) >= 2]
     if method == "select":
-        stats = {c: (row[f"n{idx[c]}"], row[f"lo{idx[c]}"], row[f"hi{idx[c]}"]) for c in scaled}
+        stats = {c: _stats_of(row, idx[c], _fractions(ACCURACY)) for c in scaled}
         medians = exact_medians(df, scaled, stats) if scaled else {}
     else:
         medians = {c: row[f"p{idx[c]}"] for c in scaled}

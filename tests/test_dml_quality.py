@@ -102,8 +102,8 @@ def test_exact_kth_matches_sort(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     s = sorted(vals)
     for k in (0, 1, 1499, 1500, 2999):
-        assert exact_kth(df, k, buckets=16, small=50) == s[k]
-    med = exact_median(df, "v", buckets=16, small=50)
+        assert exact_kth(df, k, accuracy=50) == s[k]
+    med = exact_median(df, "v", accuracy=50)
     assert med == s[1499] + (s[1500] - s[1499]) * 0.5
 
 
@@ -185,3 +185,28 @@ def test_delete_cascade_reaches_grandchildren_once(spark):
     assert all(c.rowcount() == 0 and c.table.count() == tables[n].count() for n, c in none.items())
     with pytest.raises(ValueError, match="circle"):
         dml.delete_cascade(tables, "a", tables["a"], [*keys, dml.ForeignKey("b", "id", "d", "b_id")])
+
+
+def test_medians_in_one_pass_after_the_sketch(spark):
+    import random
+    from emporium.operators.profile import exact_medians
+    rnd = random.Random(11)
+    inf, nan = float("inf"), float("nan")
+    columns = {
+        "skewed": [rnd.paretovariate(0.3) for _ in range(5000)],
+        "equal": [7.0] * 5000,
+        "mostly": [1.0] * 4000 + [rnd.random() * 9 for _ in range(1000)],
+        "odd": [rnd.choice([inf, -inf, nan, 0.0, -0.0, 5e-324, 1.7e308]) for _ in range(5000)],
+        "nans": [nan] * 2600 + [1.0] * 2400,
+        "few": [3.0, 1.0] + [None] * 4998,
+        "none": [None] * 5000}
+    for values in columns.values():
+        rnd.shuffle(values)
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(6)
+    for accuracy in (20, 10_000):
+        got = exact_medians(df, list(columns), accuracy=accuracy)
+        for c, values in columns.items():
+            s = sorted((v for v in values if v is not None), key=lambda v: (v != v, v))
+            low, high = (s[(len(s) - 1) // 2], s[len(s) // 2]) if s else (None, None)
+            want = low if low == high or not s else low + (high - low) * 0.5
+            assert got[c] == want or (want != want and got[c] != got[c]), (c, accuracy)

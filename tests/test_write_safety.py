@@ -93,7 +93,7 @@ def test_ranks_with_values_beyond_any_width(spark, odd):
         return (v != v, v)
     want = sorted(values, key=order)
     for k in (0, 5, 10, 20):
-        assert profile.exact_kth(df, k, small=3) == want[k]
+        assert profile.exact_kth(df, k, accuracy=3) == want[k]
 
 
 def test_label_with_a_line_end_survives(spark, tmp_dir):
