@@ -215,8 +215,13 @@ def q13_top_categories_english(s, k: int = 10) -> DataFrame:
     return top.select("category", F.col("rev").cast("double").alias("revenue"))
 
 
+def _orders_of_years(s, years) -> DataFrame:
+    """The orders that the caller's exact filter on the year can keep."""
+    return s.orders_between(ts_literal(f"{min(years)}-01-01 00:00:00"), ts_literal(f"{max(years) + 1}-01-01 00:00:00"))
+
+
 def q14_category_year_revenue(s, years=YEARS, k: int = 30) -> DataFrame:
-    o = s.orders.select("order_id", "order_purchase_timestamp")
+    o = _orders_of_years(s, years).select("order_id", "order_purchase_timestamp")
     ts = F.col("order_purchase_timestamp")
     o = o.where(year_range(ts, min(years), max(years)) & in_list(F.year(ts), years))
     oi = lines(s).select("order_id", "product_id", "price")
@@ -299,7 +304,7 @@ def q18_state_order_totals(s) -> DataFrame:
 
 def q19_orders_by_month_year(s, first_year: int = YEARS[0], last_year: int = YEARS[-1]) -> DataFrame:
     ts = F.col("order_purchase_timestamp")
-    o = s.orders.select("order_purchase_timestamp").where(
+    o = _orders_of_years(s, (first_year, last_year)).select("order_purchase_timestamp").where(
         ts.isNotNull() & year_range(ts, first_year, last_year))
     return (o.groupBy(month_start(ts).alias("month_start"), F.year(ts).cast("int").alias("year"))
             .agg(F.count(F.lit(1)).cast("int").alias("order_count"))
@@ -494,7 +499,7 @@ def q35_top3_price_rank(s, k: int = 3) -> DataFrame:
 def q36_recent_daily_orders(s, as_of: str = AS_OF, days: int = 30) -> DataFrame:
     ts = F.col("order_purchase_timestamp")
     since = relative_time(as_of, days=days)
-    return (s.orders.where(ts > since)
+    return (s.orders_between(since).where(ts > since)
             .groupBy(F.to_date(ts).alias("order_date"))
             .agg(F.count(F.lit(1)).alias("daily_orders"))
             .orderBy(F.col("order_date").desc()))
@@ -534,7 +539,8 @@ def q39_last_order_day(s, id_prefix: str | None = None,
 def q40_last_day_and_count(s, id_prefix: str = "12", start: str = "1998-01-01") -> DataFrame:
     ts = F.col("order_purchase_timestamp")
     start_d = F.lit(start).cast("date")
-    o = s.orders.where(like_prefix("order_id", id_prefix) & range_cmp(ts, ">=", start_d.cast("timestamp_ntz")))
+    since = start_d.cast("timestamp_ntz")
+    o = s.orders_between(since).where(like_prefix("order_id", id_prefix) & range_cmp(ts, ">=", since))
     per_day = o.groupBy(F.to_date(ts).alias("d")).agg(F.count(F.lit(1)).alias("cnt"))
     last = per_day.agg(F.max("d").alias("d"), F.max_by("cnt", "d").alias("cnt"))
     return last.select(F.coalesce("d", F.date_sub(start_d, 1)).alias("last_day"),

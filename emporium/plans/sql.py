@@ -11,6 +11,7 @@ text exactly like the DataFrame versions in ``reports.py``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Monthly revenue: per-order totals first (an order belongs to the month it
 # was placed in), then summed per month.
@@ -65,7 +66,7 @@ def q37_orders_by_customer_sql(s, customer_id: str = "1000") -> DataFrame:
 
 def q40_last_day_and_count_sql(s, id_prefix: str = "12", start: str = "1998-01-01") -> DataFrame:
     return s.spark.sql(LAST_DAY_AND_COUNT, args={"prefix": id_prefix, "start": start},
-                       orders=s.orders_placed if hasattr(s, "orders_placed") else s.orders)
+                       orders=s.orders_between(F.lit(start).cast("date").cast("timestamp_ntz")))
 
 
 def _lines(s) -> DataFrame:

@@ -53,6 +53,10 @@ class CatalogStar:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def orders_between(self, since=None, until=None) -> DataFrame:
+        """``orders``: the purchase time is stored, so the caller's filter reaches the scan."""
+        return self.orders
+
     def __getattr__(self, name: str) -> DataFrame:
         if name == "order_lines":
             return self.spark.table(f"{self.database}.order_items").drop("order_item_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -81,3 +83,15 @@ def test_oracle_column_types_equal_spark_types(spark, con):
         duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
         for col, t in QUERIES[name](spark, SF001).dtypes:
             assert SPARK_TO_DUCK.get(t, t) == duck_types.get(col), (name, col, t, duck_types.get(col))
+
+
+@pytest.mark.parametrize("name,bounds", [
+    ("q14_category_year_revenue", 2), ("q14b_category_year_top10", 2), ("q19_orders_by_month_year", 2),
+    ("q19b_month_by_year_pivot", 2), ("q36_recent_daily_orders", 1), ("q40_last_day_and_count", 1),
+    ("q40_last_day_and_count_sql", 1)])
+def test_time_range_reaches_the_scan(spark, name, bounds):
+    """The purchase time is derived; the bounds it implies for the stored date are pushed down."""
+    plan = QUERIES[name](spark, SF001)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "o_orderdate" in line]
+    assert pushed and all(len(re.findall(r"(GreaterThan|LessThan)\w*\(o_orderdate", line)) == bounds for line in pushed)
