@@ -38,12 +38,18 @@ ROWS_PER_LANGUAGE = 2_000
 PIECE = 1 << 18
 SMOOTHING = 0.5
 
-_LETTER = re.compile(r"[^\W\d_]")
+# a letter, or one of the other numerics (fractions, superscripts, Roman numerals)
+_WORD_CHARACTER = re.compile(r"[^\W\d_]")
 # ASCII characters that are not letters count as one separator
 _ASCII = np.array([c if chr(c).isalpha() else 32 for c in range(128)], dtype=np.uint32)
 _MULTIPLIER = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of a text is of a Unicode letter category."""
+    return any(m.group().isalpha() for m in _WORD_CHARACTER.finditer(text))
+
+
 def _codes(text: str) -> np.ndarray:
     codes = np.frombuffer(text.lower().encode("utf-32-le"), dtype="<u4")
     return np.where(codes < 128, _ASCII[np.minimum(codes, 127)], codes)
@@ -63,7 +69,7 @@ def _pieces(texts: Iterator[str | None]) -> Iterator[tuple[int, np.ndarray]]:
     """``(row, codes)`` pieces; pieces of one text overlap by two code points
     at their start, which belong to the piece before."""
     for row, text in enumerate(texts):
-        if text is None or not _LETTER.search(text):
+        if text is None or not has_letter(text):
             continue
         for at in range(0, len(text), PIECE):
             yield row, _codes(text[max(0, at - 2):at + PIECE])

@@ -329,11 +329,12 @@ def brute_scores(model, text):
 def test_batch_scores_match_a_plain_loop(spark, monkeypatch):
     docs = docs_of(spark)
     model = LI.train(LI.training_sample(docs))
-    texts = [r.text[:300] for r in docs.limit(40).collect()] + ["x", "é", None, "", "123 !!", "a b"]
+    unlettered = [None, "", "123 !!", "½ 3/4", "²", "Ⅷ _", "٣", "一"[:0], "\U0001f600"]
+    texts = [r.text[:300] for r in docs.limit(40).collect()] + unlettered + ["x", "é", "a b", "½a", "ª", "一", "ʰ"]
     monkeypatch.setattr(LI, "PIECE", 64)  # many pieces and blocks
     names, scores = model.score(texts)
     for text, name, score in zip(texts, names, scores):
-        if text is None or not re.search(r"[^\W\d_]", text):
+        if text in unlettered:
             assert (name, score) == ("und", 0.0)
         else:
             want, p = brute_scores(model, text)
@@ -520,6 +521,31 @@ def test_targets(spark, seed):
     assert got == pytest.approx(water_fill(sizes, M.WEIGHTS))
 
 
+def assert_near_targets(rows, source_of):
+    """Each source's taken words are its target, up to its largest document."""
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[source_of[r.id]].append(r)
+    for part in by_source.values():
+        taken = sum(r.copies * r.size for r in part)
+        assert abs(taken - part[0].target) <= max(r.size for r in part), (taken, part[0].target)
+
+
+def test_mix_of_unequal_documents(spark):
+    """Few documents a source, of sizes from one word to thousands."""
+    rng = random.Random(2)
+    rows = [(i, "w " * int(rng.paretovariate(0.6)) , "en", f"s{i % 7}", 0) for i in range(350)]
+    docs = spark.createDataFrame([(i, t[:20_000], *rest) for i, t, *rest in rows], SCHEMA)
+    for seed in ("a", "b", "c"):
+        assert_near_targets(M.mixed(docs, seed=seed).collect(), {r[0]: r[3] for r in rows})
+
+
+def test_null_ids_are_drawn_apart(spark):
+    docs = spark.createDataFrame([(None, f"some words {i} " * 10, "en", s, 0) for i in range(200) for s in "abc"], SCHEMA)
+    copies = {(r.doc.source, r.copies) for r in M.mixed(docs).collect()}
+    assert len(copies) > 3  # some source has documents taken differently
+
+
 def test_mix(spark):
     docs = docs_of(spark)
     part = {r.id: r for r in M.mixed(docs).collect()}
@@ -528,6 +554,7 @@ def test_mix(spark):
     for r in part.values():
         rate = r.target / r.source_size
         assert int(rate) <= r.copies <= min(3, int(rate) + 1)
+    assert_near_targets(part.values(), {r.doc_id: r.source for r in docs.collect()})
     assert M.mix(docs).columns == docs.columns
     assert sorted(M.digest(docs).collect()) == sorted(M.digest(docs).collect())
 
