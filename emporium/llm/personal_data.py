@@ -179,14 +179,16 @@ class Finder:
 
     @staticmethod
     def url(text, at, least, size):
-        end = at + size
+        # (the host first: only a find, which is consumed, is walked to its end)
+        host = _run(text, at + size, HOST)
+        if host == at + size or text[host:host + 1] not in (".", ":", "/", ""):
+            return None
+        end = host
         while end < len(text) and text[end] not in URL_END:
             end += 1
-        while end > at + size and text[end - 1] in ".,;:!?)":
+        while text[end - 1] in ".,;:!?)":
             end -= 1
-        host = _run(text, at + size, HOST)
-        return (at, end, True) if host > at + size and text[host:host + 1] in (".", ":", "/", "") \
-            and end >= host else None
+        return at, end, True
 
     @staticmethod
     def _value(text, at):
@@ -262,11 +264,12 @@ class Finder:
     @classmethod
     def secret(cls, text, at, least, size):
         start = cls._value(text, at + size)
+        if not any(c in "=:" for c in text[at + size:start]):
+            return None
         end = _run(text, start, SECRET)
         while end > start and text[end - 1] == ".":
             end -= 1
-        assigned = any(c in "=:" for c in text[at + size:start])
-        return (start, end, True) if assigned and end - start >= 16 else None
+        return (start, end, True) if end - start >= 16 else None
 
 
 def listed(found: dict[str, list[tuple[int, int]]], kinds: tuple[str, ...]) -> str:

@@ -6,6 +6,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import pytest
@@ -214,6 +215,23 @@ def test_personal_data_on_documents(spark):
     assert {"a@b.c", "x@y.example", "10.0.0.1", "4111 1111 1111 1111"} <= values
 
 
+@pytest.mark.parametrize("unit", ["http:///", "token", "token=", "http://a_", "ftp://", "ssn-", "account no ",
+                                  "secret: . ", "acct.", "a@", "1.", "12 ", "+1("])
+def test_a_megabyte_of_anchors_is_scanned_in_linear_time(unit):
+    def seconds(size):
+        start = time.process_time()
+        P.find(unit * (size // len(unit)))
+        return time.process_time() - start
+    P.find(unit)
+    # (a quadratic scan took a minute for a sixteenth of this)
+    assert seconds(1 << 20) < 20
+
+
+def test_values_behind_anchors_that_fail():
+    assert P.find("http:///http://a.b/c, token token=" + "x" * 16) == dict.fromkeys(P.KINDS, []) | {
+        "url": [(8, 20)], "secret": [(34, 50)]}
+
+
 def test_added_kinds():
     def values(text):
         return {(k, text[a:b]) for k, own in P.find(text).items() for a, b in own}
