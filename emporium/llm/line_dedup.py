@@ -16,10 +16,13 @@ is 0.8 or more, and a group is a connected component of such links.
    each pair shares, and a union-find leaves at most one link a line.  A
    larger band is cut into chunks, each checked together with the band's
    first line, the pivot.  Lines linked to the pivot are in one group already
-   and need not meet each other again; the far lines, those that are not, meet
-   each other and all the rest of the band, chunk by chunk.  So a large family
-   of near-equal lines costs a few rows a line, and no link between groups is
-   lost.
+   and need not meet each other again.  The lines of bands with far lines, those
+   that are not linked to it, are joined by their rarest shingles: of two lines
+   at 0.8 or more the prefixes in one order of all shingles share a shingle
+   (lines of log files with a common start do not, and cost a few rows each).
+   The groups under these shingles are checked in the same way; only lines that
+   are far from the pivot of such a group too meet all its lines, chunk by
+   chunk.  No link is lost.
 4. Distributed union-find over the links; the line that stays in a group is
    the first one of the smallest document id.
 
@@ -54,6 +57,8 @@ CHUNK_LINES, CHUNK_CHARS = 256, 1 << 18
 TILE = 4_096
 #: The lines to compare are broadcast up to this measured number (8 bytes each).
 BROADCAST_LINES = 1_000_000
+#: Counts of shingles by hash, which order the shingles of lines in large bands.
+BUCKETS = 1 << 18
 #: Characters hashed at a time.
 PIECE = 1 << 18
 
@@ -223,59 +228,146 @@ def _linked(members: DataFrame, wanted: DataFrame, lines: DataFrame) -> DataFram
         .mapInPandas(_links_in_units, "same long, n long, a long, b long")
 
 
-def line_links(lines: DataFrame) -> DataFrame:
-    """Different lines ``(line_id, line)`` → links ``(a, b)``."""
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def bands(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(list(band_hashes(batch.tolist())), dtype=object)
-
-    # (lengths rounded up to a power of two take next to no room in the shuffle)
-    held = lines.select("line_id", F.pow(2, F.ceil(F.log2(F.length("line")))).cast("long").alias("chars"),
-                        F.explode(bands.asNondeterministic()("line")).alias("band"))
-    own = Window.partitionBy("band")
+def _met(held: DataFrame) -> DataFrame:
+    """``(key, line_id, chars)`` → the members ``(same, n, chunks, pivot,
+    line_id, chars)`` of every group of two or more lines with one key; with a
+    column ``far``, of those with a far line.  Keys with the same lines count once."""
+    own = Window.partitionBy("key")
     chunks = F.greatest(F.ceil(F.col("n") / CHUNK_LINES), F.ceil(F.col("total") / CHUNK_CHARS))
-    met = materialise(
+    wanted = (F.col("n") > 1) & (F.max("far").over(own) if "far" in held.columns else F.lit(True))
+    return materialise(
         held.withColumn("n", F.count(F.lit(1)).over(own))
         .withColumn("same", F.bit_xor(F.xxhash64("line_id")).over(own))
         .withColumn("total", F.sum("chars").over(own))
         .withColumn("pivot", F.min("line_id").over(own))
-        .where("n > 1").select("same", "n", chunks.cast("int").alias("chunks"), "pivot", "line_id",
-                               "chars").distinct(), "lines-met")
+        .withColumn("wanted", wanted).where("wanted")
+        .select("same", "n", chunks.cast("int").alias("chunks"), "pivot", "line_id",
+                "chars").distinct(), "lines-met")
+
+
+def _mine() -> Column:
+    return F.pmod(F.xxhash64("line_id"), F.col("chunks")).cast("int")
 
-    # every chunk by itself, the pivot in all chunks of its group
-    mine = F.pmod(F.xxhash64("line_id"), F.col("chunks")).cast("int")
+
+def _pivot_links(met: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links that every chunk together with its group's pivot gives, and
+    the lines ``(same, n, chunks, line_id, chars, far)`` of the groups of
+    several chunks; a line that no link leads to the pivot is far."""
     spread = F.when(F.col("line_id") == F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)) \
-        .otherwise(F.array(mine))
+        .otherwise(F.array(_mine()))
     placed = met.withColumn("chunk", F.explode(spread)) \
         .select("same", "n", F.xxhash64("same", "n", "chunk").alias("unit"), "line_id")
-    first = materialise(_linked(placed, met, lines), "lines-linked")
-
-    # in groups of several chunks, a line that no link leads to the pivot is
-    # far; far lines meet all lines of their group
+    links = materialise(_linked(placed, met, lines), "lines-linked")
     wide = materialise(
         met.where("chunks > 1").join(
-            first.select("same", "n", F.col("a").alias("line_id"), F.col("b").alias("pivot"),
+            links.select("same", "n", F.col("a").alias("line_id"), F.col("b").alias("pivot"),
                          F.lit(True).alias("near")), ["same", "n", "line_id", "pivot"], "left")
         .select("same", "n", "chunks", "line_id", "chars",
                 (F.col("near").isNull() & (F.col("line_id") != F.col("pivot"))).alias("far")),
         "lines-wide")
+    return links, wide
+
+
+def _far_groups(wide: DataFrame) -> DataFrame:
+    """``(same, n, rows, far_chunks)`` of the groups with far lines."""
     far_lines, far_chars = F.sum(F.col("far").cast("long")), F.sum(F.when(F.col("far"), F.col("chars")))
-    groups = materialise(
+    return materialise(
         wide.groupBy("same", "n").agg(
             F.count(F.lit(1)).alias("rows"),
             F.greatest(F.ceil(far_lines / CHUNK_LINES), F.ceil(F.coalesce(far_chars, F.lit(0)) / CHUNK_CHARS))
             .cast("int").alias("far_chunks")).where("far_chunks > 0"), "lines-far")
+
+
+def _crossed_links(wide: DataFrame, groups: DataFrame, lines: DataFrame) -> DataFrame:
+    """The links between the far lines of a group and all its lines, chunk by chunk."""
     # chunks 0 to far_chunks - 1 hold the far lines, those behind them the near ones
     place = F.pmod(F.xxhash64(F.lit(2), "line_id"), F.col("far_chunks"))
     meets = F.when(F.col("far"), F.sequence(F.lit(0), F.col("far_chunks") + F.col("chunks") - 1)) \
         .otherwise(F.sequence(F.lit(0), F.col("far_chunks") - 1))
     meeting = materialise(join_counted(wide, groups, ["same", "n"], wide.count(), "rows"), "lines-meeting")
-    crossed = meeting.withColumn("mine", F.when(F.col("far"), place).otherwise(F.col("far_chunks") + mine)) \
+    crossed = meeting.withColumn("mine", F.when(F.col("far"), place).otherwise(F.col("far_chunks") + _mine())) \
         .withColumn("other", F.explode(meets)) \
         .select("same", "n", F.xxhash64(F.lit(1), "same", "n", F.least("mine", "other"),
                                         F.greatest("mine", "other")).alias("unit"), "line_id")
-    return first.unionByName(_linked(crossed, meeting, lines)).select("a", "b")
+    return _linked(crossed, meeting, lines)
+
+
+def shingle_hashes(line: str) -> np.ndarray:
+    """64-bit hashes of the different shingles of a line."""
+    h = np.frombuffer(line.ljust(SHINGLE, "\0").encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    for i in (1, 2, 4):  # windows of two, four and eight characters
+        h = (h[:-i] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[i:] + np.uint64(0xD6E8FEB86659FD93))
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+    return np.unique(h)
+
+
+def prefix(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The shingles of a line of which two lines at ``LEAST_SIMILARITY`` share
+    one: the first ``size - ceil(least * size) + 1`` in the order of the counts."""
+    size = len(hashes)
+    # (similar lines share least * size at least; the margin is for rounding)
+    keep = size - int(np.ceil(LEAST_SIMILARITY * size - 1e-6)) + 1
+    order = np.lexsort((hashes, counts[hashes & np.uint64(len(counts) - 1)]))
+    return hashes[order[:keep]]
+
+
+def _rare_shingles(hard: DataFrame) -> DataFrame:
+    """Lines ``(line_id, line, chars, far)`` → ``(key, line_id, chars, far)``,
+    a row for each shingle in the line's prefix.  The order of all shingles is
+    by the count of their bucket, then hash: ``BUCKETS`` counts are broadcast,
+    whatever the number of lines."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for pdf in batches:
+            for line in pdf["line"]:
+                np.add.at(total, (shingle_hashes(line) & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
+        used = np.flatnonzero(total)
+        yield pd.DataFrame({"bucket": used, "times": total[used]})
+
+    buckets = hard.select("line").mapInPandas(count, "bucket long, times long") \
+        .groupBy("bucket").agg(F.sum("times").alias("times")).toPandas()
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    counts[buckets["bucket"].to_numpy()] = buckets["times"].to_numpy()
+    shared = hard.sparkSession.sparkContext.broadcast(counts)
+
+    def rarest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            at, keys, size = [], [], 0
+            for row, line in enumerate(pdf["line"]):
+                keys.append(prefix(shingle_hashes(line), shared.value))
+                at.append(np.full(len(keys[-1]), row))
+                size += len(keys[-1])
+                if size >= PIECE or row == len(pdf) - 1:
+                    rows = pdf[["line_id", "chars", "far"]].iloc[np.concatenate(at)].reset_index(drop=True)
+                    yield rows.assign(key=np.concatenate(keys).view(np.int64))
+                    at, keys, size = [], [], 0
+
+    return hard.mapInPandas(rarest, "key long, line_id long, chars long, far boolean")
+
+
+def line_links(lines: DataFrame) -> DataFrame:
+    """Different lines ``(line_id, line)`` → links ``(a, b)``."""
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def bands(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(list(band_hashes(batch.tolist())), dtype=object)
+
+    # (lengths rounded up to a power of two take next to no room in the shuffle)
+    chars = F.pow(2, F.ceil(F.log2(F.length("line")))).cast("long").alias("chars")
+    met = _met(lines.select("line_id", chars, F.explode(bands.asNondeterministic()("line")).alias("key")))
+    links, wide = _pivot_links(met, lines)
+    found = [links]
+    groups = _far_groups(wide)
+    if not groups.isEmpty():
+        # a link of a far line is met again under a shingle of both prefixes
+        hard = join_counted(wide, groups.select("same", "n", "rows"), ["same", "n"], wide.count(), "rows") \
+            .groupBy("line_id").agg(F.max("far").alias("far"))
+        hard = materialise(lines.join(hard, "line_id").select("line_id", "line", chars, "far"), "lines-hard",
+                           compression="zstd")
+        links, wide = _pivot_links(_met(_rare_shingles(hard)), hard.select("line_id", "line"))
+        found += [links, _crossed_links(wide, _far_groups(wide), hard.select("line_id", "line"))]
+    return reduce(DataFrame.unionByName, found).select("a", "b")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -313,10 +405,11 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .where("times > 1 OR root IS NOT NULL")
     grouped = materialise(grouped.select("group", "key1", "key2", "first_doc", "first_row"),
                           "lines-grouped")
-    stays = grouped.groupBy("group").agg(
+    stays = materialise(grouped.groupBy("group").agg(
         F.min("first_doc").alias("keep_doc"),
-        F.coalesce(F.min_by("first_row", "first_doc"), F.min("first_row")).alias("keep_row"))
-    decided = materialise(grouped.join(stays, "group")
+        F.coalesce(F.min_by("first_row", "first_doc"), F.min("first_row")).alias("keep_row"),
+        F.count(F.lit(1)).alias("n")), "lines-stay")
+    decided = materialise(join_counted(grouped, stays, ["group"], grouped.count())
                           .select("key1", "key2", "group", "keep_doc", "keep_row"), "lines-decided")
 
     # a repeated document counts once

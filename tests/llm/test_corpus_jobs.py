@@ -436,6 +436,50 @@ def test_line_dedup_of_a_large_family(spark, monkeypatch):
     assert got == {doc: want.get(doc, []) for doc in texts}
 
 
+def test_line_dedup_of_lines_with_a_common_start(spark, monkeypatch):
+    """Log lines that share a long start without being similar: the rows that
+    meet grow with the lines, not with their square, and the few links in the
+    crowd, also of lines far from every pivot, are found."""
+    linked, rows = LD._linked, []
+
+    def counted(members, wanted, lines):
+        rows.append(members.count())
+        return linked(members, wanted, lines)
+    monkeypatch.setattr(LD, "_linked", counted)
+    rng = random.Random(17)
+    start = "".join(rng.choice("abcdefghijklmnop ") for _ in range(99)) + "x"
+    met = {}
+    for n in (1_200, 4_800):
+        ends = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40)) for _ in range(n)]
+        lines = [start + e for e in ends]
+        copies = {k: lines[k][:-3] + "###" for k in range(0, n, 100)}
+        texts = dict(enumerate(lines)) | {n + k: line for k, line in copies.items()}
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        rows.clear()
+        got = {r.doc_id: r.removed for r in LD.removed_lines(docs).collect()}
+        assert got == {n + k: [0] for k in copies}
+        met[n] = sum(rows)
+    assert met[4_800] < 5 * met[1_200]
+
+
+def test_similar_lines_share_a_shingle_of_their_prefixes():
+    rng = random.Random(23)
+    checked = 0
+    for _ in range(3_000):
+        a = "".join(rng.choice("abcdef ") for _ in range(rng.randint(1, 150)))
+        b = list(a)
+        for _ in range(rng.randint(0, 3)):
+            b[rng.randrange(len(b))] = rng.choice("xyz")
+        b = "".join(b)[rng.randint(0, 3):] or a
+        x, y = LD.shingles(a), LD.shingles(b)
+        if len(x & y) >= 0.8 * len(x | y):
+            checked += 1
+            counts = np.array([rng.randint(0, 3) for _ in range(64)])
+            assert set(LD.prefix(LD.shingle_hashes(a), counts)) & set(LD.prefix(LD.shingle_hashes(b), counts))
+            assert len(LD.shingle_hashes(a)) == len(x)
+    assert checked > 500
+
+
 def test_components_with_hubs(spark, monkeypatch):
     monkeypatch.setattr(HOT, "MOST_HOT_KEYS", 10)
     rng = random.Random(5)
