@@ -16,8 +16,9 @@ is 0.8 or more, and a group is a connected component of such links.
    each pair shares, and a union-find leaves at most one link a line.  A
    larger band is cut into chunks, each checked together with the band's
    first line, the pivot.  Lines linked to the pivot are in one group already
-   and need not meet each other again.  The lines of bands with far lines, those
-   that are not linked to it, are joined by their rarest shingles: of two lines
+   and need not meet each other again.  A few far lines, those that are not
+   linked to it, meet all lines of the band, chunk by chunk.  The lines of bands
+   with many far lines are joined by their rarest shingles: of two lines
    at 0.8 or more the prefixes in one order of all shingles share a shingle
    (lines of log files with a common start do not, and cost a few rows each).
    The groups under these shingles are checked in the same way; only lines that
@@ -53,6 +54,10 @@ LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 #: Lines and characters of a chunk; a unit holds two chunks at most.
 CHUNK_LINES, CHUNK_CHARS = 256, 1 << 18
+#: Far lines of up to this number of chunks meet all lines of their band: at
+#: most this number of rows a line; those of more crowded bands are joined by
+#: their rarest shingles, with the same links.
+FAR_CHUNKS = 2
 #: Columns of the lines-by-shingles matrix held at a time.
 TILE = 4_096
 #: The lines to compare are broadcast up to this measured number (8 bytes each).
@@ -230,11 +235,14 @@ def _linked(members: DataFrame, wanted: DataFrame, lines: DataFrame) -> DataFram
 
 def _met(held: DataFrame) -> DataFrame:
     """``(key, line_id, chars)`` → the members ``(same, n, chunks, pivot,
-    line_id, chars)`` of every group of two or more lines with one key; with a
-    column ``far``, of those with a far line.  Keys with the same lines count once."""
+    line_id, chars)`` of every group of two or more lines with one key; with
+    columns ``far`` and ``label``, of those with a far line and lines that are
+    not yet linked.  Keys with the same lines count once."""
     own = Window.partitionBy("key")
     chunks = F.greatest(F.ceil(F.col("n") / CHUNK_LINES), F.ceil(F.col("total") / CHUNK_CHARS))
-    wanted = (F.col("n") > 1) & (F.max("far").over(own) if "far" in held.columns else F.lit(True))
+    wanted = F.col("n") > 1
+    if "far" in held.columns:
+        wanted &= F.max("far").over(own) & (F.min("label").over(own) != F.max("label").over(own))
     return materialise(
         held.withColumn("n", F.count(F.lit(1)).over(own))
         .withColumn("same", F.bit_xor(F.xxhash64("line_id")).over(own))
@@ -251,7 +259,7 @@ def _mine() -> Column:
 
 def _pivot_links(met: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The links that every chunk together with its group's pivot gives, and
-    the lines ``(same, n, chunks, line_id, chars, far)`` of the groups of
+    the lines ``(same, n, chunks, pivot, line_id, chars, far)`` of the groups of
     several chunks; a line that no link leads to the pivot is far."""
     spread = F.when(F.col("line_id") == F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)) \
         .otherwise(F.array(_mine()))
@@ -262,7 +270,7 @@ def _pivot_links(met: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame
         met.where("chunks > 1").join(
             links.select("same", "n", F.col("a").alias("line_id"), F.col("b").alias("pivot"),
                          F.lit(True).alias("near")), ["same", "n", "line_id", "pivot"], "left")
-        .select("same", "n", "chunks", "line_id", "chars",
+        .select("same", "n", "chunks", "pivot", "line_id", "chars",
                 (F.col("near").isNull() & (F.col("line_id") != F.col("pivot"))).alias("far")),
         "lines-wide")
     return links, wide
@@ -313,8 +321,8 @@ def prefix(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _rare_shingles(hard: DataFrame) -> DataFrame:
-    """Lines ``(line_id, line, chars, far)`` → ``(key, line_id, chars, far)``,
-    a row for each shingle in the line's prefix.  The order of all shingles is
+    """Lines ``(line_id, line, chars, far, label)`` → ``(key, line_id, chars, far,
+    label)``, a row for each shingle in the line's prefix.  The order of all shingles is
     by the count of their bucket, then hash: ``BUCKETS`` counts are broadcast,
     whatever the number of lines."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -339,11 +347,11 @@ def _rare_shingles(hard: DataFrame) -> DataFrame:
                 at.append(np.full(len(keys[-1]), row))
                 size += len(keys[-1])
                 if size >= PIECE or row == len(pdf) - 1:
-                    rows = pdf[["line_id", "chars", "far"]].iloc[np.concatenate(at)].reset_index(drop=True)
+                    rows = pdf[["line_id", "chars", "far", "label"]].iloc[np.concatenate(at)].reset_index(drop=True)
                     yield rows.assign(key=np.concatenate(keys).view(np.int64))
                     at, keys, size = [], [], 0
 
-    return hard.mapInPandas(rarest, "key long, line_id long, chars long, far boolean")
+    return hard.mapInPandas(rarest, "line_id long, chars long, far boolean, label long, key long")
 
 
 def line_links(lines: DataFrame) -> DataFrame:
@@ -357,14 +365,17 @@ def line_links(lines: DataFrame) -> DataFrame:
     chars = F.pow(2, F.ceil(F.log2(F.length("line")))).cast("long").alias("chars")
     met = _met(lines.select("line_id", chars, F.explode(bands.asNondeterministic()("line")).alias("key")))
     links, wide = _pivot_links(met, lines)
-    found = [links]
     groups = _far_groups(wide)
-    if not groups.isEmpty():
-        # a link of a far line is met again under a shingle of both prefixes
-        hard = join_counted(wide, groups.select("same", "n", "rows"), ["same", "n"], wide.count(), "rows") \
-            .groupBy("line_id").agg(F.max("far").alias("far"))
-        hard = materialise(lines.join(hard, "line_id").select("line_id", "line", chars, "far"), "lines-hard",
-                           compression="zstd")
+    found = [links, _crossed_links(wide, groups.where(F.col("far_chunks") <= FAR_CHUNKS), lines)]
+    crowded = groups.where(F.col("far_chunks") > FAR_CHUNKS)
+    if not crowded.isEmpty():
+        # a link of a far line is met again under a shingle of both prefixes;
+        # lines with one label are linked to one line already
+        label = F.when(F.col("far"), F.col("line_id")).otherwise(F.col("pivot"))
+        hard = join_counted(wide, crowded.select("same", "n", "rows"), ["same", "n"], wide.count(), "rows") \
+            .groupBy("line_id").agg(F.max("far").alias("far"), F.min(label).alias("label"))
+        hard = materialise(lines.join(hard, "line_id").select("line_id", "line", chars, "far", "label"),
+                           "lines-hard", compression="zstd")
         links, wide = _pivot_links(_met(_rare_shingles(hard)), hard.select("line_id", "line"))
         found += [links, _crossed_links(wide, _far_groups(wide), hard.select("line_id", "line"))]
     return reduce(DataFrame.unionByName, found).select("a", "b")

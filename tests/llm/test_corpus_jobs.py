@@ -409,9 +409,10 @@ def line_texts():
     return texts
 
 
-@pytest.mark.parametrize("chunk", [LD.CHUNK_LINES, 2])
-def test_line_dedup_matches_brute_force(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk, far_chunks", [(LD.CHUNK_LINES, LD.FAR_CHUNKS), (2, 10_000), (2, 0)])
+def test_line_dedup_matches_brute_force(spark, monkeypatch, chunk, far_chunks):
     monkeypatch.setattr(LD, "CHUNK_LINES", chunk)
+    monkeypatch.setattr(LD, "FAR_CHUNKS", far_chunks)
     texts = line_texts()
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     want = brute_removed(texts)
@@ -420,10 +421,12 @@ def test_line_dedup_matches_brute_force(spark, monkeypatch, chunk):
     assert got == {doc: want.get(doc, []) for doc in texts}
 
 
-def test_line_dedup_of_a_large_family(spark, monkeypatch):
+@pytest.mark.parametrize("far_chunks", [LD.FAR_CHUNKS, 0])
+def test_line_dedup_of_a_large_family(spark, monkeypatch, far_chunks):
     """Two families that meet in bands, many chunks: near lines of one pivot
     do not meet, far ones meet everything."""
     monkeypatch.setattr(LD, "CHUNK_LINES", 5)
+    monkeypatch.setattr(LD, "FAR_CHUNKS", far_chunks)
     rng = random.Random(3)
     stem = "".join(rng.choice("abcdefghijklmnop ") for _ in range(120))
     other = stem[:60] + "".join(rng.choice("qrstuvwxyz") for _ in range(60))
@@ -446,6 +449,7 @@ def test_line_dedup_of_lines_with_a_common_start(spark, monkeypatch):
         rows.append(members.count())
         return linked(members, wanted, lines)
     monkeypatch.setattr(LD, "_linked", counted)
+    monkeypatch.setattr(LD, "CHUNK_LINES", 64)
     rng = random.Random(17)
     start = "".join(rng.choice("abcdefghijklmnop ") for _ in range(99)) + "x"
     met = {}
