@@ -87,7 +87,7 @@ def q03_top_cities(s, k: int = 10) -> DataFrame:
 
 
 def q04_top_categories_revenue(s, k: int = 10) -> DataFrame:
-    oi = lines(s).select("product_id", "price")
+    oi = lines(s).groupBy("product_id").agg(F.sum("price").alias("price"))
     p = s.products.select("product_id", "product_category_name")
     rev = (oi.join(p, "product_id").groupBy("product_category_name")
            .agg(F.sum("price").alias("rev")))
@@ -128,11 +128,12 @@ def q06_payment_type_share(s) -> DataFrame:
 
 
 def _order_totals(s) -> DataFrame:
-    """Per-order SUM(price + freight) over orders ⋈ items, keyed by order."""
+    """Per-order SUM(price + freight) over orders ⋈ items, keyed by order.
+
+    Items are summed below the join, so a hot order arrives there as one row."""
     o = s.orders.select("order_id", "customer_id")
-    oi = lines(s).select("order_id", "price", "freight_value")
-    return (o.join(oi, "order_id").groupBy("order_id", "customer_id")
-            .agg(F.sum(_item_total()).alias("order_total")))
+    items = lines(s).groupBy("order_id").agg(F.sum(_item_total()).alias("order_total"))
+    return o.join(items, "order_id")
 
 
 def q07_avg_order_total_by_state(s) -> DataFrame:
@@ -143,9 +144,8 @@ def q07_avg_order_total_by_state(s) -> DataFrame:
 
 
 def q08_top_sellers(s, k: int = 10) -> DataFrame:
-    oi = lines(s).select("seller_id")
-    se = s.sellers.select("seller_id")
-    counts = oi.join(se, "seller_id").groupBy("seller_id").agg(F.count(F.lit(1)).alias("items_sold"))
+    sold = lines(s).groupBy("seller_id").agg(F.count(F.lit(1)).alias("items_sold"))
+    counts = sold.join(s.sellers.select("seller_id"), "seller_id")
     return top_k(counts, k, [F.col("items_sold").desc(), F.col("seller_id")])
 
 
@@ -157,10 +157,10 @@ def q09_late_delivery_percent(s) -> DataFrame:
 
 
 def q10_top_categories_items(s, k: int = 10) -> DataFrame:
-    oi = lines(s).select("product_id")
+    oi = lines(s).groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     p = s.products.select("product_id", "product_category_name")
     counts = (oi.join(p, "product_id").groupBy("product_category_name")
-              .agg(F.count(F.lit(1)).alias("items_count")))
+              .agg(F.sum("n").alias("items_count")))
     return top_k(counts, k, [F.col("items_count").desc(),
                              F.col("product_category_name").asc_nulls_last()])
 
@@ -168,11 +168,9 @@ def q10_top_categories_items(s, k: int = 10) -> DataFrame:
 # ------------------------------------------------ chart and workbook reports
 def q11_monthly_revenue(s) -> DataFrame:
     o = s.orders.select("order_id", "order_purchase_timestamp")
-    oi = lines(s).select("order_id", "price", "freight_value")
-    per_order = (o.join(oi, "order_id")
-                 .groupBy("order_id", month_start(F.col("order_purchase_timestamp")).alias("month"))
-                 .agg(F.sum(_item_total()).alias("order_total")))
-    return (per_order.groupBy("month")
+    items = lines(s).groupBy("order_id").agg(F.sum(_item_total()).alias("order_total"))
+    return (o.join(items, "order_id")
+            .groupBy(month_start(F.col("order_purchase_timestamp")).alias("month"))
             .agg(F.sum("order_total").cast("double").alias("monthly_revenue"))
             .orderBy("month"))
 

@@ -74,6 +74,31 @@ def test_unused_delivery_join_is_pruned(spark):
     assert "Window" not in plan
 
 
+@pytest.mark.parametrize("name", ["q04_top_categories_revenue", "q07_avg_order_total_by_state",
+                                  "q08_top_sellers", "q10_top_categories_items",
+                                  "q11_monthly_revenue", "q18_state_order_totals"])
+def test_lines_are_aggregated_below_the_joins(spark, name):
+    """A hot order, seller or product reaches a join as one row."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF01)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    rows = plan.splitlines()
+    depth = [len(r) - len(r.lstrip(" :+-")) for r in rows]
+    scans = [i for i, r in enumerate(rows) if "l_" in r and "Relation" in r]
+    assert scans
+    for at in scans:
+        above, level = [], depth[at]
+        for i in range(at - 1, -1, -1):
+            if depth[i] < level:
+                above.append(rows[i])
+                level = depth[i]
+        kinds = [k for r in above for k in ("Aggregate", "Join") if f"{k} " in r]
+        assert kinds[0] == "Aggregate", plan
+
+
 SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
