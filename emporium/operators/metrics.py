@@ -164,7 +164,8 @@ def _unescape(v: Column) -> Column:
 
 def parse_exposition(lines: DataFrame, col: str = "value") -> DataFrame:
     """``name{k="v",...} value [ts_ms]`` lines → samples; comments and blanks
-    skipped; a value that is not a number becomes NULL."""
+    skipped; a value that is not a number becomes NULL.  A column ``ts`` of
+    ``lines`` is the time of the lines that do not give one."""
     line = F.trim(F.col(col))
     data = lines.where((line != "") & ~line.startswith("#"))
     name = F.regexp_extract(line, _LINE, 1)
@@ -175,7 +176,9 @@ def parse_exposition(lines: DataFrame, col: str = "value") -> DataFrame:
                          _unescape)
     entries = F.arrays_zip(keys.alias("key"), values.alias("value"))
     number = F.regexp_extract(line, _LINE, 4)
-    extra = [c for c in lines.columns if c != col]
+    own_time = F.timestamp_millis(F.regexp_extract(line, _LINE, 6).try_cast("long"))
+    extra = [F.coalesce(own_time, F.col(c)).alias(c) if c == "ts" else F.col(c)
+             for c in lines.columns if c != col]
     return data.select(
         name.alias("metric"),
         F.map_from_entries(entries).alias("labels"),
@@ -187,7 +190,8 @@ def parse_exposition(lines: DataFrame, col: str = "value") -> DataFrame:
 def to_exposition(samples: DataFrame, help_text: Mapping[str, str] | None = None,
                   kind: str = "gauge") -> DataFrame:
     """Samples → exposition lines (one string column ``value``), with HELP and
-    TYPE lines per metric; write with ``df.write.text``."""
+    TYPE lines per metric; write with ``df.write.text``.  Samples with a ``ts``
+    carry it in milliseconds."""
     def quoted(v):  # escape backslashes, quotes and line ends inside a label value
         return F.replace(F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')),
                          F.lit("\n"), F.lit("\\n"))
@@ -195,6 +199,9 @@ def to_exposition(samples: DataFrame, help_text: Mapping[str, str] | None = None
                                    lambda e: F.format_string('%s="%s"', e["key"], quoted(e["value"]))), ",")
     body = F.concat(F.col("metric"), F.when(F.size("labels") > 0, F.concat(F.lit("{"), lab, F.lit("}")))
                     .otherwise(F.lit("")), F.lit(" "), F.col("value").cast("string"))
+    if "ts" in samples.columns:
+        millis = F.unix_millis(F.col("ts").cast("timestamp"))
+        body = F.concat(body, F.when(F.col("ts").isNull(), "").otherwise(F.concat(F.lit(" "), millis)))
     helps = F.create_map(*[x for k, v in (help_text or {}).items() for x in (F.lit(k), F.lit(v))]) \
         if help_text else None
     header = samples.select("metric").distinct()

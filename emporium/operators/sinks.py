@@ -163,7 +163,18 @@ def analyze_table(spark: SparkSession, table: str, columns: bool = True) -> None
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{suffix}")
 
 
-def write_exposition(samples: DataFrame, path: str, help_text: dict | None = None) -> None:
-    """Samples → one exposition text file (the metrics are a small table)."""
+def write_exposition(samples: DataFrame, path: str, help_text: dict | None = None) -> list[str]:
+    """Samples → exposition text as an ordered set of files, a task each.
+
+    The lines are range-partitioned by metric, so each metric's HELP and TYPE
+    lines stand once, before its samples; the files' names, which are returned,
+    are listed in their order in ``path/_order`` (hidden from readers of ``path``).
+    """
     from emporium.operators.metrics import to_exposition
-    to_exposition(samples, help_text).coalesce(1).write.mode("overwrite").text(path)
+    spark = samples.sparkSession
+    to_exposition(samples, help_text).write.mode("overwrite").text(path)
+    written = spark.read.text(path).select("_metadata.file_name").distinct().collect()
+    names = sorted((r.file_name for r in written), key=lambda n: int(n.split("-")[1]))
+    (spark.createDataFrame([(n,) for n in names], "value string").coalesce(1)
+     .write.mode("overwrite").text(f"{path.rstrip('/')}/_order"))
+    return names

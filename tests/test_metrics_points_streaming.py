@@ -51,6 +51,38 @@ def test_exposition_roundtrip(spark, tmp_dir):
     assert "# TYPE battery_percent gauge" in text
 
 
+def test_exposition_in_many_files_keeps_order_headers_and_times(spark, tmp_dir):
+    from emporium.operators.sinks import write_exposition
+    path = os.path.join(tmp_dir, "many")
+    samples = spark.range(2_000).selectExpr(
+        "concat('m', id % 7) AS metric", "map('k', cast(id AS string)) AS labels",
+        "CASE WHEN id % 5 > 0 THEN timestamp_millis(1700000000000 + id) END AS ts",
+        "cast(id AS double) AS value")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        names = write_exposition(samples, path, {"m3": "the third"})
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(names) > 1
+    assert [r.value for r in spark.read.text(path + "/_order").collect()] == names
+    text = [line for n in names for line in open(os.path.join(path, n)).read().splitlines()]
+    heads = [line for line in text if line.startswith("#")]
+    assert heads == [f"# {kind}" for k in range(7)
+                     for kind in (f"HELP m{k} {'the third' if k == 3 else ''}", f"TYPE m{k} gauge")]
+    seen = None
+    for line in text:  # a metric's samples follow its own header
+        if line.startswith("# TYPE"):
+            seen = line.split()[2]
+        elif not line.startswith("#"):
+            assert line.startswith(seen + "{")
+    back = read_exposition(spark, path)
+    got = {(r.metric, r.labels["k"], r.value, r.ms) for r in back.select(
+        "metric", "labels", "value", F.unix_millis("ts").alias("ms")).collect()}
+    timed = {(f"m{k % 7}", str(k), float(k), 1700000000000 + k) for k in range(2_000) if k % 5}
+    assert timed <= got and len(got) == 2_000
+    assert min(ms for m, k, v, ms in got - timed) > 1700000010000  # the file's time
+
+
 def test_relabel_and_query_metrics(spark):
     s = spark.createDataFrame([("m", {"__address__": "x:1", "instance": "x:1"}, 1.0)],
                               "metric string, labels map<string,string>, value double")
