@@ -54,10 +54,10 @@ LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 #: Lines and characters of a chunk; a unit holds two chunks at most.
 CHUNK_LINES, CHUNK_CHARS = 256, 1 << 18
-#: Far lines of up to this number of chunks meet all lines of their band: at
-#: most this number of rows a line; those of more crowded bands are joined by
-#: their rarest shingles, with the same links.
-FAR_CHUNKS = 2
+#: Far lines of up to this number of chunks meet all lines of their band, at
+#: one row more a line than this at most.  Lines of more crowded bands are joined by
+#: their rarest shingles, about as many rows a line, with the same links.
+FAR_CHUNKS = 32
 #: Columns of the lines-by-shingles matrix held at a time.
 TILE = 4_096
 #: The lines to compare are broadcast up to this measured number (8 bytes each).

@@ -450,6 +450,7 @@ def test_line_dedup_of_lines_with_a_common_start(spark, monkeypatch):
         return linked(members, wanted, lines)
     monkeypatch.setattr(LD, "_linked", counted)
     monkeypatch.setattr(LD, "CHUNK_LINES", 64)
+    monkeypatch.setattr(LD, "FAR_CHUNKS", 2)
     rng = random.Random(17)
     start = "".join(rng.choice("abcdefghijklmnop ") for _ in range(99)) + "x"
     met = {}
