@@ -39,7 +39,7 @@ import numpy as np
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emporium.session import materialise, scratch_path
@@ -52,6 +52,8 @@ SELECTORS = ((1, 60), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8,
              (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 #: Encoded words kept by a Python worker.
 CACHE_WORDS = 1_200_000
+#: Longer pieces (text without spaces, encoded data) are not kept: a bound on the cache's bytes.
+LONGEST_KEPT = 48
 
 
 # ---------------------------------------------------------------- coding
@@ -249,6 +251,8 @@ class CachedTokenizer:
 
         class Pieces(dict):  # piece behind a space → its ids as bytes
             def __missing__(self, piece):
+                if len(piece) > LONGEST_KEPT:
+                    return encode(" " + piece)
                 if len(self) >= CACHE_WORDS:
                     self.clear()
                 # a mark behind a letter is a pre-token of its own
@@ -308,15 +312,25 @@ def default_tokenizer() -> str:
 
 # ---------------------------------------------------------------- Spark
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-    return pafs.FileSystem.from_uri(path)
+    """The file system and the path in it, of a path with a scheme."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else path)
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of Spark's default file system if it has none,
+    so that all executors and Spark itself mean the same place."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def write(docs: DataFrame, folder: str, tokenizer_path: str | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode ``docs`` into files under ``folder`` (shared by the cluster);
     returns the committed list ``(part, file, n_docs, n_ids)``, a row a file."""
+    folder = _qualified(docs.sparkSession, folder)
     with open(tokenizer_path or default_tokenizer(), encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -355,6 +369,7 @@ def read(files: DataFrame, folder: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
     n_files = files.count()
+    folder = _qualified(files.sparkSession, folder)
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _store(folder)
