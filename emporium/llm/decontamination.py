@@ -40,6 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.session import materialise
+
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
 RADIUS = 20
@@ -260,8 +262,12 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
 def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text",
                least: float = LEAST_SIMILARITY, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The rows of ``docs`` in whose text no item is found."""
-    for chunk in item_chunks(items, chunk_bytes=chunk_bytes):
+    """The rows of ``docs`` in whose text no item is found.  What a chunk of the
+    benchmark leaves is written before the next one is read, so a task holds
+    one chunk's index whatever the benchmark's size."""
+    for n, chunk in enumerate(item_chunks(items, chunk_bytes=chunk_bytes)):
+        if n:
+            docs = materialise(docs, "clean-so-far")
         docs = _without(docs, chunk, text_col, least)
     return docs
 

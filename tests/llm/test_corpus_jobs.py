@@ -129,7 +129,10 @@ def test_decontamination_matches_brute_force(spark):
         got = {(r.doc_id, r.item_id): (r.similarity, r.start_word)
                for r in D.matches(docs, table, chunk_bytes=chunk_bytes).collect()}
         assert got == want
-        kept = {r.doc_id for r in D.keep_clean(docs, table, chunk_bytes=chunk_bytes).collect()}
+        clean = D.keep_clean(docs, table, chunk_bytes=chunk_bytes)
+        plan = clean._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1  # one item index a task, however many passes
+        kept = {r.doc_id for r in clean.collect()}
         assert kept == set(texts) - {doc for doc, _ in want}
 
 
@@ -257,6 +260,22 @@ ADDED = ["end <|endoftext|> next", "<|endoftext|> at the start", "<|endoftext|>"
          "long " * 5_000 + "<|endoftext|>" + " text" * 5_000]
 
 
+def test_long_pieces_are_exact_and_not_kept():
+    with open(TF.default_tokenizer(), encoding="utf-8") as f:
+        tokenizer = TF.CachedTokenizer(f.read())
+    for piece in ("a" * 5_000, "Zm9vYmFy" * 900 + ".", "漢字" * 2_000, "x" * TF.LONGEST_KEPT + "!"):
+        text = f"so {piece} and {piece}, {piece}"
+        assert tokenizer.ids(text).tolist() == tokens(text)
+    assert max(map(len, tokenizer.pieces)) <= TF.LONGEST_KEPT
+
+
+def test_token_folder_names_its_file_system(spark, tmp_path):
+    assert TF._qualified(spark, str(tmp_path)).startswith("file:/")
+    assert TF._qualified(spark, f"file:{tmp_path}") == TF._qualified(spark, str(tmp_path))
+    store, root = TF._store(TF._qualified(spark, str(tmp_path)))
+    assert store.type_name == "local" and root == str(tmp_path)
+
+
 def test_added_tokens_have_their_own_id(spark):
     import tokenizers
     plain = tokenizers.Tokenizer.from_file(TF.default_tokenizer())
