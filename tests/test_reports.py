@@ -154,3 +154,12 @@ def test_avg_delivery_interval(spark):
     r = R.q02_avg_delivery_time(s, with_interval=True).first()
     assert r.avg_delivery_days == 1.75
     assert r.avg_delivery_time == dt.timedelta(days=1, hours=18)
+
+
+def test_avg_delivery_time_of_a_sum_beyond_bigint(spark):
+    # 40 orders of 3.2e17 microseconds each: their sum is above 2 ** 63
+    long_ago, late = T(1, 1, 1), T(9999, 1, 1)
+    s = MiniStar(spark, orders=[_order(f"o{i}", long_ago, delivered=late) for i in range(40)])
+    r = R.q02_avg_delivery_time(s).first()
+    assert r.avg_delivery_days == (late - long_ago).days
+    assert R.q02_avg_delivery_time(MiniStar(spark)).first().avg_delivery_days is None
