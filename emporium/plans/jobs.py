@@ -288,26 +288,40 @@ def metrics_relabel_instance(s) -> DataFrame:
 
 
 # ----------------------------------------------------------------- streaming
-#: Parts that the streamed tables arrive in; a micro-batch reads one file of each.
+#: Parts that the streamed tables arrive in.
 ARRIVALS = 3
 
 
-def _arriving(s, parts: dict):
-    """A streaming star over the given raw tables, cut into files that arrive one
-    after the other: ``parts`` maps a table to its key, the expression that deals
-    its rows to arrivals 0, 1 and 2, and optionally what arrives a second time.
-    Rows of a key that arrive together are in one file."""
-    from emporium.session import scratch_path
-    from emporium.sources.testdata import Star
-    folder = scratch_path(s.spark, "arrivals")
-    for table, (key, deal, again) in parts.items():
-        raw = s.raw(table)
-        for k in range(ARRIVALS):
+class _Arrivals:
+    """A streaming star over the given raw tables, cut into parts that arrive one
+    after the other: ``parts`` maps a table to the expression that deals its rows
+    to arrivals 0, 1 and 2, and optionally what arrives a second time.  A part may
+    be any number of files; the stream takes it whole, in one micro-batch, so how
+    many micro-batches run depends neither on the rows nor on the cores."""
+
+    def __init__(self, s, parts: dict):
+        from emporium.session import scratch_path
+        from emporium.sources.testdata import Star
+        self.source, self.parts = s, parts
+        self.folder = scratch_path(s.spark, "arrivals")
+        self._deliver(0)  # a file stream needs its folder
+        self.star = Star(s.spark, self.folder, streaming=True)
+
+    def _deliver(self, k: int) -> None:
+        for table, (deal, again) in self.parts.items():
+            raw = self.source.raw(table)
             rows = raw.where(f"{deal} = {k}")
             if again and k:
                 rows = rows.unionByName(raw.where(f"{deal} = {k - 1}").selectExpr(*again(raw.columns)))
-            rows.repartition(F.col(key)).write.mode("append").parquet(f"{folder}/{table}.parquet")
-    return Star(s.spark, folder, streaming=True, max_files_per_trigger=1)
+            rows.write.mode("append").parquet(f"{self.folder}/{table}.parquet")
+
+    def run(self, start) -> None:
+        """Run the query that ``start`` starts after each arrival; its checkpoint
+        tells it which files are new."""
+        for k in range(ARRIVALS):
+            if k:
+                self._deliver(k)
+            start().awaitTermination()
 
 
 #: Buckets of the registered jobs' stores: few, for tables of a few megabytes.
@@ -334,16 +348,15 @@ def _ingested(s, name: str) -> DataFrame:
     from emporium.streaming import ingest as st
     from emporium.streaming.epochs import Table
     resent = _replaced(o_orderstatus="'P'", o_totalprice="o_totalprice + 1", o_orderpriority="'5-LOW'")
-    arriving = _arriving(s, {"orders": ("o_orderkey", "o_orderkey % 3", resent),
-                              "lineitem": ("l_orderkey", "l_orderkey % 3", None)})
-    streams = {"orders": arriving.orders_placed, "order_items": arriving.order_items_raw,
-               "order_payments": arriving.order_payments}
+    arrivals = _Arrivals(s, {"orders": ("o_orderkey % 3", resent), "lineitem": ("l_orderkey % 3", None)})
+    streams = {"orders": arrivals.star.orders_placed, "order_items": arrivals.star.order_items_raw,
+               "order_payments": arrivals.star.order_payments}
     store, checkpoint = _store(s, "ingest", {
         "orders": Table(streams["orders"].schema, ["order_id"]),
         "order_items": Table(streams["order_items"].schema, ITEM_KEY, ITEM_ORDER),
         "order_payments": Table(streams["order_payments"].schema, ["order_id", "payment_sequential"])})
     store.commit("seed", 0, {"order_items": s.order_items})
-    st.ingest_tables(streams, store, checkpoint).awaitTermination()
+    arrivals.run(lambda: st.ingest_tables(streams, store, checkpoint))
     return checkable(store.read(name))
 
 
@@ -363,9 +376,10 @@ def stream_ingest_payments(s) -> DataFrame:
 def stream_daily_counts(s) -> DataFrame:
     """Orders per purchase day from a stream whose days arrive out of order."""
     from emporium.streaming import ingest as st
-    stream = _arriving(s, {"orders": ("o_orderkey", "o_orderkey % 3", None)}).orders_placed
+    arrivals = _Arrivals(s, {"orders": ("o_orderkey % 3", None)})
     store, checkpoint = _store(s, "daily-counts", {"days": st.day_counts("day date, n long")})
-    st.count_days(stream, "order_purchase_timestamp", store, "days", checkpoint).awaitTermination()
+    arrivals.run(lambda: st.count_days(arrivals.star.orders_placed, "order_purchase_timestamp", store, "days",
+                                       checkpoint))
     return store.read("days")
 
 
@@ -374,19 +388,20 @@ def stream_dedupe_items(s) -> DataFrame:
     to arrive stays, in a batch the first by ``ITEM_ORDER``."""
     from emporium.streaming import ingest as st
     from emporium.streaming.epochs import Table
-    stream = _arriving(s, {"lineitem": ("l_orderkey", "l_suppkey % 3", None)}).order_items_raw
+    arrivals = _Arrivals(s, {"lineitem": ("l_suppkey % 3", None)})
+    stream = arrivals.star.order_items_raw
     store, checkpoint = _store(s, "dedupe-items", {"items": Table(stream.schema, ITEM_KEY, ITEM_ORDER)})
-    st.ingest_tables({"items": stream}, store, checkpoint).awaitTermination()
+    arrivals.run(lambda: st.ingest_tables({"items": stream}, store, checkpoint))
     return checkable(store.read("items"))
 
 
 def stream_latest_gauges(s) -> DataFrame:
     """Latest successful value per series, upserted in update mode."""
     from emporium.streaming import ingest as st
-    stream = _arriving(s, {"events": ("event_id", "event_id % 3", None)}).metric_samples
+    arrivals = _Arrivals(s, {"events": ("event_id % 3", None)})
     store, checkpoint = _store(s, "latest-gauges", {"latest": st.latest_values(
         "metric string, labels map<string,string>, ts timestamp_ntz, value double")})
-    st.upsert_latest(stream, store, "latest", checkpoint).awaitTermination()
+    arrivals.run(lambda: st.upsert_latest(arrivals.star.metric_samples, store, "latest", checkpoint))
     return _flat(store.read("latest"))
 
 
