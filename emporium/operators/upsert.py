@@ -12,7 +12,7 @@ publishes it (see ``operators.sinks.publish_tables``).  Semantics kept:
 * a key containing NULL never conflicts (a unique index treats NULLs as
   distinct), so such rows are neither de-duplicated nor skipped.
 
-Scale: de-duplication is an aggregation (``min_by`` per key) rather than a
+Scale: de-duplication is an aggregation (the least row per key) rather than a
 window, so every partition collapses its copies of a key before the
 shuffle: a key that holds a third of the batch costs one row per partition,
 not one sorted partition holding a third of the data.
@@ -25,7 +25,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import (BinaryType, BooleanType, DateType, DecimalType, IntegralType, MapType, StringType,
+                               TimestampNTZType, TimestampType)
+
+#: Types whose equal values are the same value (unlike 0.0 and -0.0).
+_ONE_FORM = (IntegralType, DecimalType, BooleanType, BinaryType, DateType, TimestampType, TimestampNTZType)
 
 
 @dataclass
@@ -63,18 +67,27 @@ def first_wins(df: DataFrame, key: str | Sequence[str],
     cols = df.columns
     order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])]
     named = {c for c in (order_by or []) if isinstance(c, str)}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    whole = not any(isinstance(t, MapType) for t in types.values())
+    # a key column of these types has one value in a group, so it need not be carried in it
+    alike = {k for k in keys if whole and (isinstance(types[k], _ONE_FORM) or types[k] == StringType())}
     # rank by the ordering first, the rest of the row second, so ties are
     # broken the same way on every run (map columns cannot be ordered)
-    orderable = [f.name for f in df.schema.fields
-                 if f.name not in named and not isinstance(f.dataType, MapType)]
-    rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                    *[F.col(c).alias(f"_r{i}") for i, c in enumerate(orderable)])
-    row = F.struct(*[F.col(c) for c in cols])
+    rest = [c for c, t in types.items() if c not in named | alike and not isinstance(t, MapType)]
+    ranked = [*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)]]
     nullable = _any_null(keys)
-    keyed = (df.where(~nullable)
-             .groupBy(*keys)
-             .agg(F.min_by(row, rank).alias("_row"))
-             .select("_row.*"))
+    groups = df.where(~nullable).groupBy(*keys)
+    if not whole:
+        row = F.struct(*[F.col(c) for c in cols])
+        keyed = groups.agg(F.min_by(row, F.struct(*ranked)).alias("_row")).select("_row.*")
+    elif not ranked:  # all columns are key
+        keyed = df.where(~nullable).distinct()
+    else:
+        # the rank holds the row: a group carries it once
+        at = {c: f"_o{i}" for i, c in enumerate(order_by or []) if isinstance(c, str)} \
+            | {c: f"_r{i}" for i, c in enumerate(rest)}
+        keyed = groups.agg(F.min(F.struct(*ranked)).alias("_first")) \
+            .select(*[F.col(c) if c in alike else F.col(f"_first.{at[c]}").alias(c) for c in cols])
     return keyed.unionByName(df.where(nullable))
 
 
