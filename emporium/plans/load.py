@@ -29,6 +29,9 @@ FOREIGN_KEYS = [
     ("order_reviews", ["order_id"], "orders", ["order_id"]),
 ]
 
+#: Rows of an exported file.
+ROWS_PER_FILE = 1_000_000
+
 
 @dataclass
 class LoadResult:
@@ -84,7 +87,8 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> None:
 
 
 def export_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """Write tables as CSV folders the loader reads back (header, COPY quoting)."""
+    """Write tables as CSV folders the loader reads back (header, COPY quoting),
+    compressed: a file is then read by one task, so its rows are bounded."""
     from emporium.operators.sinks import _run_all
     paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in tables}
 
@@ -92,6 +96,7 @@ def export_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
         (df.select(*SCHEMAS[name].fieldNames()).write.mode("overwrite")
          .option("header", True).option("quote", '"').option("escape", '"')
          .option("nullValue", "\\N").option("emptyValue", '""')
+         .option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE)
          .csv(paths[name]))
 
     _run_all({name: (lambda n=name, d=df: write_one(n, d)) for name, df in tables.items()})
