@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from emporium.session import materialise
+
 # Gauge names of the weather exporter and the JSON field each
 # one reads (missing fields count as 0).
 WEATHER_GAUGES = [
@@ -82,12 +84,19 @@ def latest_gauges(samples: DataFrame) -> DataFrame:
 
     Failed samples (ok = false) are ignored, so a failed scrape leaves the
     previous value in place.  Ties on ts are broken by the larger value.
-    ``max_by`` is a partial aggregate: each partition keeps one row per
-    series before the shuffle.
+
+    The largest ts of each series is found first, by a hash aggregate that holds
+    one number per series and task; ``max_by`` over whole samples, which sorts
+    its input, then only sees the samples of those times.
     """
     s = samples
     if "ok" in s.columns:
         s = s.where(F.col("ok"))
+    keyed = s.select(F.col("metric").alias("_m"), label_key(F.col("labels")).alias("_k"), "ts")
+    # written, so its size is known: few series are broadcast, many are joined by a shuffle
+    newest = materialise(keyed.groupBy("_m", "_k").agg(F.max("ts").alias("_ts")), "latest-times")
+    s = s.join(newest, F.col("metric").eqNullSafe(F.col("_m")) & F.col("ts").eqNullSafe(F.col("_ts"))
+               & label_key(F.col("labels")).eqNullSafe(F.col("_k")), "left_semi")
     latest = F.max_by(F.struct("ts", "value", "labels"), F.struct("ts", "value"))
     return (s.groupBy("metric", label_key(F.col("labels")).alias("_lk"))
             .agg(latest.alias("_l"))
