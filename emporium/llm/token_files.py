@@ -31,6 +31,8 @@ Very long texts span blocks.  Other columns are not read.
 
 from __future__ import annotations
 
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -41,6 +43,9 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.models import BPE
+from tokenizers.pre_tokenizers import ByteLevel
 
 from emporium.session import materialise, scratch_path
 
@@ -51,7 +56,7 @@ END_ID = 0
 SELECTORS = ((1, 60), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
              (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 #: Encoded words kept by a Python worker.
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 800_000
 #: Longer pieces (text without spaces, encoded data) are not kept: a bound on the cache's bytes.
 LONGEST_KEPT = 48
 
@@ -230,6 +235,38 @@ class Reader:
 
 
 # ---------------------------------------------------------------- tokenizer
+# Letters of ASCII and Latin-1, the same in every version of Unicode
+_LATIN = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+
+
+# Marks that take no part in another pre-token (an apostrophe begins some: 's, 'll)
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _byte_symbols() -> dict[int, str]:
+    """The characters by which a byte-level vocabulary writes the UTF-8 bytes
+    of the space and of the Latin-1 letters (``str.translate``)."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    symbol = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return {c: "".join(symbol[b] for b in chr(c).encode()) for c in (0x20, *range(0x80, 0x100))}
+
+
+_SYMBOLS = _byte_symbols()
+
+
+def _is_plain(tokenizer: Tokenizer) -> bool:
+    """Whether a text is cut by the byte-level expression and nothing else
+    before the BPE model."""
+    cut = tokenizer.pre_tokenizer
+    return tokenizer.normalizer is None and isinstance(tokenizer.model, BPE) \
+        and isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack("<%dI" % len(ids), *ids)
+
+
 class CachedTokenizer:
     """Encodes texts word by word with a byte-level BPE tokenizer.
 
@@ -237,6 +274,11 @@ class CachedTokenizer:
     space, so a text may be cut before every space that follows a non-space,
     and equal pieces have equal ids.  An added token (``<|endoftext|>``) has its
     own id wherever it stands; a text that holds one is encoded unsplit.
+
+    A piece not seen before is cut further where pre-tokens are sure to end: at
+    a line end between non-spaces and before marks behind a letter.  A part of
+    nothing but Latin letters is one pre-token, which goes to the library's
+    model without the steps that would find that out; all else is encoded whole.
     """
 
     # White space that, before a space, forbids the cut there
@@ -244,29 +286,44 @@ class CachedTokenizer:
                   "            　")
 
     def __init__(self, definition: str):
-        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        plain, model = _is_plain(self.tokenizer), self.tokenizer.model
         encode = self._encode
-
-        class Pieces(dict):  # piece behind a space → its ids as bytes
-            def __missing__(self, piece):
-                if len(piece) > LONGEST_KEPT:
-                    return encode(" " + piece)
-                if len(self) >= CACHE_WORDS:
-                    self.clear()
-                # a mark behind a letter is a pre-token of its own
-                if len(piece) > 1 and piece[-1] in ".,;:!?" and piece[-2].isalpha():
-                    ids = self[piece[:-1]] + encode(piece[-1])
+        latin = re.compile(f"[{_LATIN}]+").fullmatch
+
+        class Parts(dict):  # part, behind a space or not → its ids as bytes
+            def __init__(self, before: str):
+                self.before, self.symbol = before, before and _SYMBOLS[ord(before)]
+
+            def __missing__(self, part):
+                if len(part) > LONGEST_KEPT:
+                    return encode(self.before + part)
+                if len(bare) + len(pieces) >= CACHE_WORDS:
+                    bare.clear()
+                    pieces.clear()
+                if plain and part.isalpha() and (part.isascii() or latin(part)):
+                    # one pre-token; ASCII letters are their own symbols
+                    symbols = part if part.isascii() else part.translate(_SYMBOLS)
+                    ids = _packed([t.id for t in model.tokenize(self.symbol + symbols)])
                 else:
-                    ids = encode(" " + piece)
-                self[piece] = ids
+                    word = part.rstrip(_MARKS)
+                    line, end, rest = part.partition("\n")
+                    # marks behind a letter are a pre-token of their own
+                    if word != part and word[-1:].isalpha():
+                        ids = self[word] + bare[part[len(word):]]
+                    elif line and rest and " " not in part \
+                            and not line[-1].isspace() and not rest[0].isspace():
+                        # (two words about a line end rarely meet again)
+                        return self[line] + bare[end] + bare[rest]
+                    else:
+                        ids = encode(self.before + part)
+                self[part] = ids
                 return ids
-        self.pieces = Pieces()
+        self.bare, self.pieces = bare, pieces = Parts(""), Parts(" ")
 
     def _encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def ids(self, text: str | None) -> np.ndarray:
         """The ids of a text and the end id."""
@@ -278,7 +335,7 @@ class CachedTokenizer:
             return np.frombuffer(self._spaced(text) + end, dtype="<u4")
         first, *rest = text.split(" ")
         body = b"".join(map(self.pieces.__getitem__, rest))
-        return np.frombuffer((self._encode(first) if first else b"") + body + end, dtype="<u4")
+        return np.frombuffer((self.bare[first] if first else b"") + body + end, dtype="<u4")
 
     def _spaced(self, text: str) -> bytes:
         """A text with runs of white space: cut only before spaces behind a non-space."""

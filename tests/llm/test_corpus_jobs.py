@@ -315,6 +315,32 @@ def check_tokens(rows, texts):
     assert sorted(map(tuple, rows), key=lambda r: r[1]) == want
 
 
+def test_new_words_skip_the_library_pipeline():
+    """Words not seen before, with marks and line ends, go to the model alone."""
+    cached = TF.CachedTokenizer(open(TF.default_tokenizer()).read())
+    words = [f"{a}{b}{c}" for a in ("Stra\u00dfen", "qui", "X") for b in "bcdfg" for c in ("\u00e9t", "ok", "ZZ")]
+    text = " ".join(f"{w}{mark}\n{w[::-1]}{mark}" for w in words for mark in ("", ".", "***", ",!?"))
+    want = cached.tokenizer.encode(text, add_special_tokens=False).ids
+    calls = []
+    plain = cached.tokenizer
+    cached.tokenizer = type("Counted", (), {
+        "encode": lambda self, t, **k: calls.append(t) or plain.encode(t, **k)})()
+    assert cached.ids(text)[:-1].tolist() == want
+    assert set(calls) == {"\n", ".", "***", ",!?"} and len(calls) == 4
+
+
+def test_odd_parts_equal_the_plain_call():
+    """What looks like a letter or a mark, but joins other pre-tokens, is encoded whole."""
+    cached = TF.CachedTokenizer(open(TF.default_tokenizer()).read())
+    parts = ["a'll.", "a.'s", "x\u00d7y", "x\u00f7.", "\u00bd.", "\u00aa\u00ba\u00b5", "\u4e2d\u6587.", "\u05e9\u05b0.",
+             "e\u0301!", "a\r\nb", "a\n\nb", "\na", "a\n", "\u0120a", "1a.", "...", "a_b", "\u200ba", "\u01c5."]
+    for a in parts:
+        for b in ("", *parts):
+            for text in (f"{a} {b}", f"{a}{b}", f"{a}\n{b}", f" {a}  {b} "):
+                want = cached.tokenizer.encode(text, add_special_tokens=False).ids
+                assert cached.ids(text)[:-1].tolist() == want, text
+
+
 def test_token_files(spark):
     docs = docs_of(spark)
     check_tokens(TF.digest(docs).collect(), sorted((r.doc_id, r.text) for r in docs.collect()))
