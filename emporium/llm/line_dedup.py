@@ -43,7 +43,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from emporium.llm.graph import components
 from emporium.llm.hot import join_counted
@@ -60,12 +59,16 @@ CHUNK_LINES, CHUNK_CHARS = 256, 1 << 18
 FAR_CHUNKS = 32
 #: Columns of the lines-by-shingles matrix held at a time.
 TILE = 4_096
+#: Characters of a line up to which two lines are compared by sets of strings.
+SHORT = 1 << 11
 #: The lines to compare are broadcast up to this measured number (8 bytes each).
 BROADCAST_LINES = 1_000_000
 #: Counts of shingles by hash, which order the shingles of lines in large bands.
 BUCKETS = 1 << 18
+#: Band keys of a bucket, which a task holds at a time.
+BUCKET_KEYS = 1 << 18
 #: Characters hashed at a time.
-PIECE = 1 << 18
+PIECE = 1 << 16
 
 _random = np.random.default_rng(20240607)
 _FACTORS = _random.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -73,14 +76,18 @@ _OFFSETS = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
-    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
-    return h ^ (h >> np.uint32(16))
+    """Mixes in place."""
+    h ^= h >> np.uint32(16)
+    h *= np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0xC2B2AE35)
+    h ^= h >> np.uint32(16)
+    return h
 
 
 def band_hashes(lines: list[str]) -> np.ndarray:
     """``lines x BANDS`` signed 64-bit hashes, one per band of minima."""
-    minima = np.full((len(lines), BANDS * ROWS), 0xFFFFFFFF, dtype=np.uint32)
+    minima = np.full((BANDS * ROWS, len(lines)), 0xFFFFFFFF, dtype=np.uint32)
     rows, parts, size = [], [], 0
 
     def flush():
@@ -102,7 +109,8 @@ def band_hashes(lines: list[str]) -> np.ndarray:
         for k in range(BANDS * ROWS):
             np.multiply(h, _FACTORS[k], out=turned)
             turned += _OFFSETS[k]
-            np.minimum.at(minima[:, k], at, np.minimum.reduceat(turned, first))
+            # (a line has one part here: only full pieces, which end a turn, are followed by others)
+            minima[k, at] = np.minimum(minima[k, at], np.minimum.reduceat(turned, first))
         rows.clear()
         parts.clear()
 
@@ -117,17 +125,18 @@ def band_hashes(lines: list[str]) -> np.ndarray:
                 flush()
                 size = 0
     flush()
-    wide = minima.astype(np.uint64).reshape(len(lines), BANDS, ROWS)
-    out = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    out = np.broadcast_to(out, (len(lines), BANDS)).copy()
-    for r in range(ROWS):
-        out = (out ^ wide[:, :, r]) * np.uint64(0xFF51AFD7ED558CCD)
-        out ^= out >> np.uint64(32)
-    return out.view(np.int64)
+    out = np.empty((BANDS, len(lines)), dtype=np.uint64)
+    for band in range(BANDS):
+        mixed = np.full(len(lines), (band + 1) * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
+        for r in range(ROWS):
+            mixed = (mixed ^ minima[band * ROWS + r]) * np.uint64(0xFF51AFD7ED558CCD)
+            mixed ^= mixed >> np.uint64(32)
+        out[band] = mixed
+    return out.T.view(np.int64)
 
 
 def shingles(line: str) -> frozenset[str]:
-    return frozenset(line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
+    return frozenset([line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))])
 
 
 def _sorted_windows(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,6 +172,10 @@ def unit_links(lines: list[str], least: float = LEAST_SIMILARITY) -> list[tuple[
     if m < 2:
         return []
     parts = [line.ljust(SHINGLE, "\0") for line in lines]
+    if m == 2 and max(map(len, parts)) <= SHORT:
+        a, b = map(shingles, parts)
+        shared = len(a & b)
+        return [(1, 0)] if shared >= least * (len(a) + len(b) - shared) else []
     lengths = np.array([len(p) for p in parts])
     codes = np.frombuffer("".join(parts).encode("utf-32-le"), dtype="<u4")
     owner = np.repeat(np.arange(m), lengths)
@@ -190,13 +203,16 @@ def unit_links(lines: list[str], least: float = LEAST_SIMILARITY) -> list[tuple[
 
 
 _ENDS = " \t\r\f\v"
+_ODD = ("  ", "\t", "\r", "\f", "\v")
 
 
 def normal_form(line: Column) -> Column:
-    """Lower case, white space runs as one space and none at the ends (the
-    regular expression runs only where there is something to replace)."""
-    line = F.btrim(line, F.lit(_ENDS))
-    odd = reduce(Column.__or__, (F.contains(line, F.lit(c)) for c in ("  ", "\t", "\r", "\f", "\v")))
+    """Lower case, white space runs as one space and none at the ends (trimming,
+    which lists all places of a line's characters, and the regular expression
+    run only where there is something to replace)."""
+    ends = reduce(Column.__or__, (f(line, F.lit(c)) for f in (F.startswith, F.endswith) for c in _ENDS))
+    line = F.when(ends, F.btrim(line, F.lit(_ENDS))).otherwise(line)
+    odd = reduce(Column.__or__, (F.contains(line, F.lit(c)) for c in _ODD))
     return F.lower(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
 
 
@@ -253,6 +269,90 @@ def _met(held: DataFrame) -> DataFrame:
                 "chars").distinct(), "lines-met")
 
 
+def _repeated_bands(lines: DataFrame) -> DataFrame:
+    """``(line_id, line, chars)``, the last a power of two → ``(key, line_id, chars)``
+    of the bands that two lines or more hold.  Nearly all bands are held by one line, so a batch's
+    bands travel as arrays, a row for each bucket of keys, and only those seen
+    twice in their bucket become rows.  A bucket's keys are about ``BUCKET_KEYS``
+    in number; the lines under one key pass by one batch after the other."""
+    n_buckets = max(1, lines.count() * BANDS // BUCKET_KEYS)
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            keys = band_hashes(pdf["line"].tolist()).ravel()
+            sizes = np.log2(pdf["chars"].to_numpy()).astype(np.int8)
+            # (the upper half decides, so that the buckets stay even whatever their number)
+            bucket = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
+            bucket = bucket.astype(np.min_scalar_type(n_buckets))  # (short numbers are sorted by radix)
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
+            starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            parts = [np.split(column[order], starts[1:]) for column in (
+                keys, np.repeat(pdf["line_id"].to_numpy(), BANDS), np.repeat(sizes, BANDS))]
+            yield pd.DataFrame({"bucket": bucket[starts].astype(np.int64), "keys": parts[0],
+                                "line_ids": parts[1], "sizes": parts[2]})
+
+    def repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bucket, once, waiting, n_waiting = None, Once(), [], 0
+
+        def flush():
+            nonlocal waiting, n_waiting
+            if waiting:
+                keys, ids, sizes = map(np.concatenate, zip(*waiting))
+                yield once.repeated(keys, ids, np.left_shift(1, sizes, dtype=np.int64))
+            waiting, n_waiting = [], 0
+
+        for pdf in batches:
+            for at, *row in zip(pdf["bucket"], pdf["keys"], pdf["line_ids"], pdf["sizes"]):
+                if at != bucket or n_waiting >= BUCKET_KEYS:
+                    yield from flush()
+                    if at != bucket:
+                        bucket, once = at, Once()
+                waiting.append(row)
+                n_waiting += len(row[0])
+        yield from flush()
+
+    return lines.mapInPandas(deal, "bucket long, keys array<long>, line_ids array<long>, sizes array<byte>") \
+        .repartition("bucket").sortWithinPartitions("bucket") \
+        .mapInPandas(repeated, "key long, line_id long, chars long")
+
+
+class Once:
+    """The first row of every key so far, sorted by key; in ``told`` are those given out."""
+
+    def __init__(self):
+        self.keys, self.ids, self.chars = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        self.told = np.zeros(0, dtype=bool)
+
+    def repeated(self, keys: np.ndarray, ids: np.ndarray, chars: np.ndarray) -> pd.DataFrame:
+        """The rows among these and earlier ones that share their key with another
+        row and were not given out yet."""
+        order = np.argsort(keys)
+        keys, ids, chars = keys[order], ids[order], chars[order]
+        first = np.r_[True, keys[1:] != keys[:-1]][:len(keys)]
+        group = np.cumsum(first) - 1
+        own, several = keys[first], np.bincount(group) > 1
+        place = np.searchsorted(self.keys, own)
+        known = np.zeros(len(own), dtype=bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == own[inside]
+        # earlier rows whose key comes again for the first time
+        met = place[known]
+        met = met[~self.told[met]]
+        self.told[met] = True
+        given = (several | known)[group]
+        out = pd.DataFrame({"key": np.r_[self.keys[met], keys[given]], "line_id": np.r_[self.ids[met], ids[given]],
+                            "chars": np.r_[self.chars[met], chars[given]]})
+        new = ~known
+        at, rows = place[new], np.flatnonzero(first)[new]
+        self.keys, self.ids, self.chars = (np.insert(a, at, b[rows]) for a, b in (
+            (self.keys, keys), (self.ids, ids), (self.chars, chars)))
+        self.told = np.insert(self.told, at, several[new])
+        return out
+
+
 def _mine() -> Column:
     return F.pmod(F.xxhash64("line_id"), F.col("chunks")).cast("int")
 
@@ -356,14 +456,9 @@ def _rare_shingles(hard: DataFrame) -> DataFrame:
 
 def line_links(lines: DataFrame) -> DataFrame:
     """Different lines ``(line_id, line)`` → links ``(a, b)``."""
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def bands(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(list(band_hashes(batch.tolist())), dtype=object)
-
     # (lengths rounded up to a power of two take next to no room in the shuffle)
     chars = F.pow(2, F.ceil(F.log2(F.length("line")))).cast("long").alias("chars")
-    met = _met(lines.select("line_id", chars, F.explode(bands.asNondeterministic()("line")).alias("key")))
+    met = _met(_repeated_bands(lines.select("line_id", "line", chars)))
     links, wide = _pivot_links(met, lines)
     groups = _far_groups(wide)
     found = [links, _crossed_links(wide, groups.where(F.col("far_chunks") <= FAR_CHUNKS), lines)]
@@ -389,7 +484,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.split(F.col(text_col), "\n").alias("lines"))
     lines = read.select("doc_id", "row_key", F.posexplode("lines").alias("line_no", "line"))
     # (asked of the raw line: a filter on the normal form would compute it twice)
-    return lines.where(F.btrim("line", F.lit(_ENDS)) != "").withColumn("line", normal_form(F.col("line")))
+    return lines.where(F.ltrim("line", F.lit(_ENDS)) != "").withColumn("line", normal_form(F.col("line")))
 
 
 def _keys(line: str) -> list[Column]:
@@ -449,7 +544,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def digest(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed)`` for every row of ``docs``."""
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("own_key"),
-                       F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
+                       F.when(F.col("text").isNull(), 0).otherwise(F.octet_length("text") + 1 - F.octet_length(
+                           F.replace(F.col("text"), F.lit("\n"), F.lit(""))))
                        .cast("long").alias("n_lines"))
     removed = removed_lines(docs).withColumnRenamed("doc_id", "removed_from")
     joined = rows.join(removed, F.col("doc_id").eqNullSafe(F.col("removed_from"))

@@ -572,6 +572,49 @@ def test_band_hashes_of_pieces(monkeypatch):
     assert np.array_equal(LD.band_hashes(lines[2:3]), whole[2:3])
 
 
+def test_only_bands_of_several_lines_become_rows(spark, monkeypatch):
+    """Bands travel as arrays, so that no row is shuffled for each band of each line."""
+    monkeypatch.setattr(LD, "BUCKET_KEYS", 256)
+    lines = [f"line {k % 40} of some text that is long enough, {k // 40 * 'x'}" for k in range(120)] + ["a", "\u00e9" * 300]
+    df = spark.createDataFrame([(k, line, 1 << len(line).bit_length()) for k, line in enumerate(lines)],
+                               "line_id long, line string, chars long")
+    held = {}
+    for k, keys in enumerate(LD.band_hashes(lines).tolist()):
+        for key in keys:
+            held.setdefault(key, []).append(k)
+    want = sorted((key, k, 1 << len(lines[k]).bit_length()) for key, ks in held.items() if len(ks) > 1 for k in ks)
+    found = LD._repeated_bands(df)
+    assert want and sorted(map(tuple, found.collect())) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [bucket" in plan and "explode" not in plan
+
+
+def test_rows_seen_again_in_later_batches():
+    seen = LD.Once()
+    batches = [([5, 3, 5], [1, 2, 3]), ([9, 3], [4, 5]), ([3, 9, 7], [6, 7, 8])]
+    out = [seen.repeated(np.array(k), np.array(i), np.array(i) * 2) for k, i in batches]
+    assert [sorted(zip(o["key"], o["line_id"], o["chars"])) for o in out] == [
+        [(5, 1, 2), (5, 3, 6)], [(3, 2, 4), (3, 5, 10)], [(3, 6, 12), (9, 4, 8), (9, 7, 14)]]
+
+
+def test_two_lines_are_compared_alike_by_sets_and_matrix(monkeypatch):
+    import random
+    random.seed(3)
+    for _ in range(300):
+        base = "".join(random.choices("ab \u00e9\u4e2d", k=random.randint(1, 90)))
+        other = base[:random.randint(0, 90)] + "b" * random.randint(0, 3) + base[random.randint(0, 90):]
+        monkeypatch.setattr(LD, "SHORT", 1 << 11)
+        sets = LD.unit_links([base, other])
+        monkeypatch.setattr(LD, "SHORT", 0)
+        assert LD.unit_links([base, other]) == sets
+
+
+def test_number_of_lines_counts_line_ends(spark):
+    texts = [None, "", "a", "a\n", "\n\n", "a\n\u00e9\nb", "a\r\nb"]
+    rows = LD.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_lines for r in rows} == {k: 0 if t is None else t.count("\n") + 1 for k, t in enumerate(texts)}
+
+
 def test_line_dedup_texts_and_odd_rows(spark):
     rows = [*ODD, (10, "One line that is long enough\n\n\nand another line, also long\nOne line that "
                    "is long enough", "x", "y", 1),
