@@ -6,9 +6,9 @@ similarity of their sets of 8-character shingles (the whole line, if shorter)
 is 0.8 or more, and a group is a connected component of such links.
 
 1. Equal lines: a partially aggregated group-by leaves each different line
-   once, however often it occurs.
-2. MinHash: 64 minima of hashed shingles, as 16 bands of four: lines at 0.8
-   share a band with probability 0.9998.  Bands held by one line are dropped,
+   once, however often it occurs, and that one is brought to its normal form.
+2. MinHash: 64 minima of hashed shingles, the first of 32 orders and of their
+   reverses, as 16 bands of four: lines at 0.8 share a band with probability 0.9998.  Bands held by one line are dropped,
    and bands with the same set of lines count once.
 3. Exact check within a band: lines come together in units of a bounded
    number of lines and characters.  In a unit the shingles are numbered
@@ -41,6 +41,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,14 +66,16 @@ SHORT = 1 << 11
 BROADCAST_LINES = 1_000_000
 #: Counts of shingles by hash, which order the shingles of lines in large bands.
 BUCKETS = 1 << 18
-#: Band keys of a bucket, which a task holds at a time.
+#: Band keys of a bucket, about; a task holds up to twice as many at a time.
 BUCKET_KEYS = 1 << 18
 #: Characters hashed at a time.
 PIECE = 1 << 16
 
 _random = np.random.default_rng(20240607)
-_FACTORS = _random.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_OFFSETS = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
+#: Multiplied by each of these, a shingle's hash gives two orders: from the smallest and from the largest.
+_FACTORS = _random.integers(1, 1 << 32, BANDS // 2 * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+#: Added to every hash before (an offset of its own for each factor): no window of equal characters stays at zero.
+_OFFSET = np.uint32(0x5BD1E995)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -86,46 +89,57 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def band_hashes(lines: list[str]) -> np.ndarray:
-    """``lines x BANDS`` signed 64-bit hashes, one per band of minima."""
-    minima = np.full((BANDS * ROWS, len(lines)), 0xFFFFFFFF, dtype=np.uint32)
+    """``lines x BANDS`` signed 64-bit hashes, one per band of minima.  The first half
+    of the bands holds the smallest products, the second half the largest: two minima of
+    one order and its reverse never depend on the same shingle unless there is only one,
+    so two lines that differ in one are not likelier to differ in the other."""
+    half = BANDS // 2 * ROWS
+    least = np.full((half, len(lines)), 0xFFFFFFFF, dtype=np.uint32)
+    largest = np.zeros((half, len(lines)), dtype=np.uint32)
     rows, parts, size = [], [], 0
 
     def flush():
         if not parts:
             return
-        lengths = np.array([len(p) - SHINGLE + 1 for p in parts])
-        codes = np.concatenate(parts)
-        h = _mix(codes * np.uint32(0x9E3779B1))
+        lengths = np.array([len(p) for p in parts])
+        h = np.frombuffer("".join(parts).encode("utf-32-le"), dtype="<u4") * np.uint32(0x9E3779B1)
+        _mix(h)
         for i in (1, 2, 4):  # windows of two, four and eight characters
-            h = _mix(h[:-i] * np.uint32(0x27D4EB2F) + h[i:])
-        starts = np.r_[0, np.cumsum([len(p) for p in parts])[:-1]]
+            turned = h[:-i] * np.uint32(0x27D4EB2F)
+            turned += h[i:]
+            h = _mix(turned)
         # drop the windows that reach over the end of a part
-        inside = np.ones(len(h), dtype=bool)
+        inside, ends = np.ones(len(h), dtype=bool), np.cumsum(lengths)[:-1]
         for i in range(1, SHINGLE):
-            inside[starts[1:] - i] = False
+            inside[ends - i] = False
         h = h[inside]
-        first = np.r_[0, np.cumsum(lengths)[:-1]]
-        at, turned = np.array(rows), np.empty_like(h)
-        for k in range(BANDS * ROWS):
+        h += _OFFSET
+        first = np.r_[0, np.cumsum(lengths - SHINGLE + 1)[:-1]]
+        turned, low, high = np.empty_like(h), *np.empty((2, half, len(parts)), dtype=np.uint32)
+        for k in range(half):
             np.multiply(h, _FACTORS[k], out=turned)
-            turned += _OFFSETS[k]
-            # (a line has one part here: only full pieces, which end a turn, are followed by others)
-            minima[k, at] = np.minimum(minima[k, at], np.minimum.reduceat(turned, first))
+            np.minimum.reduceat(turned, first, out=low[k])
+            np.maximum.reduceat(turned, first, out=high[k])
+        # (a line has one part here: only full pieces, which end a turn, are followed by others)
+        at = np.array(rows)
+        least[:, at] = np.minimum(least[:, at], low)
+        largest[:, at] = np.maximum(largest[:, at], high)
         rows.clear()
         parts.clear()
 
     for row, line in enumerate(lines):
         # a line shorter than a shingle is padded to one
-        codes = np.frombuffer(line.ljust(SHINGLE, "\0").encode("utf-32-le"), dtype="<u4")
-        for at in range(0, len(codes) - SHINGLE + 1, PIECE):
+        line = line if len(line) >= SHINGLE else line.ljust(SHINGLE, "\0")
+        for at in range(0, len(line) - SHINGLE + 1, PIECE):
             rows.append(row)
-            parts.append(codes[at:at + PIECE + SHINGLE - 1])
+            parts.append(line if len(line) < PIECE + SHINGLE else line[at:at + PIECE + SHINGLE - 1])
             size += len(parts[-1])
             if size >= PIECE:
                 flush()
                 size = 0
     flush()
     out = np.empty((BANDS, len(lines)), dtype=np.uint64)
+    minima = np.concatenate((least, largest))
     for band in range(BANDS):
         mixed = np.full(len(lines), (band + 1) * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
         for r in range(ROWS):
@@ -216,25 +230,75 @@ def normal_form(line: Column) -> Column:
     return F.lower(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
 
 
-def _links_in_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def pairs_linked(pairs: list[tuple[str, str]], least: float = LEAST_SIMILARITY) -> np.ndarray:
+    """Whether each pair is linked, as by ``unit_links``.  Eight code points below 256
+    are one number, so the windows of many pairs of short lines are sorted and
+    counted together; other pairs are compared by themselves."""
+    linked, coded = np.zeros(len(pairs), dtype=bool), []
+    for at, (a, b) in enumerate(pairs):
+        try:
+            if max(len(a), len(b)) > SHORT:
+                raise ValueError("long")
+            coded.append((max(len(a), len(b), SHINGLE), at, a.encode("latin-1"), b.encode("latin-1")))
+        except ValueError:  # (a code point above 255 is one, too)
+            linked[at] = bool(unit_links([a, b], least))
+    coded.sort(key=lambda c: c[0])  # lines of about one length lie together, as they are filled up to the longest
+    start = 0
+    while start < len(coded):
+        stop = start + 1
+        while stop < len(coded) and 2 * coded[stop][0] * (stop + 1 - start) <= PIECE:
+            stop += 1
+        block, start = coded[start:stop], stop
+        width = block[-1][0]
+        text = b"".join([line.ljust(width, b"\0") for c in block for line in c[2:]])
+        windows = np.ndarray((2 * len(block), width - SHINGLE + 1), "<u8", text, strides=(width, 1)).copy()
+        counts = np.array([max(len(line) - SHINGLE + 1, 1) for c in block for line in c[2:]])
+        # places behind a line's end repeat its first window
+        np.copyto(windows, windows[:, :1].copy(), where=np.arange(windows.shape[1]) >= counts[:, None])
+        both = windows.reshape(len(block), -1)
+
+        def different(rows: np.ndarray) -> np.ndarray:
+            rows = np.sort(rows, axis=1)
+            return 1 + np.count_nonzero(rows[:, 1:] != rows[:, :-1], axis=1)
+
+        sizes = different(windows).reshape(-1, 2).sum(axis=1)
+        union = different(both)
+        linked[[c[1] for c in block]] = sizes - union >= least * union
+    return linked
+
+
+def _links_in_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by unit and line → links to the smallest line of each part
     of a unit; a unit may go on in the next batch."""
     open_unit, ids, lines = None, [], []
 
-    def links():
-        return [(*open_unit[1:], ids[a], ids[b]) for a, b in unit_links(lines)]
+    def close():
+        if len(lines) == 2:  # nearly all units: compared together
+            pairs.append((*open_unit[1:], ids[1], ids[0]))
+            met.append(tuple(lines))
+        else:
+            found.extend([(*open_unit[1:], ids[a], ids[b]) for a, b in unit_links(lines)])
 
-    for pdf in batches:
-        found = []
-        for *unit, line_id, line in zip(pdf["unit"].tolist(), pdf["same"].tolist(), pdf["n"].tolist(),
-                                        pdf["line_id"].tolist(), pdf["line"]):
+    def links():
+        rows = found + [p for p, link in zip(pairs, pairs_linked(met)) if link]
+        columns = np.array(rows, dtype=np.int64).reshape(-1, 4).T
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["same", "n", "a", "b"])
+
+    for batch in batches:
+        found, pairs, met = [], [], []
+        units = np.stack([batch[c].to_numpy() for c in ("unit", "same", "n")], axis=1)
+        starts = np.flatnonzero(np.r_[True, (units[1:] != units[:-1]).any(axis=1)][:len(units)])
+        own_ids, own_lines = batch["line_id"].to_pylist(), texts(batch, "line")
+        for unit, start, stop in zip(units[starts].tolist(), starts, [*starts[1:], len(units)]):
             if unit != open_unit:
-                found += links()
+                close()
                 open_unit, ids, lines = unit, [], []
-            ids.append(line_id)
-            lines.append(line)
-        yield pd.DataFrame(found, columns=["same", "n", "a", "b"], dtype="int64")
-    yield pd.DataFrame(links(), columns=["same", "n", "a", "b"], dtype="int64")
+            ids += own_ids[start:stop]
+            lines += own_lines[start:stop]
+        yield links()
+    found, pairs, met = [], [], []
+    close()
+    yield links()
 
 
 def _linked(members: DataFrame, wanted: DataFrame, lines: DataFrame) -> DataFrame:
@@ -246,7 +310,7 @@ def _linked(members: DataFrame, wanted: DataFrame, lines: DataFrame) -> DataFram
     return members.join(lines.join(wanted, "line_id", "left_semi"), "line_id") \
         .select("unit", "same", "n", "line_id", "line") \
         .repartition("unit").sortWithinPartitions("unit", "same", "n", "line_id") \
-        .mapInPandas(_links_in_units, "same long, n long, a long, b long")
+        .mapInArrow(_links_in_units, "same long, n long, a long, b long")
 
 
 def _met(held: DataFrame) -> DataFrame:
@@ -277,46 +341,74 @@ def _repeated_bands(lines: DataFrame) -> DataFrame:
     in number; the lines under one key pass by one batch after the other."""
     n_buckets = max(1, lines.count() * BANDS // BUCKET_KEYS)
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            keys = band_hashes(pdf["line"].tolist()).ravel()
-            sizes = np.log2(pdf["chars"].to_numpy()).astype(np.int8)
+            keys = band_hashes(texts(batch, "line")).ravel()
+            sizes = np.log2(batch["chars"].to_numpy()).astype(np.int8)
             # (the upper half decides, so that the buckets stay even whatever their number)
             bucket = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
             bucket = bucket.astype(np.min_scalar_type(n_buckets))  # (short numbers are sorted by radix)
             order = np.argsort(bucket, kind="stable")
             bucket = bucket[order]
             starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            parts = [np.split(column[order], starts[1:]) for column in (
-                keys, np.repeat(pdf["line_id"].to_numpy(), BANDS), np.repeat(sizes, BANDS))]
-            yield pd.DataFrame({"bucket": bucket[starts].astype(np.int64), "keys": parts[0],
-                                "line_ids": parts[1], "sizes": parts[2]})
-
-    def repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ends = np.r_[starts, len(bucket)].astype(np.int32)
+            row = order // BANDS
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[starts].astype(np.int64)),
+                 *(pa.ListArray.from_arrays(ends, column) for column in (
+                     keys[order], batch["line_id"].to_numpy()[row], sizes[row]))],
+                ["bucket", "keys", "line_ids", "sizes"])
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, once, waiting, n_waiting = None, Once(), [], 0
 
-        def flush():
+        def flush(last):
             nonlocal waiting, n_waiting
             if waiting:
                 keys, ids, sizes = map(np.concatenate, zip(*waiting))
-                yield once.repeated(keys, ids, np.left_shift(1, sizes, dtype=np.int64))
+                if last and not len(once.keys):  # the whole bucket is here: nothing has to be kept for later
+                    rows = may_repeat(keys)
+                    keys, ids, sizes = keys[rows], ids[rows], sizes[rows]
+                yield pa.RecordBatch.from_pandas(
+                    once.repeated(keys, ids, np.left_shift(1, sizes, dtype=np.int64)), preserve_index=False)
             waiting, n_waiting = [], 0
 
-        for pdf in batches:
-            for at, *row in zip(pdf["bucket"], pdf["keys"], pdf["line_ids"], pdf["sizes"]):
-                if at != bucket or n_waiting >= BUCKET_KEYS:
-                    yield from flush()
-                    if at != bucket:
-                        bucket, once = at, Once()
-                waiting.append(row)
-                n_waiting += len(row[0])
-        yield from flush()
-
-    return lines.mapInPandas(deal, "bucket long, keys array<long>, line_ids array<long>, sizes array<byte>") \
+        for batch in batches:
+            buckets, ends = batch["bucket"].to_numpy(), batch["keys"].offsets.to_numpy()
+            columns = [batch[c].values.to_numpy() for c in ("keys", "line_ids", "sizes")]
+            row = 0
+            while row < len(buckets):
+                if buckets[row] != bucket:
+                    yield from flush(True)
+                    bucket, once = buckets[row], Once()
+                elif n_waiting >= 2 * BUCKET_KEYS:
+                    yield from flush(False)
+                # the rows of this bucket, of about as many keys as fit (the three lists of a row are equally long)
+                stop = np.searchsorted(buckets, bucket, "right")
+                stop = min(stop, max(row + 1, np.searchsorted(ends, ends[row] + 2 * BUCKET_KEYS - n_waiting)))
+                waiting.append([c[ends[row]:ends[stop]] for c in columns])
+                n_waiting += len(waiting[-1][0])
+                row = stop
+        yield from flush(True)
+
+    return lines.mapInArrow(deal, "bucket long, keys array<long>, line_ids array<long>, sizes array<byte>") \
         .repartition("bucket").sortWithinPartitions("bucket") \
-        .mapInPandas(repeated, "key long, line_id long, chars long")
+        .mapInArrow(repeated, "key long, line_id long, chars long")
+
+
+def texts(batch: pa.RecordBatch, column: str) -> list[str]:
+    return batch[column].to_numpy(zero_copy_only=False).tolist()
+
+
+def may_repeat(keys: np.ndarray) -> np.ndarray:
+    """The places of all keys that stand more than once, and of a few others."""
+    ordered = np.sort(keys)
+    bits = np.int64((1 << 20) - 1)
+    marked = np.zeros(1 << 20, dtype=bool)
+    marked[ordered[1:][ordered[1:] == ordered[:-1]] & bits] = True
+    return np.flatnonzero(marked[keys & bits])
 
 
 class Once:
@@ -477,14 +569,15 @@ def line_links(lines: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, row_key, line_no, line)`` of every line with visible characters."""
+    """``(doc_id, row_key, line_no, raw, line)`` of every line with visible characters:
+    as it stands and in its normal form."""
     # the key is computed before the lines part, so no line carries its whole text
     read = docs.select(F.col(id_col).alias("doc_id"),
                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"),
                        F.split(F.col(text_col), "\n").alias("lines"))
-    lines = read.select("doc_id", "row_key", F.posexplode("lines").alias("line_no", "line"))
+    lines = read.select("doc_id", "row_key", F.posexplode("lines").alias("line_no", "raw"))
     # (asked of the raw line: a filter on the normal form would compute it twice)
-    return lines.where(F.ltrim("line", F.lit(_ENDS)) != "").withColumn("line", normal_form(F.col("line")))
+    return lines.where(F.ltrim("raw", F.lit(_ENDS)) != "").withColumn("line", normal_form(F.col("raw")))
 
 
 def _keys(line: str) -> list[Column]:
@@ -495,14 +588,18 @@ def _keys(line: str) -> list[Column]:
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, row_key, removed)`` for the documents that lose lines:
     ``removed`` lists their positions (from 0) in ascending order."""
+    # lines that differ in case or white space only share all bands and are linked like other
+    # near-equal lines; so each different line is brought to its normal form once, and
+    # the documents' lines are looked up as they stand
     lines = _lines(docs, id_col, text_col)
     different = materialise(
-        lines.groupBy("line").agg(
+        lines.groupBy("raw").agg(
             F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc"),
             F.coalesce(F.min_by("row_key", "doc_id"),
                        F.min(F.when(F.col("doc_id").isNull(), F.col("row_key")))).alias("first_row"))
         .withColumn("line_id", F.monotonically_increasing_id())
-        .select("line_id", "line", "times", "first_doc", "first_row", *_keys("line")), "lines",
+        .select("line_id", normal_form(F.col("raw")).alias("line"), "times", "first_doc", "first_row",
+                *_keys("raw")), "lines",
         compression="zstd")
     roots = components(line_links(different.select("line_id", "line")), "line-links")
     grouped = different.select("line_id", "key1", "key2", "times", "first_doc", "first_row") \
@@ -519,7 +616,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                           .select("key1", "key2", "group", "keep_doc", "keep_row"), "lines-decided")
 
     # a repeated document counts once
-    seen = lines.select("doc_id", "row_key", "line_no", *_keys("line")).join(decided, ["key1", "key2"])
+    seen = lines.select("doc_id", "row_key", "line_no", *_keys("raw")).join(decided, ["key1", "key2"])
     home = F.col("doc_id").eqNullSafe(F.col("keep_doc")) & (F.col("row_key") == F.col("keep_row"))
     first = F.min("line_no").over(Window.partitionBy("doc_id", "row_key", "group"))
     return seen.withColumn("stays", home & (F.col("line_no") == first)).where("NOT stays") \

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -609,6 +610,80 @@ def test_two_lines_are_compared_alike_by_sets_and_matrix(monkeypatch):
         assert LD.unit_links([base, other]) == sets
 
 
+def test_pairs_compared_together_equal_pairs_by_themselves(monkeypatch):
+    rng = random.Random(29)
+    pairs = [("", ""), ("a", "a"), ("a", "b"), ("x" * 9, "x" * 3_000), ("ab" * 1_500, "ab" * 1_400)]
+    for _ in range(3_000):
+        letters = rng.choice(("ab", "ab \u00e9\u00ff", "abcdefghij ", "ab\u0100\u4e2d"))
+        base = "".join(rng.choices(letters, k=rng.randint(1, 90)))
+        other = base[:rng.randint(0, 90)] + "b" * rng.randint(0, 3) + base[rng.randint(0, 90):]
+        pairs.append((base, other) if rng.random() < 0.5 else (base, base[:-1] + "a" + rng.choice(("", "a"))))
+    want = [bool(LD.unit_links(list(p))) for p in pairs]
+    assert 500 < sum(want) < 2_500
+    assert LD.pairs_linked(pairs).tolist() == want
+    monkeypatch.setattr(LD, "PIECE", 64)
+    assert LD.pairs_linked(pairs).tolist() == want
+    assert LD.pairs_linked([]).tolist() == []
+
+
+def test_units_go_on_in_the_next_batch():
+    rng = random.Random(31)
+    stem = "".join(rng.choices("abcdefgh ", k=60))
+    rows = [(unit, unit * 7, 2, 10 * unit + k, stem + str(k) if k < 3 else f"far {k} {rng.random()}")
+            for unit in range(40) for k in range(rng.choice((1, 2, 2, 3, 5)))]
+
+    def links(size):
+        names = ["unit", "same", "n", "line_id", "line"]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[at:at + size])], names)
+                   for at in range(0, len(rows), size)]
+        return sorted(tuple(r.values()) for b in LD._links_in_units(iter(batches)) for r in b.to_pylist())
+    want = sorted((u * 7, 2, i, 10 * u) for u, _, _, i, _ in rows if i % 10 in (1, 2))
+    assert [links(size) for size in (1, 2, 7, 1_000)] == [want] * 4
+    assert [b.num_rows for b in LD._links_in_units(iter([]))] == [0]
+
+
+@pytest.mark.parametrize("keys, records", [(16, 7), (64, 3), (1 << 18, 10)])
+def test_bands_of_buckets_in_many_batches(spark, monkeypatch, keys, records):
+    monkeypatch.setattr(LD, "BUCKET_KEYS", keys)
+    lines = [f"line {k % 9} of some text, {k // 9 % 4 * 'x'}" for k in range(150)]
+    df = spark.createDataFrame([(k << 30, line, 64) for k, line in enumerate(lines)],
+                               "line_id long, line string, chars long")
+    held = {}
+    for k, own in enumerate(LD.band_hashes(lines).tolist()):
+        for key in own:
+            held.setdefault(key, []).append(k)
+    want = sorted((key, k << 30, 64) for key, ks in held.items() if len(ks) > 1 for k in ks)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    try:
+        assert sorted(map(tuple, LD._repeated_bands(df).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_bands_of_both_orders_hold_as_many_links_as_independent_ones():
+    """An order gives two minima, its smallest and largest: half the products, the same odds."""
+    assert len(LD._FACTORS) == LD.BANDS * LD.ROWS // 2
+    rng = random.Random(37)
+    for size in (20, 100):
+        a = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=size)) for _ in range(4_000)]
+        b = [line[rng.randint(1, size // 10):] for line in a]
+        sets = [(LD.shingles(x), LD.shingles(y)) for x, y in zip(a, b)]
+        odds = np.array([len(x & y) / len(x | y) for x, y in sets]) ** LD.ROWS
+        held = LD.band_hashes(a) == LD.band_hashes(b)
+        assert abs(held.mean() - odds.mean()) < 0.01
+        assert (~held.any(axis=1)).mean() < ((1 - odds) ** LD.BANDS).mean() + 0.003
+
+
+def test_lines_of_documents_are_looked_up_as_they_stand(spark):
+    """Only different lines are brought to their normal form, not all lines again."""
+    lines = ["Some line that is long", "some LINE that is long ", "Some line\tthat is  long", "\u00c9t\u00e9",
+             "\u00e9t\u00e9", "Some line that is long", "a", "A", "other"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    removed = LD.removed_lines(docs)
+    assert "lower(" not in removed._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.doc_id for r in removed.collect()) == [1, 2, 4, 5, 7]
+
+
 def test_number_of_lines_counts_line_ends(spark):
     texts = [None, "", "a", "a\n", "\n\n", "a\n\u00e9\nb", "a\r\nb"]
     rows = LD.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
