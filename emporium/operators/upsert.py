@@ -63,6 +63,13 @@ def first_wins(df: DataFrame, key: str | Sequence[str],
     a total order (end with a unique column, e.g. a source position) to make
     the winner reproducible; exact duplicates are interchangeable anyway.
     """
+    nullable = _any_null(_keys(key))
+    return first_of_keys(df.where(~nullable), key, order_by).unionByName(df.where(nullable))
+
+
+def first_of_keys(df: DataFrame, key: str | Sequence[str],
+                  order_by: Sequence[Column | str] | None = None) -> DataFrame:
+    """:func:`first_wins` of rows whose keys hold no NULL."""
     keys = _keys(key)
     cols = df.columns
     order = [F.col(c) if isinstance(c, str) else c for c in (order_by or [])]
@@ -75,20 +82,17 @@ def first_wins(df: DataFrame, key: str | Sequence[str],
     # broken the same way on every run (map columns cannot be ordered)
     rest = [c for c, t in types.items() if c not in named | alike and not isinstance(t, MapType)]
     ranked = [*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)]]
-    nullable = _any_null(keys)
-    groups = df.where(~nullable).groupBy(*keys)
+    groups = df.groupBy(*keys)
     if not whole:
         row = F.struct(*[F.col(c) for c in cols])
-        keyed = groups.agg(F.min_by(row, F.struct(*ranked)).alias("_row")).select("_row.*")
-    elif not ranked:  # all columns are key
-        keyed = df.where(~nullable).distinct()
-    else:
-        # the rank holds the row: a group carries it once
-        at = {c: f"_o{i}" for i, c in enumerate(order_by or []) if isinstance(c, str)} \
-            | {c: f"_r{i}" for i, c in enumerate(rest)}
-        keyed = groups.agg(F.min(F.struct(*ranked)).alias("_first")) \
-            .select(*[F.col(c) if c in alike else F.col(f"_first.{at[c]}").alias(c) for c in cols])
-    return keyed.unionByName(df.where(nullable))
+        return groups.agg(F.min_by(row, F.struct(*ranked)).alias("_row")).select("_row.*")
+    if not ranked:  # all columns are key
+        return df.distinct()
+    # the rank holds the row: a group carries it once
+    at = {c: f"_o{i}" for i, c in enumerate(order_by or []) if isinstance(c, str)} \
+        | {c: f"_r{i}" for i, c in enumerate(rest)}
+    return groups.agg(F.min(F.struct(*ranked)).alias("_first")) \
+        .select(*[F.col(c) if c in alike else F.col(f"_first.{at[c]}").alias(c) for c in cols])
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, key: str | Sequence[str],

@@ -18,6 +18,12 @@ NOTHING``), over the whole history and without streaming state:
   of the buckets it touches, and only rows whose bits are all set are
   anti-joined with stored keys, read from the buckets of those rows.
 
+A batch is looked at several times (its buckets, their filters, its rows), so its
+rows are staged in files of the store first: nothing of it is held in memory.
+The least row per key then decides the tasks once; the lookup in the filters (a
+broadcast, as the layout bounds them), the anti-join with stored keys and the
+writing go on in those tasks.
+
 A table without a key takes every row; its readers see all of them, or what
 ``merge`` makes of them (sums of partial counts, latest values).
 
@@ -32,23 +38,26 @@ rows on to the anti-join and change no result.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
-from pyspark.storagelevel import StorageLevel
 
 from emporium.operators.sinks import _run_all
-from emporium.operators.upsert import _any_null, first_wins
+from emporium.operators.upsert import _any_null, first_of_keys, first_wins
 
 BUCKET = "key_bucket"
 SLOT_BITS = 32_768
 PROBES = 3
 #: Bits of the filter per expected key.
 BITS_PER_KEY = 10
+#: Bytes of all bitmaps up to which a batch meets them in a broadcast.
+BROADCAST_BITMAPS = 8 << 20
 
 
 @dataclass
@@ -142,37 +151,53 @@ class EpochStore:
 
     def _places(self, name: str) -> list[Column]:
         """Bucket, slot and bits of a row's key."""
-        bits = [F.pmod(self._key_hash(name, 2 + i), F.lit(SLOT_BITS)).cast("int") for i in range(PROBES)]
+        bits = [F.pmod(self._key_hash(name, 2 + i), F.lit(SLOT_BITS)).cast("int").alias(f"_bit{i}")
+                for i in range(PROBES)]
         return [F.pmod(self._key_hash(name, 0), F.lit(self.buckets)).cast("int").alias(BUCKET),
-                F.pmod(self._key_hash(name, 1), F.lit(self.slots)).cast("int").alias("_slot"),
-                F.array(*bits).alias("_bits")]
+                F.pmod(self._key_hash(name, 1), F.lit(self.slots)).cast("int").alias("_slot"), *bits]
 
     _BITMAPS = f"_slot int, bits binary, {BUCKET} int"
 
+    def _bitmaps(self, name: str, epochs: list[str], buckets: list[int]) -> DataFrame:
+        """The bitmaps of some buckets, as words of 32 bits, the first byte highest."""
+        words = F.transform(F.sequence(F.lit(0), F.lit(SLOT_BITS // 32 - 1)), lambda w: F.conv(
+            F.hex(F.substring(F.col("bits"), w * 4 + 1, F.lit(4))), 16, 10).cast("long"))
+        bitmaps = self._folder(name, epochs, self._BITMAPS, "filter").where(F.col(BUCKET).isin(buckets)) \
+            .groupBy(BUCKET, "_slot").agg(F.bitmap_or_agg("bits").alias("bits")) \
+            .select(BUCKET, "_slot", words.alias("_words"))
+        bounded = self.buckets * self.slots * SLOT_BITS // 8 <= BROADCAST_BITMAPS
+        return bitmaps.hint("broadcast" if bounded else "merge")
+
+    @staticmethod
+    def _seen() -> Column:
+        """Whether all bits of a row's key are set in its bitmap."""
+        def is_set(bit: Column) -> Column:
+            word = F.get(F.col("_words"), F.shiftright(bit, 5))
+            return F.getbit(word, (3 - F.shiftright(bit, 3) % 4) * 8 + bit % 8) == 1
+        return F.coalesce(reduce(Column.__and__, (is_set(F.col(f"_bit{i}")) for i in range(PROBES))), F.lit(False))
+
     def _new_rows(self, name: str, rows: DataFrame, epochs: list[str]) -> DataFrame:
-        """The rows of a batch whose key is neither repeated in it nor stored."""
+        """The rows of a batch whose key is neither repeated in it nor stored.
+        The batch is read several times, so it is a staged one if any epoch is stored."""
         table = self.tables[name]
         keys = list(table.key)
-        rows = first_wins(rows, keys, table.order_by)
         if not epochs:
-            return rows
+            return first_wins(rows, keys, table.order_by)
         null_key = _any_null(keys)
-        keyed = rows.where(~null_key).select("*", *self._places(name)).persist(StorageLevel.MEMORY_AND_DISK)
-        self._held.append(keyed)
-        touched = [r[0] for r in keyed.select(BUCKET).distinct().collect()]  # at most `buckets`
-        bitmaps = self._folder(name, epochs, self._BITMAPS, "filter").where(F.col(BUCKET).isin(touched)) \
-            .groupBy(BUCKET, "_slot").agg(F.bitmap_or_agg("bits").alias("bits"))
-        seen = F.forall("_bits", lambda at: F.getbit(
-            F.conv(F.hex(F.substring(F.col("bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int"),
-            at % 8) == 1)
-        probed = keyed.join(bitmaps, [BUCKET, "_slot"], "left") \
-            .withColumn("_seen", F.col("bits").isNotNull() & seen).drop("bits", "_bits", "_slot") \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        self._held.append(probed)
-        maybe = probed.where("_seen")
-        suspect = [r[0] for r in maybe.select(BUCKET).distinct().collect()]
-        stored = self._stored(name, epochs).where(F.col(BUCKET).isin(suspect)).select(*keys)
-        fresh = probed.where("NOT _seen").unionByName(maybe.join(stored, keys, "left_anti"))
+        # repeated keys change neither the buckets a batch touches nor those it may repeat
+        places = rows.where(~null_key).select(*self._places(name))
+        touched = [r[0] for r in places.select(BUCKET).distinct().collect()]  # at most `buckets`
+        bitmaps = self._bitmaps(name, epochs, touched)
+        suspect = [r[0] for r in places.join(bitmaps, [BUCKET, "_slot"], "left").where(self._seen())
+                   .select(BUCKET).distinct().collect()]
+        probed = first_of_keys(rows.where(~null_key), keys, table.order_by).select("*", *self._places(name)) \
+            .join(bitmaps, [BUCKET, "_slot"], "left").select(*rows.columns, self._seen().alias("_seen"))
+        stored = self._stored(name, epochs).where(F.col(BUCKET).isin(suspect)) \
+            .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        same = reduce(Column.__and__, (F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)))
+        # merged: the planner knows stored keys by their compressed size in files, a fraction of what
+        # they take in a broadcast (384 MB for 6 million keys), and a merge may spill
+        fresh = probed.join(stored.hint("merge"), same & F.col("_seen"), "left_anti")
         return fresh.select(*rows.columns).unionByName(rows.where(null_key))
 
     def _write(self, name: str, rows: DataFrame, epoch: str) -> None:
@@ -183,36 +208,72 @@ class EpochStore:
             rows.withColumn(BUCKET, F.lit(0)).write.mode("overwrite").partitionBy(BUCKET) \
                 .parquet(f"{base}/data/epoch={epoch}")
             return
-        # whole rows decide the task, so neither a bucket nor null keys bound the writers
-        rows.select("*", self._places(name)[0]).repartition(F.col(BUCKET), F.xxhash64(*table.schema.names)) \
+        # whichever task holds a row writes it, so neither a bucket nor null keys bound the writers
+        rows.select("*", self._places(name)[0]) \
             .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{base}/data/epoch={epoch}")
         written = self._stored(name, [epoch]).select(*table.key).where(~_any_null(table.key))
-        written.select(*self._places(name)).withColumn("_bit", F.explode("_bits")) \
-            .groupBy(BUCKET, "_slot").agg(F.bitmap_construct_agg(F.col("_bit").cast("long")).alias("bits")) \
+        self._filter(written.select(*self._places(name))) \
             .sortWithinPartitions(BUCKET, "_slot") \
             .write.mode("overwrite").parquet(f"{base}/filter/epoch={epoch}")
 
-    def commit(self, run: str, n: int, batches: dict[str, DataFrame]) -> bool:
+    @staticmethod
+    def _filter(places: DataFrame) -> DataFrame:
+        """The bitmaps of keys: bit ``b`` is bit ``b % 8`` of byte ``b / 8``.
+
+        Bits are gathered in words of 64 by a hash aggregate, which merges them
+        before they move; a bitmap has at most 512 words, written as hexadecimal
+        digits with the words without a bit between them.
+        """
+        bit = F.col("_bit")
+        at = (7 - F.shiftright(bit, 3) % 8) * 8 + bit % 8
+        words = places.select(BUCKET, "_slot", F.explode(F.array(*[f"_bit{i}" for i in range(PROBES)])).alias("_bit")) \
+            .groupBy(BUCKET, "_slot", F.shiftright(bit, 6).alias("_word")) \
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at)).alias("_bits")) \
+            .groupBy(BUCKET, "_slot").agg(F.sort_array(F.collect_list(F.struct("_word", "_bits"))).alias("_words"))
+
+        def digits(word: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(F.col("_words"), i - 1)["_word"], F.lit(-1))
+            return F.concat(F.call_function("repeat", F.lit("0"), (word["_word"] - before - 1) * 16),
+                            F.lpad(F.hex(word["_bits"]), 16, "0"))
+        bits = F.unhex(F.rpad(F.array_join(F.transform("_words", digits), ""), SLOT_BITS // 4, "0"))
+        return words.select("_slot", bits.alias("bits"), BUCKET)
+
+    # ------------------------------------------------------------- staging
+    @contextmanager
+    def staged(self, epoch: str, name: str, rows: DataFrame) -> Iterator[DataFrame]:
+        """The rows in files of the store, for as long as they are looked at."""
+        path = f"{self.root}/_staged/{epoch}.{name}"
+        rows.write.mode("overwrite").parquet(path)
+        try:
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            self._delete(path)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def commit(self, run: str, n: int, batches: dict[str, DataFrame], staged: bool = False) -> bool:
         """Commit one epoch of ``run`` to all tables of ``batches`` together;
-        False if it was committed before."""
+        False if it was committed before.  ``staged``: the batches are read from
+        files and may be read again."""
         state = self._state()
         if state.done.get(run, n - 1) >= n:
             return False
         epoch = f"{run}-{n}"
-        self._held: list[DataFrame] = []
 
         def part(name: str) -> None:
             rows = batches[name].select(*self.tables[name].schema.names) if name in batches \
                 else self.spark.createDataFrame([], self.tables[name].schema)
-            if self.tables[name].key and name in batches:
-                rows = self._new_rows(name, rows, state.epochs)
-            self._write(name, rows, epoch)
-
-        try:
-            _run_all({name: (lambda name=name: part(name)) for name in self.tables})
-        finally:
-            for df in self._held:
-                df.unpersist()
+            if not self.tables[name].key or name not in batches:
+                self._write(name, rows, epoch)
+            elif staged or not state.epochs:
+                self._write(name, self._new_rows(name, rows, state.epochs), epoch)
+            else:
+                with self.staged(epoch, name, rows) as kept:
+                    self._write(name, self._new_rows(name, kept, state.epochs), epoch)
+
+        _run_all({name: (lambda name=name: part(name)) for name in self.tables})
         self._record(state, epoch, {run: n})
         if len(state.epochs) + 1 >= self.compact_every:
             self.compact()
@@ -223,7 +284,14 @@ class EpochStore:
         """Rewrite the visible rows as one epoch that replaces all before it."""
         state = self._state()
         epoch = f"base-{state.sequence + 1}"
-        _run_all({name: (lambda name=name: self._write(name, self.read(name), epoch)) for name in self.tables})
+
+        def part(name: str) -> None:
+            rows = self.read(name)
+            if self.tables[name].key:  # the files of all epochs are gathered in fewer
+                rows = rows.repartition(self._places(name)[0], F.xxhash64(*rows.columns))
+            self._write(name, rows, epoch)
+
+        _run_all({name: (lambda name=name: part(name)) for name in self.tables})
         self._record(state, epoch, state.done, base=True)
 
     def vacuum(self) -> None:
@@ -238,3 +306,4 @@ class EpochStore:
             for status in (fs.listStatus(path) if fs.exists(path) else ()):
                 if status.getPath().getName().removeprefix("epoch=") not in visible:
                     fs.delete(status.getPath(), True)
+        self._delete(f"{self.root}/_staged")  # of commits that broke off

@@ -141,20 +141,12 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
 
 def _epochs_of(stream: DataFrame, checkpoint: str, write, trigger: dict | None,
                mode: str = "append") -> StreamingQuery:
-    """Run ``write(run, batch_id, batch)`` for every micro-batch; a batch of rows
-    is kept while it is written (recomputed from the source if an executor is
-    lost), the output of streaming state is read once."""
+    """Run ``write(run, batch_id, batch)`` for every micro-batch; what reads a
+    batch more than once stages it."""
     run = _run_id(stream.sparkSession, checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if mode != "append":
-            write(run, batch_id, batch)
-            return
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write(run, batch_id, batch)
-        finally:
-            batch.unpersist()
+        write(run, batch_id, batch)
 
     return (stream.writeStream.outputMode(mode).foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
@@ -175,7 +167,9 @@ def ingest_tables(streams: dict[str, DataFrame], store: EpochStore, checkpoint:
         union = tagged if union is None else union.unionByName(tagged, allowMissingColumns=True)
 
     def write(run: str, n: int, batch: DataFrame) -> None:
-        store.commit(run, n, {name: batch.where(F.col("_table") == name).select(f"{name}.*") for name in streams})
+        with store.staged(f"{run}-{n}", "batch", batch) as rows:
+            store.commit(run, n, {name: rows.where(F.col("_table") == name).select(f"{name}.*") for name in streams},
+                         staged=True)
 
     return _epochs_of(union, checkpoint, write, trigger)
 
