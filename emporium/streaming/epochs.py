@@ -196,7 +196,7 @@ class EpochStore:
             .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
         same = reduce(Column.__and__, (F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)))
         # merged: the planner knows stored keys by their compressed size in files, a fraction of what
-        # they take in a broadcast (384 MB for 6 million keys), and a merge may spill
+        # they take in a broadcast (320 MB for 3 million keys), and a merge may spill
         fresh = probed.join(stored.hint("merge"), same & F.col("_seen"), "left_anti")
         return fresh.select(*rows.columns).unionByName(rows.where(null_key))
 
